@@ -23,16 +23,21 @@ def scoped_lookup(
     values: Mapping[str, Column],
     *,
     fallback_any: bool = True,
+    unique: bool = False,
     salt_by: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``values`` of the dimension row whose ``id`` is ``fact[key]``.
 
+    ``unique`` says that (id, company_id) is the dimension's version key; without it the
+    newest row of each is picked first.
+
     Per value the own company's row wins, then the shared one (company 0), then, with
     ``fallback_any``, the one of the lowest company id that has the value. The own rows
     and the two fallbacks are each unique slices, so two equi-joins do it.
     """
-    rows = latest(dim, ["id", "company_id"], "write_date").select(
+    one_each = dim if unique else latest(dim, ["id", "company_id"], "write_date")
+    rows = one_each.select(
         F.col("id").alias(key), "company_id", *[column.alias(f"_{name}") for name, column in values.items()]
     )
     own = rows.where("company_id <> 0").select(
@@ -61,11 +66,13 @@ def strict_lookup(
     key: str,
     values: Mapping[str, Column],
     *,
+    unique: bool = False,
     salt_by: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Like :func:`scoped_lookup` but only the row of the very same company counts."""
-    rows = latest(dim, ["id", "company_id"], "write_date").select(
+    one_each = dim if unique else latest(dim, ["id", "company_id"], "write_date")
+    rows = one_each.select(
         F.col("id").alias(key), "company_id", *[column.alias(name) for name, column in values.items()]
     )
     joined = lookup_join(fact, rows, [key, "company_id"], salt_by=salt_by, broadcast_bytes=broadcast_bytes)
@@ -83,7 +90,7 @@ def with_product(fact: DataFrame, products: DataFrame, **options) -> DataFrame:
 def with_template_price(fact: DataFrame, templates: DataFrame, **options) -> DataFrame:
     """Second step of the product lookup: add ``standard_price`` of ``product_tmpl_id``, else 0."""
     found = scoped_lookup(
-        fact, templates, "product_tmpl_id", {"standard_price": F.col("standard_price")}, **options)
+        fact, templates, "product_tmpl_id", {"standard_price": F.col("standard_price")}, unique=True, **options)
     return found.withColumn("standard_price", F.coalesce("standard_price", F.lit(0.0)))
 
 
@@ -97,16 +104,16 @@ def with_usages(
     for key, name in (("location_id", "src_usage"), ("location_dest_id", "dst_usage")):
         values = {name: F.col("usage")}
         if strict:
-            moves = strict_lookup(moves, locations, key, values, salt_by=salt_by, **options)
+            moves = strict_lookup(moves, locations, key, values, unique=True, salt_by=salt_by, **options)
         else:
             moves = scoped_lookup(
-                moves, locations, key, values, fallback_any=False, salt_by=salt_by, **options)
+                moves, locations, key, values, fallback_any=False, unique=True, salt_by=salt_by, **options)
     return moves
 
 
 def with_company_name(fact: DataFrame, companies: DataFrame, **options) -> DataFrame:
     """Add ``company_name``, '' if the company is unknown."""
-    names = latest(companies, ["id"], "write_date").select(
+    names = companies.select(
         F.col("id").alias("company_id"), F.col("name").alias("company_name"))
     found = lookup_join(fact, names, ["company_id"], salt_by=options.pop("salt_by", None), **options)
     return found.withColumn("company_name", F.coalesce("company_name", F.lit("")))

@@ -78,6 +78,8 @@ def _unset(dtype: T.DataType, column: Column) -> Column:
 
 
 def _term(dtype: T.DataType, column: Column, operator: str, value: Any) -> Column:
+    if isinstance(dtype, T.ArrayType):  # a landed many-to-one pair: compare its id
+        column, dtype = F.get(column, 0).try_cast("bigint"), T.LongType()
     if operator == "=":
         if value is False or value is None:
             return _unset(dtype, column)

@@ -41,7 +41,8 @@ def on_hand(t: Frames, params: MartParams) -> DataFrame:
     """(company, product) → quantity at internal locations."""
     quants = exclude_companies(t["stock_quant"], params.excluded_company_ids)
     located = scoped_lookup(
-        quants, t["stock_location"], "location_id", {"usage": F.col("usage")}, fallback_any=False, salt_by="id")
+        quants, t["stock_location"], "location_id", {"usage": F.col("usage")},
+        fallback_any=False, unique=True, salt_by="id")
     return (located.where("usage = 'internal'")
             .groupBy("company_id", "product_id").agg(F.sum("quantity").alias("on_hand_qty")))
 

@@ -44,12 +44,16 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     spec = _spec(name)
     schema = f"{spec.ddl}, p_month string" if spec.month_of else spec.ddl
     path = table_path(root, name)
-    files, folder = _path(spark, path)
-    if not files.exists(folder):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _path(spark, path)
+    return files.exists(folder)
+
+
 def append_table(df: DataFrame, root: str, name: str) -> int:
     """Append by column name to a raw table and return the number of rows written."""
     return _write(enforce_schema(df, _spec(name)), root, name, "append")
