@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import SUPPLIER_DELAY_DAYS
 from .predicates import midnight
 from .ranking import top_n
-from .sizing import lookup_join
+from .sizing import durable, lookup_join
 
 
 def forecast_scope(abc: DataFrame, scope: str) -> DataFrame | None:
@@ -27,13 +27,14 @@ def forecast_scope(abc: DataFrame, scope: str) -> DataFrame | None:
 
 
 def scope_filter(series: DataFrame, scope: DataFrame | None) -> DataFrame:
-    """Keep the series in scope; an empty scope means no limit at all."""
+    """Keep the series in scope; an empty scope means no limit at all.
+
+    The pairs in scope are cut off first: whether there are any decides the plan.
+    """
     if scope is None:
         return series
-    keys = ["company_id", "product_id"]
-    marked = series.join(scope.select(*keys, F.lit(True).alias("_in_scope")), keys, "left")
-    unlimited = scope.agg(F.count(F.lit(1)) == 0).scalar()
-    return marked.where(F.col("_in_scope") | unlimited).drop("_in_scope")
+    pairs = durable(scope.select("company_id", "product_id"))
+    return series if pairs.isEmpty() else series.join(pairs, ["company_id", "product_id"], "left_semi")
 
 
 def new_tickets(tickets: DataFrame, existing: DataFrame, as_of: dt.date) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +17,22 @@ SALTS = 32
 
 
 def scan_bytes(df: DataFrame) -> int:
-    """Bytes the plan reads, from Catalyst's statistics of its leaves; runs no job.
+    """Bytes of the tables the plan reads, from Catalyst's statistics; plans and runs nothing.
 
-    Leaves without statistics (checkpointed rows, for one) count as unbounded.
+    Leaves without statistics count as very large.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
     total = 0
     while leaves.hasNext():
         total += int(str(leaves.next().stats().sizeInBytes()))
     return total
 
 
+def broadcast_if_small(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast where the size check allows it, else leave the join to Spark."""
+    return F.broadcast(df) if scan_bytes(df) <= broadcast_bytes else df
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -52,19 +58,24 @@ def lookup_join(
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise in the cluster's checkpoint folder, so later stages do not recompute it."""
-    ensure_shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to a table in the cluster's shared folder and read that back.
+
+    Cuts the lineage like a checkpoint, computes the rows once, and gives later steps a
+    columnar input of known size. A lost executor costs the tasks it held, nothing more.
+    """
+    path = f"{shared_dir(df.sparkSession)}/quaymart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ensure_shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local run may make its own."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; only a local run may make its own."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current is None:
-        if not configured and not context.master.startswith("local"):
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="quaymart-"))
-        current = context.getCheckpointDir()
-    return configured or current
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="quaymart-"))
+    return context.getCheckpointDir()

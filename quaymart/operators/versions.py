@@ -23,7 +23,8 @@ def latest(
     lead = [version] if version and version in df.columns else []
     rest = [c for c in df.columns if c not in keys and c not in lead] if ties is None else list(ties)
     order = [F.col(c).desc_nulls_last() for c in [*lead, *rest]] or [F.lit(1)]
-    newest = Window.partitionBy(*keys).orderBy(*order)
+    # Keys are declared coarse to fine; the sort compares the fine one first and rarely looks further.
+    newest = Window.partitionBy(*reversed(keys)).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 

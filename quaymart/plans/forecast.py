@@ -10,6 +10,7 @@ from ..operators.forecasting import average_forecast, holt_forecast
 from ..operators.lookups import with_company_name, with_product
 from ..operators.predicates import within
 from ..operators.scopes import forecast_scope, scope_filter
+from ..operators.sizing import durable
 from ..params import MartParams
 from .marts import Frames, _done, _with_month, abc_classification
 
@@ -32,13 +33,18 @@ def demand_forecast(
 ) -> DataFrame:
     """Forecast per (company, product) in scope, with a ±15 % interval.
 
-    ``abc`` is the ABC mart's snapshot of the day (computed here if not given). ``holt``
-    falls back to the average where the series is too short.
+    ``abc`` is the ABC mart, of which the snapshot of the day counts. Without it the classes
+    come from the series themselves, which are cut off first so that the moves are read
+    once. ``holt`` falls back to the average where a series is too short.
     """
+    series = monthly_series(t, params)
     if abc is None:
-        abc = abc_classification(t, params)
+        series = durable(series)
+        total = F.aggregate("points", F.lit(0.0), lambda qty, point: qty + point["qty"])
+        moved = series.select("company_id", "product_id", total.alias("qty"))
+        abc = abc_classification(t, params, moved=moved)
     abc = abc.where(F.col("snapshot_date") == F.lit(params.as_of))
-    series = scope_filter(monthly_series(t, params), forecast_scope(abc, params.forecast_scope))
+    series = scope_filter(series, forecast_scope(abc, params.forecast_scope))
     qtys = F.transform("points", lambda point: point["qty"])
     quantity = average_forecast(qtys)
     if method == "holt":

@@ -12,6 +12,7 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.sizing import broadcast_if_small
 from ..operators.versions import latest
 from ..params import MartParams
 from .tables import Tables
@@ -21,7 +22,19 @@ PARAMS = MartParams(
     as_of=AS_OF, excluded_company_ids=(1,), dead_stock_days=90, anomaly_pct=0.2, otif_threshold=0.8,
     alert_email="buyer@example.com", helpdesk_team_id=1)
 
-SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+SOURCE_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 MAPPING: dict[str, str] = {
     "res_company": """
@@ -120,10 +133,13 @@ def given_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Raw tables, keyed ones with one version per key, over the parquet files in ``sf_dir``."""
 
     def source(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(SOURCE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     def mapped(name: str) -> DataFrame:
-        return spark.sql(MAPPING[name], **{used: tables[used] for used in inputs_of(name)})
+        frames = {used: tables[used] for used in inputs_of(name)}
+        if name == "stock_move_raw":
+            frames["order_company"] = broadcast_if_small(frames["order_company"])
+        return spark.sql(MAPPING[name], **frames)
 
     def deduped(name: str) -> DataFrame:
         raw, keys = DEDUPED[name]

@@ -152,13 +152,25 @@ def cost_anomalies(t: Frames, params: MartParams) -> DataFrame:
         "product_default_code", "unit_cost", "avg_30d_cost", "deviation_pct")
 
 
-def abc_classification(t: Frames, params: MartParams, *, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+def moved_quantities(t: Frames, params: MartParams) -> DataFrame:
+    """(company, product) → quantity moved in the last 12 months, in any direction."""
+    moves = within(_done(t["stock_move"], params), "date_done", params.as_of, months=12)
+    return moves.groupBy("company_id", "product_id").agg(F.sum("quantity_done").alias("qty"))
+
+
+def abc_classification(
+    t: Frames,
+    params: MartParams,
+    *,
+    moved: DataFrame | None = None,
+    one_task_bytes: int = ONE_TASK_BYTES,
+) -> DataFrame:
     """Pareto classes by the value moved in the last 12 months, ranked inside each company.
 
-    The share includes the product itself, so a company's only product is class C.
+    The share includes the product itself, so a company's only product is class C. ``moved``
+    passes in :func:`moved_quantities` where a caller has them already.
     """
-    moves = within(_done(t["stock_move"], params), "date_done", params.as_of, months=12)
-    moved = moves.groupBy("company_id", "product_id").agg(F.sum("quantity_done").alias("qty"))
+    moved = moved_quantities(t, params) if moved is None else moved
     priced = with_template_price(with_product(moved, t["product_product"]), t["product_template"])
     # Money as exact decimals: the running sum must not depend on the order of additions.
     valued = priced.select(
