@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import BROADCAST_BYTES, lookup_join
+from .sizing import BROADCAST_BYTES, SALTS, lookup_join
 from .versions import latest
 
 
@@ -119,19 +119,16 @@ def with_company_name(fact: DataFrame, companies: DataFrame, **options) -> DataF
     return found.withColumn("company_name", F.coalesce("company_name", F.lit("")))
 
 
-def join_orders(moves: DataFrame, orders: DataFrame) -> DataFrame:
+def join_orders(moves: DataFrame, orders: DataFrame, *, salt_by: str = "id", **options) -> DataFrame:
     """Add ``partner_id`` and ``date_planned`` of the order named in ``origin``, same company.
 
     Every order of that name counts, as in the plain left join. A move without an origin
-    names no order; taking those rows past the join keeps them off its shuffle, where
-    they would all meet in one task.
+    names no order; such moves are spread by a hash instead of meeting in one task.
     """
+    document = F.nullif(F.col("origin"), F.lit(""))
+    spread = F.when(document.isNull(), F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")).otherwise(0)
+    keyed = moves.withColumn("_document", document).withColumn("_spread", spread)
     named = orders.where(F.col("name") != "").select(
-        F.col("name").alias("origin"), "company_id", "partner_id", "date_planned")
-    known = F.coalesce(F.col("origin"), F.lit("")) != ""
-    matched = lookup_join(moves.where(known), named, ["origin", "company_id"])
-    blank = moves.where(~known).select(
-        *matched.columns[: len(matched.columns) - 2],
-        F.lit(None).cast("bigint").alias("partner_id"),
-        F.lit(None).cast("timestamp_ntz").alias("date_planned"))
-    return matched.unionByName(blank)
+        F.col("name").alias("_document"), F.lit(0).alias("_spread"), "company_id", "partner_id", "date_planned")
+    joined = lookup_join(keyed, named, ["_document", "company_id", "_spread"], **options)
+    return joined.select(*moves.columns, "partner_id", "date_planned")

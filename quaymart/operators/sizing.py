@@ -43,8 +43,8 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup that is unique on ``on``.
 
-    A lookup read from at most ``broadcast_bytes`` is broadcast. A larger one is joined by
-    shuffle; ``salt_by`` names a column of the fact that spreads its hot keys, and the
+    A lookup read from at most ``broadcast_bytes`` is broadcast; its keys are distinct, so
+    the bytes of the table bound its rows. A larger one is joined by shuffle; ``salt_by`` names a column of the fact that spreads its hot keys, and the
     lookup is copied once per salt. The salt is a hash of the row, never random, so a
     recomputed task sends its rows to the same place.
     """

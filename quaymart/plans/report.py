@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import top_n
@@ -37,10 +37,15 @@ def avg_outbound(daily: DataFrame, end_date: dt.date, days: int, window: int = 3
 
     Days without sales count; products without any sale in the window are left out.
     """
+    inside, span = _last_days(end_date, days, window)
+    return daily.where(inside).groupBy("product").agg((F.sum("qty") / F.lit(span)).alias("rate"))
+
+
+def _last_days(end_date: dt.date, days: int, window: int) -> tuple[Column, float]:
+    """Condition on ``day`` and the number of days to divide by."""
     span = max(0, min(window, days))
     start = end_date - dt.timedelta(days=span)
-    return (daily.where((F.col("day") > F.lit(start)) & (F.col("day") <= F.lit(end_date)))
-            .groupBy("product").agg((F.sum("qty") / F.lit(float(max(1, span)))).alias("rate")))
+    return (F.col("day") > F.lit(start)) & (F.col("day") <= F.lit(end_date)), float(max(1, span))
 
 
 def postings(moves: DataFrame) -> DataFrame:
@@ -74,19 +79,29 @@ def outbound_totals(moves: DataFrame) -> DataFrame:
     return moves.where("kind = 'OUT'").groupBy("product").agg(F.sum("qty_done").alias("qty"))
 
 
-def movement_summary(moves: DataFrame, end_date: dt.date, days: int) -> DataFrame:
-    """The report as rows: document counts, top 10 outbound products, lowest 10 days of cover."""
-    counts = movement_counts(picking_headers(moves)).select(
-        F.lit("picking_count").alias("section"), F.col("kind").alias("item"),
-        F.col("pickings").cast("double").alias("amount"))
-    top = _top_outbound(outbound_totals(moves))
-    cover = days_of_cover(ending_stock(ledger_balance(moves)), avg_outbound(daily_outbound(moves), end_date, days))
+def movement_summary(moves: DataFrame, end_date: dt.date, days: int, window: int = 30) -> DataFrame:
+    """The report as rows: document counts, top 10 outbound products, lowest 10 days of cover.
+
+    Totals and rates both come from the daily sums, whose shuffle they share.
+    """
+    daily = daily_outbound(moves)
+    counts = _picking_rows(movement_counts(picking_headers(moves)))
+    top = _top_outbound(daily.groupBy("product").agg(F.sum("qty").alias("qty")))
+    inside, span = _last_days(end_date, days, window)
+    rate = daily.groupBy("product").agg((F.sum(F.when(inside, F.col("qty"))) / F.lit(span)).alias("rate"))
+    cover = days_of_cover(ending_stock(ledger_balance(moves)), rate)
     low = top_n(cover, [F.col("days_of_cover").asc(), F.col("product").asc()], 10).select(
         F.lit("lowest_days_of_cover").alias("section"), F.col("product").cast("string").alias("item"),
         F.col("days_of_cover").alias("amount"))
     return counts.unionByName(top).unionByName(low)
 
 
+def _picking_rows(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        F.lit("picking_count").alias("section"), F.col("kind").alias("item"),
+        F.col("pickings").cast("double").alias("amount"))
+
+
 def _top_outbound(totals: DataFrame) -> DataFrame:
     return top_n(totals, [F.col("qty").desc(), F.col("product").asc()], 10).select(
         F.lit("top_outbound").alias("section"), F.col("product").cast("string").alias("item"),
@@ -99,9 +114,7 @@ def merge_summaries(
     """Two reports as one: counts added by kind, outbound totals added in full and then cut to 10."""
     counts = counts_a.unionByName(counts_b).groupBy("kind").agg(F.sum("pickings").alias("pickings"))
     totals = totals_a.unionByName(totals_b).groupBy("product").agg(F.sum("qty").alias("qty"))
-    return counts.select(
-        F.lit("picking_count").alias("section"), F.col("kind").alias("item"),
-        F.col("pickings").cast("double").alias("amount")).unionByName(_top_outbound(totals))
+    return _picking_rows(counts).unionByName(_top_outbound(totals))
 
 
 def on_hand_by_location(

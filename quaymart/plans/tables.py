@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..params import MartParams
 from ..schemas import RAW_TABLES
 from ..sources.landing import read_table
 
@@ -36,3 +37,8 @@ class Tables(Mapping[str, DataFrame]):
     def from_root(cls, spark: SparkSession, root: str) -> Tables:
         """The raw tables the loader keeps under ``root``; they hold one version per key."""
         return cls({name: (lambda n=name: read_table(spark, root, n)) for name in RAW_TABLES})
+
+
+def run_sql(spark: SparkSession, text: str, params: MartParams, **frames: DataFrame) -> DataFrame:
+    """A query with ``{table}`` placeholders and the run parameters bound by name (``:as_of`` …)."""
+    return spark.sql(text, args=params.sql_args(), **frames)

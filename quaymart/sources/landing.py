@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import durable
+from ..operators.sizing import broadcast_if_small, durable
 from ..operators.versions import latest, merge_batch
 from ..schemas import MART_TABLES, RAW_TABLES, TableSpec, enforce_schema, with_month
 
@@ -71,12 +71,21 @@ def write_mart(df: DataFrame, root: str, name: str, day: dt.date | None = None)
 
 
 def _write(df: DataFrame, root: str, name: str, mode: str) -> int:
+    """Write and count the rows.
+
+    Rebalancing by month lets adaptive execution cut a large month into several files and
+    keep a small one in one; inside a file the rows are in key order.
+    """
     written = Observation()
     spec = _spec(name)
-    out = with_month(df.observe(written, F.count(F.lit(1)).alias("rows")), spec)
+    by = _partitions(spec) if spec.month_of else []
+    out = with_month(df, spec).hint("rebalance", *by)
+    out = out.sortWithinPartitions(*by, *[k for k in spec.keys if k not in by])
+    # Observed last: an empty result is planned away below this point, count and all.
+    out = out.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    if spec.month_of:
-        writer = writer.partitionBy(*_partitions(spec))
+    if by:
+        writer = writer.partitionBy(*by)
     writer.parquet(table_path(root, name))
     return int(written.get["rows"])
 
@@ -96,7 +105,7 @@ def merge_table(spark: SparkSession, root: str, name: str, batch: DataFrame) ->
     if spec.month_of is None:
         merged = durable(merge_batch(existing, rows, keys, spec.version))
         return _write(merged, root, name, "overwrite")
-    older = existing.select(*keys, "p_month").join(rows.select(*keys).distinct(), keys, "left_semi")
+    older = existing.select(*keys, "p_month").join(broadcast_if_small(rows.select(*keys)), keys, "left_semi")
     touched = [r[0] for r in rows.select("p_month").union(older.select("p_month")).distinct().collect()]
     merged = merge_batch(
         existing.where(_in_months(touched)).select(*spec.columns), rows.select(*spec.columns), keys, spec.version)

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,9 @@ from pyspark.sql import SparkSession  # noqa: E402
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+               .config("spark.driver.memory", "4g")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
+               .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -18,7 +18,7 @@ def test_latest_takes_the_newest_and_breaks_ties_by_the_other_columns(frame):
 
 
 def test_latest_limits_a_hot_key_before_the_shuffle(spark):
-    df = spark.range(1000).select(F.lit(1).alias("id"), F.col("id").alias("write_date"))
+    df = spark.range(1000).select((F.col("id") % 2).alias("id"), F.col("id").alias("write_date"))
     plan = latest(df, ["id"], "write_date")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
@@ -88,8 +88,10 @@ def test_orders_match_by_name_and_company_and_blank_origins_match_none(frame):
                   [(1, 1, "PO1"), (2, 2, "PO1"), (3, 1, ""), (4, 1, None)])
     orders = frame("company_id bigint, name string, partner_id bigint, date_planned timestamp_ntz",
                    [(1, "PO1", 7, T1), (1, "", 8, T1)])
-    assert rows_of(lookups.join_orders(moves, orders), "id", "partner_id", "date_planned") == [
-        (1, 7, T1), (2, None, None), (3, None, None), (4, None, None)]
+    for limit in (2**62, 0):
+        joined = lookups.join_orders(moves, orders, broadcast_bytes=limit)
+        assert rows_of(joined, "id", "partner_id", "date_planned") == [
+            (1, 7, T1), (2, None, None), (3, None, None), (4, None, None)]
 
 
 def test_lookup_join_salts_are_hashes_and_keep_every_row(spark):
