@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -17,12 +18,15 @@ from checks.oracle import ORACLE  # noqa: E402
 from quaymart.functions import dates, text  # noqa: E402
 from quaymart.operators import lookups, pricing, scopes, versions  # noqa: E402
 from quaymart.operators.cleaning import normalize, rename, require, required_ok  # noqa: E402
+from quaymart.operators.sizing import shared_dir  # noqa: E402
 from quaymart.operators.predicates import active_companies, domain_filter  # noqa: E402
 from quaymart.plans import forecast, loading, marts, outbound, report  # noqa: E402
 from quaymart.plans.given_tables import AS_OF, PARAMS, given_tables  # noqa: E402
 from quaymart.schemas import MART_TABLES, with_month  # noqa: E402
 from quaymart.sources.geo import fallback_units, geo_units, parse_geo_json, parse_geo_text  # noqa: E402
-from quaymart.sources.models import MODELS  # noqa: E402
+from quaymart.sources.landing import read_table  # noqa: E402
+from quaymart.sources.models import MODELS, read_model  # noqa: E402
+from quaymart.streaming.loader import stream_load  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REPORT_DAYS = 180
@@ -152,6 +156,30 @@ def _events(t):
         F.floor(F.col("value") / 50).alias("amount"), F.col("ts").alias("write_date"))
 
 
+def _landed_files(t) -> str:
+    """Write the landed move lines as JSON files and return their folder."""
+    landing = f"{shared_dir(t['lineitem'].sparkSession)}/landing-{uuid.uuid4().hex}"
+    _landing(t).write.json(f"{landing}/stock.move.line")
+    return landing
+
+
+def _load_model(t):
+    """Land, load for two companies, read the raw table back."""
+    landing = _landed_files(t)
+    spark, root = t["lineitem"].sparkSession, f"{landing}/raw"
+    loading.load_model(spark, read_model(spark, landing, "stock.move.line"), "stock.move.line", root,
+                       company_ids=[2, 3])
+    return read_table(spark, root, "stock_move_line")
+
+
+def _stream_load(t):
+    """The same through the file stream."""
+    landing = _landed_files(t)
+    spark, root = t["lineitem"].sparkSession, f"{landing}/raw"
+    stream_load(spark, landing, "stock.move.line", root, f"{landing}/checkpoint", company_ids=[2, 3]).awaitTermination()
+    return read_table(spark, root, "stock_move_line")
+
+
 def _marks(t):
     """Marks of companies 1 to 4 before the second cut; company 5 has none yet."""
     old = _events(t).where(f"write_date < TIMESTAMP_NTZ '{MARK_2}' AND company_id < 5")
@@ -380,6 +408,8 @@ def queries() -> dict[str, Query]:
         "turnover": lambda t: marts.inventory_turnover(t, PARAMS),
         "cost_anomalies": lambda t: marts.cost_anomalies(t, PARAMS),
         "abc": lambda t: marts.abc_classification(t, PARAMS),
+        "abc_in_slices": lambda t: marts.abc_classification(t, PARAMS, one_task_bytes=0),
+        "touch_ratio_by_route": lambda t: marts.touch_ratio(t, PARAMS, broadcast_bytes=0),
         "forecast_ma": lambda t: forecast.demand_forecast(t, PARAMS),
         "forecast_holt": lambda t: forecast.demand_forecast(t, PARAMS, method="holt"),
         "otif_alert": lambda t: outbound.otif_alert(marts.vendor_rating(t, PARAMS), PARAMS),
@@ -406,6 +436,8 @@ def queries() -> dict[str, Query]:
         "watermark": _watermark,
         "full_refresh": _full_refresh,
         "merge_batch": _merge_batch,
+        "load_model": _load_model,
+        "stream_load": _stream_load,
         "load_stats": lambda t: loading.load_stats(_flagged(t), "events"),
         "window_tag": _window_tag,
         "vendors_by_category": _vendors_by_category,

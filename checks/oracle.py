@@ -177,6 +177,16 @@ _VIEWS["stats"] = """
 SELECT company_id, count(*) FILTER (WHERE id <> 0 AND amount <> 0) AS n_ok,
        count(*) FILTER (WHERE id = 0 OR amount = 0) AS n_bad, max(write_date) AS last_seen
 FROM fresh GROUP BY ALL"""
+_VIEWS["copies"] = """
+SELECT id, c.company_id, product_id, qty_done, location_id, location_dest_id, state, date_done, write_date, create_date
+FROM landing l JOIN (VALUES (CAST(2 AS BIGINT)), (CAST(3 AS BIGINT))) c(company_id)
+  ON l.company_id = 0 OR l.company_id = c.company_id
+WHERE state = 'done' AND id <> 0 AND product_id <> 0 AND date_done IS NOT NULL AND write_date IS NOT NULL"""
+_VIEWS["loaded"] = """
+SELECT * EXCLUDE (rn), strftime(date_done, '%Y%m') AS p_month FROM (
+  SELECT *, row_number() OVER (PARTITION BY company_id, product_id, id
+    ORDER BY write_date DESC, qty_done DESC, location_id DESC, state DESC, date_done DESC) AS rn FROM copies)
+WHERE rn = 1"""
 _VIEWS["windows"] = """
 SELECT CASE o_orderstatus WHEN 'F' THEN 'STOCKOUT' WHEN 'O' THEN 'SUPPLIER_DELAY' ELSE 'SHRINKAGE' END AS kind,
        company_id, CAST(o_orderdate AS DATE) AS d0,
@@ -281,6 +291,7 @@ SELECT DATE '1998-06-15' AS snapshot_date, x.company_id, coalesce(rc.name, '') A
        round(x.avg_cost, 6) AS avg_30d_cost, round(x.deviation, 6) AS deviation_pct
 FROM anomalies x JOIN item i USING (company_id, product_id) {_NAMED}"""),
     "abc": _query("SELECT * FROM abc_mart"),
+    "abc_in_slices": _query("SELECT * FROM abc_mart"),
     "forecast_ma": _query(f"""
 SELECT CAST(x.last_month + INTERVAL 1 MONTH AS DATE) AS forecast_month, x.company_id,
        coalesce(rc.name, '') AS company_name, x.product_id, c.code AS product_default_code,
@@ -390,6 +401,8 @@ WHERE m.watermark IS NOT NULL OR s.n_ok > 0"""),
 SELECT id, company_id, event_id, event_type, amount, write_date FROM (
   SELECT *, row_number() OVER (PARTITION BY company_id, id
     ORDER BY write_date DESC, event_id DESC, event_type DESC, amount DESC) AS rn FROM event) WHERE rn = 1"""),
+    "load_model": _query("SELECT * FROM loaded"),
+    "stream_load": _query("SELECT * FROM loaded"),
     "load_stats": _query("""
 SELECT 'events' AS model, company_id, n_ok AS rows, n_bad AS invalid_rows, last_seen AS watermark FROM stats"""),
     "window_tag": _query("""
@@ -494,3 +507,4 @@ SELECT s_suppkey, (['Sector', 'Sub-county', 'County'])[s_nationkey % 3 + 1] || '
          AS base_unit
 FROM supplier JOIN (VALUES (1), (2), (3)) b(k) ON b.k <= s_suppkey % 4""",
 }
+ORACLE["touch_ratio_by_route"] = ORACLE["touch_ratio"]

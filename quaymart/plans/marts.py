@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookups import (
@@ -22,7 +22,7 @@ from ..operators.lookups import (
 )
 from ..operators.predicates import exclude_companies, until, within
 from ..operators.ranking import running_totals
-from ..operators.sizing import ONE_TASK_BYTES, lookup_join
+from ..operators.sizing import BROADCAST_BYTES, ONE_TASK_BYTES, lookup_join, scan_bytes
 from ..params import MartParams
 
 Frames = Mapping[str, DataFrame]
@@ -81,12 +81,33 @@ def vendor_rating(t: Frames, params: MartParams) -> DataFrame:
         (F.col("on_time_pct") * 0.5 + F.col("in_full_pct") * 0.5).alias("overall_score"))
 
 
-def touch_ratio(t: Frames, params: MartParams) -> DataFrame:
+INTERNAL_TO_CUSTOMER = "src_usage = 'internal' AND dst_usage = 'customer'"
+
+
+def by_route(
+    moves: DataFrame, locations: DataFrame, measures: Mapping[str, Column], *, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(month, company, product) with the ``measures`` and both usages, ready to be summed.
+
+    With a location table that can be broadcast the rows are still single moves. With a
+    larger one the measures are summed by source and destination first, so that the lookup
+    shuffles those sums and not the moves.
+    """
+    keys = ["month", "company_id", "product_id", "location_id", "location_dest_id"]
+    rows = _with_month(moves).select(*keys, *[column.alias(name) for name, column in measures.items()])
+    if scan_bytes(locations) > broadcast_bytes:
+        rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
+    return with_usages(rows, locations, salt_by="product_id", broadcast_bytes=broadcast_bytes)
+
+
+def touch_ratio(t: Frames, params: MartParams, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Internal moves per outgoing move, by month, company and product."""
-    moves = _with_month(with_usages(_done(t["stock_move"], params), t["stock_location"]))
-    counted = moves.groupBy("month", "company_id", "product_id").agg(
-        F.count_if(F.expr("src_usage = 'internal' AND dst_usage = 'internal'")).alias("internal_moves"),
-        F.count_if(F.expr("dst_usage = 'customer'")).alias("outgoing_moves"))
+    routed = by_route(
+        _done(t["stock_move"], params), t["stock_location"], {"n": F.lit(1)}, broadcast_bytes=broadcast_bytes)
+    internal = F.expr("src_usage = 'internal' AND dst_usage = 'internal'")
+    counted = routed.groupBy("month", "company_id", "product_id").agg(
+        F.sum(F.when(internal, F.col("n")).otherwise(0)).alias("internal_moves"),
+        F.sum(F.when(F.col("dst_usage") == "customer", F.col("n")).otherwise(0)).alias("outgoing_moves"))
     named = with_company_name(with_product(counted, t["product_product"]), t["res_company"])
     return named.select(
         "month", "company_id", "company_name", "product_id", "product_default_code",
@@ -94,23 +115,26 @@ def touch_ratio(t: Frames, params: MartParams) -> DataFrame:
         F.coalesce(F.try_divide("internal_moves", "outgoing_moves"), F.lit(0.0)).alias("touch_ratio"))
 
 
-def deliveries(t: Frames, params: MartParams) -> DataFrame:
-    """Done moves from an internal location to a customer, with their month."""
+def deliveries(
+    t: Frames, params: MartParams, measures: Mapping[str, Column], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Sums of done moves from an internal location to a customer, by month, company and product."""
     done = _done(t["stock_move"], params).where("date_done IS NOT NULL")
-    routed = with_usages(done, t["stock_location"])
-    return _with_month(routed.where("src_usage = 'internal' AND dst_usage = 'customer'"))
+    routed = by_route(done, t["stock_location"], measures, broadcast_bytes=broadcast_bytes)
+    return routed.where(INTERNAL_TO_CUSTOMER).groupBy("month", "company_id", "product_id").agg(
+        *[F.sum(name).alias(name) for name in measures])
 
 
-def stockout_risk(t: Frames, params: MartParams) -> DataFrame:
+def stockout_risk(t: Frames, params: MartParams, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Demand that deliveries did not meet, by month, company and product."""
     short = F.col("quantity_done") < F.col("product_uom_qty")
-    missing = F.col("product_uom_qty") - F.col("quantity_done")
-    summed = deliveries(t, params).groupBy("month", "company_id", "product_id").agg(
-        F.sum("product_uom_qty").alias("demand_qty"),
-        F.sum("quantity_done").alias("fulfilled_qty"),
-        F.coalesce(F.sum(F.when(short, missing)), F.lit(0.0)).alias("unmet_qty"),
-        F.count(F.lit(1)).alias("move_count"),
-        F.count_if(short).alias("stockout_moves"))
+    summed = deliveries(t, params, {
+        "demand_qty": F.col("product_uom_qty"),
+        "fulfilled_qty": F.col("quantity_done"),
+        "unmet_qty": F.when(short, F.col("product_uom_qty") - F.col("quantity_done")).otherwise(F.lit(0.0)),
+        "move_count": F.lit(1),
+        "stockout_moves": F.when(short, 1).otherwise(0),
+    }, broadcast_bytes)
     named = with_company_name(with_product(summed, t["product_product"]), t["res_company"])
     return named.select(
         "month", "company_id", "company_name", "product_id", "product_default_code", "demand_qty",
@@ -118,10 +142,9 @@ def stockout_risk(t: Frames, params: MartParams) -> DataFrame:
         F.coalesce(F.try_divide("stockout_moves", "move_count"), F.lit(0.0)).alias("stockout_rate"))
 
 
-def inventory_turnover(t: Frames, params: MartParams) -> DataFrame:
+def inventory_turnover(t: Frames, params: MartParams, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Value delivered per month against the value on hand, both at standard price."""
-    moved = deliveries(t, params).groupBy("month", "company_id", "product_id").agg(
-        F.sum("quantity_done").alias("moved_qty"))
+    moved = deliveries(t, params, {"moved_qty": F.col("quantity_done")}, broadcast_bytes)
     stocked = lookup_join(moved, on_hand(t, params), ["company_id", "product_id"])
     priced = with_template_price(with_product(stocked, t["product_product"]), t["product_template"])
     valued = (with_company_name(priced, t["res_company"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import percent
 from ..operators.scopes import new_tickets
 from ..params import MartParams
 
@@ -30,8 +31,8 @@ def anomaly_tickets(anomalies: DataFrame, existing: DataFrame, params: MartParam
     first = today.groupBy("product_id").agg(F.min_by("deviation_pct", "company_id").alias("deviation_pct"))
     tickets = first.select(
         F.format_string("COGS anomaly product %d", "product_id").alias("name"),
-        F.format_string("Check item %d. Cost deviated %.2f%% from 30-day average.",
-                        "product_id", F.col("deviation_pct") * 100).alias("description"),
+        F.format_string("Check item %d. Cost deviated %s from 30-day average.",
+                        "product_id", percent(F.col("deviation_pct"))).alias("description"),
         F.lit(params.helpdesk_team_id).cast("bigint").alias("team_id"))
     return new_tickets(tickets, existing, params.as_of)
 

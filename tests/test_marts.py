@@ -153,6 +153,15 @@ def test_mart_plans_have_no_pairing_joins(spark, stored, build):
     assert build(given_tables(spark, DATA), PARAMS).exceptAll(result).count() == 0
 
 
+@pytest.mark.parametrize("build", [marts.touch_ratio, marts.stockout_risk, marts.inventory_turnover],
+                         ids=lambda b: b.__name__)
+def test_a_location_table_too_large_to_broadcast_gives_the_same_mart(stored, build):
+    small, large = build(stored, PARAMS), build(stored, PARAMS, broadcast_bytes=0)
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_salt" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert small.exceptAll(large).count() == 0 and small.count() == large.count()
+
+
 def test_abc_prunes_months_and_columns_and_ranks_with_one_exchange(stored):
     result = marts.abc_classification(stored, PARAMS)
     plan = result._jdf.queryExecution().executedPlan().toString()
