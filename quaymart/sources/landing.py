@@ -1,4 +1,9 @@
-"""Parquet tables: creation, append, month partitions, idempotent overwrite and batch merge."""
+"""Parquet tables: creation, append, month partitions, idempotent overwrite and batch merge.
+
+A table with months is replaced month by month through dynamic partition overwrite. One
+without (products, stock on hand and the like) is written whole to a new ``snapshot=``
+folder; the newest finished one counts, so there is a complete table at every moment.
+"""
 
 from __future__ import annotations
 
@@ -30,23 +35,33 @@ def ensure_tables(spark: SparkSession, root: str) -> list[str]:
     created = []
     for prefix, specs in (("raw_", RAW_TABLES), ("mart_", MART_TABLES)):
         for name, spec in specs.items():
-            columns, by = spec.ddl, ""
-            if spec.month_of:
-                columns, by = f"{spec.ddl}, p_month string", f"PARTITIONED BY ({', '.join(_partitions(spec))})"
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({columns}) USING parquet {by} "
-                      f"LOCATION '{table_path(root, name)}'")
+            extra, by = ("p_month string", _partitions(spec)) if spec.month_of else ("snapshot int", ["snapshot"])
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({spec.ddl}, {extra}) USING parquet "
+                      f"PARTITIONED BY ({', '.join(by)}) LOCATION '{table_path(root, name)}'")
             created.append(prefix + name)
     return created
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read with the declared schema; filters on ``p_month`` prune whole months."""
-    spec = _spec(name)
+    spec, path = _spec(name), table_path(root, name)
     schema = f"{spec.ddl}, p_month string" if spec.month_of else spec.ddl
-    path = table_path(root, name)
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    if spec.month_of is None:
+        finished = [number for number, done in _snapshots(spark, path) if done]
+        path = f"{path}/snapshot={max(finished)}" if finished else None
+    elif not exists(spark, path):
+        path = None
+    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """Numbers of the snapshots of a table and whether each was finished."""
+    files, folder = _path(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("snapshot="))
+    return [(n, exists(spark, f"{path}/snapshot={n}/_SUCCESS")) for n in numbers]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -83,28 +98,48 @@ def _write(df: DataFrame, root: str, name: str, mode: str) -> int:
     out = out.sortWithinPartitions(*by, *[k for k in spec.keys if k not in by])
     # Observed last: an empty result is planned away below this point, count and all.
     out = out.observe(written, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    path = table_path(root, name)
     if by:
-        writer = writer.partitionBy(*by)
-    writer.parquet(table_path(root, name))
+        writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+        writer.parquet(path)
+    else:
+        _write_snapshot(out, path, mode)
     return int(written.get["rows"])
 
 
+def _write_snapshot(df: DataFrame, path: str, mode: str) -> None:
+    """Append to the newest snapshot, or write the next one and keep the last one for its readers."""
+    spark = df.sparkSession
+    snapshots = _snapshots(spark, path)
+    finished = [number for number, done in snapshots if done]
+    if mode == "append" and finished:
+        df.write.mode("append").parquet(f"{path}/snapshot={max(finished)}")
+        return
+    number = max((n for n, _ in snapshots), default=0) + 1
+    df.write.parquet(f"{path}/snapshot={number}")
+    for old, _ in snapshots:
+        if not finished or old != max(finished):
+            _drop_folder(spark, f"{path}/snapshot={old}")
+
+
 def merge_table(spark: SparkSession, root: str, name: str, batch: DataFrame) -> int:
     """Merge a batch into a raw table, rewriting only the months it touches.
 
     Touched are the months of the batch rows and the months that hold older versions of
     their keys, since a row may have moved from one month to another. The new content is
     cut off through the checkpoint folder before any file is replaced. A run that stops
-    half way is repaired by merging the same batch again.
+    half way is repaired by merging the same batch again. The first batch of a table is
+    just written.
     """
     spec = RAW_TABLES[name]
     keys = list(spec.keys)
-    rows = durable(with_month(latest(enforce_schema(batch, spec), keys, spec.version), spec))
+    if not exists(spark, table_path(root, name)):
+        return _write(latest(enforce_schema(batch, spec), keys, spec.version), root, name, "overwrite")
     existing = read_table(spark, root, name)
+    fresh = enforce_schema(batch, spec)
     if spec.month_of is None:
-        merged = durable(merge_batch(existing, rows, keys, spec.version))
-        return _write(merged, root, name, "overwrite")
+        return _write(merge_batch(existing, fresh, keys, spec.version), root, name, "overwrite")
+    rows = durable(with_month(latest(fresh, keys, spec.version), spec))
     older = existing.select(*keys, "p_month").join(broadcast_if_small(rows.select(*keys)), keys, "left_semi")
     touched = [r[0] for r in rows.select("p_month").union(older.select("p_month")).distinct().collect()]
     merged = merge_batch(

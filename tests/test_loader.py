@@ -89,6 +89,13 @@ def test_merging_again_or_an_old_batch_changes_nothing(spark, tmp_path):
     for step in (old, new, new, old):
         merge_table(spark, root, name, step)
     assert rows_of(read_table(spark, root, name), "id", "quantity") == [(1, 9.0), (2, 1.0)]
+    # A snapshot that was not finished is neither read nor in the way of the next one.
+    read_table(spark, root, name).limit(1).write.parquet(f"{root}/{name}/snapshot=9")
+    (tmp_path / "raw" / name / "snapshot=9" / "_SUCCESS").unlink()
+    assert read_table(spark, root, name).count() == 2
+    merge_table(spark, root, name, batch((3, 2, 7, 3.0, dt.datetime(2024, 1, 2))))
+    assert rows_of(read_table(spark, root, name), "id") == [(1,), (2,), (3,)]
+    assert sorted(p.name for p in (tmp_path / "raw" / name).iterdir()) == ["snapshot=10", "snapshot=4"]
 
 
 def test_full_refresh_restamps_repairs_prices_and_leaves_the_mark(spark, land, frame, tmp_path):
@@ -162,7 +169,7 @@ def test_tables_can_be_created_and_appended_to(spark, frame, tmp_path):
     assert len(names) == len(RAW_TABLES) + len(MART_TABLES) and ensure_tables(spark, root) == names
     companies = frame("name string, id bigint, extra int", [("One", 1, 0), ("Two", 2, 0)])
     assert append_table(companies, root, "res_company") == 2
-    spark.catalog.refreshTable("raw_res_company")
+    spark.catalog.recoverPartitions("raw_res_company")
     assert rows_of(spark.table("raw_res_company"), "id", "name") == [(1, "One"), (2, "Two")]
     assert cost_anomalies({name: read_table(spark, root, name) for name in RAW_TABLES}, MartParams(dt.date(2024, 1, 1))).count() == 0
     named = run_sql(spark, "SELECT id FROM {c} WHERE id > :dead_stock_days", MartParams(dt.date(2024, 1, 1), (), 1),
