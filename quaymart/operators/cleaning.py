@@ -57,9 +57,16 @@ def attribute_company(df: DataFrame, company_id: int) -> DataFrame:
     return df.withColumn("company_id", F.coalesce(own, F.lit(company_id).cast("bigint")))
 
 
-def attribute_companies(df: DataFrame, company_ids: Sequence[int]) -> DataFrame:
-    """All per-company runs at once: own records stay, each company gets a copy of the shared ones."""
+def attribute_companies(df: DataFrame, company_ids: Sequence[int], *, copy_shared: bool = True) -> DataFrame:
+    """All per-company runs at once: own records stay, each company gets a copy of the shared ones.
+
+    Without ``copy_shared`` a shared record stays one row of company 0, which every lookup
+    falls back to: the same answers from far fewer rows.
+    """
     own = F.nullif(F.col("company_id"), F.lit(0))
+    if not copy_shared:
+        kept = df.withColumn("company_id", F.coalesce(own, F.lit(0).cast("bigint")))
+        return kept.where(F.col("company_id").isin(0, *company_ids))
     everyone = F.array(*[F.lit(c).cast("bigint") for c in company_ids])
     ids = F.when(own.isNull(), everyone).when(own.isin(*company_ids), F.array(own))
     others = [c for c in df.columns if c != "company_id"]

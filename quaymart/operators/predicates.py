@@ -31,11 +31,17 @@ def until(df: DataFrame, column: str, as_of: dt.date) -> DataFrame:
     return _prune(bounded, F.col("p_month") <= as_of.strftime("%Y%m"))
 
 
+def since(df: DataFrame, column: str, start: dt.date | Column) -> DataFrame:
+    """Rows from the start of a day on."""
+    first = F.lit(start) if isinstance(start, dt.date) else start
+    bounded = df.where(F.col(column) >= first.cast("timestamp_ntz"))
+    return _prune(bounded, F.col("p_month") >= F.date_format(first, "yyyyMM"))
+
+
 def within(df: DataFrame, column: str, as_of: dt.date, *, days: int = 0, months: int = 0) -> DataFrame:
     """Rows from ``as_of`` minus the span to the end of ``as_of``."""
     start = F.date_sub(F.add_months(F.lit(as_of), -months), days)
-    windowed = until(df, column, as_of).where(F.col(column) >= start.cast("timestamp_ntz"))
-    return _prune(windowed, F.col("p_month") >= F.date_format(start, "yyyyMM"))
+    return since(until(df, column, as_of), column, start)
 
 
 def _prune(df: DataFrame, condition: Column) -> DataFrame:

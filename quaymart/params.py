@@ -28,6 +28,8 @@ class MartParams:
     full_refresh_models: frozenset[str] = frozenset()
     alert_email: str = ""
     helpdesk_team_id: int | None = None
+    # Monthly marts: build only from this month on, as after a load that touched no older one.
+    from_month: dt.date | None = None
 
     @classmethod
     def from_variables(cls, variables: Mapping[str, str], as_of: dt.date) -> MartParams:

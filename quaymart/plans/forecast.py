@@ -12,7 +12,7 @@ from ..operators.predicates import within
 from ..operators.scopes import forecast_scope, scope_filter
 from ..operators.sizing import durable
 from ..params import MartParams
-from .marts import Frames, _done, _with_month, abc_classification
+from .marts import Frames, abc_classification, add_month, done_moves
 
 
 def monthly_series(t: Frames, params: MartParams) -> DataFrame:
@@ -21,8 +21,8 @@ def monthly_series(t: Frames, params: MartParams) -> DataFrame:
     Summed by month before the series is put together, so a series never holds more than
     the 13 months the window touches. Months without moves are not filled in.
     """
-    moves = within(_done(t["stock_move"], params), "date_done", params.as_of, months=12)
-    monthly = _with_month(moves).groupBy("company_id", "product_id", "month").agg(
+    moves = within(done_moves(t["stock_move"], params), "date_done", params.as_of, months=12)
+    monthly = add_month(moves).groupBy("company_id", "product_id", "month").agg(
         F.sum("quantity_done").alias("qty"))
     points = F.sort_array(F.collect_list(F.struct("month", F.coalesce("qty", F.lit(0.0)).alias("qty"))))
     return monthly.groupBy("company_id", "product_id").agg(points.alias("points"))

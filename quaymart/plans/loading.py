@@ -55,6 +55,7 @@ def prepare(
     spec: ModelSpec,
     *,
     company_ids: Sequence[int] | None = None,
+    copy_shared: bool = True,
     state: DataFrame | None = None,
     refresh_at: dt.datetime | None = None,
     products: DataFrame | None = None,
@@ -63,14 +64,14 @@ def prepare(
     """Landed records to rows of the raw table plus ``read_at`` (the record's own version) and ``ok``.
 
     One lazy plan for all companies; with ``company_ids`` each of them gets its own copy of
-    the shared records, without it records keep company 0. ``refresh_at`` turns the
+    the shared records (see ``copy_shared``), without it records keep their company. ``refresh_at`` turns the
     incremental filter off.
     """
     rows = normalize(records, spec.fields)
     if "company_id" not in rows.columns:
         rows = rows.withColumn("company_id", F.lit(0).cast("bigint"))
     if spec.per_company and company_ids is not None:
-        rows = attribute_companies(rows, company_ids)
+        rows = attribute_companies(rows, company_ids, copy_shared=copy_shared)
     if refresh_at is None and state is not None:
         rows = incremental(rows, state, spec.model)
     rows = rename(rows.withColumn("read_at", F.col("write_date")), spec.aliases)
@@ -92,6 +93,7 @@ def load_model(
     root: str,
     *,
     company_ids: Sequence[int] | None = None,
+    copy_shared: bool = True,
     refresh_at: dt.datetime | None = None,
     products: DataFrame | None = None,
     properties: DataFrame | None = None,
@@ -105,8 +107,8 @@ def load_model(
     marks = f"{root.rstrip('/')}/_watermarks"
     state = read_watermarks(spark, marks)
     flagged = durable(prepare(
-        records, spec, company_ids=company_ids, state=state if use_marks else None, refresh_at=refresh_at,
-        products=products, properties=properties))
+        records, spec, company_ids=company_ids, copy_shared=copy_shared, state=state if use_marks else None,
+        refresh_at=refresh_at, products=products, properties=properties))
     merge_table(spark, root, spec.table, flagged.where("ok"))
     stats = durable(load_stats(flagged, model, "read_at"))
     if refresh_at is None and use_marks:

@@ -20,7 +20,7 @@ from ..operators.lookups import (
     with_template_price,
     with_usages,
 )
-from ..operators.predicates import exclude_companies, until, within
+from ..operators.predicates import exclude_companies, since, until, within
 from ..operators.ranking import running_totals
 from ..operators.sizing import BROADCAST_BYTES, ONE_TASK_BYTES, lookup_join, scan_bytes
 from ..params import MartParams
@@ -29,11 +29,18 @@ Frames = Mapping[str, DataFrame]
 MONEY = "decimal(28,4)"
 
 
-def _done(moves: DataFrame, params: MartParams) -> DataFrame:
+def done_moves(moves: DataFrame, params: MartParams) -> DataFrame:
+    """Done moves of the companies that are not excluded."""
     return exclude_companies(moves.where("state = 'done'"), params.excluded_company_ids)
 
 
-def _with_month(moves: DataFrame) -> DataFrame:
+def dated_moves(moves: DataFrame, params: MartParams) -> DataFrame:
+    """Done moves for the monthly marts: all history, or the months from ``from_month`` on."""
+    done = done_moves(moves, params)
+    return done if params.from_month is None else since(done, "date_done", params.from_month.replace(day=1))
+
+
+def add_month(moves: DataFrame) -> DataFrame:
     return moves.withColumn("month", F.trunc("date_done", "month"))
 
 
@@ -49,7 +56,7 @@ def on_hand(t: Frames, params: MartParams) -> DataFrame:
 
 def liquidation_candidates(t: Frames, params: MartParams) -> DataFrame:
     """Dead stock: products without a done movement for more than ``dead_stock_days`` days."""
-    lines = until(_done(t["stock_move_line"], params), "date_done", params.as_of)
+    lines = until(done_moves(t["stock_move_line"], params), "date_done", params.as_of)
     last = lines.groupBy("company_id", "product_id").agg(
         F.max(F.to_date("date_done")).alias("last_movement_date"))
     today = F.lit(params.as_of)
@@ -66,10 +73,10 @@ def liquidation_candidates(t: Frames, params: MartParams) -> DataFrame:
 
 def vendor_rating(t: Frames, params: MartParams) -> DataFrame:
     """On-time and in-full shares of receipts per month, company and vendor."""
-    done = _done(t["stock_move"], params).where("date_done IS NOT NULL")
+    done = dated_moves(t["stock_move"], params).where("date_done IS NOT NULL")
     receipts = (with_usages(done, t["stock_location"], strict=True)
                 .where("src_usage = 'supplier' AND dst_usage = 'internal'"))
-    ordered = _with_month(join_orders(receipts, t["purchase_order"]))
+    ordered = add_month(join_orders(receipts, t["purchase_order"]))
     rated = (ordered
              .withColumn("partner_id", F.coalesce("partner_id", F.lit(0)))
              .groupBy("month", "company_id", "partner_id")
@@ -94,7 +101,7 @@ def by_route(
     shuffles those sums and not the moves.
     """
     keys = ["month", "company_id", "product_id", "location_id", "location_dest_id"]
-    rows = _with_month(moves).select(*keys, *[column.alias(name) for name, column in measures.items()])
+    rows = add_month(moves).select(*keys, *[column.alias(name) for name, column in measures.items()])
     if scan_bytes(locations) > broadcast_bytes:
         rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
     return with_usages(rows, locations, salt_by="product_id", broadcast_bytes=broadcast_bytes)
@@ -103,7 +110,7 @@ def by_route(
 def touch_ratio(t: Frames, params: MartParams, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Internal moves per outgoing move, by month, company and product."""
     routed = by_route(
-        _done(t["stock_move"], params), t["stock_location"], {"n": F.lit(1)}, broadcast_bytes=broadcast_bytes)
+        dated_moves(t["stock_move"], params), t["stock_location"], {"n": F.lit(1)}, broadcast_bytes=broadcast_bytes)
     internal = F.expr("src_usage = 'internal' AND dst_usage = 'internal'")
     counted = routed.groupBy("month", "company_id", "product_id").agg(
         F.sum(F.when(internal, F.col("n")).otherwise(0)).alias("internal_moves"),
@@ -119,7 +126,7 @@ def deliveries(
     t: Frames, params: MartParams, measures: Mapping[str, Column], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Sums of done moves from an internal location to a customer, by month, company and product."""
-    done = _done(t["stock_move"], params).where("date_done IS NOT NULL")
+    done = dated_moves(t["stock_move"], params).where("date_done IS NOT NULL")
     routed = by_route(done, t["stock_location"], measures, broadcast_bytes=broadcast_bytes)
     return routed.where(INTERNAL_TO_CUSTOMER).groupBy("month", "company_id", "product_id").agg(
         *[F.sum(name).alias(name) for name in measures])
@@ -177,7 +184,7 @@ def cost_anomalies(t: Frames, params: MartParams) -> DataFrame:
 
 def moved_quantities(t: Frames, params: MartParams) -> DataFrame:
     """(company, product) → quantity moved in the last 12 months, in any direction."""
-    moves = within(_done(t["stock_move"], params), "date_done", params.as_of, months=12)
+    moves = within(done_moves(t["stock_move"], params), "date_done", params.as_of, months=12)
     return moves.groupBy("company_id", "product_id").agg(F.sum("quantity_done").alias("qty"))
 
 

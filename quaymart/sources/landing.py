@@ -8,6 +8,7 @@ folder; the newest finished one counts, so there is a complete table at every mo
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -122,17 +123,20 @@ def _write_snapshot(df: DataFrame, path: str, mode: str) -> None:
             _drop_folder(spark, f"{path}/snapshot={old}")
 
 
-def merge_table(spark: SparkSession, root: str, name: str, batch: DataFrame) -> int:
+def merge_table(
+    spark: SparkSession, root: str, name: str, batch: DataFrame, keys: Sequence[str] | None = None
+) -> int:
     """Merge a batch into a raw table, rewriting only the months it touches.
 
     Touched are the months of the batch rows and the months that hold older versions of
     their keys, since a row may have moved from one month to another. The new content is
     cut off through the checkpoint folder before any file is replaced. A run that stops
     half way is repaired by merging the same batch again. The first batch of a table is
-    just written.
+    just written. ``keys`` replaces the declared key, as ``["id"]`` where a record may
+    change its company or product and should not survive under the old one.
     """
     spec = RAW_TABLES[name]
-    keys = list(spec.keys)
+    keys = list(keys or spec.keys)
     if not exists(spark, table_path(root, name)):
         return _write(latest(enforce_schema(batch, spec), keys, spec.version), root, name, "overwrite")
     existing = read_table(spark, root, name)

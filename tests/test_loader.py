@@ -89,13 +89,16 @@ def test_merging_again_or_an_old_batch_changes_nothing(spark, tmp_path):
     for step in (old, new, new, old):
         merge_table(spark, root, name, step)
     assert rows_of(read_table(spark, root, name), "id", "quantity") == [(1, 9.0), (2, 1.0)]
+    moved = batch((1, 3, 7, 9.5, dt.datetime(2024, 1, 3)))
+    merge_table(spark, root, name, moved, keys=["id"])
+    assert rows_of(read_table(spark, root, name), "id", "company_id") == [(1, 3), (2, 2)]
     # A snapshot that was not finished is neither read nor in the way of the next one.
     read_table(spark, root, name).limit(1).write.parquet(f"{root}/{name}/snapshot=9")
     (tmp_path / "raw" / name / "snapshot=9" / "_SUCCESS").unlink()
     assert read_table(spark, root, name).count() == 2
     merge_table(spark, root, name, batch((3, 2, 7, 3.0, dt.datetime(2024, 1, 2))))
     assert rows_of(read_table(spark, root, name), "id") == [(1,), (2,), (3,)]
-    assert sorted(p.name for p in (tmp_path / "raw" / name).iterdir()) == ["snapshot=10", "snapshot=4"]
+    assert sorted(p.name for p in (tmp_path / "raw" / name).iterdir()) == ["snapshot=10", "snapshot=5"]
 
 
 def test_full_refresh_restamps_repairs_prices_and_leaves_the_mark(spark, land, frame, tmp_path):

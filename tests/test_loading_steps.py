@@ -73,6 +73,8 @@ def test_attribution_and_gate(frame):
     assert rows_of(cleaning.attribute_company(df, 5), "id", "company_id") == [(0, 3), (1, 5), (2, 2), (3, 9)]
     copies = cleaning.attribute_companies(df, [2, 3])
     assert rows_of(copies, "id", "company_id") == [(0, 3), (1, 2), (1, 3), (2, 2)]
+    kept = cleaning.attribute_companies(df, [2, 3], copy_shared=False)
+    assert rows_of(kept, "id", "company_id") == [(0, 3), (1, 0), (2, 2)]
     good, bad = cleaning.require(df, ["id", "name"])
     assert rows_of(good, "id") == [(1,), (3,)] and rows_of(bad, "id") == [(0,), (2,)]
 

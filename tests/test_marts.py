@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -162,6 +163,16 @@ def test_a_location_table_too_large_to_broadcast_gives_the_same_mart(stored, bui
     assert small.exceptAll(large).count() == 0 and small.count() == large.count()
 
 
+@pytest.mark.parametrize("build", [marts.vendor_rating, marts.touch_ratio, marts.inventory_turnover],
+                         ids=lambda b: b.__name__)
+def test_monthly_marts_can_be_built_from_a_month_on(stored, build):
+    recent = build(stored, dataclasses.replace(PARAMS, from_month=dt.date(2000, 3, 10)))
+    expected = build(stored, PARAMS).where("month >= DATE '2000-03-01'")
+    assert recent.exceptAll(expected).count() == 0 and recent.count() == expected.count() > 0
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "p_month" in plan and ">= 200003" in plan
+
+
 def test_abc_prunes_months_and_columns_and_ranks_with_one_exchange(stored):
     result = marts.abc_classification(stored, PARAMS)
     plan = result._jdf.queryExecution().executedPlan().toString()
