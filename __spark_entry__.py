@@ -28,6 +28,12 @@ from quaymart.sources.landing import read_table  # noqa: E402
 from quaymart.sources.models import MODELS, read_model  # noqa: E402
 from quaymart.streaming.loader import stream_load  # noqa: E402
 
+try:  # the training-data operators are a part that may be left out
+    import corpus_pipeline
+    from quaymart.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 REPORT_DAYS = 180
 RUN_AT = dt.datetime(2024, 2, 1, 6, 0, 0)
@@ -455,9 +461,17 @@ def queries() -> dict[str, Query]:
         "geo_text": _geo_text,
         "base_units": _base_units,
     }
-    return {name: _on_tables(build) for name, build in builders.items()}
+    found = {name: _on_tables(build) for name, build in builders.items()}
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL of every query, written from the rules and not from the code above."""
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    if llm is not None:
+        found |= llm.ORACLE
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
