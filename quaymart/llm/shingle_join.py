@@ -11,7 +11,7 @@ prefix of its ordered shingles, which two linked sets must share.
 
 Keys give candidates in two rounds. First every set is paired with the smallest set of each
 key it has (a star, never all pairs of a key). What is then linked is contracted; for the
-rest, the pairs of one key in different groups are taken, unless the sizes, a 256-bit parity
+rest, the pairs of one key in different groups are taken, unless the sizes, a parity
 sketch or the distances to the common star show that they cannot be linked. Every candidate
 is verified on whole sets. The groups are those of all links; pairs inside a group already
 found are not listed.
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import durable
 from .components import connected_components
+from .cut import cut
 from .words import U64, mix, shingle_sets, slices
 
 SHINGLE = 5
@@ -39,6 +40,7 @@ _WORD = U64(0xD6E8FEB86659FD93)
 _BAND = U64(0xA0761D6478BD642F)
 _PREFIX = U64(0x8EBC6AF09C88C6E3)
 PAIRS_PER_SALT = 512
+SKETCH_BITS = 1024
 
 
 def bands(limit: int) -> list[int]:
@@ -88,9 +90,9 @@ def sketch_keys(shingles: np.ndarray, ends: list[int], percent: int = PERCENT) -
 
 
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the shingles that fall on it."""
-    bits = np.bincount((mix(shingles ^ _BAND) >> U64(56)).astype(np.int64), minlength=256) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """``SKETCH_BITS`` bits, each the parity of the shingles that fall on it, as bytes."""
+    places = (mix(shingles ^ _BAND) % U64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=SKETCH_BITS) & 1).astype(np.uint8))
 
 
 def set_name(shingles: np.ndarray) -> int:
@@ -230,53 +232,82 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
     centers = (salted.select("a", "salt").distinct().withColumn("b", F.col("a"))
                .join(named, "b").select("a", "salt", F.lit(0).alias("turn"), "b", "text"))
     grouped = centers.union(others).repartition("a", "salt").sortWithinPartitions("a", "salt", "turn")
-    return durable(grouped.select("a", "salt", "b", "text").mapInArrow(
+    return cut(grouped.select("a", "salt", "b", "text").mapInArrow(
         _compared(size), "a bigint, b bigint, shared bigint, total bigint"))
 
 
 def _sketches(size: int):
+    """Size and parity sketch of every set; the sketch also folded to 256 bits, as four numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
-                bits = np.array([bit_sketch(s) for s in sets], dtype=np.int64).reshape(-1, 4)
+                bits = np.array([bit_sketch(s) for s in sets], dtype=np.uint8).reshape(-1, SKETCH_BITS // 8)
+                folded = np.bitwise_xor.reduce(bits.reshape(len(sets), -1, 32), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(s) for s in sets], pa.int64()),
-                     *[pa.array(bits[:, i]) for i in range(4)]], ["node", "n", "s0", "s1", "s2", "s3"])
+                     pa.array([row.tobytes() for row in bits], pa.binary()),
+                     *[pa.array(folded[:, i]) for i in range(4)]], SKETCH_COLUMNS)
     return run
 
 
-def _rest(shared: DataFrame, first: DataFrame, links: DataFrame, texts: DataFrame, size: int, percent: int):
-    """Pairs of one key in different groups that may still be linked; ``first`` are the stars, compared."""
+SKETCH_COLUMNS = ["node", "n", "bits", "s0", "s1", "s2", "s3"]
+SKETCH = "node bigint, n bigint, bits binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+
+
+def _near_enough(percent: int):
+    """Keep the pairs whose sketches differ in no more bits than linked sets do in shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=U64).reshape(batch.num_rows, -1)
+                           for c in ("a_bits", "b_bits"))
+            apart = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+            smaller = np.minimum(batch.column("a_n").to_numpy(), batch.column("b_n").to_numpy())
+            yield batch.select(["a", "b"]).filter(pa.array(apart * percent <= smaller * (100 - percent)))
+    return run
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs that sizes and sketches leave possible."""
+    a = sketches.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
+    b = sketches.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
+    sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    return durable(pairs.join(a, "a").join(b, "b").where(sized).mapInArrow(
+        _near_enough(percent), "a bigint, b bigint"))
+
+
+def _rest(
+    shared: DataFrame, first: DataFrame, links: DataFrame, sketches: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of one key in different groups that may still be linked; ``first`` are the stars compared."""
     groups = connected_components(links)
     grouped = shared.join(groups, "node", "left").select(
         "key", "node", "pivot", F.coalesce("component", "node").alias("component"))
     mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("key")
-    left = grouped.join(mixed, "key", "left_semi")
-    # The star of a key was compared with each of its sets: their distances to it.
+    left = grouped.join(mixed, "key", "left_semi").where("node <> pivot")
+    # How far a set is from the star of its key, where they were compared.
     star = first.select(F.col("a").alias("pivot"), F.col("b").alias("node"),
                         (1 - F.col("shared") / F.col("total")).alias("far"))
-    main = grouped.select(F.col("node").alias("pivot"), F.col("component").alias("main")).distinct()
-    rows = durable(left.where("node <> pivot").join(star, ["pivot", "node"]).join(main, "pivot"))
-    needed = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
-    sketches = durable(needed.mapInArrow(
-        _sketches(size), "node bigint, n bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint"))
-    rows = durable(rows.join(sketches, "node"))
-    x = rows.where("component <> main").alias("x")
-    y = rows.alias("y")
+    main = grouped.where("node = pivot").select("pivot", F.col("component").alias("main")).distinct()
+    rows = durable(left.join(star, ["pivot", "node"], "left").join(main, "pivot")
+                   .join(sketches.drop("bits"), "node"))
+    x, y = rows.where("component <> main").alias("x"), rows.alias("y")
     apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(4)), F.lit(0))
     smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    detour = F.abs(F.col("x.far") - F.col("y.far"))  # distances obey the triangle inequality
     within = (
         (F.col("x.component") != F.col("y.component"))
         # A pair outside the main group is listed once.
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & (smaller * 100 >= larger * percent)
         & (apart * percent <= smaller * (100 - percent))
-        & (F.abs(F.col("x.far") - F.col("y.far")) <= (100 - percent) / 100 + 1e-9))
+        & (F.coalesce(detour, F.lit(0.0)) <= (100 - percent) / 100 + 1e-9))
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & within).select(
         F.col("x.node").alias("b"), F.col("y.node").alias("a"))
-    return durable(pairs.distinct())
+    return possible(pairs.distinct(), sketches, percent)
 
 
 def jaccard_groups(
@@ -291,18 +322,19 @@ def jaccard_groups(
     """
     source = docs.select("doc_id", F.col(text).alias("text"))
     rows = durable(source.mapInArrow(_named("text", size), "doc_id bigint, node bigint, n_shingles bigint"))
-    texts = durable(
+    texts = cut(
         source.mapInArrow(_first_texts("text", size), "node bigint, text string")
         .repartition("node").mapInArrow(_distinct_nodes, "node bigint, text string"))
     keys = texts.mapInArrow(_keyed(size, percent), "key bigint, node bigint")
-    shared = durable(
+    shared = cut(
         keys.repartition("key").sortWithinPartitions("key", "node")
         .mapInArrow(_shared_keys, "key bigint, node bigint, pivot bigint"))
+    sketches = durable(texts.mapInArrow(_sketches(size), SKETCH))
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    first = verify(durable(stars), texts, size)
+    first = verify(possible(stars, sketches, percent), texts, size)
     linked = F.col("shared") * 100 >= F.col("total") * percent
     links = first.where(linked).select("a", "b")
-    rest = _rest(shared, first, links, texts, size, percent)
+    rest = _rest(shared, first, links, sketches, percent)
     second = verify(rest, texts, size).where(linked).select("a", "b")
     groups = connected_components(links.union(second))
     placed = rows.join(groups, "node", "left").select(
