@@ -5,24 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import shingle_join
+from quaymart.llm import decontaminate, line_dedup, packing, shingle_join, toxicity
+from quaymart.llm.queries import tokenizer_path
 from quaymart.operators.sizing import durable
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model fitted on the labels does not call toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier document, or line, has; documents left without words go."""
+    return line_dedup.without_repeated_lines(docs, line_dedup.repeated_lines(docs))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; texts without words stay."""
-    groups = shingle_join.jaccard_groups(docs)
-    copies = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    # Rows that repeat an id are copies too, unless they have no words.
+    """The document with the smallest id of each group of near copies.
+
+    Texts without words, and rows without an id, stay; of rows that repeat an id one stays.
+    """
+    groups = durable(shingle_join.jaccard_groups(docs))
+    copies = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     left = docs.join(copies, "doc_id", "left_anti")
-    return left
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").union(once).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    found = decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, placed in training sequences."""
+    return packing.pack(docs, tokenizer_path())
 
 
 STAGES = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
     ("ngram_jaccard_join", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
 ]
 
-#: The stages learn a model and draw links, which SQL can't express; tests compare with plain Python.
+#: A learned model, links and tokens are beyond SQL; the tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import durable
+from .cut import cut
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,7 +15,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     smallest node around it, until nothing changes. A neighbourhood is never gathered: its
     smallest node is an aggregate that goes back by a join, so a hub costs a row per link.
     """
-    edges = durable(links.where(F.col(a) != F.col(b)).select(
+    edges = cut(links.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before = None
     while True:
@@ -30,4 +30,4 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = durable(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 
 from ..operators.sizing import durable
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """``durable``, after which the shuffle files of the finished plan are no longer needed.
+    """``durable``, whose shuffle files Spark removes as soon as the table is written.
 
-    Spark deletes them when the plan's objects are collected in the driver's JVM, which
-    would otherwise happen at some later time; until then they would add to those to come.
+    They would otherwise lie there until the driver collects its garbage, next to those of
+    the steps that follow.
     """
-    out = durable(df)
-    df.sparkSession._jvm.System.gc()
-    return out
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return durable(df)
+    finally:
+        conf.set(_CLEANUP, before)

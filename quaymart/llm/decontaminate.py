@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import durable
+from .cut import cut
 from .words import U64, mix, slices, windows, word_hashes
 
 SPAN = 12
@@ -145,7 +145,7 @@ def overlaps(
     length = F.size(F.regexp_extract_all("item_text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     short = sorted(r[0] for r in items.select(length.alias("n")).where(f"n >= {least_words} AND n < {span}").distinct().collect())
     seeds = _length_masks(masks, span, short)
-    seen = durable(items.mapInArrow(
+    seen = cut(items.mapInArrow(
         _hashed("item_id", "item_text", seeds, True), "item_id bigint, place bigint, hash bigint"))
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seen, bitmap_bits))
     hits = source.mapInArrow(
@@ -153,7 +153,7 @@ def overlaps(
     pairs = hits.join(seen.withColumnRenamed("place", "item_place"), "hash").select(
         "doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
     # A pair has at most as many shifts as its texts have places.
-    pairs = durable(pairs.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts")))
+    pairs = cut(pairs.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts")))
     texts = source.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     both = pairs.join(texts, "doc_id").join(items, "item_id")
     found = both.select("doc_id", "item_id", "shifts", "text", "item_text").mapInArrow(

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import durable
+from .cut import cut
 
 PERCENT = 85
 LEAST_WORDS = 5
@@ -82,15 +82,15 @@ def _may_match(a: str, b: str, percent: int) -> Column:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, table: list[int], percent: int) -> DataFrame:
     """(sig, other) of the pairs that are similar, on sets read again from the text."""
     needed = pairs.select("sig").union(pairs.select(F.col("other"))).distinct()
-    places = durable(classes.join(needed, "sig", "left_semi").select("sig", "first.*"))
+    places = cut(classes.join(needed, "sig", "left_semi").select("sig", "first.*"))
     texts = docs.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
     keys = ["doc_id", "text_hash", "line_no"]
-    sets = durable(_lines(texts).join(places, keys).select(
+    sets = cut(_lines(texts).join(places, keys).select(
         "sig", ordered_set(F.col("line"), table).alias("words")).dropDuplicates(["sig"]))
     both = pairs.join(sets, "sig").join(sets.select(F.col("sig").alias("other"), F.col("words").alias("others")), "other")
     shared = F.size(F.array_intersect("words", "others"))
     total = F.size("words") + F.size("others") - shared
-    return durable(both.where(shared * 100 >= total * percent).select("sig", "other"))
+    return cut(both.where(shared * 100 >= total * percent).select("sig", "other"))
 
 
 def repeated_lines(
@@ -107,22 +107,22 @@ def repeated_lines(
     ordered = _lines(docs).select(
         "doc_id", "text_hash", "line_no", ordered_set(F.col("line"), table).alias("words"))
     size = F.size("words")
-    lines = durable(ordered.where(size >= least_words).select(
+    lines = cut(ordered.where(size >= least_words).select(
         "doc_id", "text_hash", "line_no", F.xxhash64("words").alias("sig"), size.alias("n"),
         F.slice("words", F.lit(1), prefix_length(size, percent).cast("int")).alias("prefix")))
     place = F.struct("doc_id", "line_no", "text_hash")
-    classes = durable(lines.groupBy("sig").agg(F.min(place).alias("first")))
+    classes = cut(lines.groupBy("sig").agg(F.min(place).alias("first")))
     firsts = lines.join(classes, "sig").where(place == F.col("first")).dropDuplicates(["sig"])
     rows = firsts.select("sig", "n", "first", F.posexplode("prefix").alias("pos", "word"))
     # Streams over the rows of a word in order; a frame never has to hold them.
     in_order = Window.partitionBy("word").orderBy("first", "sig")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shared = durable(rows.select(
+    shared = cut(rows.select(
         "*", F.first(F.struct("sig", "n", "pos")).over(so_far).alias("pivot"),
         F.lead("sig").over(in_order).isNotNull().alias("more")
     ).where(F.col("more") | (F.col("sig") != F.col("pivot.sig"))).drop("more"))
     starred = shared.where(F.col("sig") != F.col("pivot.sig")).select(F.struct("sig", "n", "pos").alias("a"), F.col("pivot").alias("b"))
-    stars = durable(starred.where(_may_match("a", "b", percent)).select(
+    stars = cut(starred.where(_may_match("a", "b", percent)).select(
         F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct())
     found = _verified(stars, classes, docs, table, percent)
     left = shared.join(found.select("sig").distinct(), "sig", "left_anti").where(F.col("sig") != F.col("pivot.sig"))
@@ -131,7 +131,7 @@ def repeated_lines(
     untested = F.col("b.sig") != F.col("a.pivot.sig")
     rest = a.join(b, (F.col("a.word") == F.col("b.word")) & later & untested & _may_match("a", "b", percent)).select(
         F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct()
-    found = found.union(_verified(durable(rest), classes, docs, table, percent))
+    found = found.union(_verified(cut(rest), classes, docs, table, percent))
     where = classes.select(F.col("sig").alias("other"), F.col("first").alias("match"))
     matched = found.join(where, "other").groupBy("sig").agg(F.min("match").alias("match"))
     decided = classes.join(matched, "sig", "left")
@@ -144,18 +144,37 @@ def repeated_lines(
         match["line_no"].alias("match_line_no")).distinct()
 
 
-def without_repeated_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """All rows of ``docs`` with the removed lines gone, and ``n_lines``, ``removed`` (line numbers, ascending)."""
-    lists = removed.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+def _marked(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """Rows of ``docs`` as ``d`` with the list of their removed lines as ``l.removed``, null if none."""
+    lists = removed.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_list("line_no")).alias("removed"))  # at most the lines of one text
-    joined = docs.withColumn("_text", F.xxhash64("text")).join(
-        lists, (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
-    # A text that loses no line is passed on as it is.
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return joined.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    same = (F.col("d.doc_id") == F.col("l.doc_id")) & (F.xxhash64("d.text") == F.col("l.text_hash"))
+    return docs.alias("d").join(lists.alias("l"), same, "left")
+
+
+def _left_text() -> Column:
+    """The text without the removed lines; one that loses none is passed on as it is."""
+    lines = F.split("d.text", "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "l.removed")
+    rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    return F.when(F.col("l.removed").isNull(), F.col("d.text")).otherwise(rest)
+
+
+def without_repeated_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` with the removed lines gone from ``text``, ``n_chars`` with it.
+
+    A document of which no word is left is dropped; one that had none stays.
+    """
+    text = _left_text()
+    new = {"text": text, "n_chars": F.when(F.col("l.removed").isNull(), F.col("d.n_chars")).otherwise(
+        F.char_length(text).cast("bigint"))} if "n_chars" in docs.columns else {"text": text}
+    emptied = F.col("l.removed").isNotNull() & ~text.rlike(r"[^\x20\x09-\x0D]")
+    return _marked(docs, removed).where(~emptied).select(
+        *[new[c].alias(c) if c in new else F.col(f"d.`{c}`") for c in docs.columns])
+
+
+def line_report(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """(doc_id, n_lines, removed, text) of every row: its removed lines in order, and the text left."""
+    return _marked(docs.select("doc_id", "text"), removed).select(
+        "d.doc_id", F.coalesce(F.size(F.split("d.text", "\n")), F.lit(0)).alias("n_lines"),
+        F.coalesce("l.removed", F.array().cast("array<int>")).alias("removed"), _left_text().alias("text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import durable
+from .cut import cut
 from .words import slices
 
 TIERS = (2048, 1024, 512, 256, 128, 64)
@@ -236,7 +236,7 @@ def pack(
     doc_id stays null. Only ``doc_id`` and ``text`` are read. The result depends on how the
     input is split into tasks, which a reread of the same files does not change.
     """
-    first = durable(docs.select("doc_id", "text").mapInArrow(_packed(tokenizer_path, tiers, step_tokens), LEFT))
+    first = cut(docs.select("doc_id", "text").mapInArrow(_packed(tokenizer_path, tiers, step_tokens), LEFT))
     made = first.where("rest IS NULL").select(*FIELDS)
     left = first.where("rest IS NOT NULL").select(
         "doc_id", "start", "doc_tokens", "rest", "task", F.floor(F.col("task") / tasks_per_group).alias("task_group"))

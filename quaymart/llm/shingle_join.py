@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import durable
 from .components import connected_components
 from .cut import cut
 from .words import U64, mix, shingle_sets, slices
@@ -226,7 +225,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
     """
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("pairs") / PAIRS_PER_SALT))
-    salted = durable(pairs.join(counts, "a").select("a", "b", salt.alias("salt")))
+    salted = cut(pairs.join(counts, "a").select("a", "b", salt.alias("salt")))
     named = texts.select(F.col("node").alias("b"), "text")
     others = salted.join(named, "b").select("a", "salt", F.lit(1).alias("turn"), "b", "text")
     centers = (salted.select("a", "salt").distinct().withColumn("b", F.col("a"))
@@ -274,7 +273,7 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     a = sketches.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     b = sketches.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
     sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    return durable(pairs.join(a, "a").join(b, "b").where(sized).mapInArrow(
+    return cut(pairs.join(a, "a").join(b, "b").where(sized).mapInArrow(
         _near_enough(percent), "a bigint, b bigint"))
 
 
@@ -292,7 +291,7 @@ def _rest(
     star = first.select(F.col("a").alias("pivot"), F.col("b").alias("node"),
                         (1 - F.col("shared") / F.col("total")).alias("far"))
     main = grouped.where("node = pivot").select("pivot", F.col("component").alias("main")).distinct()
-    rows = durable(left.join(star, ["pivot", "node"], "left").join(main, "pivot")
+    rows = cut(left.join(star, ["pivot", "node"], "left").join(main, "pivot")
                    .join(sketches.drop("bits"), "node"))
     x, y = rows.where("component <> main").alias("x"), rows.alias("y")
     apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(4)), F.lit(0))
@@ -321,7 +320,7 @@ def jaccard_groups(
     Only ``doc_id`` and ``text`` are read.
     """
     source = docs.select("doc_id", F.col(text).alias("text"))
-    rows = durable(source.mapInArrow(_named("text", size), "doc_id bigint, node bigint, n_shingles bigint"))
+    rows = cut(source.mapInArrow(_named("text", size), "doc_id bigint, node bigint, n_shingles bigint"))
     texts = cut(
         source.mapInArrow(_first_texts("text", size), "node bigint, text string")
         .repartition("node").mapInArrow(_distinct_nodes, "node bigint, text string"))
@@ -329,7 +328,7 @@ def jaccard_groups(
     shared = cut(
         keys.repartition("key").sortWithinPartitions("key", "node")
         .mapInArrow(_shared_keys, "key bigint, node bigint, pivot bigint"))
-    sketches = durable(texts.mapInArrow(_sketches(size), SKETCH))
+    sketches = cut(texts.mapInArrow(_sketches(size), SKETCH))
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     first = verify(possible(stars, sketches, percent), texts, size)
     linked = F.col("shared") * 100 >= F.col("total") * percent

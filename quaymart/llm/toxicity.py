@@ -306,41 +306,57 @@ def fit(
     return model
 
 
-def _tagged(model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted: Model = model.value
-        known: dict[str, float] = {}
+class Scorer:
+    """Scores of batches of texts; emissions of words seen before are kept, up to a bound."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def emission(self, word: str) -> float:
+        value = self.known.get(word)
+        if value is None:
+            if len(self.known) >= CACHED_WORDS:
+                self.known.clear()
+            value = self.known[word] = self.model.emission(word)
+        return value
+
+    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score of each text, log odds of every word, number of words of each text)."""
+        if self.model.constant is not None:
+            words = np.array([len(_WORD.findall(x or "")) for x in texts], dtype=np.int64)
+            return np.full(len(texts), self.model.constant), np.full(int(words.sum()), -30.0), words
+        logits, owner = _logits_of(texts, self.emission, self.model.transitions)
+        signs = np.c_[document_signs(logits, owner, len(texts)), np.ones(len(texts))]
+        return _sigmoid(np.clip(signs @ self.model.score, -30, 30)), logits, np.bincount(owner, minlength=len(texts))
 
-        def emission(word: str) -> float:
-            value = known.get(word)
-            if value is None:
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                value = known[word] = fitted.emission(word)
-            return value
 
+def _tagged(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model.value)
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 texts = part.column("text").to_pylist()
+                score, logits, words = scorer.score(texts)
                 spans = [[] for _ in texts]
-                if fitted.constant is not None:
-                    score = np.full(len(texts), fitted.constant)
-                    words = np.array([len(_WORD.findall(x or "")) for x in texts])
-                else:
-                    logits, owner = _logits_of(texts, emission, fitted.transitions)
-                    signs = document_signs(logits, owner, len(texts))
-                    score = _sigmoid(np.clip(np.c_[signs, np.ones(len(texts))] @ fitted.score, -30, 30))
-                    words = np.bincount(owner, minlength=len(texts))
-                    first = np.r_[0, np.cumsum(words)]
-                    for row in np.unique(owner[logits >= 0]).tolist():
-                        spans[row] = _spans(texts[row], _sigmoid(logits[first[row]:first[row + 1]]))
+                first = np.r_[0, np.cumsum(words)]
+                for row in np.unique(np.searchsorted(first, np.flatnonzero(logits >= 0), side="right") - 1).tolist():
+                    spans[row] = _spans(texts[row], _sigmoid(logits[first[row]:first[row + 1]]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(score), pa.array(words.astype(np.int64)), pa.array(spans, span)],
                     ["doc_id", "score", "n_words", "spans"])
     return run
 
 
+def _clean(model, limit: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model.value)
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                yield part.filter(pa.array(scorer.score(part.column("text").to_pylist())[0] < limit))
+    return run
+
+
 def _spans(text: str, marginals: np.ndarray) -> list[dict]:
     """Offsets in code points of runs of toxic words in a line, with the largest marginal."""
     found: list[dict] = []
@@ -368,3 +384,8 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         _tagged(shared),
         "doc_id bigint, score double, n_words bigint, spans array<struct<start:bigint,end:bigint,marginal:double>>")
+
+
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is below ``limit``."""
+    return docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(model), limit), docs.schema)
