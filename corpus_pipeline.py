@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quaymart.llm import decontaminate, line_dedup, packing, shingle_join, toxicity
 from quaymart.llm.queries import tokenizer_path
+from quaymart.llm.workers import reach
 from quaymart.operators.sizing import durable
 
 
@@ -59,6 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each result written as Parquet and read again."""
+    reach(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = durable(stage(spark, docs, sf_dir))

@@ -58,7 +58,7 @@ def _hashed(key: str, text: str, seeds: list[tuple[int, list[int]]], whole_only:
                         at = at[(room[at] == length) & (at == start[at])]
                     if not len(at):
                         continue
-                    value = mix(windows(hashes, mask, length)[at] + U64(number + 1) * U64(0x9E3779B97F4A7C15))
+                    value = mix(windows(hashes, mask, length)[at] + mix(np.array([number + 1], dtype=U64)))
                     if bits is not None:
                         slot = (value & U64(len(bits) * 8 - 1)).astype(np.int64)
                         hit = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0

@@ -165,6 +165,8 @@ def search(
     asked = placed.where("asked").select(
         "curve", "point", F.pmod(F.xxhash64("point"), F.lit(groups)).cast("int").alias("part"),
         around.alias("block")).join(shapes, "point").select("curve", "block", "part", "point", "vector")
+    # Names of its own, as both sides come from one table.
+    asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])
     keys = ["curve", "block", "part"]
     found = asked.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(
         _nearest(k + 1), "query bigint, point bigint, score double")

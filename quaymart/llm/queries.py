@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate, hilbert_search, line_dedup, packing, secrets, shingle_join, token_counts, toxicity, url_rules, warc)
+from .workers import reach
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -39,7 +39,7 @@ _WORD = U64(0xD6E8FEB86659FD93)
 _BAND = U64(0xA0761D6478BD642F)
 _PREFIX = U64(0x8EBC6AF09C88C6E3)
 PAIRS_PER_SALT = 512
-SKETCH_BITS = 1024
+BITS_PER_SHINGLE = 4
 
 
 def bands(limit: int) -> list[int]:
@@ -54,7 +54,8 @@ def largest_difference(smaller: int, percent: int = PERCENT) -> int:
     """Largest symmetric difference of two linked sets, the smaller of this size.
 
     ``100 i >= percent u`` with union u and intersection i ≤ smaller gives
-    difference = u − i ≤ smaller · (100 − percent) / percent.
+    difference = u − i ≤ smaller · (100 − percent) / percent. For given sizes it is at most
+    their sum · (100 − percent) / (100 + percent).
     """
     return smaller * (100 - percent) // percent
 
@@ -89,9 +90,14 @@ def sketch_keys(shingles: np.ndarray, ends: list[int], percent: int = PERCENT) -
 
 
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    """``SKETCH_BITS`` bits, each the parity of the shingles that fall on it, as bytes."""
-    places = (mix(shingles ^ _BAND) % U64(SKETCH_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(places, minlength=SKETCH_BITS) & 1).astype(np.uint8))
+    """Bits, each the parity of the shingles that fall on it, as bytes.
+
+    There are at least ``BITS_PER_SHINGLE`` times the shingles, and a power of two, so that a
+    longer sketch folds to a shorter one by XOR of its halves.
+    """
+    count = max(256, 1 << (BITS_PER_SHINGLE * max(1, len(shingles)) - 1).bit_length())
+    places = (mix(shingles ^ _BAND) & U64(count - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=count) & 1).astype(np.uint8))
 
 
 def set_name(shingles: np.ndarray) -> int:
@@ -241,11 +247,12 @@ def _sketches(size: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
-                bits = np.array([bit_sketch(s) for s in sets], dtype=np.uint8).reshape(-1, SKETCH_BITS // 8)
-                folded = np.bitwise_xor.reduce(bits.reshape(len(sets), -1, 32), axis=1).view(np.int64)
+                bits = [bit_sketch(s) for s in sets]
+                folded = np.array([np.bitwise_xor.reduce(b.reshape(-1, 32), axis=0) for b in bits], dtype=np.uint8)
+                folded = folded.reshape(-1, 32).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([row.tobytes() for row in bits], pa.binary()),
+                     pa.array([b.tobytes() for b in bits], pa.binary()),
                      *[pa.array(folded[:, i]) for i in range(4)]], SKETCH_COLUMNS)
     return run
 
@@ -254,17 +261,29 @@ SKETCH_COLUMNS = ["node", "n", "bits", "s0", "s1", "s2", "s3"]
 SKETCH = "node bigint, n bigint, bits binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 
 
+def _bits_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Hamming distances of sketches, the longer of a pair folded to the other's length."""
+    lengths = np.array([[len(x) for x in left], [len(x) for x in right]])
+    apart = np.zeros(len(left), dtype=np.int64)
+    for a, b in np.unique(lengths, axis=1).T.tolist():
+        rows = np.flatnonzero((lengths[0] == a) & (lengths[1] == b))
+        short = min(a, b)
+        folded = [np.bitwise_xor.reduce(
+            np.frombuffer(b"".join(side[i] for i in rows), dtype=U64).reshape(len(rows), -1, short // 8), axis=1)
+            for side in (left, right)]
+        apart[rows] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return apart
+
+
 def _near_enough(percent: int):
     """Keep the pairs whose sketches differ in no more bits than linked sets do in shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=U64).reshape(batch.num_rows, -1)
-                           for c in ("a_bits", "b_bits"))
-            apart = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
-            smaller = np.minimum(batch.column("a_n").to_numpy(), batch.column("b_n").to_numpy())
-            yield batch.select(["a", "b"]).filter(pa.array(apart * percent <= smaller * (100 - percent)))
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                apart = _bits_apart(part.column("a_bits").to_pylist(), part.column("b_bits").to_pylist())
+                both = part.column("a_n").to_numpy() + part.column("b_n").to_numpy()
+                yield part.select(["a", "b"]).filter(pa.array(apart * (100 + percent) <= both * (100 - percent)))
     return run
 
 
@@ -302,7 +321,7 @@ def _rest(
         # A pair outside the main group is listed once.
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & (smaller * 100 >= larger * percent)
-        & (apart * percent <= smaller * (100 - percent))
+        & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
         & (F.coalesce(detour, F.lit(0.0)) <= (100 - percent) / 100 + 1e-9))
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & within).select(
         F.col("x.node").alias("b"), F.col("y.node").alias("a"))
