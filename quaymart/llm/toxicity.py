@@ -13,6 +13,7 @@ the field was not trained on.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 from .words import slices
 
 #: The sample the model is fitted on: so many labelled documents of each label at most, none longer than this.
-TRAIN_DOCS = 3000
+TRAIN_DOCS = 1500
 TRAIN_CHARS = 20_000
 FEATURE_BITS = 18
-LEAST_DOCS = 4  # toxic documents that a form must be the first to explain
-LEAST_PRECISION = 0.95
+LEAST_DOCS, LEAST_SHARE = 4, 0.01  # toxic documents that a form must be the first to explain
+LEAST_PRECISION, PURE = 0.6, 0.97  # of a form's words, the share that is in toxic documents
+COVERS = 6
 EPOCHS = 4
 CELLS = 1 << 17
 CACHED_WORDS = 300_000
@@ -132,39 +134,57 @@ def _lines(texts) -> Iterator[tuple[int, list[str]]]:
                 yield number, words
 
 
+def copy_mark(text: str) -> int:
+    """The smallest hash of the five-word runs of a text, which near copies mostly share."""
+    words = _WORD.findall(text or "")
+    return min((crc32(" ".join(words[i:i + 5]).encode()) for i in range(max(1, len(words) - 4))))
+
+
 def pick_forms(texts: list[str], toxic: np.ndarray) -> set[str]:
-    """Greedy cover of the toxic documents by forms that clean documents hardly have."""
+    """Greedy covers of the toxic documents by forms that clean documents hardly have.
+
+    The first cover takes what explains most; later ones, among the forms left, only what is
+    nearly pure, so that a toxic word counts even where another one stands beside it.
+    """
     names: dict[str, int] = {}
-    per_doc = []
+    per_doc, times = [], []
     for text in texts:
-        own = {form for word in set(_WORD.findall(text or "")) for form in forms(word)}
-        per_doc.append(np.fromiter((names.setdefault(f, len(names)) for f in sorted(own)), dtype=np.int64))
+        own = Counter(form for word in _WORD.findall(text or "") for form in forms(word))
+        per_doc.append(np.fromiter((names.setdefault(f, len(names)) for f in own), dtype=np.int64, count=len(own)))
+        times.append(np.fromiter(own.values(), dtype=np.int64, count=len(own)))
     if not names:
         return set()
-    clean = np.zeros(len(names))
+    words = np.zeros((2, len(names)))  # of a form, in clean and toxic documents
     gain = np.zeros(len(names))
-    for own, label in zip(per_doc, toxic, strict=True):
-        (gain if label else clean)[own] += 1
-    whole = gain.copy()
-    precise = whole >= LEAST_PRECISION * (whole + clean)
-    left = {i for i, label in enumerate(toxic) if label}
+    for own, count, label in zip(per_doc, times, toxic, strict=True):
+        words[int(label)][own] += count
+        if label:
+            gain[own] += 1
+    least = max(LEAST_DOCS, LEAST_SHARE * toxic.sum())
+    share = words[1] / np.maximum(words.sum(axis=0), 1)
+    candidates = (share >= LEAST_PRECISION) & (gain >= least)
+    toxic_docs = np.flatnonzero(toxic).tolist()
     having: dict[int, list[int]] = {}
-    for i in left:
-        for form in per_doc[i]:
-            if precise[form] and whole[form] >= LEAST_DOCS:
-                having.setdefault(int(form), []).append(i)
+    for i in toxic_docs:
+        for form in per_doc[i][candidates[per_doc[i]]].tolist():
+            having.setdefault(form, []).append(i)
     label_of = list(names)
     picked = set()
-    score = np.where(precise, gain, 0)
-    while len(score):
-        best = int(np.argmax(score))
-        if score[best] < LEAST_DOCS:
-            break
-        picked.add(label_of[best])
-        for i in set(having[best]) & left:
-            left.discard(i)
-            own = per_doc[i]
-            score[own] = np.maximum(score[own] - 1, 0)
+    for number in range(COVERS):
+        left = set(toxic_docs)
+        pure = share >= (LEAST_PRECISION if number == 0 else PURE)
+        # Of forms that explain as many documents the purer one, then the first seen.
+        score = np.where(candidates & pure, gain + share, 0)
+        while len(score):
+            best = int(np.argmax(score))
+            if score[best] < least:
+                break
+            picked.add(label_of[best])
+            candidates[best] = False
+            for i in set(having[best]) & left:
+                left.discard(i)
+                score[per_doc[i]] -= 1
+            score[best] = 0
     return picked
 
 
@@ -282,8 +302,8 @@ def fit(
     chosen = F.broadcast(drawn[0].union(drawn[1]).withColumn("fold", fold(F.col("doc_id"))))
     rows = texts.select("doc_id", "text").join(chosen, "doc_id").orderBy("doc_id").collect()
     sample = {}
-    for row in rows:
-        sample.setdefault(row["doc_id"], (row["text"], row["toxic"], row["fold"]))
+    for row in rows:  # near copies would vote more than once
+        sample.setdefault((copy_mark(row["text"]), row["toxic"]), (row["text"], row["toxic"], row["fold"]))
     text, toxic, folds = (list(x) for x in zip(*sample.values(), strict=True))
     toxic, train = np.array(toxic), np.array(folds) != CALIBRATION
     if len(set(toxic[train])) < 2 or len(set(toxic[~train])) < 2:

@@ -186,9 +186,9 @@ r AS (SELECT page_id, host, path, CASE
         WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
         WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule,
       CASE WHEN host LIKE '%cheap-pills%' THEN '*cheap-pills*' WHEN host LIKE '%free-bets%' THEN '*free-bets*'
-           WHEN host LIKE '%spam-farm%' THEN '*spam-farm*' END || CASE WHEN path <> '' THEN '/**' ELSE '' END AS glob
+           WHEN host LIKE '%spam-farm%' THEN '*spam-farm*' END || CASE WHEN path <> '' THEN '/**' ELSE '' END AS "glob"
       FROM p)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-            WHEN glob IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, glob
+            WHEN "glob" IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, "glob"
 FROM r"""
