@@ -7,7 +7,9 @@ of them. A shingle that only one of two sets holds changes one word, so the numb
 that differ is at most the symmetric difference, and a linked pair agrees in at least
 1 + spare words. Each word that holds a shingle is a join key (the pigeonhole join). Where a
 set is so small that the words two sets agree in could all be empty, it also offers the
-prefix of its ordered shingles, which two linked sets must share.
+prefix of its ordered shingles, which two linked sets must share. The spare words serve to
+leave keys out: of a set's most crowded keys, which passages shared by many texts make, as
+many are dropped as can be without losing a link.
 
 Keys give candidates in two rounds. First every set is paired with the smallest set of each
 key it has (a star, never all pairs of a key). What is then linked is contracted; for the
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -40,6 +42,8 @@ _BAND = U64(0xA0761D6478BD642F)
 _PREFIX = U64(0x8EBC6AF09C88C6E3)
 PAIRS_PER_SALT = 512
 BITS_PER_SHINGLE = 4
+PREFIX_CODE = 7  # of key codes; a set is in fewer than so many bands
+CROWDED = 4  # sets of a key from which one may leave it out
 
 
 def bands(limit: int) -> list[int]:
@@ -65,30 +69,50 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - -(-size * percent // 100) + 1
 
 
-def sketch_keys(shingles: np.ndarray, ends: list[int], percent: int = PERCENT) -> np.ndarray:
-    """The join keys of one set, in every band in which it may meet a partner."""
-    size = len(shingles)
-    band = int(np.searchsorted(ends, size, side="right")) - 1
-    least = -(-size * percent // 100)
-    keys, sparse = [], False
-    hashes = mix(shingles + _WORD)
+def _bands_of(size: int, ends: list[int], percent: int) -> list[tuple[int, int, int]]:
+    """(band, sketch words, largest difference) of every band in which a set may meet a partner."""
+    found = []
+    band, least = int(np.searchsorted(ends, size, side="right")) - 1, -(-size * percent // 100)
     while band >= 0 and ends[band + 1] - 1 >= least:
         most = largest_difference(ends[band + 1] - 1, percent)
         if most:  # else only equal sets are linked
-            count = most + 1 + (most + 3) // 4
-            word = shingles % U64(count)
-            order = np.argsort(word, kind="stable")
-            word = word[order]
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            content = np.bitwise_xor.reduceat(hashes[order], first)
-            keys.append(mix(content ^ mix(word[first] * _BAND + U64(band + 1))))
-            sparse |= len(first) <= most
+            found.append((band, most + 1 + (most + 3) // 4, most))
         band -= 1
+    return found
+
+
+def sketch_keys(shingles: np.ndarray, ends: list[int], percent: int = PERCENT) -> np.ndarray:
+    """The join keys of one set; their last bits say which band, or that it is of the prefix."""
+    keys, sparse = [], False
+    hashes = mix(shingles + _WORD)
+    for band, count, most in _bands_of(len(shingles), ends, percent):
+        word = shingles % U64(count)
+        order = np.argsort(word, kind="stable")
+        word = word[order]
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        content = np.bitwise_xor.reduceat(hashes[order], first)
+        key = mix(content ^ mix(word[first] * _BAND + U64(band + 1)))
+        keys.append(key & ~U64(7) | U64(band % PREFIX_CODE))
+        sparse |= len(first) <= most
     if sparse:
-        keys.append(mix(shingles[:prefix_length(size, percent)] ^ _PREFIX))
+        prefix = mix(shingles[:prefix_length(len(shingles), percent)] ^ _PREFIX)
+        keys.append(prefix & ~U64(7) | U64(PREFIX_CODE))
     return np.concatenate(keys) if keys else np.zeros(0, dtype=U64)
 
 
+def spare_keys(shingles: np.ndarray, ends: list[int], percent: int = PERCENT) -> list[int]:
+    """By band code, how many of its keys a set can do without.
+
+    Linked sets agree in more words than there are empty ones among them; if each leaves out
+    at most half of the rest less one, a common key stays.
+    """
+    spare = [0] * (PREFIX_CODE + 1)
+    for band, count, most in _bands_of(len(shingles), ends, percent):
+        empty = count - len(np.unique(shingles % U64(count)))
+        spare[band % PREFIX_CODE] = max(0, (count - most - 1 - empty) // 2)
+    return spare
+
+
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     """Bits, each the parity of the shingles that fall on it, as bytes.
 
@@ -241,24 +265,28 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
         _compared(size), "a bigint, b bigint, shared bigint, total bigint"))
 
 
-def _sketches(size: int):
-    """Size and parity sketch of every set; the sketch also folded to 256 bits, as four numbers."""
+def _sketches(size: int, percent: int):
+    """Size, spare keys and parity sketch of every set; the sketch also folded to 256 bits, as four numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = bands(1 << 10)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
+                while max(map(len, sets), default=0) >= ends[-1]:
+                    ends = bands(2 * ends[-1])
+                spare = [spare_keys(s, ends, percent) for s in sets]
                 bits = [bit_sketch(s) for s in sets]
                 folded = np.array([np.bitwise_xor.reduce(b.reshape(-1, 32), axis=0) for b in bits], dtype=np.uint8)
                 folded = folded.reshape(-1, 32).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([b.tobytes() for b in bits], pa.binary()),
+                     pa.array(spare, pa.list_(pa.int32())), pa.array([b.tobytes() for b in bits], pa.binary()),
                      *[pa.array(folded[:, i]) for i in range(4)]], SKETCH_COLUMNS)
     return run
 
 
-SKETCH_COLUMNS = ["node", "n", "bits", "s0", "s1", "s2", "s3"]
-SKETCH = "node bigint, n bigint, bits binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+SKETCH_COLUMNS = ["node", "n", "spare", "bits", "s0", "s1", "s2", "s3"]
+SKETCH = "node bigint, n bigint, spare array<int>, bits binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 
 
 def _bits_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -296,6 +324,18 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         _near_enough(percent), "a bigint, b bigint"))
 
 
+def _uncrowded(shared: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The (key, node, pivot) rows without the crowded keys that sets can do without."""
+    sizes = shared.groupBy("key").count().where(F.col("count") > CROWDED)
+    code = F.col("key").bitwiseAND(F.lit(7)).cast("int")
+    hot = shared.join(sizes, "key").join(sketches.select("node", "spare"), "node")
+    fullest = Window.partitionBy("node", code).orderBy(F.desc("count"), "key")
+    dropped = hot.withColumn("turn", F.row_number().over(fullest)).where(F.col("turn") <= F.get("spare", code))
+    left = cut(shared.select("key", "node").join(dropped.select("key", "node"), ["key", "node"], "left_anti"))
+    first = left.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
+    return cut(left.join(first.drop("last"), "key"))
+
+
 def _rest(
     shared: DataFrame, first: DataFrame, links: DataFrame, sketches: DataFrame, percent: int
 ) -> DataFrame:
@@ -311,7 +351,7 @@ def _rest(
                         (1 - F.col("shared") / F.col("total")).alias("far"))
     main = grouped.where("node = pivot").select("pivot", F.col("component").alias("main")).distinct()
     rows = cut(left.join(star, ["pivot", "node"], "left").join(main, "pivot")
-                   .join(sketches.drop("bits"), "node"))
+                   .join(sketches.drop("bits", "spare"), "node"))
     x, y = rows.where("component <> main").alias("x"), rows.alias("y")
     apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(4)), F.lit(0))
     smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
@@ -347,7 +387,8 @@ def jaccard_groups(
     shared = cut(
         keys.repartition("key").sortWithinPartitions("key", "node")
         .mapInArrow(_shared_keys, "key bigint, node bigint, pivot bigint"))
-    sketches = cut(texts.mapInArrow(_sketches(size), SKETCH))
+    sketches = cut(texts.mapInArrow(_sketches(size, percent), SKETCH))
+    shared = _uncrowded(shared, sketches)
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     first = verify(possible(stars, sketches, percent), texts, size)
     linked = F.col("shared") * 100 >= F.col("total") * percent

@@ -87,9 +87,13 @@ def test_held_out_documents_and_unseen_forms_are_told_apart(spark, labelled):
     for doc in (0, 4, 8):
         marked = [text[doc][s["start"]:s["end"]] for s in found[doc]["spans"]]
         assert marked and all(re.match("vilg|snark", w) for m in marked for w in m.split())
-    fresh = spark.createDataFrame([(1, "stoneriver vilgarten cloudamber\nquietnorth")], "doc_id bigint, text string")
-    row = toxicity.tag(fresh, model).first()
-    assert row["score"] >= 0.5 and [(s["start"], s["end"]) for s in row["spans"]] == [(11, 20)]
+    fresh = spark.createDataFrame(
+        [(1, "stoneriver vilgarten vilgoss cloudamber"), (2, "stoneriver vilgrub snark\nvilgem é vilgrub cloud")],
+        "doc_id bigint, text string")
+    new, seen = toxicity.tag(fresh, model).orderBy("doc_id").collect()
+    assert new["score"] >= 0.5 and seen["score"] >= 0.5
+    marked = ["stoneriver vilgrub snark\nvilgem é vilgrub cloud"[s["start"]:s["end"]] for s in seen["spans"]]
+    assert {"vilgrub", "snark", "vilgem"} <= {w for m in marked for w in m.split()} and marked[0] == "vilgrub snark"
     assert found[900]["score"] == found[901]["score"] < 0.5 and found[900]["n_words"] == 0
     kept = toxicity.without_toxic(docs, model)
     assert kept.columns == docs.columns
