@@ -29,7 +29,7 @@ TIERS = (2048, 1024, 512, 256, 128, 64)
 END_ID = 1
 STEP_TOKENS = 1 << 19
 TASKS_PER_GROUP = 64
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, padded bigint, step_group bigint")
@@ -131,29 +131,69 @@ class Encoder:
     """Token ids of texts by a public tokenizer, a white-space separated part at a time.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are those of
-    its parts; a part seen before is not encoded again.
+    its parts; a part seen before is not encoded again. Parts of letters, with or without a
+    mark behind, go to the tokenizer in lower case and many at once: letters are one unit
+    to it, whose last token is known by its ending, which gives the parts' ids apart again.
+    Where that does not come out even, and for all other parts, each is encoded alone.
     """
 
+    MARKS = frozenset(".,;:!?")
+
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.units: dict[str, bytes] = {}
+
+    def _encode_units(self, units: list[str]) -> None:
+        for at in range(0, len(units), 4096):
+            some = units[at:at + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                self.units.update(zip(some, (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+            else:
+                self.units.update(zip(some, self._encode_each(some), strict=True))
+
+    def _encode_each(self, parts: list[str]) -> Iterator[bytes]:
+        for encoded in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
+            yield np.array(encoded.ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: list[bytes]) -> None:
+        lettered, others = [], []
+        for part in new:
+            text = part.decode()
+            body, mark = (text[:-1], text[-1]) if text[-1] in self.MARKS else (text, "")
+            unit = body.lower()  # may end in a combining mark, which would join a mark behind
+            if unit.isalpha() and "Σ" not in body:  # the one letter whose lower case depends on its place
+                lettered.append((part, unit, mark))
+            else:
+                others.append((part, text))
+        self._encode_units(list({unit: None for _, unit, _ in lettered if unit not in self.units}))
+        marks = {mark: b"" for mark in ("",)} | dict(
+            zip(sorted(self.MARKS), self._encode_each(sorted(self.MARKS)), strict=True))
+        self.known.update((part, self.units[unit] + marks[mark]) for part, unit, mark in lettered)
+        self.known.update(zip((p for p, _ in others), self._encode_each([t for _, t in others]), strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, followed by the end id."""
         end = np.array([END_ID], dtype="<u4").tobytes()
-        known = self.known
         split = [(text or "").encode().split() for text in texts]  # bytes: at ASCII white space only
         every = list(dict.fromkeys(part for parts in split for part in parts))
-        new = [part for part in every if part not in known]
-        if len(known) + len(new) > self.cached:
-            known.clear()
+        new = [part for part in every if part not in self.known]
+        if len(self.known) + len(new) > self.cached:
+            self.known.clear()
+            self.units.clear()
             new = every
-        found = self.tokenizer.encode_batch_fast([part.decode() for part in new], add_special_tokens=False)
-        known.update(zip(new, (np.array(e.ids, dtype="<u4").tobytes() for e in found), strict=True))
+        self._learn(new)
+        find = self.known.__getitem__
         for parts in split:
-            yield np.frombuffer(b"".join([*map(known.__getitem__, parts), end]), dtype="<u4")
+            yield np.frombuffer(b"".join([*map(find, parts), end]), dtype="<u4")
 
 
 def _batch(rows: list[tuple], rest: list[tuple]) -> pa.RecordBatch:
