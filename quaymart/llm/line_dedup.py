@@ -25,16 +25,21 @@ from pyspark.sql import functions as F
 
 from .cut import cut
 
-PERCENT = 85
+PERCENT = 90
 LEAST_WORDS = 5
-RARITY_BUCKETS = 1 << 14
-_SPACE = r"[\x20\x09-\x0D]+"
+RARITY_BUCKETS = 1 << 14  # a power of two
+
+
+def _parts(line: Column) -> Column:
+    """The lower-cased words of a line, cut at ASCII white space."""
+    spaces = "\t\n\x0b\x0c\r"
+    plain = F.when(line.rlike(r"[\x09-\x0D]"), F.translate(line, spaces, " " * len(spaces))).otherwise(line)
+    return F.array_remove(F.split(F.lower(plain), " "), "")
 
 
 def _words(line: Column) -> Column:
     """Hashes of the words of a line, in order."""
-    words = F.array_remove(F.split(F.lower(line), _SPACE), "")
-    return F.transform(words, lambda word: F.xxhash64(word))
+    return F.transform(_parts(line), lambda word: F.xxhash64(word))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -48,8 +53,9 @@ def rarity_table(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> list[int]:
 
     The table has ``buckets`` numbers whatever the corpus holds, so it may go to the driver.
     """
-    words = docs.select(F.explode(F.array_remove(F.split(F.lower("text"), _SPACE), "")).alias("word"))
-    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("bucket")).count()
+    words = docs.select(F.explode(_parts(F.col("text"))).alias("word"))
+    bucket = F.xxhash64("word").bitwiseAND(F.lit(buckets - 1)).cast("int")
+    counts = words.select(bucket.alias("bucket")).groupBy("bucket").count()
     table = [0] * buckets
     for bucket, count in counts.collect():
         table[bucket] = int(4 * math.log2(count + 1))
@@ -61,10 +67,10 @@ def ordered_set(line: Column, table: list[int]) -> Column:
     rarity = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to a constant
 
     def number(word: Column) -> Column:
-        bucket = F.pmod(word, F.lit(len(table))).cast("int")
+        bucket = word.bitwiseAND(F.lit(len(table) - 1)).cast("int")
         return F.shiftleft(F.get(rarity, bucket), 55).bitwiseOR(F.shiftrightunsigned(word, 9))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(line), number)))
+    return F.sort_array(F.transform(F.array_distinct(_words(line)), number))
 
 
 def prefix_length(size: Column, percent: int) -> Column:
