@@ -165,7 +165,7 @@ def _events(t):
 def _landed_files(t) -> str:
     """Write the landed move lines as JSON files and return their folder."""
     landing = f"{shared_dir(t['lineitem'].sparkSession)}/landing-{uuid.uuid4().hex}"
-    _landing(t).write.json(f"{landing}/stock.move.line")
+    _landing(t).repartition(4, "id").write.json(f"{landing}/stock.move.line")
     return landing
 
 
@@ -174,7 +174,7 @@ def _load_model(t):
     landing = _landed_files(t)
     spark, root = t["lineitem"].sparkSession, f"{landing}/raw"
     loading.load_model(spark, read_model(spark, landing, "stock.move.line"), "stock.move.line", root,
-                       company_ids=[2, 3])
+                       company_ids=[2, 3], copy_shared=True)
     return read_table(spark, root, "stock_move_line")
 
 
@@ -182,7 +182,8 @@ def _stream_load(t):
     """The same through the file stream."""
     landing = _landed_files(t)
     spark, root = t["lineitem"].sparkSession, f"{landing}/raw"
-    stream_load(spark, landing, "stock.move.line", root, f"{landing}/checkpoint", company_ids=[2, 3]).awaitTermination()
+    stream_load(spark, landing, "stock.move.line", root, f"{landing}/checkpoint", company_ids=[2, 3], copy_shared=True,
+                files_per_batch=1).awaitTermination()
     return read_table(spark, root, "stock_move_line")
 
 
@@ -235,7 +236,7 @@ def _anomaly_windows(t):
     kind = F.when(F.col("o_orderstatus") == "F", "STOCKOUT").when(
         F.col("o_orderstatus") == "O", "SUPPLIER_DELAY").otherwise("SHRINKAGE")
     length = (F.col("o_custkey") % 10).cast("int")
-    return t["order_company"].where("o_orderpriority = '1-URGENT'").select(
+    return t["order_company"].select(
         kind.alias("kind"), F.col("company_id").alias("company"), F.to_date("o_orderdate").alias("date"),
         F.when(length > 0, F.date_add(F.to_date("o_orderdate"), length)).alias("end_date"))
 
@@ -246,13 +247,22 @@ def _window_tag(t):
     return scopes.tag_windows(rows, _anomaly_windows(t))
 
 
-def _vendors_by_category(t):
+def _vendor_links(t):
     links = t["lineitem"].select(
         F.col("l_suppkey").alias("partner_id"), F.col("l_partkey").alias("product_tmpl_id"),
         (F.col("l_suppkey") % 3).alias("company_id"))
     products = t["part"].select(
         F.col("p_partkey").alias("product_tmpl_id"), F.col("p_partkey").alias("product_id"),
         F.concat_ws("/", "p_type", "p_brand").alias("category"))
+    return links, products
+
+
+def _category_vendors(t):
+    return scopes.category_vendors(*_vendor_links(t), 2)
+
+
+def _vendors_by_category(t):
+    links, products = _vendor_links(t)
     categories = products.select("category").union(t["part"].select(F.concat(F.lit("No "), "p_type")))
     found = scopes.vendors_by_category(links, products, categories, 2)
     return found.select("category", F.size("vendor_ids").cast("bigint").alias("vendors"),
@@ -414,7 +424,7 @@ def queries() -> dict[str, Query]:
         "turnover": lambda t: marts.inventory_turnover(t, PARAMS),
         "cost_anomalies": lambda t: marts.cost_anomalies(t, PARAMS),
         "abc": lambda t: marts.abc_classification(t, PARAMS),
-        "abc_in_slices": lambda t: marts.abc_classification(t, PARAMS, one_task_bytes=0),
+        "abc_in_slices": lambda t: marts.abc_classification(t, PARAMS, slices_per_doubling=256),
         "touch_ratio_by_route": lambda t: marts.touch_ratio(t, PARAMS, broadcast_bytes=0),
         "forecast_ma": lambda t: forecast.demand_forecast(t, PARAMS),
         "forecast_holt": lambda t: forecast.demand_forecast(t, PARAMS, method="holt"),
@@ -446,6 +456,7 @@ def queries() -> dict[str, Query]:
         "stream_load": _stream_load,
         "load_stats": lambda t: loading.load_stats(_flagged(t), "events"),
         "window_tag": _window_tag,
+        "category_vendors": _category_vendors,
         "vendors_by_category": _vendors_by_category,
         "top_n_scope": _top_n_scope,
         "slug": _slug,

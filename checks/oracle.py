@@ -19,8 +19,9 @@ SELECT * EXCLUDE (_rn) FROM (
 _VIEWS = {name: re.sub(r"[{}]", "", sql).strip() for name, sql in MAPPING.items()}
 for _name in ("stock_move", "stock_quant", "stock_valuation_layer"):
     _VIEWS[_name] = _DEDUPE.format(raw=f"{_name}_raw").strip()
+_VIEWS["part_company"] = "SELECT part.*, CAST(r_regionkey + 1 AS BIGINT) AS company_id FROM part CROSS JOIN region"
 _ORDER = [
-    "res_company", "res_partner", "stock_location", "product_template", "product_product", "order_company",
+    "res_company", "part_company", "res_partner", "stock_location", "product_template", "product_product", "order_company",
     "purchase_order", "stock_move_raw", "stock_quant_raw", "stock_valuation_layer_raw", "ir_property",
     "stock_move", "stock_quant", "stock_valuation_layer",
 ]
@@ -144,7 +145,7 @@ FROM lineitem"""
 _VIEWS["props"] = """
 SELECT id, company_id, split_part(res_id, ',', 1) AS model,
        TRY_CAST(split_part(res_id, ',', 2) AS BIGINT) AS record_id, value_float
-FROM ir_property WHERE value_float IS NOT NULL AND res_id LIKE '%,%'"""
+FROM ir_property WHERE name = 'standard_price' AND value_float IS NOT NULL AND res_id LIKE '%,%'"""
 _VIEWS["template_company"] = "SELECT DISTINCT id, company_id FROM product_template"
 _VIEWS["seen_props"] = """
 SELECT c.company_id, p.model, p.record_id, p.value_float,
@@ -191,7 +192,7 @@ _VIEWS["windows"] = """
 SELECT CASE o_orderstatus WHEN 'F' THEN 'STOCKOUT' WHEN 'O' THEN 'SUPPLIER_DELAY' ELSE 'SHRINKAGE' END AS kind,
        company_id, CAST(o_orderdate AS DATE) AS d0,
        CASE WHEN o_custkey % 10 > 0 THEN CAST(o_orderdate AS DATE) + CAST(o_custkey % 10 AS INTEGER) END AS d1
-FROM order_company WHERE o_orderpriority = '1-URGENT'"""
+FROM order_company"""
 _ORDER += [name for name in _VIEWS if name not in _ORDER]
 
 
@@ -322,8 +323,9 @@ fit AS (
   FROM fit f JOIN points p ON p.company_id = f.company_id AND p.product_id = f.product_id AND p.i = f.i + 1),
 best AS (
   SELECT company_id, product_id, level + trend AS q FROM (
-    SELECT *, row_number() OVER (PARTITION BY company_id, product_id ORDER BY round(sse, 6), alpha, beta) AS rn
-    FROM fit WHERE i = n) WHERE rn = 1)"""),
+    SELECT *, row_number() OVER (PARTITION BY company_id, product_id ORDER BY round(coalesce(sse / nullif(top * top, 0), 0), 9), alpha, beta) AS rn
+    FROM fit JOIN (SELECT company_id, product_id, max(abs(qty)) AS top FROM points GROUP BY ALL)
+      USING (company_id, product_id) WHERE i = n) WHERE rn = 1)"""),
     "otif_alert": _query("""
 SELECT DATE '1998-06-01' AS month, round(min(overall_score), 6) AS min_score,
        coalesce(min(overall_score) < 0.8, false) AS alert
@@ -414,6 +416,9 @@ SELECT o_orderkey, company_id AS company, CAST(o_orderdate AS DATE) AS date,
        EXISTS (SELECT 1 FROM windows w WHERE w.company_id = o.company_id AND w.kind = 'SHRINKAGE'
                AND CAST(o.o_orderdate AS DATE) = w.d0) AS is_shrinkage
 FROM order_company o"""),
+    "category_vendors": """
+SELECT DISTINCT p_type || '/' || p_brand AS category, l_suppkey AS partner_id
+FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey % 3 IN (0, 2) AND l_suppkey <> 0 AND p_partkey <> 0""",
     "vendors_by_category": _query("""
 SELECT c.category, count(v.vendor) AS vendors, coalesce(string_agg(CAST(v.vendor AS VARCHAR), ',' ORDER BY v.vendor), '')
          AS vendor_ids

@@ -68,4 +68,6 @@ WEEKDAY_FACTORS = {
 BASE_UNIT_LABELS = {"rw": "Sector", "ke": "Sub-county", "ug": "County"}
 
 # Scale → most warehouses (None: all), default base units per warehouse.
-GEO_LIMITS = {"small": (5, 10), "medium": (10, 20), "large": (None, 20)}
+
+# Name of the property that holds a cost price.
+PRICE_PROPERTY = "standard_price"

@@ -57,7 +57,7 @@ def attribute_company(df: DataFrame, company_id: int) -> DataFrame:
     return df.withColumn("company_id", F.coalesce(own, F.lit(company_id).cast("bigint")))
 
 
-def attribute_companies(df: DataFrame, company_ids: Sequence[int], *, copy_shared: bool = True) -> DataFrame:
+def attribute_companies(df: DataFrame, company_ids: Sequence[int], *, copy_shared: bool = False) -> DataFrame:
     """All per-company runs at once: own records stay, each company gets a copy of the shared ones.
 
     Without ``copy_shared`` a shared record stays one row of company 0, which every lookup

@@ -22,11 +22,13 @@ def holt_forecast(qtys: Column) -> Column:
     squared one-step error wins, the smaller pair on ties. NULL below four points.
     """
     pairs = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta")) for a in GRID for b in GRID])
-    fits = F.transform(pairs, lambda pair: _fit(qtys, pair["alpha"], pair["beta"]))
+    # Errors are compared as shares of the largest quantity, so the unit of measure does not matter.
+    scale = F.array_max(F.transform(qtys, lambda qty: F.abs(qty)))
+    fits = F.transform(pairs, lambda pair: _fit(qtys, pair["alpha"], pair["beta"], scale))
     return F.when(F.size(qtys) >= HOLT_MIN_POINTS, F.array_min(fits)["forecast"])
 
 
-def _fit(qtys: Column, alpha: Column, beta: Column) -> Column:
+def _fit(qtys: Column, alpha: Column, beta: Column, scale: Column) -> Column:
     first, second = F.element_at(qtys, 1), F.element_at(qtys, 2)
     start = F.struct(first.alias("level"), (second - first).alias("trend"), F.lit(0.0).alias("sse"))
 
@@ -39,7 +41,8 @@ def _fit(qtys: Column, alpha: Column, beta: Column) -> Column:
 
     def finish(state: Column) -> Column:
         # Rounded, so that equal fits tie although their sums were added differently.
-        return F.struct(F.round(state["sse"], 6).alias("sse"), alpha.alias("alpha"), beta.alias("beta"),
+        share = F.coalesce(F.try_divide(state["sse"], scale * scale), F.lit(0.0))
+        return F.struct(F.round(share, 9).alias("sse"), alpha.alias("alpha"), beta.alias("beta"),
                         (state["level"] + state["trend"]).alias("forecast"))
 
     return F.aggregate(F.slice(qtys, 2, F.size(qtys)), start, step, finish)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import BROADCAST_BYTES, SALTS, lookup_join
+from .sizing import BROADCAST_BYTES, lookup_join
 from .versions import latest
 
 
@@ -123,12 +123,14 @@ def join_orders(moves: DataFrame, orders: DataFrame, *, salt_by: str = "id", **o
     """Add ``partner_id`` and ``date_planned`` of the order named in ``origin``, same company.
 
     Every order of that name counts, as in the plain left join. A move without an origin
-    names no order; such moves are spread by a hash instead of meeting in one task.
+    names no order: in place of a name it takes a hash of the row that no order has, which
+    spreads such moves over however many tasks there are. A hot origin is left to adaptive
+    execution, which splits it.
     """
-    document = F.nullif(F.col("origin"), F.lit(""))
-    spread = F.when(document.isNull(), F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")).otherwise(0)
-    keyed = moves.withColumn("_document", document).withColumn("_spread", spread)
+    nameless = F.concat(F.lit(" "), F.xxhash64(salt_by).cast("string"))
+    keyed = moves.withColumn("_document", F.coalesce(F.nullif(F.col("origin"), F.lit("")), nameless))
+    keyed = keyed.withColumn("_named", F.coalesce(F.col("origin") != "", F.lit(False)))
     named = orders.where(F.col("name") != "").select(
-        F.col("name").alias("_document"), F.lit(0).alias("_spread"), "company_id", "partner_id", "date_planned")
-    joined = lookup_join(keyed, named, ["_document", "company_id", "_spread"], **options)
+        F.col("name").alias("_document"), F.lit(True).alias("_named"), "company_id", "partner_id", "date_planned")
+    joined = lookup_join(keyed, named, ["_document", "company_id", "_named"], **options)
     return joined.select(*moves.columns, "partner_id", "date_planned")

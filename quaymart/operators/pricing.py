@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import COST_SHARE_OF_LIST, DEFAULT_PRICE, PURCHASE_SHARE, SALE_MARKUP
+from ..functions.fixed_values import COST_SHARE_OF_LIST, DEFAULT_PRICE, PRICE_PROPERTY, PURCHASE_SHARE, SALE_MARKUP
 from .sizing import lookup_join
 
 
 def _priced_records(props: DataFrame, model: str) -> DataFrame:
-    """Properties of one model with the record id taken from ``model,id``; bad ids and NULLs skipped."""
+    """Cost properties of one model, the record id taken from ``model,id``; bad ids and NULLs skipped.
+
+    A record has other numeric properties too: only those named as the cost are prices.
+    """
     ref = F.split("res_id", ",", 2)
-    return (props.where(F.col("res_id").startswith(f"{model},") & F.col("value_float").isNotNull())
+    priced = (F.col("name") == PRICE_PROPERTY) & F.col("value_float").isNotNull()
+    return (props.where(priced & F.col("res_id").startswith(f"{model},"))
             .select("id", F.coalesce("company_id", F.lit(0)).alias("company_id"),
                     F.trim(F.get(ref, F.lit(1))).try_cast("bigint").alias("record_id"),
                     F.col("value_float").cast("double").alias("price"))

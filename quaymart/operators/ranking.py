@@ -7,40 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import ONE_TASK_BYTES, durable, lookup_join, scan_bytes
+SLICES_PER_DOUBLING = 16
+SLICE_OF_ONE = 1 << 20  # keeps the slices of small positive values above zero
+
+
+def value_slice(value: Column, per_doubling: int = SLICES_PER_DOUBLING) -> Column:
+    """A whole number that never falls as the value rises: steps of its logarithm."""
+    number = value.cast("double")
+    step = F.floor(F.log2(F.abs(number)) * per_doubling).cast("int") + SLICE_OF_ONE
+    return F.when(number > 0, step).when(number < 0, -step).otherwise(0)
 
 
 def running_totals(
-    df: DataFrame,
-    group: str,
-    order: Sequence[Column],
-    value: str,
-    *,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    df: DataFrame, group: str, value: str, ties: Sequence[str], *, per_doubling: int = SLICES_PER_DOUBLING
 ) -> DataFrame:
-    """Add ``running`` (sum of ``value`` so far, in ``order``) and ``total`` per ``group``.
+    """Add ``running`` (sum of ``value`` so far, largest first, then by ``ties``) and ``total`` per ``group``.
 
-    ``order`` must be unique inside a group. When the input is small enough for any group
-    to fit one task, two windows over one exchange do it. Otherwise the rows are range
-    partitioned by (group, order) and cut off; each slice then keeps its own running sum
-    and starts from the sum of the slices before it, so no task sees a whole group.
+    ``ties`` must be unique inside a group and value. A group is cut into slices of similar
+    values; each keeps its own running sum and starts from the sum of the slices above it.
+    So no task sees a whole group, and one lazy plan serves every size; both uses of the
+    rows share one exchange.
     """
-    if scan_bytes(df) <= one_task_bytes:
-        whole = Window.partitionBy(group)
-        so_far = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", F.sum(value).over(so_far).alias("running"), F.sum(value).over(whole).alias("total"))
-    sliced = durable(df.repartitionByRange(group, *order).withColumn("_slice", F.spark_partition_id()))
-    # One row per slice, plus one for each further group in it: small next to the input.
+    sliced = df.withColumn("_slice", value_slice(F.col(value), per_doubling)).repartition(group, "_slice")
+    # A row per slice: as many as the values span doublings, times their steps.
     slices = sliced.groupBy(group, "_slice").agg(F.sum(value).alias("_slice_sum"))
     by_group = Window.partitionBy(group)
-    before = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    above = by_group.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.select(
         group, "_slice",
-        F.sum("_slice_sum").over(before).alias("_start"),
+        F.sum("_slice_sum").over(above).alias("_start"),
         F.sum("_slice_sum").over(by_group).alias("total"))
-    inside = Window.partitionBy(group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(group, "_slice").orderBy(F.desc(value), *ties).rowsBetween(Window.unboundedPreceding, 0)
     running = sliced.withColumn("_inside", F.sum(value).over(inside))
-    joined = lookup_join(running, starts, [group, "_slice"])
+    joined = running.join(starts, [group, "_slice"], "left")
     return joined.select(
         *df.columns,
         F.when(F.col("_start").isNull(), F.col("_inside"))

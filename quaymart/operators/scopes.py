@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import SUPPLIER_DELAY_DAYS
 from .predicates import midnight
 from .ranking import top_n
-from .sizing import durable, lookup_join
 
 
 def forecast_scope(abc: DataFrame, scope: str) -> DataFrame | None:
@@ -29,12 +28,16 @@ def forecast_scope(abc: DataFrame, scope: str) -> DataFrame | None:
 def scope_filter(series: DataFrame, scope: DataFrame | None) -> DataFrame:
     """Keep the series in scope; an empty scope means no limit at all.
 
-    The pairs in scope are cut off first: whether there are any decides the plan.
+    Whether the scope is empty is one value that goes to every row, so nothing runs while
+    the plan is made.
     """
     if scope is None:
         return series
-    pairs = durable(scope.select("company_id", "product_id"))
-    return series if pairs.isEmpty() else series.join(pairs, ["company_id", "product_id"], "left_semi")
+    keys = ["company_id", "product_id"]
+    pairs = scope.select(*keys).distinct().withColumn("_inside", F.lit(True))
+    number = pairs.agg(F.count(F.lit(1)).alias("_pairs"))
+    marked = series.join(pairs, keys, "left").join(F.broadcast(number))
+    return marked.where(F.col("_inside") | (F.col("_pairs") == 0)).select(*series.columns)
 
 
 def new_tickets(tickets: DataFrame, existing: DataFrame, as_of: dt.date) -> DataFrame:
@@ -60,7 +63,8 @@ def tag_windows(
              .agg(F.bool_or(kind == "STOCKOUT").alias("is_stockout"),
                   F.max(F.when(kind == "SUPPLIER_DELAY", SUPPLIER_DELAY_DAYS).otherwise(0)).alias("delay_add"),
                   F.bool_or(kind == "SHRINKAGE").alias("is_shrinkage")))
-    return (lookup_join(rows, flags, [company, day])
+    # No broadcast hint: a few long windows make many days. Adaptive execution knows their number.
+    return (rows.join(flags, [company, day], "left")
             .select(*rows.columns,
                     F.coalesce("is_stockout", F.lit(False)).alias("is_stockout"),
                     F.coalesce("delay_add", F.lit(0)).alias("delay_add"),

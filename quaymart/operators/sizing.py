@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 # Compressed input bytes up to which a lookup side may be broadcast.
 BROADCAST_BYTES = 16 * 1024 * 1024
-# Compressed input bytes up to which any single window group is known to fit one task.
-ONE_TASK_BYTES = 128 * 1024 * 1024
 # Copies of a lookup row in the salted join, which spread one hot key over that many tasks.
 SALTS = 32
 

@@ -32,10 +32,15 @@ class MartParams:
     from_month: dt.date | None = None
 
     @classmethod
-    def from_variables(cls, variables: Mapping[str, str], as_of: dt.date) -> MartParams:
-        """Read the string-valued job variables; a missing one keeps its default."""
+    def from_variables(
+        cls, variables: Mapping[str, str], as_of: dt.date, *, team_key: str = "helpdesk_team_id"
+    ) -> MartParams:
+        """Read the string-valued job variables; a missing one keeps its default.
+
+        ``team_key`` is the full name of the variable with the helpdesk team.
+        """
         defaults = cls(as_of=as_of)
-        team = next((v for k, v in variables.items() if k.endswith("helpdesk_team_id")), None)
+        team = variables.get(team_key)
         return cls(
             as_of=as_of,
             excluded_company_ids=parse_id_list(variables.get("excluded_company_ids", "[]")),

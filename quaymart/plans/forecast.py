@@ -10,7 +10,6 @@ from ..operators.forecasting import average_forecast, holt_forecast
 from ..operators.lookups import with_company_name, with_product
 from ..operators.predicates import within
 from ..operators.scopes import forecast_scope, scope_filter
-from ..operators.sizing import durable
 from ..params import MartParams
 from .marts import Frames, abc_classification, add_month, done_moves
 
@@ -34,12 +33,10 @@ def demand_forecast(
     """Forecast per (company, product) in scope, with a ±15 % interval.
 
     ``abc`` is the ABC mart, of which the snapshot of the day counts. Without it the classes
-    come from the series themselves, which are cut off first so that the moves are read
-    once. ``holt`` falls back to the average where a series is too short.
+    come from the sums of the series themselves. ``holt`` falls back to the average where a series is too short.
     """
     series = monthly_series(t, params)
     if abc is None:
-        series = durable(series)
         total = F.aggregate("points", F.lit(0.0), lambda qty, point: qty + point["qty"])
         moved = series.select("company_id", "product_id", total.alias("qty"))
         abc = abc_classification(t, params, moved=moved)

@@ -11,6 +11,7 @@ import datetime as dt
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
 from ..operators.versions import latest
@@ -57,17 +58,16 @@ SELECT p_partkey AS id, CAST(0 AS BIGINT) AS company_id, p_name AS name, p_type
        p_retailprice AS list_price
 FROM {part} WHERE p_partkey % 13 <> 0
 UNION ALL
-SELECT p_partkey, CAST(r_regionkey + 1 AS BIGINT), p_name, p_type, p_retailprice * CAST(0.5 AS DOUBLE),
-       p_retailprice
-FROM {part} CROSS JOIN {region} WHERE p_partkey % 4 = 0""",
+SELECT p_partkey, company_id, p_name, p_type, p_retailprice * CAST(0.5 AS DOUBLE), p_retailprice
+FROM {part_company} WHERE p_partkey % 4 = 0""",
     "product_product": """
 SELECT p_partkey AS id, CAST(0 AS BIGINT) AS company_id, p_partkey AS product_tmpl_id,
        CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_brand || '-' || CAST(p_partkey AS STRING) END AS default_code
 FROM {part} WHERE p_partkey % 3 <> 0
 UNION ALL
-SELECT p_partkey, CAST(r_regionkey + 1 AS BIGINT), p_partkey,
-       p_brand || '-' || CAST(p_partkey AS STRING) || '-C' || CAST(r_regionkey + 1 AS STRING)
-FROM {part} CROSS JOIN {region} WHERE p_partkey % 4 = 0
+SELECT p_partkey, company_id, p_partkey,
+       p_brand || '-' || CAST(p_partkey AS STRING) || '-C' || CAST(company_id AS STRING)
+FROM {part_company} WHERE p_partkey % 4 = 0
 UNION ALL
 SELECT p_partkey, CAST(p_partkey % 5 + 1 AS BIGINT), p_partkey,
        p_brand || '-' || CAST(p_partkey AS STRING) || '-X'
@@ -101,19 +101,30 @@ SELECT id, company_id, product_id % 20 + 1 AS product_id,
        l_extendedprice AS value, date_done AS create_date, write_date, l_suppkey, product_uom_qty, l_extendedprice
 FROM {stock_move_raw}""",
     "ir_property": """
-SELECT p_partkey * 10 AS id, CAST(0 AS BIGINT) AS company_id,
+SELECT p_partkey * 10 AS id, CAST(0 AS BIGINT) AS company_id, 'standard_price' AS name,
        'product.template,' || CAST(p_partkey AS STRING) AS res_id,
        p_retailprice * CAST(0.55 AS DOUBLE) AS value_float
 FROM {part} WHERE p_partkey % 10 IN (0, 1)
-UNION ALL SELECT p_partkey * 10 + r_regionkey + 1, CAST(r_regionkey + 1 AS BIGINT),
+UNION ALL SELECT p_partkey * 10 + company_id, company_id, 'standard_price',
                  'product.template,' || CAST(p_partkey AS STRING), p_retailprice * CAST(0.45 AS DOUBLE)
-          FROM {part} CROSS JOIN {region} WHERE p_partkey % 10 = 1
-UNION ALL SELECT p_partkey * 10 + 7, CAST(0 AS BIGINT), 'product.product,' || CAST(p_partkey AS STRING),
-                 p_retailprice * CAST(0.65 AS DOUBLE) FROM {part} WHERE p_partkey % 10 = 2
-UNION ALL SELECT p_partkey * 10 + 8, CAST(0 AS BIGINT), 'broken', CAST(1.0 AS DOUBLE)
+          FROM {part_company} WHERE p_partkey % 10 = 1
+UNION ALL SELECT p_partkey * 10 + 7, CAST(0 AS BIGINT), 'standard_price',
+                 'product.product,' || CAST(p_partkey AS STRING), p_retailprice * CAST(0.65 AS DOUBLE)
+          FROM {part} WHERE p_partkey % 10 = 2
+UNION ALL SELECT p_partkey * 10 + 8, CAST(0 AS BIGINT), 'standard_price', 'broken', CAST(1.0 AS DOUBLE)
           FROM {part} WHERE p_partkey % 10 = 3
-UNION ALL SELECT p_partkey * 10 + 9, CAST(0 AS BIGINT), 'product.template,' || CAST(p_partkey AS STRING),
-                 CAST(NULL AS DOUBLE) FROM {part} WHERE p_partkey % 10 = 4""",
+UNION ALL SELECT p_partkey * 10 + 9, CAST(0 AS BIGINT), 'standard_price',
+                 'product.template,' || CAST(p_partkey AS STRING), CAST(NULL AS DOUBLE)
+          FROM {part} WHERE p_partkey % 10 = 4
+UNION ALL SELECT p_partkey * 10 - 5, CAST(0 AS BIGINT), 'weight_factor',
+                 'product.template,' || CAST(p_partkey AS STRING), CAST(99.0 AS DOUBLE)
+          FROM {part} WHERE p_partkey % 10 IN (0, 1)
+UNION ALL SELECT p_partkey * 10 + 6, CAST(2 AS BIGINT), 'weight_factor',
+                 'product.template,' || CAST(p_partkey AS STRING), CAST(98.0 AS DOUBLE)
+          FROM {part} WHERE p_partkey % 10 IN (1, 5)
+UNION ALL SELECT p_partkey * 10 + 6, CAST(0 AS BIGINT), 'weight_factor',
+                 'product.product,' || CAST(p_partkey AS STRING), CAST(97.0 AS DOUBLE)
+          FROM {part} WHERE p_partkey % 10 = 2""",
 }
 
 # Raw tables that need the version dedupe: keys, and the order of equal versions.
@@ -122,6 +133,7 @@ DEDUPED = {
     "stock_quant": ("stock_quant_raw", ("company_id", "product_id", "id")),
     "stock_valuation_layer": ("stock_valuation_layer_raw", ("company_id", "product_id", "id")),
 }
+COMPANIES = (1, 2, 3, 4, 5)  # one for each region
 TIES = ("l_suppkey", "product_uom_qty", "l_extendedprice")
 
 def inputs_of(name: str) -> list[str]:
@@ -148,6 +160,8 @@ def given_tables(spark: SparkSession, sf_dir: str) -> Tables:
     builders = {name: (lambda n=name: source(n)) for name in SOURCE_TABLES}
     builders |= {name: (lambda n=name: mapped(n)) for name in MAPPING}
     builders |= {name: (lambda n=name: deduped(n)) for name in DEDUPED}
+    builders["part_company"] = lambda: tables["part"].withColumn(
+        "company_id", F.explode(F.lit(list(COMPANIES)).cast("array<bigint>")))
     builders["stock_move_line"] = lambda: tables["stock_move"].withColumnRenamed("quantity_done", "qty_done")
     tables = Tables(builders)
     return tables

@@ -13,8 +13,8 @@ from ..operators.cleaning import attribute_companies, normalize, rename, require
 from ..operators.pricing import repair_standard_price, with_property_cost
 from ..operators.sizing import durable, lookup_join
 from ..sources.control import read_watermarks, save_watermarks
-from ..sources.landing import merge_table
-from ..sources.models import MODELS, ModelSpec
+from ..sources.landing import exists, merge_table
+from ..sources.models import MODELS, ModelSpec, malformed_records, read_model
 
 
 def incremental(df: DataFrame, state: DataFrame, model: str, version: str = "write_date") -> DataFrame:
@@ -25,6 +25,20 @@ def incremental(df: DataFrame, state: DataFrame, model: str, version: str = "wri
     return joined.where(F.col(version) > mark).select(*df.columns)
 
 
+def lowest_mark(
+    state: DataFrame, model: str, company_ids: Sequence[int], *, shared: bool = True
+) -> dt.datetime | None:
+    """The earliest of the marks of the companies, as a bound for the source; None if one has no mark yet.
+
+    Marks are a row per model and company, so collecting those of a model is cheap.
+    """
+    wanted = {*company_ids, *([0] if shared else [])}
+    rows = state.where((F.col("model") == model) & F.col("company_id").isin(*wanted)).groupBy("company_id").agg(
+        F.max("watermark").alias("watermark")).collect()
+    marks = {row["company_id"]: row["watermark"] for row in rows if row["watermark"] is not None}
+    return min(marks.values()) if wanted <= set(marks) else None
+
+
 def full_refresh(df: DataFrame, run_at: dt.datetime, version: str = "write_date") -> DataFrame:
     """All rows, restamped to the run, so that they replace what is stored."""
     return df.withColumn(version, F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz"))
@@ -55,7 +69,7 @@ def prepare(
     spec: ModelSpec,
     *,
     company_ids: Sequence[int] | None = None,
-    copy_shared: bool = True,
+    copy_shared: bool = False,
     state: DataFrame | None = None,
     refresh_at: dt.datetime | None = None,
     products: DataFrame | None = None,
@@ -93,15 +107,18 @@ def load_model(
     root: str,
     *,
     company_ids: Sequence[int] | None = None,
-    copy_shared: bool = True,
+    copy_shared: bool = False,
     refresh_at: dt.datetime | None = None,
     products: DataFrame | None = None,
     properties: DataFrame | None = None,
     use_marks: bool = True,
+    malformed: DataFrame | None = None,
 ) -> DataFrame:
     """Run one load into the raw table under ``root`` and return its statistics.
 
-    The mark is saved after the merge, so a load that stops is simply run again.
+    The mark is saved after the merge, so a load that stops is simply run again. ``malformed``
+    are landed lines that could not be read: they are kept under ``_malformed`` and counted
+    as invalid rows of no company. The statistics are appended to the run log.
     """
     spec = MODELS[model]
     marks = f"{root.rstrip('/')}/_watermarks"
@@ -110,9 +127,57 @@ def load_model(
         records, spec, company_ids=company_ids, copy_shared=copy_shared, state=state if use_marks else None,
         refresh_at=refresh_at, products=products, properties=properties))
     merge_table(spark, root, spec.table, flagged.where("ok"))
-    stats = durable(load_stats(flagged, model, "read_at"))
+    stats = load_stats(flagged, model, "read_at")
+    if malformed is not None:
+        kept = f"{root.rstrip('/')}/_malformed/{spec.table}"
+        malformed.write.mode("append").parquet(kept)
+        bad = malformed.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        stats = stats.unionByName(bad.select(
+            F.lit(model).alias("model"), F.lit(None).cast("bigint").alias("company_id"), F.lit(0).cast("bigint").alias("rows"),
+            F.col("n").alias("invalid_rows"), F.lit(None).cast("timestamp_ntz").alias("watermark")))
+    stats = durable(stats)
+    stats.write.mode("append").parquet(run_log(root))
     if refresh_at is None and use_marks:
         advanced = advance_watermark(state, stats)
         changed = advanced.where(F.col("model") == model).exceptAll(state)
         save_watermarks(durable(changed), marks)
     return stats
+
+
+def run_log(root: str) -> str:
+    """Folder of the statistics of all loads."""
+    return f"{root.rstrip('/')}/_run_log"
+
+
+def load_landed(
+    spark: SparkSession,
+    landing: str,
+    model: str,
+    root: str,
+    *,
+    company_ids: Sequence[int],
+    copy_shared: bool = False,
+    refresh_at: dt.datetime | None = None,
+    fmt: str = "json",
+    **options,
+) -> DataFrame:
+    """Load what is new in a landing folder: the companies' lowest mark bounds what is read at all."""
+    bound = None
+    if refresh_at is None:
+        state = read_watermarks(spark, f"{root.rstrip('/')}/_watermarks")
+        bound = lowest_mark(state, model, company_ids, shared=not copy_shared)
+    records = read_model(spark, landing, model, fmt=fmt, newer_than=bound)
+    bad = malformed_records(spark, landing, model) if fmt == "json" and bound is None else None
+    return load_model(spark, records, model, root, company_ids=company_ids, copy_shared=copy_shared,
+                      refresh_at=refresh_at, malformed=bad, **options)
+
+
+def load_all(
+    spark: SparkSession, landing: str, root: str, *, company_ids: Sequence[int], refresh: frozenset[str] = frozenset(),
+    run_at: dt.datetime, fmt: str = "json", **options,
+) -> list[DataFrame]:
+    """Every model with a landing folder, one after the other; those in ``refresh`` in full, restamped to the run."""
+    return [
+        load_landed(spark, landing, model, root, company_ids=company_ids, fmt=fmt,
+                    refresh_at=run_at if model in refresh else None, **options)
+        for model in MODELS if exists(spark, f"{landing.rstrip('/')}/{model}")]

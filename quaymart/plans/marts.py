@@ -21,8 +21,8 @@ from ..operators.lookups import (
     with_usages,
 )
 from ..operators.predicates import exclude_companies, since, until, within
-from ..operators.ranking import running_totals
-from ..operators.sizing import BROADCAST_BYTES, ONE_TASK_BYTES, lookup_join, scan_bytes
+from ..operators.ranking import SLICES_PER_DOUBLING, running_totals
+from ..operators.sizing import BROADCAST_BYTES, lookup_join, scan_bytes
 from ..params import MartParams
 
 Frames = Mapping[str, DataFrame]
@@ -193,7 +193,7 @@ def abc_classification(
     params: MartParams,
     *,
     moved: DataFrame | None = None,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    slices_per_doubling: int = SLICES_PER_DOUBLING,
 ) -> DataFrame:
     """Pareto classes by the value moved in the last 12 months, ranked inside each company.
 
@@ -206,9 +206,7 @@ def abc_classification(
     valued = priced.select(
         "company_id", "product_id", "product_default_code",
         F.coalesce((F.col("qty") * F.col("standard_price")).cast(MONEY), F.lit(0).cast(MONEY)).alias("value"))
-    ranked = running_totals(
-        valued, "company_id", [F.col("value").desc(), F.col("product_id").asc()], "value",
-        one_task_bytes=one_task_bytes)
+    ranked = running_totals(valued, "company_id", "value", ["product_id"], per_doubling=slices_per_doubling)
     share = F.try_divide(F.col("running").cast("double"), F.col("total").cast("double"))
     shared = with_company_name(ranked.withColumn("cumulative_share", share), t["res_company"])
     return shared.select(

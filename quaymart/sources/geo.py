@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import BASE_UNIT_LABELS, GEO_LIMITS
+from ..functions.fixed_values import BASE_UNIT_LABELS
 from ..functions.text import place_name, slug
 
 _ENTRY = "array<struct<name:string,base_units:array<string>>>"
@@ -108,34 +108,3 @@ def fallback_units(country: Column, count: Column) -> Column:
     label = label.otherwise(F.raise_error(F.concat(F.lit("unsupported country "), country)).cast("string"))
     numbers = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
     return F.transform(numbers, lambda i: F.concat(label, F.lit(" "), F.format_string("%03d", i)))
-
-
-def geo_plan(
-    units: DataFrame,
-    scale: str,
-    *,
-    full_geo: bool = False,
-    max_warehouses: int | None = None,
-    base_units_per_wh: int | None = None,
-) -> DataFrame:
-    """The warehouses and base units of a scale: the first ones of the file, in file order.
-
-    ``full_geo`` keeps all units unless a number is given. A warehouse without units gets
-    numbered ones.
-    """
-    most, default_units = GEO_LIMITS[scale.lower()]
-    most = most if max_warehouses is None else max_warehouses
-    wanted = default_units if base_units_per_wh is None else base_units_per_wh
-    fallback = wanted
-    if not full_geo and wanted <= 0:
-        wanted = default_units
-    limit = None if full_geo and base_units_per_wh is None else wanted
-    if most is not None:
-        first = Window.orderBy("wh_pos")
-        chosen = (units.select("wh_pos").distinct().withColumn("_n", F.row_number().over(first))
-                  .where(F.col("_n") <= most).drop("_n"))
-        units = units.join(chosen, "wh_pos", "left_semi")
-    made = F.posexplode(fallback_units(F.col("country"), F.lit(fallback))).alias("ord", "base_unit")
-    missing = units.where("base_unit IS NULL").select("country", "wh_pos", "warehouse_name", "slug", made)
-    plan = units.where("base_unit IS NOT NULL").select(*missing.columns).unionByName(missing)
-    return plan if limit is None else plan.where(F.col("ord") < limit)

@@ -32,15 +32,30 @@ def _partitions(spec: TableSpec) -> list[str]:
 
 
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
-    """Create every raw and mart table as an external parquet table, if it does not exist."""
-    created = []
-    for prefix, specs in (("raw_", RAW_TABLES), ("mart_", MART_TABLES)):
-        for name, spec in specs.items():
-            extra, by = ("p_month string", _partitions(spec)) if spec.month_of else ("snapshot int", ["snapshot"])
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({spec.ddl}, {extra}) USING parquet "
-                      f"PARTITIONED BY ({', '.join(by)}) LOCATION '{table_path(root, name)}'")
-            created.append(prefix + name)
-    return created
+    """Name every raw and mart table, so that SQL finds the newest content under ``root``."""
+    return [refresh_table(spark, root, name) for name in (*RAW_TABLES, *MART_TABLES)]
+
+
+def refresh_table(spark: SparkSession, root: str, name: str) -> str:
+    """Let the table's name show what was written last; for readers that go by names, after a write.
+
+    A table with months takes up new months and forgets vanished ones, one without points
+    to its newest finished snapshot.
+    """
+    spec, path = _spec(name), table_path(root, name)
+    named = ("raw_" if name in RAW_TABLES else "mart_") + name
+    if spec.month_of:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {named} ({spec.ddl}, p_month string) USING parquet "
+                  f"PARTITIONED BY ({', '.join(_partitions(spec))}) LOCATION '{path}'")
+        if exists(spark, path):
+            spark.sql(f"MSCK REPAIR TABLE {named} SYNC PARTITIONS")
+    else:
+        finished = [number for number, done in _snapshots(spark, path) if done]
+        newest = f"{path}/snapshot={max(finished)}" if finished else f"{path}/snapshot=0"
+        spark.sql(f"DROP TABLE IF EXISTS {named}")  # external: the files stay
+        spark.sql(f"CREATE TABLE {named} ({spec.ddl}) USING parquet LOCATION '{newest}'")
+    spark.catalog.refreshTable(named)
+    return named
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -75,17 +90,40 @@ def append_table(df: DataFrame, root: str, name: str) -> int:
     return _write(enforce_schema(df, _spec(name)), root, name, "append")
 
 
-def write_mart(df: DataFrame, root: str, name: str, day: dt.date | None = None) -> int:
+def write_mart(
+    df: DataFrame, root: str, name: str, day: dt.date | None = None, *, complete_from: dt.date | None = None
+) -> int:
     """Replace the snapshot day, or the months, a result covers; a second run changes nothing.
 
     With ``day``, a snapshot that came out empty also clears what an earlier run left there.
+    ``complete_from`` says that a monthly result is all there is from that month on: older
+    files of later months without rows are cleared. Forecasts are merged by their key.
     """
+    if name == "demand_forecast":
+        return merge_forecast(df, root, name)
     rows = _write(enforce_schema(df, MART_TABLES[name]), root, name, "overwrite")
     if day is not None and rows == 0 and "snapshot_date" in MART_TABLES[name].columns:
         _drop_folder(df.sparkSession, f"{table_path(root, name)}/p_month={day:%Y%m}/snapshot_date={day:%Y-%m-%d}")
+    if complete_from is not None and MART_TABLES[name].month_of:
+        stored = read_table(df.sparkSession, root, name).select("p_month").where(
+            F.col("p_month") >= f"{complete_from:%Y%m}").distinct()
+        made = with_month(enforce_schema(df, MART_TABLES[name]), MART_TABLES[name]).select("p_month").distinct()
+        for gone in stored.join(made, "p_month", "left_anti").collect():
+            _drop_folder(df.sparkSession, f"{table_path(root, name)}/p_month={gone[0]}")
     return rows
 
 
+def merge_forecast(df: DataFrame, root: str, name: str = "demand_forecast") -> int:
+    """Replace the forecasts of the same company, product and month; the others of those months stay."""
+    spec, spark = MART_TABLES[name], df.sparkSession
+    fresh = durable(with_month(enforce_schema(df, spec), spec))
+    months = [row[0] for row in fresh.select("p_month").distinct().collect()]
+    kept = read_table(spark, root, name).where(_in_months(months)).join(
+        fresh.select(*spec.keys), list(spec.keys), "left_anti")
+    merged = durable(fresh.select(*spec.columns).unionByName(kept.select(*spec.columns)))
+    return _write(merged, root, name, "overwrite")
+
+
 def _write(df: DataFrame, root: str, name: str, mode: str) -> int:
     """Write and count the rows.
 

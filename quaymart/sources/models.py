@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed_values import DATE_FIELDS, FIELD_ALIASES, QUANTITY_FIELDS, STRING_FIELDS
 from ..operators.predicates import domain_filter
@@ -71,31 +73,47 @@ def read_model(
     domain: Sequence[Any] | None = None,
     *,
     fmt: str = "json",
+    newer_than: dt.datetime | None = None,
     **options: str,
 ) -> DataFrame:
     """Read a model's landed records: project the fields, keep the rows of the domain.
 
     JSON lines are read as variants, because an unset value arrives as ``false`` whatever
     the field's type. Other formats (parquet, or jdbc with ``partitionColumn`` and bounds)
-    are typed already; projection and filter are pushed down to them.
+    are typed already; projection and filter are pushed down to them, and so is the bound
+    ``newer_than`` on ``write_date``.
     """
     spec = MODELS[model]
     fields = list(fields or spec.fields)
     domain = spec.domain if domain is None else domain
     path = f"{root.rstrip('/')}/{model}"
     if fmt == "json":
-        records = spark.read.options(**options).option("singleVariantColumn", "v").json(path)
+        records = spark.read.options(**options).option("singleVariantColumn", "v").json(path).where("v IS NOT NULL")
         df = records.select(*[_landed("v", name).alias(name) for name in fields])
     elif fmt == "jdbc":
         df = spark.read.format("jdbc").options(**{"dbtable": spec.table, **options}).load().select(*fields)
     else:
         df = spark.read.format(fmt).options(**options).load(path).select(*fields)
+    if newer_than is not None:
+        bound = F.lit(newer_than.isoformat(sep=" ")).cast("timestamp_ntz")
+        typed = df.schema["write_date"].dataType != T.StringType()
+        df = df.where((F.col("write_date") if typed else F.col("write_date").try_cast("timestamp_ntz")) > bound)
     return domain_filter(df, domain)
 
 
+def malformed_records(spark: SparkSession, root: str, model: str) -> DataFrame:
+    """(value): landed lines of a model that are no JSON, which :func:`read_model` leaves out."""
+    return malformed_lines(spark.read.text(f"{root.rstrip('/')}/{model}"))
+
+
+def malformed_lines(lines: DataFrame, text: str = "value") -> DataFrame:
+    value = F.col(text)
+    return lines.where(F.try_parse_json(value).isNull() & (F.trim(value) != "")).select(value.alias("value"))
+
+
 def parse_records(df: DataFrame, model: str, text: str = "value") -> DataFrame:
     """The same columns from JSON text, for records that arrive as lines of a stream."""
-    parsed = df.select(F.try_parse_json(F.col(text)).alias("v"))
+    parsed = df.select(F.try_parse_json(F.col(text)).alias("v")).where("v IS NOT NULL")
     return parsed.select(*[_landed("v", name).alias(name) for name in MODELS[model].fields])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.predicates import domain_filter
 from ..plans.loading import load_model
-from ..sources.models import MODELS, parse_records
+from ..sources.models import MODELS, malformed_lines, parse_records
 
 
 def stream_load(
@@ -20,12 +21,17 @@ def stream_load(
     checkpoint: str,
     *,
     company_ids: Sequence[int] | None = None,
+    copy_shared: bool = False,
+    refresh_at: dt.datetime | None = None,
+    products: DataFrame | None = None,
+    properties: DataFrame | None = None,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Load every file not loaded before, then stop.
 
     The stream's checkpoint remembers the files, which makes the high-water mark
-    unnecessary. A batch that is run twice merges to the same table.
+    unnecessary. A batch that is run twice merges to the same table. Prices, restamping, the
+    run log and the lines that are no JSON are treated as in the batch loader.
     """
     spec = MODELS[model]
     lines = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
@@ -33,7 +39,10 @@ def stream_load(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         records = domain_filter(parse_records(batch, model), spec.domain)
-        load_model(batch.sparkSession, records, model, root, company_ids=company_ids, use_marks=False)
+        load_model(
+            batch.sparkSession, records, model, root, company_ids=company_ids, copy_shared=copy_shared,
+            refresh_at=refresh_at, products=products, properties=properties, use_marks=False,
+            malformed=malformed_lines(batch))
 
     return (lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

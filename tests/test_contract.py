@@ -1,5 +1,7 @@
 """Every query against its SQL on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
@@ -16,10 +18,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    """But for those of the training-data part, which has tests of its own."""
+    assert {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)} <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", SQL)
 def test_query_matches_its_sql(spark, con, name):
     assert differences(QUERIES[name](spark, DATA), con, SQL[name]) == []
 

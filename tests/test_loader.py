@@ -5,12 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymart.params import MartParams
-from quaymart.plans.loading import load_model
+from quaymart.plans.loading import load_all, load_landed, load_model, lowest_mark, run_log
 from quaymart.plans.marts import cost_anomalies
 from quaymart.plans.tables import run_sql
 from quaymart.schemas import MART_TABLES, RAW_TABLES, enforce_schema
 from quaymart.sources.control import read_watermarks, reset_watermarks, save_watermarks
-from quaymart.sources.landing import append_table, ensure_tables, merge_table, read_table, write_mart
+from quaymart.sources.landing import append_table, ensure_tables, merge_table, read_table, refresh_table, write_mart
 from quaymart.sources.models import MODELS, read_model
 from quaymart.streaming.loader import stream_load
 from tests.conftest import rows_of
@@ -35,6 +35,7 @@ def land(tmp_path):
 
 
 def load(spark, landing, root, model="stock.move", **options):
+    options.setdefault("copy_shared", True)
     stats = load_model(spark, read_model(spark, landing, model), model, root, **options)
     return {r.company_id: (r.rows, r.invalid_rows) for r in stats.collect()}
 
@@ -107,7 +108,8 @@ def test_full_refresh_restamps_repairs_prices_and_leaves_the_mark(spark, land, f
         "id": i, "company_id": company, "name": f"T{i}", "standard_price": cost, "list_price": price, "type": "product",
         "write_date": "2024-01-01 00:00:00", "create_date": "2024-01-01 00:00:00"}
     landing = land("product.template", record(1, 5.0, 10.0), record(2, 0.0, 10.0), record(3, 4.0, 10.0, [3, "Three"]))
-    props = frame("id bigint, company_id bigint, res_id string, value_float double", [(1, 3, "product.template,1", 8.0)])
+    props = frame("id bigint, company_id bigint, res_id string, value_float double, name string",
+                  [(1, 3, "product.template,1", 8.0, "standard_price"), (2, 3, "product.template,1", 99.0, "weight_factor")])
     products = frame("id bigint, product_tmpl_id bigint", [(1, 1)])
     run = dt.datetime(2024, 5, 1, 6)
     load(spark, landing, root, "product.template", company_ids=[2, 3], refresh_at=run, products=products, properties=props)
@@ -133,7 +135,7 @@ def test_a_stream_of_files_gives_the_table_of_one_load(spark, land, tmp_path):
     load(spark, landing, str(tmp_path / "once"), company_ids=[2, 3])
     def stream():
         stream_load(spark, landing, "stock.move", str(tmp_path / "streamed"), str(tmp_path / "checkpoint"),
-                    company_ids=[2, 3], files_per_batch=1).awaitTermination()
+                    company_ids=[2, 3], copy_shared=True, files_per_batch=1).awaitTermination()
     stream()
     once, streamed = (read_table(spark, str(tmp_path / name), "stock_move") for name in ("once", "streamed"))
     assert rows_of(streamed) == rows_of(once) and once.count() == 4
@@ -172,11 +174,64 @@ def test_tables_can_be_created_and_appended_to(spark, frame, tmp_path):
     assert len(names) == len(RAW_TABLES) + len(MART_TABLES) and ensure_tables(spark, root) == names
     companies = frame("name string, id bigint, extra int", [("One", 1, 0), ("Two", 2, 0)])
     assert append_table(companies, root, "res_company") == 2
-    spark.catalog.recoverPartitions("raw_res_company")
+    refresh_table(spark, root, "res_company")
     assert rows_of(spark.table("raw_res_company"), "id", "name") == [(1, "One"), (2, "Two")]
+    merge_table(spark, root, "res_company", frame("name string, id bigint", [("Three", 3), ("Uno", 1)]))
+    refresh_table(spark, root, "res_company")
+    assert rows_of(spark.table("raw_res_company"), "id") == [(1,), (2,), (3,)]
+    rating = "month date, company_id bigint, partner_id bigint, overall_score double"
+    rows = [(dt.date(2024, m, 1), 1, 1, 0.5) for m in (1, 2, 3)]
+    write_mart(frame(rating, rows), root, "vendor_rating")
+    refresh_table(spark, root, "vendor_rating")
+    assert spark.table("mart_vendor_rating").count() == 3
+    # A complete rebuild from February on in which March has no rows any more.
+    write_mart(frame(rating, rows[1:2]), root, "vendor_rating", complete_from=dt.date(2024, 2, 1))
+    refresh_table(spark, root, "vendor_rating")
+    assert rows_of(spark.table("mart_vendor_rating"), "p_month") == [("202401",), ("202402",)]
     assert cost_anomalies({name: read_table(spark, root, name) for name in RAW_TABLES}, MartParams(dt.date(2024, 1, 1))).count() == 0
     named = run_sql(spark, "SELECT id FROM {c} WHERE id > :dead_stock_days", MartParams(dt.date(2024, 1, 1), (), 1),
                     c=read_table(spark, root, "res_company"))
-    assert rows_of(named) == [(2,)]
+    assert rows_of(named) == [(2,), (3,)]
     for name in names:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_forecasts_are_merged_by_product_and_month(frame, spark, tmp_path):
+    ddl = "forecast_month date, company_id bigint, product_id bigint, forecast_qty double"
+    march, april = dt.date(2024, 3, 1), dt.date(2024, 4, 1)
+    write_mart(frame(ddl, [(march, 1, 1, 5.0), (march, 1, 2, 6.0)]), str(tmp_path), "demand_forecast")
+    write_mart(frame(ddl, [(april, 1, 1, 7.0), (march, 1, 2, 8.0)]), str(tmp_path), "demand_forecast")
+    assert rows_of(read_table(spark, str(tmp_path), "demand_forecast"), "forecast_month", "product_id", "forecast_qty") == [
+        (march, 1, 5.0), (march, 2, 8.0), (april, 1, 7.0)]
+
+
+def test_lines_that_are_no_json_are_kept_and_counted(spark, land, tmp_path):
+    root = str(tmp_path / "raw")
+    landing = land("stock.move", move(1))
+    (tmp_path / "landing" / "stock.move" / "broken.json").write_text('{"id": 2, "company\n\n')
+    stats = load_landed(spark, landing, "stock.move", root, company_ids=[2])
+    assert rows_of(stats, "company_id", "rows", "invalid_rows") == [(None, 0, 1), (2, 1, 0)]
+    assert spark.read.parquet(f"{root}/_malformed/stock_move").first()[0] == '{"id": 2, "company'
+    assert spark.read.parquet(run_log(root)).count() == 2
+
+
+def test_the_lowest_mark_reaches_the_source(spark, frame, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "raw")
+    typed = "id bigint, company_id bigint, name string, usage string, write_date timestamp_ntz, create_date timestamp_ntz"
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = lambda *given: frame(typed, [(i, c, f"L{i}", "internal", day(d), day(1)) for i, c, d in given])
+    target = f"{landing}/stock.location"
+    rows((1, 2, 3), (2, 3, 5), (3, 0, 4)).write.parquet(target)
+    load = lambda: load_landed(spark, landing, "stock.location", root, company_ids=[2, 3], fmt="parquet")
+    assert rows_of(load(), "company_id", "rows") == [(0, 1), (2, 1), (3, 1)]
+    state = read_watermarks(spark, f"{root}/_watermarks")
+    bound = lowest_mark(state, "stock.location", [2, 3])
+    assert bound == day(3) and lowest_mark(state, "stock.location", [2, 3, 4]) is None
+    plan = read_model(spark, landing, "stock.location", fmt="parquet", newer_than=bound)
+    assert "GreaterThan(write_date,2024-01-03T00:00" in plan._jdf.queryExecution().executedPlan().toString()
+    rows((1, 2, 9), (2, 3, 2), (4, 0, 9)).write.mode("append").parquet(target)
+    assert rows_of(load(), "company_id", "rows") == [(0, 1), (2, 1)]
+    assert rows_of(read_table(spark, root, "stock_location"), "id", "write_date") == [
+        (1, day(9)), (2, day(5)), (3, day(4)), (4, day(9))]
+    load_all(spark, landing, root, company_ids=[2, 3], refresh=frozenset({"stock.location"}), run_at=day(20), fmt="parquet")
+    assert {r[0] for r in read_table(spark, root, "stock_location").select("write_date").collect()} == {day(20)}

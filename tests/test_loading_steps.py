@@ -71,23 +71,24 @@ def test_normalize(frame):
 def test_attribution_and_gate(frame):
     df = frame("id bigint, company_id bigint, name string", [(1, 0, "a"), (2, 2, ""), (3, 9, "c"), (0, 3, "d")])
     assert rows_of(cleaning.attribute_company(df, 5), "id", "company_id") == [(0, 3), (1, 5), (2, 2), (3, 9)]
-    copies = cleaning.attribute_companies(df, [2, 3])
+    copies = cleaning.attribute_companies(df, [2, 3], copy_shared=True)
     assert rows_of(copies, "id", "company_id") == [(0, 3), (1, 2), (1, 3), (2, 2)]
-    kept = cleaning.attribute_companies(df, [2, 3], copy_shared=False)
+    kept = cleaning.attribute_companies(df, [2, 3])
     assert rows_of(kept, "id", "company_id") == [(0, 3), (1, 0), (2, 2)]
     good, bad = cleaning.require(df, ["id", "name"])
     assert rows_of(good, "id") == [(1,), (3,)] and rows_of(bad, "id") == [(0,), (2,)]
 
 
-PROPS = "id bigint, company_id bigint, res_id string, value_float double"
-PROP_ROWS = [
+PROPS = "id bigint, company_id bigint, res_id string, value_float double, name string"
+PROP_ROWS = [(*row, "standard_price") for row in [
     (1, 0, "product.template,1", 1.0), (2, 0, "product.template,1", 2.0),
     (3, 5, "product.template,1", 3.0), (4, 5, "product.template,1", 4.0), (5, 6, "product.template,1", 5.0),
     (6, 0, "product.template,2", None), (7, 0, "product.template,2", 7.0), (8, 6, "product.template,3", 8.0),
     (9, 0, "broken", 9.0), (10, 0, "product.template,x", 9.0), (11, 0, "product.template,1,2", 9.0),
     (12, 0, "product.product,21", 21.0), (13, 5, "product.product,22", 22.0), (14, 5, "product.product,20", None),
     (15, None, "product.product,41", 41.0), (16, 5, "product.product,40", 40.0),
-]
+]] + [(0, 0, "product.template,1", 99.0, "weight_factor"), (99, 5, "product.template,1", 99.0, "weight_factor"),
+      (98, 0, "product.template,5", 99.0, None)]
 
 
 def test_property_prices(frame):
@@ -124,7 +125,8 @@ def test_parameters():
     assert MartParams(as_of=day).dead_stock_days == 90
     given = MartParams.from_variables({
         "dead_stock_days": "30", "excluded_company_ids": "[1, \"2\"]", "abc_a_pct": "0.7",
-        "full_refresh_models": "[\"product.template\"]", "erp_helpdesk_team_id": "4"}, day)
+        "full_refresh_models": "[\"product.template\"]", "erp_helpdesk_team_id": "4", "old_helpdesk_team_id": "5"},
+        day, team_key="erp_helpdesk_team_id")
     assert (given.dead_stock_days, given.excluded_company_ids, given.abc_a_pct) == (30, (1, 2), 0.7)
     assert given.full_refresh_models == {"product.template"} and given.helpdesk_team_id == 4
     assert parse_id_list("[1, x]") == () and parse_id_list("nothing") == () and parse_id_list("5") == ()
