@@ -22,3 +22,14 @@ def cut(df: DataFrame) -> DataFrame:
         return durable(df)
     finally:
         conf.set(_CLEANUP, before)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of :func:`cut` that every later step has read already."""
+    for table in tables:
+        files = table.inputFiles()
+        folder = files[0].rsplit("/", 1)[0] if files else ""
+        if folder.rsplit("/", 1)[-1].startswith("quaymart-"):
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cut import cut
+from .cut import cut, release
 
 PERCENT = 90
 LEAST_WORDS = 5
@@ -96,7 +96,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, table: list
     both = pairs.join(sets, "sig").join(sets.select(F.col("sig").alias("other"), F.col("words").alias("others")), "other")
     shared = F.size(F.array_intersect("words", "others"))
     total = F.size("words") + F.size("others") - shared
-    return cut(both.where(shared * 100 >= total * percent).select("sig", "other"))
+    similar = cut(both.where(shared * 100 >= total * percent).select("sig", "other"))
+    release(places, sets)
+    return similar
 
 
 def repeated_lines(
@@ -137,7 +139,10 @@ def repeated_lines(
     untested = F.col("b.sig") != F.col("a.pivot.sig")
     rest = a.join(b, (F.col("a.word") == F.col("b.word")) & later & untested & _may_match("a", "b", percent)).select(
         F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct()
-    found = found.union(_verified(cut(rest), classes, docs, table, percent))
+    rest = cut(rest)
+    release(stars, shared)
+    found = found.union(_verified(rest, classes, docs, table, percent))
+    release(rest)
     where = classes.select(F.col("sig").alias("other"), F.col("first").alias("match"))
     matched = found.join(where, "other").groupBy("sig").agg(F.min("match").alias("match"))
     decided = classes.join(matched, "sig", "left")
