@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .cut import cut
+from .cut import cut, release
 from .words import U64, mix, shingle_sets, slices
 
 SHINGLE = 5
@@ -261,8 +261,10 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
     centers = (salted.select("a", "salt").distinct().withColumn("b", F.col("a"))
                .join(named, "b").select("a", "salt", F.lit(0).alias("turn"), "b", "text"))
     grouped = centers.union(others).repartition("a", "salt").sortWithinPartitions("a", "salt", "turn")
-    return cut(grouped.select("a", "salt", "b", "text").mapInArrow(
+    out = cut(grouped.select("a", "salt", "b", "text").mapInArrow(
         _compared(size), "a bigint, b bigint, shared bigint, total bigint"))
+    release(salted)
+    return out
 
 
 def _sketches(size: int, percent: int):
@@ -333,7 +335,9 @@ def _uncrowded(shared: DataFrame, sketches: DataFrame) -> DataFrame:
     dropped = hot.withColumn("turn", F.row_number().over(fullest)).where(F.col("turn") <= F.get("spare", code))
     left = cut(shared.select("key", "node").join(dropped.select("key", "node"), ["key", "node"], "left_anti"))
     first = left.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
-    return cut(left.join(first.drop("last"), "key"))
+    out = cut(left.join(first.drop("last"), "key"))
+    release(left)
+    return out
 
 
 def _rest(
@@ -388,13 +392,15 @@ def jaccard_groups(
         keys.repartition("key").sortWithinPartitions("key", "node")
         .mapInArrow(_shared_keys, "key bigint, node bigint, pivot bigint"))
     sketches = cut(texts.mapInArrow(_sketches(size, percent), SKETCH))
-    shared = _uncrowded(shared, sketches)
+    every, shared = shared, _uncrowded(shared, sketches)
+    release(every)
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     first = verify(possible(stars, sketches, percent), texts, size)
     linked = F.col("shared") * 100 >= F.col("total") * percent
     links = first.where(linked).select("a", "b")
     rest = _rest(shared, first, links, sketches, percent)
     second = verify(rest, texts, size).where(linked).select("a", "b")
+    release(texts, sketches, shared)
     groups = connected_components(links.union(second))
     placed = rows.join(groups, "node", "left").select(
         "doc_id", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
