@@ -127,17 +127,18 @@ def repeated_lines(
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     shared = cut(rows.select(
         "*", F.first(F.struct("sig", "n", "pos")).over(so_far).alias("pivot"),
-        F.lead("sig").over(in_order).isNotNull().alias("more")
-    ).where(F.col("more") | (F.col("sig") != F.col("pivot.sig"))).drop("more"))
+        F.row_number().over(in_order).alias("turn"), F.lead("sig").over(in_order).isNotNull().alias("more")
+    ).where(F.col("more") | (F.col("turn") > 1)))
     starred = shared.where(F.col("sig") != F.col("pivot.sig")).select(F.struct("sig", "n", "pos").alias("a"), F.col("pivot").alias("b"))
     stars = cut(starred.where(_may_match("a", "b", percent)).select(
         F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct())
     found = _verified(stars, classes, docs, table, percent)
-    left = shared.join(found.select("sig").distinct(), "sig", "left_anti").where(F.col("sig") != F.col("pivot.sig"))
-    a, b = left.alias("a"), shared.alias("b")
-    later = F.col("b.first") < F.col("a.first")
-    untested = F.col("b.sig") != F.col("a.pivot.sig")
-    rest = a.join(b, (F.col("a.word") == F.col("b.word")) & later & untested & _may_match("a", "b", percent)).select(
+    # The first set of a word has been compared with the others: two more are needed for a new pair.
+    narrow = shared.select("word", "sig", "n", "pos", "turn", "more")
+    a = narrow.where("turn >= 3").join(found.select("sig").distinct(), "sig", "left_anti").alias("a")
+    b = narrow.where("turn >= 2 AND more").alias("b")
+    later = F.col("b.turn") < F.col("a.turn")
+    rest = a.join(b, (F.col("a.word") == F.col("b.word")) & later & _may_match("a", "b", percent)).select(
         F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct()
     rest = cut(rest)
     release(stars, shared)
