@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .cut import cut, release
 
-PERCENT = 90
+PERCENT = 85
 LEAST_WORDS = 5
 RARITY_BUCKETS = 1 << 14  # a power of two
 

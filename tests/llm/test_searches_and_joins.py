@@ -168,6 +168,16 @@ def test_lines_go_if_an_earlier_one_is_similar(spark):
     assert left[70]["text"] is None and left[None]["text"] == rows[0][1]
 
 
+def test_lines_with_one_word_in_thirteen_replaced_are_repeats(spark):
+    assert line_dedup.PERCENT == 85
+    rows = []
+    for size in (12, 13, 18, 19):  # one word replaced: 11/13, 12/14, 17/19 and 18/20 of the words are shared
+        line = [f"w{size}_{i}" for i in range(size)]
+        rows += [(10 * size, " ".join(line)), (10 * size + 1, " ".join([*line[:4], "other", *line[5:]]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()} == {131, 181, 191}
+
+
 def test_no_lines(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.repeated_lines(docs).count() == 0
