@@ -117,8 +117,9 @@ def load_model(
     """Run one load into the raw table under ``root`` and return its statistics.
 
     The mark is saved after the merge, so a load that stops is simply run again. ``malformed``
-    are landed lines that could not be read: they are kept under ``_malformed`` and counted
-    as invalid rows of no company. The statistics are appended to the run log.
+    are landed lines that could not be read, with their files: those not kept yet are kept
+    under ``_malformed`` and counted as invalid rows of no company. The statistics are
+    appended to the run log, before the lines are kept: a load that stops between counts twice.
     """
     spec = MODELS[model]
     marks = f"{root.rstrip('/')}/_watermarks"
@@ -130,13 +131,15 @@ def load_model(
     stats = load_stats(flagged, model, "read_at")
     if malformed is not None:
         kept = f"{root.rstrip('/')}/_malformed/{spec.table}"
-        malformed.write.mode("append").parquet(kept)
-        bad = malformed.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        broken = durable(not_kept(spark, malformed, kept))
+        bad = broken.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
         stats = stats.unionByName(bad.select(
             F.lit(model).alias("model"), F.lit(None).cast("bigint").alias("company_id"), F.lit(0).cast("bigint").alias("rows"),
             F.col("n").alias("invalid_rows"), F.lit(None).cast("timestamp_ntz").alias("watermark")))
     stats = durable(stats)
     stats.write.mode("append").parquet(run_log(root))
+    if malformed is not None:
+        broken.write.mode("append").parquet(kept)
     if refresh_at is None and use_marks:
         advanced = advance_watermark(state, stats)
         changed = advanced.where(F.col("model") == model).exceptAll(state)
@@ -144,6 +147,17 @@ def load_model(
     return stats
 
 
+def not_kept(spark: SparkSession, malformed: DataFrame, kept: str) -> DataFrame:
+    """(value, file) of the lines that are not under ``kept`` yet; of equal lines of a file, as many as are missing there."""
+    lines = ["value", "file"]
+    found = malformed.groupBy(*lines).agg(F.count(F.lit(1)).alias("n"))
+    if exists(spark, kept):
+        known = spark.read.schema("value string, file string").parquet(kept).groupBy(*lines).agg(
+            F.count(F.lit(1)).alias("known"))
+        found = found.join(known, lines, "left").withColumn("n", F.col("n") - F.coalesce("known", F.lit(0)))
+    return found.where("n > 0").select(*lines, F.explode(F.sequence(F.lit(1), "n")).alias("copy")).drop("copy")
+
+
 def run_log(root: str) -> str:
     """Folder of the statistics of all loads."""
     return f"{root.rstrip('/')}/_run_log"
@@ -161,13 +175,16 @@ def load_landed(
     fmt: str = "json",
     **options,
 ) -> DataFrame:
-    """Load what is new in a landing folder: the companies' lowest mark bounds what is read at all."""
+    """Load what is new in a landing folder: the companies' lowest mark bounds what is read at all.
+
+    Lines that are no JSON have no date, so every load looks for them in the whole folder.
+    """
     bound = None
     if refresh_at is None:
         state = read_watermarks(spark, f"{root.rstrip('/')}/_watermarks")
         bound = lowest_mark(state, model, company_ids, shared=not copy_shared)
     records = read_model(spark, landing, model, fmt=fmt, newer_than=bound)
-    bad = malformed_records(spark, landing, model) if fmt == "json" and bound is None else None
+    bad = malformed_records(spark, landing, model) if fmt == "json" else None
     return load_model(spark, records, model, root, company_ids=company_ids, copy_shared=copy_shared,
                       refresh_at=refresh_at, malformed=bad, **options)
 

@@ -102,13 +102,18 @@ def read_model(
 
 
 def malformed_records(spark: SparkSession, root: str, model: str) -> DataFrame:
-    """(value): landed lines of a model that are no JSON, which :func:`read_model` leaves out."""
-    return malformed_lines(spark.read.text(f"{root.rstrip('/')}/{model}"))
+    """(value, file): landed lines of a model that are no JSON, which :func:`read_model` leaves out."""
+    return malformed_lines(with_file(spark.read.text(f"{root.rstrip('/')}/{model}")))
+
+
+def with_file(lines: DataFrame) -> DataFrame:
+    """(value, file) of lines as the text source gives them."""
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def malformed_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     value = F.col(text)
-    return lines.where(F.try_parse_json(value).isNull() & (F.trim(value) != "")).select(value.alias("value"))
+    return lines.where(F.try_parse_json(value).isNull() & (F.trim(value) != "")).select(value.alias("value"), "file")
 
 
 def parse_records(df: DataFrame, model: str, text: str = "value") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.predicates import domain_filter
 from ..plans.loading import load_model
-from ..sources.models import MODELS, malformed_lines, parse_records
+from ..sources.models import MODELS, malformed_lines, parse_records, with_file
 
 
 def stream_load(
@@ -34,8 +34,8 @@ def stream_load(
     run log and the lines that are no JSON are treated as in the batch loader.
     """
     spec = MODELS[model]
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
-             .load(f"{landing.rstrip('/')}/{model}"))
+    lines = with_file(spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
+                      .load(f"{landing.rstrip('/')}/{model}"))
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         records = domain_filter(parse_records(batch, model), spec.domain)

@@ -215,6 +215,23 @@ def test_lines_that_are_no_json_are_kept_and_counted(spark, land, tmp_path):
     assert spark.read.parquet(run_log(root)).count() == 2
 
 
+def test_broken_lines_of_later_loads_are_kept_once(spark, land, tmp_path):
+    root, folder = str(tmp_path / "raw"), tmp_path / "landing" / "stock.move"
+    landing = land("stock.move", move(1), move(2, company_id=False))
+    load = lambda **more: rows_of(load_landed(
+        spark, landing, "stock.move", root, company_ids=[2], **more).where("company_id IS NULL"), "invalid_rows")
+    kept = lambda: rows_of(spark.read.parquet(f"{root}/_malformed/stock_move"), "value")
+    (folder / "broken.json").write_text("{a\n")
+    assert load() == [(1,)]
+    assert lowest_mark(read_watermarks(spark, f"{root}/_watermarks"), "stock.move", [2]) is not None
+    (folder / "later.json").write_text("{b\n{a\n{b\n")
+    assert load() == [(3,)] and kept() == [("{a",), ("{a",), ("{b",), ("{b",)]
+    assert load() == [] and load(refresh_at=dt.datetime(2024, 5, 1)) == [] and len(kept()) == 4
+    (folder / "later.json").write_text("{b\n{a\n{b\n{b\n")
+    assert load() == [(1,)] and len(kept()) == 5
+    assert rows_of(spark.read.parquet(run_log(root)).where("company_id IS NULL"), "invalid_rows") == [(1,), (1,), (3,)]
+
+
 def test_the_lowest_mark_reaches_the_source(spark, frame, tmp_path):
     landing, root = str(tmp_path / "landing"), str(tmp_path / "raw")
     typed = "id bigint, company_id bigint, name string, usage string, write_date timestamp_ntz, create_date timestamp_ntz"
