@@ -7,14 +7,17 @@ and a hit gives a pair and the shift between the two texts. Around the hits of a
 words are compared one by one: a stretch of at least ``span`` places (or the whole item, if
 that is shorter) with enough equal words is an overlap.
 
-Items shorter than the span use the masks cut to their length; those of fewer than
-``LEAST_WORDS`` words could be any phrase and identify nothing. Before the join, document hashes pass a bitmap of fixed size filled with the
-benchmark's hashes; what passes by chance finds no partner in the join.
+Items shorter than the span have masks of their own length; those of fewer than
+``EXACT_WORDS`` words are found where all their words follow each other. Before the join,
+document hashes pass a bitmap of fixed size filled with the benchmark's hashes; what passes by
+chance finds no partner in the join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +28,37 @@ from .cut import cut
 from .words import U64, mix, slices, windows, word_hashes
 
 SPAN = 12
-# Places of a window that count. No two adjacent replaced words spoil all of them.
-MASKS = ((0, 1, 2, 3, 8, 9, 10, 11), (0, 1, 4, 5, 6, 7, 10, 11), (0, 2, 3, 5, 6, 8, 9, 11), (2, 3, 4, 5, 6, 7, 8, 9))
-LEAST_WORDS = 8
+# Places of a window that count. Any three of the places are all ignored by one of the masks, so that every
+# window with LEAST_EQUAL of its words equal hits.
+MASKS = (
+    (0, 1, 2, 4, 9, 11), (0, 1, 2, 5, 6, 7), (0, 1, 3, 4, 5, 11),
+    (0, 1, 3, 7, 8, 9), (0, 2, 4, 7, 9, 10), (0, 2, 5, 8, 10, 11),
+    (0, 3, 6, 9, 10, 11), (0, 4, 6, 7, 8, 10), (1, 2, 3, 4, 8, 10),
+    (1, 4, 5, 6, 9, 10), (1, 6, 7, 8, 10, 11), (2, 3, 4, 6, 7, 11),
+    (2, 3, 5, 6, 8, 9), (2, 3, 7, 9, 10, 11), (4, 5, 7, 8, 9, 11),
+)
+LEAST_WORDS = 1
+EXACT_WORDS = 8
 LEAST_EQUAL = 0.75
 BITMAP_BITS = 1 << 26
 
 Masks = Sequence[Sequence[int]]
 
 
-def _length_masks(masks: Masks, span: int, lengths: Sequence[int]) -> list[tuple[int, list[int]]]:
-    """(window length, places that count) of the full masks and of those cut to shorter items."""
-    cut = {(length, tuple(p for p in mask if p < length)) for length in [span, *lengths] for mask in masks}
-    return sorted((length, list(mask)) for length, mask in cut if mask)
+def _seeds(
+    masks: Masks, span: int, lengths: Sequence[int], least_equal: float, exact_words: int
+) -> list[tuple[int, list[int]]]:
+    """(window length, places that count) of the full masks and of those of shorter items.
+
+    The places of a short item are dealt to two groups more than words may be replaced, and
+    each mask ignores as many groups as that: replaced words lie in no more of them.
+    """
+    seeds = [(span, list(mask)) for mask in masks]
+    for length in lengths:
+        replaced = 0 if length < exact_words else length - math.ceil(least_equal * length)
+        for ignored in combinations(range(replaced + 2), replaced):
+            seeds.append((length, [p for p in range(length) if p % (replaced + 2) not in ignored]))
+    return [(length, mask) for length, mask in seeds if mask]
 
 
 def _hashed(key: str, text: str, seeds: list[tuple[int, list[int]]], whole_only: bool, bitmap=None):
@@ -84,18 +105,19 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     return bitmap
 
 
-def _overlaps(span: int, least_equal: float):
+def _overlaps(span: int, least_equal: float, exact_words: int):
     """The best overlap of each (document, item) row: whole texts compared along the shifts hit."""
     def best(doc: np.ndarray, item: np.ndarray, shifts: list[int]):
         top = None
         need = min(span, len(item))
+        share = 1 if len(item) < exact_words else least_equal
         for shift in shifts:
             low, high = max(0, -shift), min(len(item), len(doc) - shift)
             equal = (item[low:high] == doc[low + shift:high + shift]).astype(np.int64)
             if len(equal) < need:
                 continue
             sums = np.r_[0, np.cumsum(equal)]
-            good = np.flatnonzero(sums[need:] - sums[:-need] >= least_equal * need)
+            good = np.flatnonzero(sums[need:] - sums[:-need] >= share * need)
             if not len(good):
                 continue
             start, stop = int(good[0]), int(good[-1]) + need
@@ -130,6 +152,7 @@ def overlaps(
     masks: Masks = MASKS,
     span: int = SPAN,
     least_words: int = LEAST_WORDS,
+    exact_words: int = EXACT_WORDS,
     least_equal: float = LEAST_EQUAL,
     bitmap_bits: int = BITMAP_BITS,
 ) -> DataFrame:
@@ -137,14 +160,15 @@ def overlaps(
 
     ``doc_word`` and ``item_word`` count words from 0. Null or empty texts overlap with
     nothing, rows without an id are left out, and rows that repeat an id count as one text
-    each, of which the best overlap is kept. Only the ids and texts are read.
+    each, of which the best overlap is kept. Only the ids and texts are read. ``masks`` have to
+    ignore together as many places of a window, wherever they are, as ``least_equal`` lets differ.
     """
     items = benchmark.select("item_id", F.col("text").alias("item_text")).where("item_id IS NOT NULL")
     source = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     # Lengths below the span only: at most ``span`` numbers.
     length = F.size(F.regexp_extract_all("item_text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     short = sorted(r[0] for r in items.select(length.alias("n")).where(f"n >= {least_words} AND n < {span}").distinct().collect())
-    seeds = _length_masks(masks, span, short)
+    seeds = _seeds(masks, span, short, least_equal, exact_words)
     seen = cut(items.mapInArrow(
         _hashed("item_id", "item_text", seeds, True), "item_id bigint, place bigint, hash bigint"))
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seen, bitmap_bits))
@@ -157,7 +181,7 @@ def overlaps(
     texts = source.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     both = pairs.join(texts, "doc_id").join(items, "item_id")
     found = both.select("doc_id", "item_id", "shifts", "text", "item_text").mapInArrow(
-        _overlaps(span, least_equal),
+        _overlaps(span, least_equal, exact_words),
         "doc_id bigint, item_id bigint, doc_word bigint, item_word bigint, n_words bigint, n_equal bigint")
     order = F.struct("n_equal", "n_words", -F.col("doc_word"), -F.col("item_word"))
     kept = ("doc_word", "item_word", "n_words", "n_equal")

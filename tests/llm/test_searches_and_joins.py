@@ -208,6 +208,33 @@ def test_passages_are_found_with_words_replaced_and_clean_texts_are_not(spark):
     assert decontaminate.overlaps(docs, none, bitmap_bits=1 << 20).count() == 0
 
 
+def test_every_passage_that_qualifies_is_found(spark):
+    for places in combinations(range(decontaminate.SPAN), 3):
+        assert any(not set(places) & set(mask) for mask in decontaminate.MASKS)
+    draw, items, rows, dirty = np.random.default_rng(17), [], [], set()
+    for i, size in enumerate([12, 16, 20, 30, 8, 9, 10, 11, 5, 1]):
+        item = prose(8000 + i, size)
+        items.append((i, " ".join(item)))
+        need = min(size, 12)
+        for kind in range(40):
+            if kind < 4:
+                places = set(range(kind, size, 4))  # every fourth word
+            else:
+                places = set(draw.choice(size, min(size, int(draw.integers(1, 2 + size // 4))), replace=False).tolist())
+            passage = [f"y{kind}_{p}" if p in places else word for p, word in enumerate(item)]
+            best = max(sum(p not in places for p in range(a, a + need)) for a in range(size - need + 1))
+            doc = 100 * i + kind
+            rows.append((doc, " ".join([f"a{doc}"] * 5 + passage + [f"b{doc}"] * 5)))
+            if best == need if size < 8 else best >= 0.75 * need:
+                dirty.add((doc, i))
+        rows.append((100 * i + 99, " ".join(["before", *item, "after"])))
+        dirty.add((100 * i + 99, i))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench, bitmap_bits=1 << 20).collect()}
+    assert {(doc, item) for doc, item in found if doc // 100 == item} == dirty and len(dirty) > 150
+
+
 def test_hilbert_order_visits_neighbours():
     cells = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
     keys = hilbert_search.hilbert_keys(cells, 3)
