@@ -11,6 +11,7 @@ A line goes if an earlier line, by (doc_id, line number), has the same set or a
 whether or not that line stays. So it is enough to find one earlier match. Every set is
 first compared with the earliest set of each of its words; only those that are still there
 are then compared with all others that share a word. Copies of a set are one set throughout.
+Sets too small to be similar to any but their equals skip these comparisons.
 
 Everything is DataFrame code; words and sets are compared by 64-bit hashes (55 bits of a
 word's, next to its rarity).
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from .cut import cut, release
 
 PERCENT = 85
-LEAST_WORDS = 5
+LEAST_WORDS = 1  # lines without words are left alone
 RARITY_BUCKETS = 1 << 14  # a power of two
 
 
@@ -78,6 +79,11 @@ def prefix_length(size: Column, percent: int) -> Column:
     return size - F.ceil(size * percent / 100) + 1
 
 
+def _has_others(size: Column, percent: int) -> Column:
+    """Whether a set may be similar to a different one: at best that is itself and one word more."""
+    return size * 100 >= (size + 1) * percent
+
+
 def _may_match(a: str, b: str, percent: int) -> Column:
     """Length and positional filters for rows ``a`` and ``b`` of one word."""
     na, nb, pa, pb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
@@ -121,7 +127,8 @@ def repeated_lines(
     place = F.struct("doc_id", "line_no", "text_hash")
     classes = cut(lines.groupBy("sig").agg(F.min(place).alias("first")))
     firsts = lines.join(classes, "sig").where(place == F.col("first")).dropDuplicates(["sig"])
-    rows = firsts.select("sig", "n", "first", F.posexplode("prefix").alias("pos", "word"))
+    rows = firsts.where(_has_others(F.col("n"), percent)).select(
+        "sig", "n", "first", F.posexplode("prefix").alias("pos", "word"))
     # Streams over the rows of a word in order; a frame never has to hold them.
     in_order = Window.partitionBy("word").orderBy("first", "sig")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

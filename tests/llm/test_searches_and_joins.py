@@ -178,6 +178,14 @@ def test_lines_with_one_word_in_thirteen_replaced_are_repeats(spark):
     assert {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()} == {131, 181, 191}
 
 
+def test_short_lines_are_removed_if_an_equal_one_is_before_them(spark):
+    short = "All rights reserved.\n\nfin\nla la la la la la"
+    rows = [(1, short), (2, f"own words here\n{short}"), (3, "reserved. all RIGHTS\n \nfinal\n\u5168\u6587\n\u5168\u6587")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    gone = {(r["doc_id"], r["line_no"]) for r in line_dedup.repeated_lines(docs).collect()}
+    assert gone == {(2, 1), (2, 3), (2, 4), (3, 0), (3, 4)}
+
+
 def test_no_lines(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.repeated_lines(docs).count() == 0
