@@ -22,23 +22,36 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return line_dedup.without_repeated_lines(docs, line_dedup.repeated_lines(docs))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``, which tells rows apart that share an id but not the text, or have none."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies.
+    """The document with the smallest id of each group of near copies; one without an id only if no other has one.
 
-    Texts without words, and rows without an id, stay; of rows that repeat an id one stays.
+    Texts without words stay; of rows that repeat both id and text one stays.
     """
-    groups = durable(shingle_join.jaccard_groups(docs))
-    copies = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(copies, "doc_id", "left_anti")
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").union(once).select(*docs.columns)
+    keyed = _keyed(docs)
+    groups = durable(shingle_join.jaccard_groups(keyed.select(F.col("_key").alias("doc_id"), "text"))).select(
+        F.col("doc_id").alias("_key"), "component_id")
+    members = groups.distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    kept = members.groupBy("component_id").agg(F.min_by("_key", first).alias("_key"))
+    copies = groups.select("_key").distinct().join(kept, "_key", "left_anti")
+    repeated = groups.groupBy("_key").count().where("count > 1").select("_key")
+    left = keyed.join(copies, "_key", "left_anti")
+    once = left.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
+    return left.join(repeated, "_key", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    keyed = _keyed(docs)
+    found = decontaminate.overlaps(
+        keyed.select(F.col("_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    dirty = found.select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(dirty, "_key", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,18 @@ def test_stages_keep_clean_documents_and_drop_planted_ones(spark, tmp_path):
     assert set(ids) == {doc for doc, _ in rows} - gone
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, tmp_path):
+    a, b, c, d, item = (" ".join(prose(60_000 + i, 60)) for i in range(5))
+    rows = [(9, a), (10, a), (10, b), (11, c), (11, f"{d} {item}"), (11, c), (None, b), (None, d), (None, d)]
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    once = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path))
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(
+        [(9, a), (10, b), (11, c), (11, f"{d} {item}"), (None, d)], key=str)
+    clean = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path))
+    assert sorted(map(tuple, clean.collect()), key=str) == sorted((r for r in rows if item not in r[1]), key=str)
+
+
 def test_every_operator_has_a_query():
     names = list(contract.queries())
     assert [sum(bool(re.match(rf"op{n}_", name)) for name in names) for n in range(1, 11)] == [1] * 10
