@@ -8,7 +8,8 @@ each tier, fills the gaps of the longest window first. The last gap of a task go
 second level, where the remainders of many tasks are packed in the same way; a sequence that
 is still not full there is cut to powers of two, so that only its last few tokens are padded.
 
-Sequences of equal length are dealt to step groups of equal token counts.
+A task deals its sequences of equal length to step groups of at most ``step_tokens`` tokens; the
+last group of each tier is partial, and nothing is balanced across tasks.
 """
 
 from __future__ import annotations
