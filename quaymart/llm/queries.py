@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, hilbert_search, line_dedup, packing, secrets, shingle_join, token_counts, toxicity, url_rules, warc)
+    centroids, conversation_trie, decontaminate, hilbert_search, line_dedup, packing, prefix_bpe, secrets, shingle_join,
+    token_counts, toxicity, url_rules, warc)
 from .workers import reach
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,10 +93,25 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return prefix_bpe.digests(
+        _table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_hilbert_search, op3_secrets, op4_line_dedup, op5_token_counts, op6_url_filter, op7_warc,
-        op8_packing, op9_decontamination, op10_jaccard_join)}
+        op8_packing, op9_decontamination, op10_jaccard_join, op11_prefix_bpe, op12_conversation_trie, op13_centroids)}
 
 
 #: SQL of the queries that SQL can express on whole tables.

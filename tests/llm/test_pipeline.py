@@ -71,5 +71,5 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     names = list(contract.queries())
-    assert [sum(bool(re.match(rf"op{n}_", name)) for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(bool(re.match(rf"op{n}_", name)) for name in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and "op6_url_filter" in contract.oracle_sql()
