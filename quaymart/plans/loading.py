@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import EPOCH
 from ..operators.cleaning import attribute_companies, normalize, rename, required_ok
+from ..operators.predicates import domain_filter
 from ..operators.pricing import repair_standard_price, with_property_cost
 from ..operators.sizing import durable, lookup_join
 from ..sources.control import read_watermarks, save_watermarks
+from ..sources.landed_files import landed_files, not_taken, note_taken
 from ..sources.landing import exists, merge_table
-from ..sources.models import MODELS, ModelSpec, malformed_records, read_model
+from ..sources.models import MODELS, ModelSpec, landed_lines, newer, read_model
 
 
 def incremental(df: DataFrame, state: DataFrame, model: str, version: str = "write_date") -> DataFrame:
@@ -175,18 +177,39 @@ def load_landed(
     fmt: str = "json",
     **options,
 ) -> DataFrame:
-    """Load what is new in a landing folder: the companies' lowest mark bounds what is read at all.
-
-    Lines that are no JSON have no date, so every load looks for them in the whole folder.
+    """Load what is new in a landing folder: files not taken before, and of these what is after the lowest mark.
+
+    The log of files makes a load open new and changed files only, each once: records and
+    lines that are no JSON come from one pass. A full refresh takes all files, and so does
+    the first load that asks for a company. Shared records and companies are asked for
+    alike. The files are logged last, so a load that stops takes them again; what it had
+    merged or kept by then does not change anything. A JDBC source has no files; there the
+    bound alone limits what is read.
     """
+    spec, base = MODELS[model], root.rstrip("/")
     bound = None
     if refresh_at is None:
-        state = read_watermarks(spark, f"{root.rstrip('/')}/_watermarks")
+        state = read_watermarks(spark, f"{base}/_watermarks")
         bound = lowest_mark(state, model, company_ids, shared=not copy_shared)
-    records = read_model(spark, landing, model, fmt=fmt, newer_than=bound)
-    bad = malformed_records(spark, landing, model) if fmt == "json" else None
-    return load_model(spark, records, model, root, company_ids=company_ids, copy_shared=copy_shared,
-                      refresh_at=refresh_at, malformed=bad, **options)
+    common = {"company_ids": company_ids, "copy_shared": copy_shared, "refresh_at": refresh_at, **options}
+    if fmt == "jdbc":
+        return load_model(spark, read_model(spark, landing, model, fmt=fmt, newer_than=bound), model, root, **common)
+    log = f"{base}/_files/{spec.table}"
+    files = landed_files(spark, f"{landing.rstrip('/')}/{model}")
+    if refresh_at is None:
+        files = not_taken(spark, files, log, company_ids)
+    files = durable(files)
+    paths = [row["path"] for row in files.select("path").collect()]  # as Spark's own reader lists them
+    if fmt == "json":
+        lines = durable(landed_lines(spark, paths, model))
+        records = domain_filter(newer(lines.where("broken IS NULL").drop("broken", "file"), bound), spec.domain)
+        broken = lines.where("broken IS NOT NULL").select(F.col("broken").alias("value"), "file")
+        stats = load_model(spark, records, model, root, malformed=broken, **common)
+    else:
+        records = read_model(spark, landing, model, fmt=fmt, newer_than=bound, files=paths)
+        stats = load_model(spark, records, model, root, **common)
+    note_taken(files, log, company_ids)
+    return stats
 
 
 def load_all(

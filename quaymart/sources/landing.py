@@ -1,14 +1,15 @@
-"""Parquet tables: creation, append, month partitions, idempotent overwrite and batch merge.
+"""Parquet tables: creation, append, idempotent replacement by month, and batch merge.
 
-A table with months is replaced month by month through dynamic partition overwrite. One
-without (products, stock on hand and the like) is written whole to a new ``snapshot=``
-folder; the newest finished one counts, so there is a complete table at every moment.
+Every write stages its rows under a run of its own and commits them with one pointer
+(:mod:`.pointer`): months that are replaced, added or dropped change together. A raw table
+with months keeps an index of its keys, (key, month) in hash buckets, that a merge asks where
+older versions lie; it is committed by the same pointer.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,14 @@ from pyspark.sql import functions as F
 from ..operators.sizing import broadcast_if_small, durable
 from ..operators.versions import latest, merge_batch
 from ..schemas import MART_TABLES, RAW_TABLES, TableSpec, enforce_schema, with_month
+from .pointer import Pointer, children, commit, current, exists, next_run
+
+__all__ = ["append_table", "ensure_tables", "exists", "merge_forecast", "merge_table", "read_table", "refresh_table",
+           "table_path", "write_mart"]
+
+KEY_BUCKETS = 32
+KEY_RUNS = 8  # runs of a bucket from which they are made one
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_path(root: str, name: str) -> str:
@@ -28,66 +37,93 @@ def _spec(name: str) -> TableSpec:
 
 def _partitions(spec: TableSpec) -> list[str]:
     """Month, and below it the day for daily snapshots, so that a day is replaced alone."""
+    if spec.month_of is None:
+        return []
     return ["p_month", "snapshot_date"] if spec.month_of == "snapshot_date" else ["p_month"]
 
 
+def _month_of(part: str) -> str | None:
+    month = part.split("/")[0].removeprefix("p_month=")
+    return None if month == NO_MONTH else month
+
+
+# --- names ------------------------------------------------------------------------------------------
+
+
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
-    """Name every raw and mart table, so that SQL finds the newest content under ``root``."""
+    """Name every raw and mart table, so that SQL finds the newest content under ``root``, after later writes too."""
     return [refresh_table(spark, root, name) for name in (*RAW_TABLES, *MART_TABLES)]
 
 
-def refresh_table(spark: SparkSession, root: str, name: str) -> str:
-    """Let the table's name show what was written last; for readers that go by names, after a write.
+def table_name(name: str) -> str:
+    return ("raw_" if name in RAW_TABLES else "mart_") + name
 
-    A table with months takes up new months and forgets vanished ones, one without points
-    to its newest finished snapshot.
-    """
-    spec, path = _spec(name), table_path(root, name)
-    named = ("raw_" if name in RAW_TABLES else "mart_") + name
-    if spec.month_of:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {named} ({spec.ddl}, p_month string) USING parquet "
-                  f"PARTITIONED BY ({', '.join(_partitions(spec))}) LOCATION '{path}'")
-        if exists(spark, path):
-            spark.sql(f"MSCK REPAIR TABLE {named} SYNC PARTITIONS")
+
+def refresh_table(spark: SparkSession, root: str, name: str) -> str:
+    """Let the table's name show what the pointer names: a view, replaced in one statement."""
+    return _name(spark, root, name, current(spark, table_path(root, name)))
+
+
+def _name(spark: SparkSession, root: str, name: str, pointer: Pointer) -> str:
+    spec, path, named = _spec(name), table_path(root, name), table_name(name)
+    wanted = {**spec.columns, **({"p_month": "string"} if spec.month_of else {})}
+    columns = ", ".join(f"CAST({c} AS {kind}) AS {c}" for c, kind in wanted.items())
+    if pointer.parts:
+        # Partitions are told by their folders, so that other runs are not even opened.
+        kept = ", ".join(f"'run={run}/{part}'" for part, runs in sorted(pointer.parts.items()) for run in runs)
+        levels = ["run", *_partitions(spec)]
+        folder = ", '/', ".join(f"'{c}=', coalesce(CAST({c} AS STRING), '{NO_MONTH}')" for c in levels)
+        end = "" if spec.month_of else ", '/'"
+        body = f"SELECT {columns} FROM parquet.`{path}` WHERE concat({folder}{end}) IN ({kept})"
     else:
-        finished = [number for number, done in _snapshots(spark, path) if done]
-        newest = f"{path}/snapshot={max(finished)}" if finished else f"{path}/snapshot=0"
-        spark.sql(f"DROP TABLE IF EXISTS {named}")  # external: the files stay
-        spark.sql(f"CREATE TABLE {named} ({spec.ddl}) USING parquet LOCATION '{newest}'")
-    spark.catalog.refreshTable(named)
+        body = "SELECT " + ", ".join(f"CAST(NULL AS {kind}) AS {c}" for c, kind in wanted.items()) + " WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {named} TBLPROPERTIES ('folder' = '{path}') AS {body}")
     return named
 
 
+def _renew_name(spark: SparkSession, root: str, name: str, pointer: Pointer) -> None:
+    """After a commit: a name that shows this folder shows its new content."""
+    named = table_name(name)
+    if spark.catalog.tableExists(named):
+        shown = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {named}").collect()}
+        if shown.get("folder") == table_path(root, name):
+            _name(spark, root, name, pointer)
+
+
+# --- reading ----------------------------------------------------------------------------------------
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read with the declared schema; filters on ``p_month`` prune whole months."""
-    spec, path = _spec(name), table_path(root, name)
-    schema = f"{spec.ddl}, p_month string" if spec.month_of else spec.ddl
-    if spec.month_of is None:
-        finished = [number for number, done in _snapshots(spark, path) if done]
-        path = f"{path}/snapshot={max(finished)}" if finished else None
-    elif not exists(spark, path):
-        path = None
-    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+    return _read(spark, root, name, current(spark, table_path(root, name)))
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """Numbers of the snapshots of a table and whether each was finished."""
-    files, folder = _path(spark, path)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("snapshot="))
-    return [(n, exists(spark, f"{path}/snapshot={n}/_SUCCESS")) for n in numbers]
+def _read(spark: SparkSession, root: str, name: str, pointer: Pointer, months: Iterable[str | None] | None = None) -> DataFrame:
+    """The content a pointer names, or only its partitions of some months."""
+    spec, path = _spec(name), table_path(root, name)
+    schema = f"{spec.ddl}, p_month string" if spec.month_of else spec.ddl
+    only = None if months is None else set(months)
+    folders = [f"{path}/run={run}/{part}".rstrip("/") for part, runs in sorted(pointer.parts.items())
+               if only is None or _month_of(part) in only for run in runs]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(f"{schema}, run string").option("basePath", path).parquet(*folders)
+    return found.select(*spec.columns, *(["p_month"] if spec.month_of else []))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    files, folder = _path(spark, path)
-    return files.exists(folder)
+# --- writing ----------------------------------------------------------------------------------------
 
 
 def append_table(df: DataFrame, root: str, name: str) -> int:
     """Append by column name to a raw table and return the number of rows written."""
-    return _write(enforce_schema(df, _spec(name)), root, name, "append")
+    spark, path, spec = df.sparkSession, table_path(root, name), _spec(name)
+    before = current(spark, path)
+    run = next_run(before)
+    rows, staged = _stage(enforce_schema(df, spec), path, spec, run)
+    parts = {**before.parts, **{part: (*before.parts.get(part, ()), run) for part in staged}}
+    keys = _index(spark, root, name, before, run, staged, None)
+    _commit(spark, root, name, before, parts, keys)
+    return rows
 
 
 def write_mart(
@@ -97,20 +133,18 @@ def write_mart(
 
     With ``day``, a snapshot that came out empty also clears what an earlier run left there.
     ``complete_from`` says that a monthly result is all there is from that month on: older
-    files of later months without rows are cleared. Forecasts are merged by their key.
+    files of later months without rows are cleared. Forecasts are merged by their key. All
+    of it is one commit.
     """
     if name == "demand_forecast":
         return merge_forecast(df, root, name)
-    rows = _write(enforce_schema(df, MART_TABLES[name]), root, name, "overwrite")
-    if day is not None and rows == 0 and "snapshot_date" in MART_TABLES[name].columns:
-        _drop_folder(df.sparkSession, f"{table_path(root, name)}/p_month={day:%Y%m}/snapshot_date={day:%Y-%m-%d}")
-    if complete_from is not None and MART_TABLES[name].month_of:
-        stored = read_table(df.sparkSession, root, name).select("p_month").where(
-            F.col("p_month") >= f"{complete_from:%Y%m}").distinct()
-        made = with_month(enforce_schema(df, MART_TABLES[name]), MART_TABLES[name]).select("p_month").distinct()
-        for gone in stored.join(made, "p_month", "left_anti").collect():
-            _drop_folder(df.sparkSession, f"{table_path(root, name)}/p_month={gone[0]}")
-    return rows
+    spec = MART_TABLES[name]
+
+    def gone(part: str) -> bool:
+        if day is not None and "snapshot_date" in spec.columns:
+            return part == f"p_month={day:%Y%m}/snapshot_date={day:%Y-%m-%d}"
+        return complete_from is not None and (_month_of(part) or "") >= f"{complete_from:%Y%m}"
+    return _replace(enforce_schema(df, spec), root, name, current(df.sparkSession, table_path(root, name)), gone)
 
 
 def merge_forecast(df: DataFrame, root: str, name: str = "demand_forecast") -> int:
@@ -118,94 +152,149 @@ def merge_forecast(df: DataFrame, root: str, name: str = "demand_forecast") -> i
     spec, spark = MART_TABLES[name], df.sparkSession
     fresh = durable(with_month(enforce_schema(df, spec), spec))
     months = [row[0] for row in fresh.select("p_month").distinct().collect()]
-    kept = read_table(spark, root, name).where(_in_months(months)).join(
-        fresh.select(*spec.keys), list(spec.keys), "left_anti")
-    merged = durable(fresh.select(*spec.columns).unionByName(kept.select(*spec.columns)))
-    return _write(merged, root, name, "overwrite")
+    before = current(spark, table_path(root, name))
+    kept = _read(spark, root, name, before, months).join(fresh.select(*spec.keys), list(spec.keys), "left_anti")
+    merged = fresh.select(*spec.columns).unionByName(kept.select(*spec.columns))
+    return _replace(merged, root, name, before)
+
 
+def _replace(
+    df: DataFrame, root: str, name: str, before: Pointer, gone: Callable[[str], bool] = lambda part: False,
+    changed: DataFrame | None = None,
+) -> int:
+    """Stage rows and let them replace the partitions they have and those that are ``gone``.
+
+    ``changed`` has the keys that a merge was about.
+    """
+    spark, path, spec = df.sparkSession, table_path(root, name), _spec(name)
+    run = next_run(before)
+    rows, staged = _stage(df, path, spec, run)
+    parts = {part: runs for part, runs in before.parts.items() if not gone(part)} | {part: (run,) for part in staged}
+    keys = _index(spark, root, name, before, run, staged, changed)
+    _commit(spark, root, name, before, parts, keys)
+    return rows
 
-def _write(df: DataFrame, root: str, name: str, mode: str) -> int:
-    """Write and count the rows.
+
+def _stage(df: DataFrame, path: str, spec: TableSpec, run: str) -> tuple[int, list[str]]:
+    """Write the rows of a run; the number of rows and the partitions they make.
 
     Rebalancing by month lets adaptive execution cut a large month into several files and
     keep a small one in one; inside a file the rows are in key order.
     """
-    written = Observation()
-    spec = _spec(name)
-    by = _partitions(spec) if spec.month_of else []
+    written, by = Observation(), _partitions(spec)
     out = with_month(df, spec).hint("rebalance", *by)
     out = out.sortWithinPartitions(*by, *[k for k in spec.keys if k not in by])
     # Observed last: an empty result is planned away below this point, count and all.
     out = out.observe(written, F.count(F.lit(1)).alias("rows"))
-    path = table_path(root, name)
-    if by:
-        writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-        writer.parquet(path)
-    else:
-        _write_snapshot(out, path, mode)
-    return int(written.get["rows"])
+    folder = f"{path}/run={run}"
+    (out.write.partitionBy(*by) if by else out.write).parquet(folder)
+    staged = [""]
+    for level in by:
+        staged = [f"{part}/{name}".lstrip("/") for part in staged
+                  for name in children(df.sparkSession, f"{folder}/{part}".rstrip("/")) if name.startswith(f"{level}=")]
+    return int(written.get["rows"]), staged
+
+
+def _commit(
+    spark: SparkSession, root: str, name: str, before: Pointer, parts: dict[str, tuple[str, ...]],
+    keys: dict[str, tuple[str, ...]],
+) -> None:
+    _renew_name(spark, root, name, commit(spark, table_path(root, name), before, parts, keys))
+
+
+# --- the key index ----------------------------------------------------------------------------------
+
+
+def _bucket(spec: TableSpec):
+    return F.pmod(F.xxhash64(spec.keys[-1]), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _indexed(name: str) -> bool:
+    return name in RAW_TABLES and RAW_TABLES[name].month_of is not None
 
 
-def _write_snapshot(df: DataFrame, path: str, mode: str) -> None:
-    """Append to the newest snapshot, or write the next one and keep the last one for its readers."""
-    spark = df.sparkSession
-    snapshots = _snapshots(spark, path)
-    finished = [number for number, done in snapshots if done]
-    if mode == "append" and finished:
-        df.write.mode("append").parquet(f"{path}/snapshot={max(finished)}")
-        return
-    number = max((n for n, _ in snapshots), default=0) + 1
-    df.write.parquet(f"{path}/snapshot={number}")
-    for old, _ in snapshots:
-        if not finished or old != max(finished):
-            _drop_folder(spark, f"{path}/snapshot={old}")
+def _entries(spark: SparkSession, path: str, spec: TableSpec, pointer: Pointer, buckets: Iterable[str]) -> DataFrame | None:
+    """(keys, p_month, sole, run) of some buckets; None if they have no files."""
+    folders = [f"{path}/_keys/run={run}/{bucket}" for bucket in sorted(buckets) for run in pointer.keys.get(bucket, ())]
+    if not folders:
+        return None
+    kinds = ", ".join(f"{k} {spec.columns[k]}" for k in spec.keys)
+    return spark.read.schema(f"{kinds}, p_month string, sole boolean, run string, bucket int").option(
+        "basePath", f"{path}/_keys").parquet(*folders).drop("bucket")
+
+
+def _places(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, p_month) of the rows that entries stand for: those of the last merge of a key and what was appended since."""
+    every = F.collect_set(F.struct("run", "p_month"))  # a key is in few runs of its bucket
+    listed = entries.groupBy(*keys).agg(every.alias("every"), F.max(F.when(F.col("sole"), F.col("run"))).alias("last"))
+    valid = F.filter("every", lambda e: F.col("last").isNull() | (e["run"] >= F.col("last")))
+    return listed.select(*keys, F.explode(F.array_distinct(F.transform(valid, lambda e: e["p_month"]))).alias("p_month"))
+
+
+def _index(
+    spark: SparkSession, root: str, name: str, before: Pointer, run: str, staged: Sequence[str], changed: DataFrame | None
+) -> dict[str, tuple[str, ...]]:
+    """Write the index entries of a staged run; the runs of every bucket afterwards.
+
+    Without ``changed`` the run's rows were appended, else they hold all there is of the
+    changed keys (``sole``). Entries are added; a bucket with many runs is written anew. An
+    entry may outlive its row, which only costs a merge the look into one more month.
+    """
+    if not _indexed(name):
+        return {}
+    spec, path = RAW_TABLES[name], table_path(root, name)
+    rows = _read(spark, root, name, Pointer(0, {part: (run,) for part in staged})).select(*spec.keys, "p_month")
+    if changed is not None:
+        rows = rows.join(broadcast_if_small(changed.distinct()), changed.columns, "left_semi").select(*spec.keys, "p_month")
+    rows = rows.distinct().withColumn("sole", F.lit(changed is not None))
+    crowded = [bucket for bucket, runs in before.keys.items() if len(runs) >= KEY_RUNS]
+    old = _entries(spark, path, spec, before, crowded)
+    if old is not None:
+        # What they stood for becomes one entry each, as if appended now, which a merge's own entries replace.
+        places = _places(old, spec.keys).withColumn("sole", F.lit(False))
+        if changed is not None:
+            places = places.join(broadcast_if_small(changed.distinct()), changed.columns, "left_anti").select(*rows.columns)
+        rows = rows.unionByName(places)
+    folder = f"{path}/_keys/run={run}"
+    (rows.withColumn("bucket", _bucket(spec)).hint("rebalance", "bucket").sortWithinPartitions("bucket", *spec.keys)
+     .write.partitionBy("bucket").parquet(folder))
+    fresh = [bucket for bucket in children(spark, folder) if bucket.startswith("bucket=")]
+    return {**{b: runs for b, runs in before.keys.items() if b not in crowded},
+            **{b: ((*before.keys.get(b, ()), run) if b not in crowded else (run,)) for b in fresh}}
+
+
+def _months_of(spark: SparkSession, path: str, spec: TableSpec, before: Pointer, rows: DataFrame, keys: list[str]) -> list[str | None]:
+    """The months that hold rows with the keys of a batch; only the batch's buckets are read."""
+    buckets = set(before.keys)
+    if spec.keys[-1] in keys:
+        buckets &= {f"bucket={r[0]}" for r in rows.select(_bucket(spec)).distinct().collect()}
+    entries = _entries(spark, path, spec, before, buckets)
+    if entries is None:
+        return []
+    found = entries.join(broadcast_if_small(rows.select(*keys)), keys, "left_semi")
+    return [r[0] for r in _places(found, spec.keys).select("p_month").distinct().collect()]
 
 
 def merge_table(
     spark: SparkSession, root: str, name: str, batch: DataFrame, keys: Sequence[str] | None = None
 ) -> int:
-    """Merge a batch into a raw table, rewriting only the months it touches.
+    """Merge a batch into a raw table, rewriting only the months it touches, once.
 
     Touched are the months of the batch rows and the months that hold older versions of
-    their keys, since a row may have moved from one month to another. The new content is
-    cut off through the checkpoint folder before any file is replaced. A run that stops
-    half way is repaired by merging the same batch again. The first batch of a table is
-    just written. ``keys`` replaces the declared key, as ``["id"]`` where a record may
-    change its company or product and should not survive under the old one.
+    their keys, since a row may have moved from one month to another; the key index tells
+    them, so other months are not read. A run that stops half way changes nothing. ``keys``
+    replaces the declared key, as ``["id"]`` where a record may change its company or product
+    and should not survive under the old one.
     """
-    spec = RAW_TABLES[name]
+    spec, path = RAW_TABLES[name], table_path(root, name)
     keys = list(keys or spec.keys)
-    if not exists(spark, table_path(root, name)):
-        return _write(latest(enforce_schema(batch, spec), keys, spec.version), root, name, "overwrite")
-    existing = read_table(spark, root, name)
-    fresh = enforce_schema(batch, spec)
+    before, fresh = current(spark, path), enforce_schema(batch, spec)
     if spec.month_of is None:
-        return _write(merge_batch(existing, fresh, keys, spec.version), root, name, "overwrite")
+        existing = _read(spark, root, name, before)
+        return _replace(merge_batch(existing, fresh, keys, spec.version), root, name, before)
     rows = durable(with_month(latest(fresh, keys, spec.version), spec))
-    older = existing.select(*keys, "p_month").join(broadcast_if_small(rows.select(*keys)), keys, "left_semi")
-    touched = [r[0] for r in rows.select("p_month").union(older.select("p_month")).distinct().collect()]
-    merged = merge_batch(
-        existing.where(_in_months(touched)).select(*spec.columns), rows.select(*spec.columns), keys, spec.version)
-    merged = durable(merged)
-    count = _write(merged, root, name, "overwrite")
-    left = {r[0] for r in with_month(merged, spec).select("p_month").distinct().collect()}
-    for month in set(touched) - left:
-        _drop_folder(spark, f"{table_path(root, name)}/p_month={month or '__HIVE_DEFAULT_PARTITION__'}")
-    return count
-
-
-def _in_months(months: list[str | None]):
-    named = [m for m in months if m is not None]
-    condition = F.col("p_month").isin(*named) if named else F.lit(False)
-    return condition | F.col("p_month").isNull() if None in months else condition
-
-
-def _drop_folder(spark: SparkSession, folder: str) -> None:
-    """Remove a partition without rows: dynamic overwrite leaves the old files in place."""
-    files, path = _path(spark, folder)
-    files.delete(path, True)
-
-
-def _path(spark: SparkSession, text: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(text)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+    touched = {r[0] for r in rows.select("p_month").distinct().collect()}
+    touched |= set(_months_of(spark, path, spec, before, rows, keys))
+    existing = _read(spark, root, name, before, touched).select(*spec.columns)
+    merged = merge_batch(existing, rows.select(*spec.columns), keys, spec.version)
+    return _replace(merged, root, name, before, lambda part: _month_of(part) in touched, rows.select(*keys))

@@ -74,10 +74,13 @@ def read_model(
     *,
     fmt: str = "json",
     newer_than: dt.datetime | None = None,
+    files: Sequence[str] | None = None,
     **options: str,
 ) -> DataFrame:
     """Read a model's landed records: project the fields, keep the rows of the domain.
 
+    ``files`` reads some files of the model's folder only.
+
     JSON lines are read as variants, because an unset value arrives as ``false`` whatever
     the field's type. Other formats (parquet, or jdbc with ``partitionColumn`` and bounds)
     are typed already; projection and filter are pushed down to them, and so is the bound
@@ -86,24 +89,41 @@ def read_model(
     spec = MODELS[model]
     fields = list(fields or spec.fields)
     domain = spec.domain if domain is None else domain
-    path = f"{root.rstrip('/')}/{model}"
-    if fmt == "json":
+    path = f"{root.rstrip('/')}/{model}" if files is None else list(files)
+    if files is not None and not files:
+        df = spark.createDataFrame([], ", ".join(f"{name} string" for name in fields))
+    elif fmt == "json":
         records = spark.read.options(**options).option("singleVariantColumn", "v").json(path).where("v IS NOT NULL")
         df = records.select(*[_landed("v", name).alias(name) for name in fields])
     elif fmt == "jdbc":
         df = spark.read.format("jdbc").options(**{"dbtable": spec.table, **options}).load().select(*fields)
     else:
         df = spark.read.format(fmt).options(**options).load(path).select(*fields)
-    if newer_than is not None:
-        bound = F.lit(newer_than.isoformat(sep=" ")).cast("timestamp_ntz")
-        typed = df.schema["write_date"].dataType != T.StringType()
-        df = df.where((F.col("write_date") if typed else F.col("write_date").try_cast("timestamp_ntz")) > bound)
-    return domain_filter(df, domain)
+    return domain_filter(newer(df, newer_than), domain)
+
 
+def landed_lines(spark: SparkSession, files: Sequence[str], model: str) -> DataFrame:
+    """The fields of every JSON line of some files, and of broken lines the line as ``broken``, with its ``file``.
 
-def malformed_records(spark: SparkSession, root: str, model: str) -> DataFrame:
-    """(value, file): landed lines of a model that are no JSON, which :func:`read_model` leaves out."""
-    return malformed_lines(with_file(spark.read.text(f"{root.rstrip('/')}/{model}")))
+    One pass over the files; a caller that needs records and broken lines writes it down once.
+    """
+    if not files:
+        lines = spark.createDataFrame([], "value string, file string")
+    else:
+        lines = with_file(spark.read.text(list(files)))
+    parsed = lines.withColumn("v", F.try_parse_json("value")).where("v IS NOT NULL OR trim(value) <> ''")
+    return parsed.select(
+        *[_landed("v", name).alias(name) for name in MODELS[model].fields],
+        F.when(F.col("v").isNull(), F.col("value")).alias("broken"), "file")
+
+
+def newer(df: DataFrame, bound: dt.datetime | None) -> DataFrame:
+    """Records with a ``write_date`` after a bound."""
+    if bound is None:
+        return df
+    limit = F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
+    typed = df.schema["write_date"].dataType != T.StringType()
+    return df.where((F.col("write_date") if typed else F.col("write_date").try_cast("timestamp_ntz")) > limit)
 
 
 def with_file(lines: DataFrame) -> DataFrame:

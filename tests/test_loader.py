@@ -12,6 +12,7 @@ from quaymart.schemas import MART_TABLES, RAW_TABLES, enforce_schema
 from quaymart.sources.control import read_watermarks, reset_watermarks, save_watermarks
 from quaymart.sources.landing import append_table, ensure_tables, merge_table, read_table, refresh_table, write_mart
 from quaymart.sources.models import MODELS, read_model
+from quaymart.sources.pointer import abandoned
 from quaymart.streaming.loader import stream_load
 from tests.conftest import rows_of
 
@@ -93,13 +94,14 @@ def test_merging_again_or_an_old_batch_changes_nothing(spark, tmp_path):
     moved = batch((1, 3, 7, 9.5, dt.datetime(2024, 1, 3)))
     merge_table(spark, root, name, moved, keys=["id"])
     assert rows_of(read_table(spark, root, name), "id", "company_id") == [(1, 3), (2, 2)]
-    # A snapshot that was not finished is neither read nor in the way of the next one.
-    read_table(spark, root, name).limit(1).write.parquet(f"{root}/{name}/snapshot=9")
-    (tmp_path / "raw" / name / "snapshot=9" / "_SUCCESS").unlink()
+    # A run that was not committed is neither read nor in the way of the next one.
+    read_table(spark, root, name).limit(1).write.parquet(f"{root}/{name}/run=r9999999999-stopped")
     assert read_table(spark, root, name).count() == 2
     merge_table(spark, root, name, batch((3, 2, 7, 3.0, dt.datetime(2024, 1, 2))))
     assert rows_of(read_table(spark, root, name), "id") == [(1,), (2,), (3,)]
-    assert sorted(p.name for p in (tmp_path / "raw" / name).iterdir()) == ["snapshot=10", "snapshot=5"]
+    folders = sorted(p.name for p in (tmp_path / "raw" / name).iterdir() if p.name.startswith("run="))
+    assert [f[:15] for f in folders] == ["run=r0000000005", "run=r0000000006", "run=r9999999999"]
+    assert [f.rsplit("/", 1)[1] for f in abandoned(spark, f"{root}/{name}", 1 << 60)] == ["run=r9999999999-stopped"]
 
 
 def test_full_refresh_restamps_repairs_prices_and_leaves_the_mark(spark, land, frame, tmp_path):
@@ -193,7 +195,7 @@ def test_tables_can_be_created_and_appended_to(spark, frame, tmp_path):
                     c=read_table(spark, root, "res_company"))
     assert rows_of(named) == [(2,), (3,)]
     for name in names:
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP VIEW {name}")
 
 
 def test_forecasts_are_merged_by_product_and_month(frame, spark, tmp_path):
