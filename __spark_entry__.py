@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
+from checks import stored  # noqa: E402
 from checks.oracle import ORACLE  # noqa: E402
 from quaymart.functions import dates, text  # noqa: E402
 from quaymart.operators import lookups, pricing, scopes, versions  # noqa: E402
@@ -91,7 +92,7 @@ def _role_locations(t):
 
 
 def _order_join(t):
-    joined = lookups.join_orders(t["stock_move"].where("state = 'done'"), t["purchase_order"])
+    joined = lookups.join_orders(t["stock_move"], t["purchase_order"])
     return joined.groupBy("company_id", "partner_id").agg(
         F.count(F.lit(1)).alias("moves"), F.max("date_planned").alias("last_planned"))
 
@@ -424,7 +425,7 @@ def queries() -> dict[str, Query]:
         "turnover": lambda t: marts.inventory_turnover(t, PARAMS),
         "cost_anomalies": lambda t: marts.cost_anomalies(t, PARAMS),
         "abc": lambda t: marts.abc_classification(t, PARAMS),
-        "abc_in_slices": lambda t: marts.abc_classification(t, PARAMS, slices_per_doubling=256),
+        "abc_in_slices": lambda t: marts.abc_classification(t, PARAMS, ranges=64),
         "touch_ratio_by_route": lambda t: marts.touch_ratio(t, PARAMS, broadcast_bytes=0),
         "forecast_ma": lambda t: forecast.demand_forecast(t, PARAMS),
         "forecast_holt": lambda t: forecast.demand_forecast(t, PARAMS, method="holt"),
@@ -454,6 +455,18 @@ def queries() -> dict[str, Query]:
         "merge_batch": _merge_batch,
         "load_model": _load_model,
         "stream_load": _stream_load,
+        "load_twice": lambda t: read_table(t["lineitem"].sparkSession, stored.load_twice(t, _landing), "stock_move_line"),
+        "load_twice_log": lambda t: stored.loaded_log(t["lineitem"].sparkSession, stored.load_twice(t, _landing)),
+        "load_all": lambda t: stored.load_everything(t, _landing, RUN_AT),
+        "merge_stored": stored.merge_stored,
+        "append_read": stored.append_read,
+        "mart_rerun": lambda t: stored.mart_rerun(t, PARAMS),
+        "forecast_rerun": lambda t: stored.forecast_rerun(t, PARAMS),
+        "named_tables": stored.named_tables,
+        "liquidation_stored": lambda t: stored.liquidation_stored(t, PARAMS, _landing),
+        "reset_marks": lambda t: stored.reset_marks(t, _marks(t)),
+        "report_csv": lambda t: stored.report_csv(t, _report_moves(t)),
+        "named_parameters": lambda t: stored.named_parameters(t, PARAMS),
         "load_stats": lambda t: loading.load_stats(_flagged(t), "events"),
         "window_tag": _window_tag,
         "category_vendors": _category_vendors,

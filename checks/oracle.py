@@ -193,6 +193,28 @@ SELECT CASE o_orderstatus WHEN 'F' THEN 'STOCKOUT' WHEN 'O' THEN 'SUPPLIER_DELAY
        company_id, CAST(o_orderdate AS DATE) AS d0,
        CASE WHEN o_custkey % 10 > 0 THEN CAST(o_orderdate AS DATE) + CAST(o_custkey % 10 AS INTEGER) END AS d1
 FROM order_company"""
+_VIEWS["both_landings"] = """
+SELECT * FROM landing
+UNION ALL
+SELECT id, company_id, product_id, CASE WHEN qty_done > 0 THEN qty_done + 1 ELSE 0.0 END, location_id, location_dest_id,
+       state, date_done + INTERVAL 40 DAY, TIMESTAMP '1999-06-01', create_date
+FROM landing WHERE (id // 10) % 10 = 0 AND write_date < TIMESTAMP '1996-01-01'"""
+_VIEWS["copies_of_both"] = """
+SELECT id, c.company_id, product_id, qty_done, location_id, location_dest_id, state, date_done, write_date, create_date
+FROM both_landings l JOIN (VALUES (CAST(2 AS BIGINT)), (CAST(3 AS BIGINT))) c(company_id)
+  ON l.company_id = 0 OR l.company_id = c.company_id
+WHERE state = 'done'"""
+_VIEWS["twice"] = """
+SELECT * EXCLUDE (rn), strftime(date_done, '%Y%m') AS p_month FROM (
+  SELECT *, row_number() OVER (PARTITION BY company_id, product_id, id
+    ORDER BY write_date DESC, qty_done DESC, location_id DESC, state DESC, date_done DESC) AS rn FROM copies_of_both
+  WHERE id <> 0 AND product_id <> 0 AND date_done IS NOT NULL AND write_date IS NOT NULL)
+WHERE rn = 1"""
+_VIEWS["merged"] = """
+SELECT id, company_id, product_id, CASE WHEN id % 20 = 1 THEN quantity_done + 1 ELSE quantity_done END AS quantity_done,
+       CASE WHEN id % 20 = 1 THEN date_done + INTERVAL 60 DAY ELSE date_done END AS date_done,
+       CASE WHEN id % 20 = 1 THEN write_date + INTERVAL 400 DAY ELSE write_date END AS write_date, origin
+FROM stock_move"""
 _ORDER += [name for name in _VIEWS if name not in _ORDER]
 
 
@@ -241,7 +263,7 @@ GROUP BY ALL"""),
     "order_join": _query("""
 SELECT m.company_id, po.partner_id, count(*) AS moves, max(po.date_planned) AS last_planned
 FROM stock_move m LEFT JOIN purchase_order po ON po.name = m.origin AND po.company_id = m.company_id
-WHERE m.state = 'done' GROUP BY ALL"""),
+GROUP BY ALL"""),
     "liquidation": _query(f"""
 SELECT DATE '1998-06-15' AS snapshot_date, x.company_id, coalesce(rc.name, '') AS company_name, x.product_id,
        c.code AS product_default_code, x.last_day AS last_movement_date,
@@ -512,4 +534,50 @@ SELECT s_suppkey, (['Sector', 'Sub-county', 'County'])[s_nationkey % 3 + 1] || '
          AS base_unit
 FROM supplier JOIN (VALUES (1), (2), (3)) b(k) ON b.k <= s_suppkey % 4""",
 }
+ORACLE |= {
+    "load_twice": _query("SELECT * FROM twice"),
+    "load_twice_log": _query("""
+SELECT company_id, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS invalid_rows
+FROM (SELECT company_id, id <> 0 AND product_id <> 0 AND date_done IS NOT NULL AND write_date IS NOT NULL AS ok
+      FROM copies_of_both) GROUP BY ALL
+UNION ALL SELECT NULL, 0, count(*) FROM orders WHERE o_orderkey % 50 = 0 HAVING count(*) > 0"""),
+    "load_all": _query("""
+SELECT 'stock.move.line' AS model, company_id, count(*) FILTER (WHERE ok) AS rows, count(*) FILTER (WHERE NOT ok) AS invalid_rows,
+       CAST(NULL AS TIMESTAMP) AS restamped, CAST(NULL AS BIGINT) AS companies
+FROM (SELECT company_id, id <> 0 AND product_id <> 0 AND date_done IS NOT NULL AND write_date IS NOT NULL AS ok
+      FROM landing WHERE state = 'done' AND company_id IN (0, 2, 3)) GROUP BY ALL
+UNION ALL SELECT 'res.company', 0, count(*), 0, TIMESTAMP '2024-02-01 06:00:00', count(*) FROM region"""),
+    "merge_stored": _query("SELECT *, strftime(date_done, '%Y%m') AS p_month FROM merged"),
+    "append_read": _query("SELECT id, company_id, name, supplier_rank FROM res_partner"),
+    "mart_rerun": _query("""
+SELECT month, company_id, coalesce(rc.name, '') AS company_name, partner_id, round(on_time_pct, 6) AS on_time_pct,
+       round(in_full_pct, 6) AS in_full_pct,
+       CASE WHEN year(month) = 1995 THEN 0.5 ELSE round(overall_score, 6) END AS overall_score, strftime(month, '%Y%m') AS p_month
+FROM rating x LEFT JOIN res_company rc ON rc.id = x.company_id WHERE month < DATE '1997-07-01'"""),
+    "forecast_rerun": f"""
+SELECT * REPLACE (CASE WHEN product_id % 2 = 0 THEN forecast_qty + 1 ELSE forecast_qty END AS forecast_qty)
+FROM ({ORACLE["forecast_ma"]})""",
+    "named_tables": _query("""
+SELECT rc.name, strftime(m.date_done, '%Y%m') AS p_month, count(*) AS moves, sum(m.quantity_done) AS qty
+FROM merged m JOIN res_company rc ON rc.id = m.company_id WHERE m.date_done >= TIMESTAMP '1995-01-01' GROUP BY ALL"""),
+    "liquidation_stored": _query("""
+SELECT x.company_id, x.product_id, x.last_day AS last_movement_date,
+       CAST(DATE '1998-06-15' - x.last_day AS INTEGER) AS days_since_last_move, round(coalesce(q.on_hand_qty, 0.0), 6) AS on_hand_qty
+FROM (SELECT company_id, product_id, max(CAST(date_done AS DATE)) AS last_day FROM twice
+      WHERE date_done < TIMESTAMP '1998-06-16' GROUP BY ALL) x
+LEFT JOIN on_hand_qty q ON q.company_id = x.company_id AND q.product_id = x.product_id
+WHERE DATE '1998-06-15' - x.last_day > 90"""),
+    "reset_marks": _query("""
+SELECT 'events' AS model, company_id,
+       CASE WHEN company_id = 3 THEN watermark ELSE TIMESTAMP '1970-01-01' END AS watermark FROM mark"""),
+    "report_csv": _query("""
+SELECT country, dataset, count(*) AS pickings, CAST(sum(n) AS BIGINT) AS lines, sum(q) AS qty FROM (
+  SELECT 'c/' || company_id AS country, 'd ' || kind AS dataset, origin, scheduled_date, source_location_id, dest_location_id,
+         count(*) AS n, sum(qty_done) AS q
+  FROM report_move WHERE NOT (company_id = 2 AND kind = 'OUT') OR qty_done > 10 GROUP BY ALL)
+GROUP BY ALL"""),
+    "named_parameters": _query("""
+SELECT product_id, count(*) AS moves, max(date_done) AS last FROM stock_move WHERE date_done < DATE '1998-06-15'
+GROUP BY product_id HAVING date_diff('day', CAST(max(date_done) AS DATE), DATE '1998-06-15') > 90"""),
+}
 ORACLE["touch_ratio_by_route"] = ORACLE["touch_ratio"]

@@ -12,6 +12,49 @@ DATE_FIELDS = (
     "date", "date_done", "date_deadline", "write_date", "create_date", "date_expected", "date_order",
     "date_planned")
 
+# Field lists, required fields and base domains of the source models.
+MODEL_FIELDS = {
+    "stock.move.line": (
+        "id", "company_id", "product_id", "quantity", "location_id", "location_dest_id", "state", "date",
+        "write_date", "create_date"),
+    "stock.quant": (
+        "id", "company_id", "product_id", "location_id", "quantity", "reserved_quantity", "write_date",
+        "create_date"),
+    "stock.move": (
+        "id", "company_id", "product_id", "product_uom_qty", "quantity", "location_id", "location_dest_id",
+        "state", "date_deadline", "date", "origin", "write_date", "create_date"),
+    "purchase.order": (
+        "id", "company_id", "partner_id", "name", "date_order", "date_planned", "state", "write_date",
+        "create_date"),
+    "product.product": ("id", "company_id", "product_tmpl_id", "default_code", "active", "write_date", "create_date"),
+    "product.template": (
+        "id", "company_id", "name", "standard_price", "list_price", "type", "write_date", "create_date"),
+    "stock.valuation.layer": (
+        "id", "company_id", "product_id", "quantity", "value", "stock_move_id", "write_date", "create_date"),
+    "stock.location": ("id", "company_id", "name", "usage", "write_date", "create_date"),
+    "res.company": ("id", "name", "write_date", "create_date"),
+    "res.partner": ("id", "company_id", "name", "supplier_rank", "write_date", "create_date"),
+}
+MODEL_REQUIRED = {
+    "stock.move.line": ("id", "product_id", "date_done", "write_date"),
+    "stock.quant": ("id", "product_id", "write_date"),
+    "stock.move": ("id", "product_id", "date_done", "write_date"),
+    "purchase.order": ("id", "partner_id", "date_order", "write_date"),
+    "product.product": ("id", "product_tmpl_id", "write_date"),
+    "product.template": ("id", "name", "write_date"),
+    "stock.valuation.layer": ("id", "product_id", "create_date", "write_date"),
+    "stock.location": ("id", "name", "write_date"),
+    "res.company": ("id", "name", "write_date"),
+    "res.partner": ("id", "name", "write_date"),
+}
+MODEL_DOMAINS = {
+    "stock.move.line": (("state", "=", "done"),),
+    "stock.move": (("state", "=", "done"),),
+    "res.partner": (("supplier_rank", ">", 0),),
+}
+# Models whose records belong to no company.
+SHARED_MODELS = ("res.company",)
+
 # Source field → raw table column.
 FIELD_ALIASES = {
     "stock.move.line": {"quantity": "qty_done", "date": "date_done"},
@@ -67,7 +110,5 @@ WEEKDAY_FACTORS = {
 
 BASE_UNIT_LABELS = {"rw": "Sector", "ke": "Sub-county", "ug": "County"}
 
-# Scale → most warehouses (None: all), default base units per warehouse.
-
 # Name of the property that holds a cost price.
 PRICE_PROPERTY = "standard_price"

@@ -51,12 +51,6 @@ def rename(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(aliases))
 
 
-def attribute_company(df: DataFrame, company_id: int) -> DataFrame:
-    """Give records without a company to the company the run is for."""
-    own = F.nullif(F.col("company_id"), F.lit(0))
-    return df.withColumn("company_id", F.coalesce(own, F.lit(company_id).cast("bigint")))
-
-
 def attribute_companies(df: DataFrame, company_ids: Sequence[int], *, copy_shared: bool = False) -> DataFrame:
     """All per-company runs at once: own records stay, each company gets a copy of the shared ones.
 

@@ -7,39 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES_PER_DOUBLING = 16
-SLICE_OF_ONE = 1 << 20  # keeps the slices of small positive values above zero
-
-
-def value_slice(value: Column, per_doubling: int = SLICES_PER_DOUBLING) -> Column:
-    """A whole number that never falls as the value rises: steps of its logarithm."""
-    number = value.cast("double")
-    step = F.floor(F.log2(F.abs(number)) * per_doubling).cast("int") + SLICE_OF_ONE
-    return F.when(number > 0, step).when(number < 0, -step).otherwise(0)
+from .sizing import durable
 
 
 def running_totals(
-    df: DataFrame, group: str, value: str, ties: Sequence[str], *, per_doubling: int = SLICES_PER_DOUBLING
+    df: DataFrame, group: str, value: str, ties: Sequence[str], *, ranges: int | None = None
 ) -> DataFrame:
     """Add ``running`` (sum of ``value`` so far, largest first, then by ``ties``) and ``total`` per ``group``.
 
-    ``ties`` must be unique inside a group and value. A group is cut into slices of similar
-    values; each keeps its own running sum and starts from the sum of the slices above it.
-    So no task sees a whole group, and one lazy plan serves every size; both uses of the
-    rows share one exchange.
+    ``ties`` must be unique inside a group and value. The rows are put into ranges of (group,
+    value, ties), whose borders Spark samples, so that a large group and even a run of equal
+    values is spread over as many tasks as it needs. A range keeps its own running sum for
+    each group in it and starts from the sums of that group in the ranges before, a row for
+    each range and group. The ranges are written down, as borders sampled again would differ.
+    ``ranges`` is the number of shuffle partitions unless given.
     """
-    sliced = df.withColumn("_slice", value_slice(F.col(value), per_doubling)).repartition(group, "_slice")
-    # A row per slice: as many as the values span doublings, times their steps.
-    slices = sliced.groupBy(group, "_slice").agg(F.sum(value).alias("_slice_sum"))
+    count = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc(value), *ties]
+    placed = durable(df.repartitionByRange(count, group, *order).withColumn("_range", F.spark_partition_id()))
+    sums = placed.groupBy("_range", group).agg(F.sum(value).alias("_sum"))
     by_group = Window.partitionBy(group)
-    above = by_group.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    starts = slices.select(
-        group, "_slice",
-        F.sum("_slice_sum").over(above).alias("_start"),
-        F.sum("_slice_sum").over(by_group).alias("total"))
-    inside = Window.partitionBy(group, "_slice").orderBy(F.desc(value), *ties).rowsBetween(Window.unboundedPreceding, 0)
-    running = sliced.withColumn("_inside", F.sum(value).over(inside))
-    joined = running.join(starts, [group, "_slice"], "left")
+    before = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        "_range", group, F.sum("_sum").over(before).alias("_start"), F.sum("_sum").over(by_group).alias("total"))
+    inside = Window.partitionBy("_range", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = placed.withColumn("_inside", F.sum(value).over(inside)).join(starts, ["_range", group], "left")
     return joined.select(
         *df.columns,
         F.when(F.col("_start").isNull(), F.col("_inside"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import SUPPLIER_DELAY_DAYS
@@ -46,29 +46,57 @@ def new_tickets(tickets: DataFrame, existing: DataFrame, as_of: dt.date) -> Data
     return tickets.join(open_today, "name", "left_anti")
 
 
+BUCKET_DAYS = 64
+KINDS = ("STOCKOUT", "SUPPLIER_DELAY", "SHRINKAGE")
+
+
+def window_segments(windows: DataFrame) -> DataFrame:
+    """(company, first, last, and a flag per kind): disjoint spans of days with the same anomalies.
+
+    A sweep over the days on which windows start or have ended: what starts and ends on a day
+    is summed first, so a company has a row per such day at most, and its running sums say
+    how many windows of a kind are open. Days on which no flag changes are passed over.
+    """
+    kind, first = F.col("kind"), F.col("date")
+    lasting = kind.isin("STOCKOUT", "SUPPLIER_DELAY") & (F.col("end_date") >= first)
+    last = F.when(lasting, F.col("end_date")).when(kind == "SHRINKAGE", first)
+    spans = windows.select("company", "kind", first.alias("first"), last.alias("last")).where("first <= last")
+    turn = F.explode(F.array(F.struct(F.col("first").alias("day"), F.lit(1).alias("n")),
+                             F.struct(F.date_add("last", 1).alias("day"), F.lit(-1).alias("n")))).alias("turn")
+    changes = spans.select("company", "kind", turn).groupBy("company", "turn.day").agg(
+        *[F.sum(F.when(kind == name, F.col("turn.n")).otherwise(0)).alias(name) for name in KINDS])
+    in_order = Window.partitionBy("company").orderBy("day")
+    opened = changes.select("company", "day", *[(F.sum(name).over(in_order) > 0).alias(name) for name in KINDS])
+    state = F.struct(*KINDS)
+    changed = opened.withColumn("_same", state.eqNullSafe(F.lag(state).over(in_order))).where("NOT _same").drop("_same")
+    found = changed.withColumn("last", F.date_sub(F.lead("day").over(in_order), 1))
+    return found.where(" OR ".join(KINDS)).select("company", F.col("day").alias("first"), "last", *KINDS)
+
+
 def tag_windows(
-    rows: DataFrame, windows: DataFrame, company: str = "company", day: str = "date"
+    rows: DataFrame, windows: DataFrame, company: str = "company", day: str = "date", bucket_days: int = BUCKET_DAYS
 ) -> DataFrame:
     """Add ``is_stockout``, ``delay_add`` and ``is_shrinkage`` from the anomaly windows of the company.
 
     Stockouts and supplier delays hold from ``date`` to ``end_date`` (none without an end),
-    a shrinkage on its own day. The windows become one row per company and day first, so
-    the rows are never paired with each window they lie in.
+    a shrinkage on its own day. The windows are coalesced into disjoint segments, of which a
+    row meets those of its company and stretch of ``bucket_days`` days and lies in one at
+    most. A row without company or day has no flags.
     """
-    kind = F.col("kind")
-    lasting = kind.isin("STOCKOUT", "SUPPLIER_DELAY") & (F.col("end_date") >= F.col("date"))
-    days = F.when(lasting, F.sequence("date", "end_date")).when(kind == "SHRINKAGE", F.array("date"))
-    flags = (windows.select(F.col("company").alias(company), "kind", F.explode(days).alias(day))
-             .groupBy(company, day)
-             .agg(F.bool_or(kind == "STOCKOUT").alias("is_stockout"),
-                  F.max(F.when(kind == "SUPPLIER_DELAY", SUPPLIER_DELAY_DAYS).otherwise(0)).alias("delay_add"),
-                  F.bool_or(kind == "SHRINKAGE").alias("is_shrinkage")))
-    # No broadcast hint: a few long windows make many days. Adaptive execution knows their number.
-    return (rows.join(flags, [company, day], "left")
-            .select(*rows.columns,
-                    F.coalesce("is_stockout", F.lit(False)).alias("is_stockout"),
-                    F.coalesce("delay_add", F.lit(0)).alias("delay_add"),
-                    F.coalesce("is_shrinkage", F.lit(False)).alias("is_shrinkage")))
+    def stretch(date):
+        return F.floor(F.unix_date(date) / bucket_days)
+    segments = window_segments(windows).select(
+        F.col("company").alias("_company"), F.col("first").alias("_first"), F.col("last").alias("_last"), *KINDS,
+        F.explode(F.sequence(stretch(F.col("first")), stretch(F.col("last")))).alias("_stretch"))
+    date = F.col(day).cast("date")
+    inside = (F.col(company) == F.col("_company")) & (stretch(date) == F.col("_stretch")) & date.between(
+        F.col("_first"), F.col("_last"))
+    tagged = rows.join(segments, inside, "left")
+    flag = {name: F.coalesce(F.col(name), F.lit(False)) for name in KINDS}
+    return tagged.select(
+        *[F.col(c) for c in rows.columns], flag["STOCKOUT"].alias("is_stockout"),
+        F.when(flag["SUPPLIER_DELAY"], SUPPLIER_DELAY_DAYS).otherwise(0).alias("delay_add"),
+        flag["SHRINKAGE"].alias("is_shrinkage"))
 
 
 def category_vendors(supplierinfo: DataFrame, products: DataFrame, company_id: int) -> DataFrame:

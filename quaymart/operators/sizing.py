@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 # Compressed input bytes up to which a lookup side may be broadcast.
 BROADCAST_BYTES = 16 * 1024 * 1024
-# Copies of a lookup row in the salted join, which spread one hot key over that many tasks.
-SALTS = 32
+# Hot keys the sketch tells apart at most, per shuffle partition; it counts this many times more.
+SKETCH_FACTOR = 8
 
 
 def scan_bytes(df: DataFrame) -> int:
@@ -31,6 +32,24 @@ def broadcast_if_small(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) ->
     return F.broadcast(df) if scan_bytes(df) <= broadcast_bytes else df
 
 
+def heavy_hitters(fact: DataFrame, on: list[str]) -> dict[int, int]:
+    """Hash of every key with more rows than an average task → the tasks it needs.
+
+    One pass over the key columns feeds a frequent-items sketch in each task. A key is heavy if
+    it has more than one part in as many as there are shuffle partitions, so there can be no
+    more heavy keys than that, and their parts are at most twice that together.
+    """
+    parts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The sketch takes up to 10,000 items of up to 1,000,000 counted; fewer leave keys of a smaller share to the shuffle.
+    top, counted = min(parts, 10_000), min(max(SKETCH_FACTOR * parts, 1000), 1_000_000)
+    row = fact.select(F.xxhash64(*on).alias("k")).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(k, {top}, {counted})").alias("top")).first()
+    if not row["rows"]:
+        return {}
+    share = row["rows"] / parts
+    return {item["item"]: math.ceil(item["count"] / share) for item in row["top"] if item["count"] > share}
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -42,16 +61,21 @@ def lookup_join(
     """Left join to a lookup that is unique on ``on``.
 
     A lookup read from at most ``broadcast_bytes`` is broadcast; its keys are distinct, so
-    the bytes of the table bound its rows. A larger one is joined by shuffle; ``salt_by`` names a column of the fact that spreads its hot keys, and the
-    lookup is copied once per salt. The salt is a hash of the row, never random, so a
-    recomputed task sends its rows to the same place.
+    the bytes of the table bound its rows. A larger one is joined by shuffle; ``salt_by``
+    names a column of the fact by which the rows of its heavy keys are spread, each over as
+    many tasks as it has rows for, and only those keys' lookup rows are copied. The salt is a
+    hash of the row, never random, so a recomputed task sends its rows to the same place.
+    Finding the heavy keys reads the fact's key columns once more.
     """
     if scan_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), on, "left")
-    if salt_by is None:
+    heavy = heavy_hitters(fact, on) if salt_by is not None else {}
+    if not heavy:
         return fact.join(dim, on, "left")
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
-    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = F.create_map(*[F.lit(x).cast(kind) for pair in heavy.items() for x, kind in zip(pair, ("bigint", "int"), strict=True)])
+    copies = F.coalesce(F.try_element_at(parts, F.xxhash64(*on)), F.lit(1))
+    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(salt_by), copies).cast("int"))
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
     return salted_fact.join(salted_dim, [*on, "_salt"], "left").drop("_salt")
 
 

@@ -17,6 +17,7 @@ from ..sources.control import read_watermarks, save_watermarks
 from ..sources.landed_files import landed_files, not_taken, note_taken
 from ..sources.landing import exists, merge_table
 from ..sources.models import MODELS, ModelSpec, landed_lines, newer, read_model
+from . import movement_days
 
 
 def incremental(df: DataFrame, state: DataFrame, model: str, version: str = "write_date") -> DataFrame:
@@ -130,6 +131,8 @@ def load_model(
         records, spec, company_ids=company_ids, copy_shared=copy_shared, state=state if use_marks else None,
         refresh_at=refresh_at, products=products, properties=properties))
     merge_table(spark, root, spec.table, flagged.where("ok"))
+    if spec.table == movement_days.LINES:
+        movement_days.refresh(spark, root)
     stats = load_stats(flagged, model, "read_at")
     if malformed is not None:
         kept = f"{root.rstrip('/')}/_malformed/{spec.table}"

@@ -21,7 +21,7 @@ from ..operators.lookups import (
     with_usages,
 )
 from ..operators.predicates import exclude_companies, since, until, within
-from ..operators.ranking import SLICES_PER_DOUBLING, running_totals
+from ..operators.ranking import running_totals
 from ..operators.sizing import BROADCAST_BYTES, lookup_join, scan_bytes
 from ..params import MartParams
 
@@ -54,11 +54,26 @@ def on_hand(t: Frames, params: MartParams) -> DataFrame:
             .groupBy("company_id", "product_id").agg(F.sum("quantity").alias("on_hand_qty")))
 
 
+def last_movements(t: Frames, params: MartParams) -> DataFrame:
+    """(company, product) → day of the last done movement up to the ``as_of`` day.
+
+    Where the loader keeps the last day of every month (``movement_days``), the lines of the
+    ``as_of`` month alone are read besides; else all lines are.
+    """
+    keys, day = ["company_id", "product_id"], F.to_date("date_done").alias("last_day")
+    if "movement_days" not in t:
+        days = until(done_moves(t["stock_move_line"], params), "date_done", params.as_of).select(*keys, day)
+    else:
+        month = f"{params.as_of:%Y%m}"
+        lines = done_moves(t["stock_move_line"].where(F.col("p_month") == month), params)
+        kept = exclude_companies(t["movement_days"].where(F.col("p_month") < month), params.excluded_company_ids)
+        days = kept.select(*keys, "last_day").unionByName(until(lines, "date_done", params.as_of).select(*keys, day))
+    return days.groupBy(*keys).agg(F.max("last_day").alias("last_movement_date"))
+
+
 def liquidation_candidates(t: Frames, params: MartParams) -> DataFrame:
     """Dead stock: products without a done movement for more than ``dead_stock_days`` days."""
-    lines = until(done_moves(t["stock_move_line"], params), "date_done", params.as_of)
-    last = lines.groupBy("company_id", "product_id").agg(
-        F.max(F.to_date("date_done")).alias("last_movement_date"))
+    last = last_movements(t, params)
     today = F.lit(params.as_of)
     dead = (last.withColumn("days_since_last_move", F.datediff(today, "last_movement_date"))
             .where(F.col("days_since_last_move") > params.dead_stock_days))
@@ -193,12 +208,13 @@ def abc_classification(
     params: MartParams,
     *,
     moved: DataFrame | None = None,
-    slices_per_doubling: int = SLICES_PER_DOUBLING,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Pareto classes by the value moved in the last 12 months, ranked inside each company.
 
     The share includes the product itself, so a company's only product is class C. ``moved``
-    passes in :func:`moved_quantities` where a caller has them already.
+    passes in :func:`moved_quantities` where a caller has them already, ``ranges`` is the
+    number of ranges the running sum is cut into.
     """
     moved = moved_quantities(t, params) if moved is None else moved
     priced = with_template_price(with_product(moved, t["product_product"]), t["product_template"])
@@ -206,7 +222,7 @@ def abc_classification(
     valued = priced.select(
         "company_id", "product_id", "product_default_code",
         F.coalesce((F.col("qty") * F.col("standard_price")).cast(MONEY), F.lit(0).cast(MONEY)).alias("value"))
-    ranked = running_totals(valued, "company_id", "value", ["product_id"], per_doubling=slices_per_doubling)
+    ranked = running_totals(valued, "company_id", "value", ["product_id"], ranges=ranges)
     share = F.try_divide(F.col("running").cast("double"), F.col("total").cast("double"))
     shared = with_company_name(ranked.withColumn("cumulative_share", share), t["res_company"])
     return shared.select(

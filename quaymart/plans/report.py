@@ -14,9 +14,9 @@ HEADER = ["origin", "company", "warehouse", "kind", "scheduled_date", "source_lo
           "dest_location_id", "note"]
 
 
-def picking_headers(moves: DataFrame) -> DataFrame:
-    """One row per document with its number of lines."""
-    keys = [c for c in HEADER if c in moves.columns]
+def picking_headers(moves: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per document with its number of lines, for each value of ``by`` apart."""
+    keys = [*by, *[c for c in HEADER if c in moves.columns]]
     return moves.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..params import MartParams
 from ..schemas import RAW_TABLES
 from ..sources.landing import read_table
+from . import movement_days
 
 
 class Tables(Mapping[str, DataFrame]):
@@ -35,8 +36,14 @@ class Tables(Mapping[str, DataFrame]):
 
     @classmethod
     def from_root(cls, spark: SparkSession, root: str) -> Tables:
-        """The raw tables the loader keeps under ``root``; they hold one version per key."""
-        return cls({name: (lambda n=name: read_table(spark, root, n)) for name in RAW_TABLES})
+        """The raw tables the loader keeps under ``root``; they hold one version per key.
+
+        The days of last movements are among them while they are up to date.
+        """
+        builders = {name: (lambda n=name: read_table(spark, root, n)) for name in RAW_TABLES}
+        if movement_days.is_fresh(spark, root):
+            builders["movement_days"] = lambda: movement_days.read(spark, root)
+        return cls(builders)
 
 
 def run_sql(spark: SparkSession, text: str, params: MartParams, **frames: DataFrame) -> DataFrame:

@@ -19,8 +19,8 @@ from ..operators.versions import latest, merge_batch
 from ..schemas import MART_TABLES, RAW_TABLES, TableSpec, enforce_schema, with_month
 from .pointer import Pointer, children, commit, current, exists, next_run
 
-__all__ = ["append_table", "ensure_tables", "exists", "merge_forecast", "merge_table", "read_table", "refresh_table",
-           "table_path", "write_mart"]
+__all__ = ["append_table", "ensure_tables", "exists", "merge_forecast", "merge_table", "read_months", "read_table",
+           "refresh_table", "table_path", "write_mart"]
 
 KEY_BUCKETS = 32
 KEY_RUNS = 8  # runs of a bucket from which they are made one
@@ -95,10 +95,12 @@ def _renew_name(spark: SparkSession, root: str, name: str, pointer: Pointer) ->
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read with the declared schema; filters on ``p_month`` prune whole months."""
-    return _read(spark, root, name, current(spark, table_path(root, name)))
+    return read_months(spark, root, name, current(spark, table_path(root, name)))
 
 
-def _read(spark: SparkSession, root: str, name: str, pointer: Pointer, months: Iterable[str | None] | None = None) -> DataFrame:
+def read_months(
+    spark: SparkSession, root: str, name: str, pointer: Pointer, months: Iterable[str | None] | None = None
+) -> DataFrame:
     """The content a pointer names, or only its partitions of some months."""
     spec, path = _spec(name), table_path(root, name)
     schema = f"{spec.ddl}, p_month string" if spec.month_of else spec.ddl
@@ -153,7 +155,7 @@ def merge_forecast(df: DataFrame, root: str, name: str = "demand_forecast") -> i
     fresh = durable(with_month(enforce_schema(df, spec), spec))
     months = [row[0] for row in fresh.select("p_month").distinct().collect()]
     before = current(spark, table_path(root, name))
-    kept = _read(spark, root, name, before, months).join(fresh.select(*spec.keys), list(spec.keys), "left_anti")
+    kept = read_months(spark, root, name, before, months).join(fresh.select(*spec.keys), list(spec.keys), "left_anti")
     merged = fresh.select(*spec.columns).unionByName(kept.select(*spec.columns))
     return _replace(merged, root, name, before)
 
@@ -243,7 +245,7 @@ def _index(
     if not _indexed(name):
         return {}
     spec, path = RAW_TABLES[name], table_path(root, name)
-    rows = _read(spark, root, name, Pointer(0, {part: (run,) for part in staged})).select(*spec.keys, "p_month")
+    rows = read_months(spark, root, name, Pointer(0, {part: (run,) for part in staged})).select(*spec.keys, "p_month")
     if changed is not None:
         rows = rows.join(broadcast_if_small(changed.distinct()), changed.columns, "left_semi").select(*spec.keys, "p_month")
     rows = rows.distinct().withColumn("sole", F.lit(changed is not None))
@@ -290,11 +292,11 @@ def merge_table(
     keys = list(keys or spec.keys)
     before, fresh = current(spark, path), enforce_schema(batch, spec)
     if spec.month_of is None:
-        existing = _read(spark, root, name, before)
+        existing = read_months(spark, root, name, before)
         return _replace(merge_batch(existing, fresh, keys, spec.version), root, name, before)
     rows = durable(with_month(latest(fresh, keys, spec.version), spec))
     touched = {r[0] for r in rows.select("p_month").distinct().collect()}
     touched |= set(_months_of(spark, path, spec, before, rows, keys))
-    existing = _read(spark, root, name, before, touched).select(*spec.columns)
+    existing = read_months(spark, root, name, before, touched).select(*spec.columns)
     merged = merge_batch(existing, rows.select(*spec.columns), keys, spec.version)
     return _replace(merged, root, name, before, lambda part: _month_of(part) in touched, rows.select(*keys))

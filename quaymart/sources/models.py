@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fixed_values import DATE_FIELDS, FIELD_ALIASES, QUANTITY_FIELDS, STRING_FIELDS
+from ..functions.fixed_values import (
+    DATE_FIELDS, FIELD_ALIASES, MODEL_DOMAINS, MODEL_FIELDS, MODEL_REQUIRED, QUANTITY_FIELDS, SHARED_MODELS, STRING_FIELDS)
 from ..operators.predicates import domain_filter
 from ..schemas import RAW_TABLES, TableSpec
 
@@ -36,33 +37,10 @@ class ModelSpec:
         return RAW_TABLES[self.table]
 
 
-def _spec(model: str, fields: str, required: str, domain: Sequence[Any] = (), per_company: bool = True) -> ModelSpec:
-    return ModelSpec(
-        model, (*fields.split(), "write_date", "create_date"), tuple(required.split()), tuple(domain),
-        FIELD_ALIASES.get(model, {}), per_company)
-
-
-# Field lists, base domains and required fields per model.
-MODELS: dict[str, ModelSpec] = {spec.model: spec for spec in (
-    _spec("stock.move.line", "id company_id product_id quantity location_id location_dest_id state date",
-          "id product_id date_done write_date", [("state", "=", "done")]),
-    _spec("stock.quant", "id company_id product_id location_id quantity reserved_quantity",
-          "id product_id write_date"),
-    _spec("stock.move",
-          "id company_id product_id product_uom_qty quantity location_id location_dest_id state date_deadline "
-          "date origin",
-          "id product_id date_done write_date", [("state", "=", "done")]),
-    _spec("purchase.order", "id company_id partner_id name date_order date_planned state",
-          "id partner_id date_order write_date"),
-    _spec("product.product", "id company_id product_tmpl_id default_code active",
-          "id product_tmpl_id write_date"),
-    _spec("product.template", "id company_id name standard_price list_price type", "id name write_date"),
-    _spec("stock.valuation.layer", "id company_id product_id quantity value stock_move_id",
-          "id product_id create_date write_date"),
-    _spec("stock.location", "id company_id name usage", "id name write_date"),
-    _spec("res.company", "id name", "id name write_date", per_company=False),
-    _spec("res.partner", "id company_id name supplier_rank", "id name write_date", [("supplier_rank", ">", 0)]),
-)}
+MODELS: dict[str, ModelSpec] = {
+    model: ModelSpec(model, fields, MODEL_REQUIRED[model], MODEL_DOMAINS.get(model, ()), FIELD_ALIASES.get(model, {}),
+                     model not in SHARED_MODELS)
+    for model, fields in MODEL_FIELDS.items()}
 
 
 def read_model(

@@ -31,12 +31,14 @@ class ConcurrentWrite(RuntimeError):
 class Pointer:
     """``parts``: partition (a path such as ``p_month=202401``, empty for a table without) → its runs.
 
-    ``keys``: the same for the buckets of the table's key index.
+    ``keys``: the same for the buckets of the table's key index. ``sources``: for a table that
+    is derived from another, the partitions and runs of that one it was made from.
     """
 
     number: int = 0
     parts: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     keys: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    sources: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     def folders(self) -> set[str]:
         """Every folder it names, below the table's."""
@@ -80,7 +82,7 @@ def _load(spark: SparkSession, table: str, number: int) -> Pointer:
         found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Pointer(number, *({k: tuple(v) for k, v in found[name].items()} for name in ("parts", "keys")))
+    return Pointer(number, *({k: tuple(v) for k, v in found[name].items()} for name in ("parts", "keys", "sources")))
 
 
 def current(spark: SparkSession, table: str) -> Pointer:
@@ -95,17 +97,18 @@ def next_run(before: Pointer) -> str:
 
 
 def commit(
-    spark: SparkSession, table: str, before: Pointer, parts: Mapping[str, tuple[str, ...]], keys: Mapping[str, tuple[str, ...]]
+    spark: SparkSession, table: str, before: Pointer, parts: Mapping[str, tuple[str, ...]],
+    keys: Mapping[str, tuple[str, ...]], sources: Mapping[str, tuple[str, ...]] | None = None,
 ) -> Pointer:
     """Make the pointer after ``before``, or raise :class:`ConcurrentWrite` if there is one already."""
-    after = Pointer(before.number + 1, parts, keys)
+    after = Pointer(before.number + 1, parts, keys, sources or {})
     jvm = spark._jvm
     target = _file(table, after.number)
     files, temporary = file_system(spark, f"{table}/{FOLDER}/.v{after.number}-{uuid.uuid4().hex}")
     files.mkdirs(temporary.getParent())
     stream = files.create(temporary, True)
     try:
-        stream.write(bytearray(json.dumps({"parts": parts, "keys": keys}, sort_keys=True).encode()))
+        stream.write(bytearray(json.dumps({"parts": parts, "keys": keys, "sources": after.sources}, sort_keys=True).encode()))
     finally:
         stream.close()
     # A rename that never replaces a file, unlike that of the file system's own interface.

@@ -70,7 +70,6 @@ def test_normalize(frame):
 
 def test_attribution_and_gate(frame):
     df = frame("id bigint, company_id bigint, name string", [(1, 0, "a"), (2, 2, ""), (3, 9, "c"), (0, 3, "d")])
-    assert rows_of(cleaning.attribute_company(df, 5), "id", "company_id") == [(0, 3), (1, 5), (2, 2), (3, 9)]
     copies = cleaning.attribute_companies(df, [2, 3], copy_shared=True)
     assert rows_of(copies, "id", "company_id") == [(0, 3), (1, 2), (1, 3), (2, 2)]
     kept = cleaning.attribute_companies(df, [2, 3])
