@@ -21,6 +21,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -28,10 +29,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-KEPT_PARTS = 150_000  # of a generation
+KEPT_PARTS = 300_000  # of a generation
 KEPT_BYTES = 48  # longer parts are encoded each time
 KEPT_PAIRS = 400_000  # of a generation
-WALK = 16_384  # ids handled at once
+WALK = 16_384  # parts or ids handled at once
+WHOLE_TEXT = 1 << 19  # characters up to which a text is split at once
 LOOKAHEAD = 8  # characters beyond a part that the split pattern may look at
 _NEVER = 1 << 30
 
@@ -134,15 +136,17 @@ class Prefixes:
         # Tokens that end in the new bytes start at most the longest token before them.
         start = max(0, known - vocabulary.longest)
         self.data += data
-        last, beside = self.last, vocabulary.beside
+        last, beside, seen = self.last, vocabulary.beside, vocabulary.pairs.new.get
         last.extend([-1] * len(data))
         for end, (length, token) in vocabulary.automaton.iter(self.data[start:].decode("latin-1")):
             end += start
             if end < known or last[end] >= 0:
                 continue
             before = end - length
-            if before < -1 or (before >= 0 and not beside(last[before], token)):
-                continue
+            if before >= 0:
+                found = seen(last[before] * _NEVER + token)
+                if found == 1 or (found is None and not beside(last[before], token)):
+                    continue
             last[end] = token
 
     def truncate(self, length: int) -> None:
@@ -176,29 +180,35 @@ class Encoder:
         by_rank = sorted((rank, token) for token, rank in ranks.items())
         self.bytes = np.frombuffer(b"".join(token for _, token in by_rank), dtype=np.uint8)
 
-    def part(self, text: str) -> array:
-        """Ids of one match of the pattern."""
+    def part(self, text: str) -> bytes:
+        """Ids of one match of the pattern, as 32-bit numbers."""
         found = self.parts.get(text)
         if found is None:
             data = text.encode()
-            found = Prefixes(self.vocabulary, data).ids()
+            found = Prefixes(self.vocabulary, data).ids().tobytes()
             if len(data) <= KEPT_BYTES:
                 self.parts.put(text, found)
         return found
 
-    def encoded(self, text: str) -> Iterator[array]:
-        """The ids of a text, about ``WALK`` at a time."""
-        some = array("i")
-        for match in self.pattern.finditer(text):
-            some.extend(self.part(match.group()))
-            if len(some) >= WALK:
-                for at in range(0, len(some), WALK):
-                    yield some[at:at + WALK]
-                some = array("i")
-        if some:
+    def _matches(self, text: str) -> Iterator[list[str]]:
+        if len(text) <= WHOLE_TEXT:
+            yield self.pattern.findall(text)
+            return
+        matches = (m.group() for m in self.pattern.finditer(text))
+        while some := list(islice(matches, WALK)):
             yield some
 
-    def decoded(self, ids: Sequence[int]) -> bytes:
+    def encoded(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a text, some parts at a time."""
+        for parts in self._matches(text):
+            found = list(map(self.parts.new.get, parts))
+            if None in found:
+                found = [self.part(part) if ids is None else ids for part, ids in zip(parts, found, strict=True)]
+            ids = np.frombuffer(b"".join(found), dtype=np.int32)
+            for at in range(0, len(ids), WALK):
+                yield ids[at:at + WALK]
+
+    def decoded(self, ids: Sequence[int] | np.ndarray) -> bytes:
         """The bytes of some ids."""
         ids = np.asarray(ids, dtype=np.int64)
         lengths = self.lengths[ids]
@@ -216,7 +226,7 @@ class Document:
 
     @property
     def ids(self) -> list[int]:
-        return [token for _, part in self.parts for token in part]
+        return np.frombuffer(b"".join(part for _, part in self.parts), dtype=np.int32).tolist()
 
     def append(self, text: str) -> int:
         return self.replace(len(self.text), len(self.text), text)
@@ -271,7 +281,7 @@ def _digests(path: str, pattern: str):
             for text in _column(batch, "text"):
                 count, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
                 for ids in encoder.encoded(text):
-                    ids_hash.update(("," * (count > 0) + ",".join(map(str, ids))).encode())
+                    ids_hash.update(("," * (count > 0) + ",".join(map(str, ids.tolist()))).encode())
                     text_hash.update(encoder.decoded(ids))
                     count += len(ids)
                 counts.append(count)
@@ -287,7 +297,7 @@ def _ids(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
         for batch in batches:
-            ids = [[token for some in encoder.encoded(text) for token in some] for text in _column(batch, "text")]
+            ids = [np.concatenate([*encoder.encoded(text), np.zeros(0, np.int32)]) for text in _column(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
     return run
