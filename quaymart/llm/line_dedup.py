@@ -4,14 +4,18 @@ A line is the set of its distinct lower-cased words. Sets are ordered by rarity:
 are counted over the whole corpus in a table of fixed size, by which every word sorts after
 the rarer ones. Two sets of at least ``percent`` Jaccard similarity share a word among the
 first of each (prefix filter), are of similar length, and the place of the shared word
-leaves room for the overlap (length and positional filters); what passes is verified on the
-whole sets.
+leaves room for the overlap (length and positional filters). Each set also has the parities
+of its words in 64 bits, which differ in no more bits than the sets differ in words. What
+passes is verified on the whole sets.
 
 A line goes if an earlier line, by (doc_id, line number), has the same set or a similar one,
 whether or not that line stays. So it is enough to find one earlier match. Every set is
-first compared with the earliest set of each of its words; only those that are still there
-are then compared with all others that share a word. Copies of a set are one set throughout.
-Sets too small to be similar to any but their equals skip these comparisons.
+first compared with the earliest set of each of its prefix words, which is an aggregate that
+goes back by a join; only those that are still there are then joined with all earlier sets
+of their words. The filters are conditions of the joins, so that hardly anything but similar
+pairs comes out of them, and no word's sets are gathered. Copies of a set are one set
+throughout, named by a number in the order of its first line. Sets too small to be similar
+to any but their equals skip these comparisons.
 
 Everything is DataFrame code; words and sets are compared by 64-bit hashes (55 bits of a
 word's, next to its rarity).
@@ -19,16 +23,20 @@ word's, next to its rarity).
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cut import cut, release
 
 PERCENT = 85
 LEAST_WORDS = 1  # lines without words are left alone
-RARITY_BUCKETS = 1 << 14  # a power of two
+RARITY_BUCKETS = 1 << 16  # a power of two
+SLICES = 4  # of the words' hashes, joined one after the other, so that only a part of the prefix rows is on disk at once
+PLACE = ["doc_id", "line_no", "text_hash"]
 
 
 def _parts(line: Column) -> Column:
@@ -39,8 +47,8 @@ def _parts(line: Column) -> Column:
 
 
 def _words(line: Column) -> Column:
-    """Hashes of the words of a line, in order."""
-    return F.transform(_parts(line), lambda word: F.xxhash64(word))
+    """Hashes of the distinct words of a line."""
+    return F.array_distinct(F.transform(_parts(line), lambda word: F.xxhash64(word)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -49,29 +57,29 @@ def _lines(docs: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def rarity_table(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> list[int]:
-    """Quarter powers of two of the number of words in each hash bucket, over the whole corpus.
+def rarity_table(lines: DataFrame, buckets: int = RARITY_BUCKETS) -> list[int]:
+    """Quarter powers of two of the number of ``words`` in each hash bucket, over all lines.
 
     The table has ``buckets`` numbers whatever the corpus holds, so it may go to the driver.
+    A bucket counts all its words: a frequent one is never taken for a rare one.
     """
-    words = docs.select(F.explode(_parts(F.col("text"))).alias("word"))
-    bucket = F.xxhash64("word").bitwiseAND(F.lit(buckets - 1)).cast("int")
-    counts = words.select(bucket.alias("bucket")).groupBy("bucket").count()
+    bucket = F.col("word").bitwiseAND(F.lit(buckets - 1)).cast("int")
+    counts = lines.select(F.explode("words").alias("word")).groupBy(bucket.alias("bucket")).count().toArrow()
     table = [0] * buckets
-    for bucket, count in counts.collect():
-        table[bucket] = int(4 * math.log2(count + 1))
+    for bucket, count in zip(counts.column("bucket").to_pylist(), counts.column("count").to_pylist(), strict=True):
+        table[bucket] = min(127, int(4 * math.log2(count + 1)))
     return table
 
 
-def ordered_set(line: Column, table: list[int]) -> Column:
+def ordered_set(words: Column, table: list[int]) -> Column:
     """The set of a line as ascending numbers: rarity first, then the word's hash."""
-    rarity = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to a constant
+    rarity = F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")  # folded to a constant
 
     def number(word: Column) -> Column:
         bucket = word.bitwiseAND(F.lit(len(table) - 1)).cast("int")
-        return F.shiftleft(F.get(rarity, bucket), 55).bitwiseOR(F.shiftrightunsigned(word, 9))
+        return F.shiftleft(F.get(rarity, bucket).cast("bigint"), 55).bitwiseOR(F.shiftrightunsigned(word, 9))
 
-    return F.sort_array(F.transform(F.array_distinct(_words(line)), number))
+    return F.sort_array(F.transform(words, number))
 
 
 def prefix_length(size: Column, percent: int) -> Column:
@@ -79,30 +87,74 @@ def prefix_length(size: Column, percent: int) -> Column:
     return size - F.ceil(size * percent / 100) + 1
 
 
+def parities(words: Column) -> Column:
+    """A bit of 64 for each place that an odd number of words falls on."""
+    def flip(bits: Column, word: Column) -> Column:
+        place = word.bitwiseAND(F.lit(63)).cast("int")
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+    return F.aggregate(words, F.lit(0).cast("bigint"), flip)
+
+
 def _has_others(size: Column, percent: int) -> Column:
     """Whether a set may be similar to a different one: at best that is itself and one word more."""
     return size * 100 >= (size + 1) * percent
 
 
 def _may_match(a: str, b: str, percent: int) -> Column:
-    """Length and positional filters for rows ``a`` and ``b`` of one word."""
-    na, nb, pa, pb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
+    """Length, positional and parity filters for rows of one word whose columns begin with ``a`` and ``b``."""
+    na, nb, pa, pb = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}pos"), F.col(f"{b}pos")
     room = F.least(pa, pb) + 1 + F.least(na - pa - 1, nb - pb - 1)
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (room * 100 >= (na + nb - room) * percent)
+    apart = F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits")))
+    return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (room * 100 >= (na + nb - room) * percent)
+            & (apart * (100 + percent) <= (na + nb) * (100 - percent)))
+
+
+def _named(rows: DataFrame, name: str) -> DataFrame:
+    """The prefix rows with ``name`` before every column but the word."""
+    return rows.select("word", *[F.col(c).alias(f"{name}{c}") for c in rows.columns if c != "word"])
+
+
+def _prefixes(classes: DataFrame, percent: int, part: int) -> DataFrame:
+    """(word, id, n, pos, bits): a row for each prefix word of one slice of the sets that may have similar ones."""
+    rows = classes.where(_has_others(F.col("n"), percent)).select(
+        "id", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+    return rows.where(F.col("word").bitwiseAND(F.lit(SLICES - 1)) == part)
+
+
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
+    """(id, other): each set with the earliest set of each of its words, where the filters let them."""
+    first = rows.groupBy("word").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("id").alias("b_id"),
+        *[F.min_by(c, "id").alias(f"b_{c}") for c in ("n", "pos", "bits")]).where("sets > 1").drop("sets")
+    joined = _named(rows, "a_").join(first, "word").where((F.col("a_id") != F.col("b_id")) & _may_match("a_", "b_", percent))
+    return joined.select(F.col("a_id").alias("id"), F.col("b_id").alias("other"))
+
+
+def _rest(left: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(id, other): sets of ``left`` with all earlier sets of their words, where the filters let them."""
+    joined = _named(left, "a_").join(_named(rows, "b_"), "word").where(
+        (F.col("b_id") < F.col("a_id")) & _may_match("a_", "b_", percent))
+    return joined.select(F.col("a_id").alias("id"), F.col("b_id").alias("other"))
+
+
+def _in_slices(made: Callable[[int], DataFrame]) -> DataFrame:
+    """The distinct pairs of all slices, each slice written before the next is begun."""
+    parts = [cut(made(part).distinct()) for part in range(SLICES)]
+    pairs = cut(functools.reduce(DataFrame.union, parts).distinct())
+    release(*parts)
+    return pairs
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, table: list[int], percent: int) -> DataFrame:
-    """(sig, other) of the pairs that are similar, on sets read again from the text."""
-    needed = pairs.select("sig").union(pairs.select(F.col("other"))).distinct()
-    places = cut(classes.join(needed, "sig", "left_semi").select("sig", "first.*"))
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(id, other) of the pairs that are similar, on sets read again from the text."""
+    needed = pairs.select("id").union(pairs.select("other")).distinct()
+    places = cut(classes.select("id", *PLACE).join(needed, "id", "left_semi"))
     texts = docs.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
-    keys = ["doc_id", "text_hash", "line_no"]
-    sets = cut(_lines(texts).join(places, keys).select(
-        "sig", ordered_set(F.col("line"), table).alias("words")).dropDuplicates(["sig"]))
-    both = pairs.join(sets, "sig").join(sets.select(F.col("sig").alias("other"), F.col("words").alias("others")), "other")
+    sets = cut(_lines(texts).join(places, PLACE).select("id", _words(F.col("line")).alias("words")).dropDuplicates(["id"]))
+    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("other"), F.col("words").alias("others")), "other")
     shared = F.size(F.array_intersect("words", "others"))
     total = F.size("words") + F.size("others") - shared
-    similar = cut(both.where(shared * 100 >= total * percent).select("sig", "other"))
+    similar = cut(both.where(shared * 100 >= total * percent).select("id", "other"))
     release(places, sets)
     return similar
 
@@ -117,44 +169,33 @@ def repeated_lines(
     no lines, rows without doc_id take no part, and rows with equal id and text are one.
     """
     docs = docs.select("doc_id", "text")
-    table = rarity_table(docs, buckets)
-    ordered = _lines(docs).select(
-        "doc_id", "text_hash", "line_no", ordered_set(F.col("line"), table).alias("words"))
+    parsed = cut(_lines(docs).select(*PLACE, _words(F.col("line")).alias("words")).where(F.size("words") >= least_words))
+    table = rarity_table(parsed, buckets)
     size = F.size("words")
-    lines = cut(ordered.where(size >= least_words).select(
-        "doc_id", "text_hash", "line_no", F.xxhash64("words").alias("sig"), size.alias("n"),
+    lines = cut(parsed.withColumn("words", ordered_set(F.col("words"), table)).select(
+        *PLACE, F.xxhash64("words").alias("sig"), size.alias("n"), parities(F.col("words")).alias("bits"),
         F.slice("words", F.lit(1), prefix_length(size, percent).cast("int")).alias("prefix")))
-    place = F.struct("doc_id", "line_no", "text_hash")
-    classes = cut(lines.groupBy("sig").agg(F.min(place).alias("first")))
-    firsts = lines.join(classes, "sig").where(place == F.col("first")).dropDuplicates(["sig"])
-    rows = firsts.where(_has_others(F.col("n"), percent)).select(
-        "sig", "n", "first", F.posexplode("prefix").alias("pos", "word"))
-    # Streams over the rows of a word in order; a frame never has to hold them.
-    in_order = Window.partitionBy("word").orderBy("first", "sig")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shared = cut(rows.select(
-        "*", F.first(F.struct("sig", "n", "pos")).over(so_far).alias("pivot"),
-        F.row_number().over(in_order).alias("turn"), F.lead("sig").over(in_order).isNotNull().alias("more")
-    ).where(F.col("more") | (F.col("turn") > 1)))
-    starred = shared.where(F.col("sig") != F.col("pivot.sig")).select(F.struct("sig", "n", "pos").alias("a"), F.col("pivot").alias("b"))
-    stars = cut(starred.where(_may_match("a", "b", percent)).select(
-        F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct())
-    found = _verified(stars, classes, docs, table, percent)
-    # The first set of a word has been compared with the others: two more are needed for a new pair.
-    narrow = shared.select("word", "sig", "n", "pos", "turn", "more")
-    a = narrow.where("turn >= 3").join(found.select("sig").distinct(), "sig", "left_anti").alias("a")
-    b = narrow.where("turn >= 2 AND more").alias("b")
-    later = F.col("b.turn") < F.col("a.turn")
-    rest = a.join(b, (F.col("a.word") == F.col("b.word")) & later & _may_match("a", "b", percent)).select(
-        F.col("a.sig").alias("sig"), F.col("b.sig").alias("other")).distinct()
-    rest = cut(rest)
-    release(stars, shared)
-    found = found.union(_verified(rest, classes, docs, table, percent))
+    release(parsed)
+    first = lines.groupBy("sig").agg(F.min(F.struct(*PLACE, "n", "bits", "prefix")).alias("first")).select("sig", "first.*")
+    # Numbers in the order of first lines, as ranges are numbered one after the other.
+    classes = cut(first.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE).withColumn(
+        "id", F.monotonically_increasing_id()))
+    narrow = cut(lines.select(*PLACE, "sig"))
+    release(lines)
+    stars = _in_slices(lambda part: _stars(_prefixes(classes, percent, part), percent))
+    found = _verified(stars, classes, docs, percent)
+    release(stars)
+    left = classes.join(found.select("id").distinct(), "id", "left_anti")
+    rest = _in_slices(lambda part: _rest(
+        _prefixes(left, percent, part), _prefixes(classes, percent, part), percent))
+    found = found.union(_verified(rest, classes, docs, percent))
     release(rest)
-    where = classes.select(F.col("sig").alias("other"), F.col("first").alias("match"))
-    matched = found.join(where, "other").groupBy("sig").agg(F.min("match").alias("match"))
-    decided = classes.join(matched, "sig", "left")
-    removed = lines.select("doc_id", "text_hash", "line_no", "sig").join(decided, "sig").where(
+    matched = found.groupBy("id").agg(F.min("other").alias("other"))
+    where = classes.select(F.col("id").alias("other"), F.struct(*PLACE).alias("match"))
+    decided = classes.select("sig", "id", F.struct(*PLACE).alias("first")).join(
+        matched.join(where, "other").select("id", "match"), "id", "left").drop("id")
+    place = F.struct(*PLACE)
+    removed = narrow.join(decided, "sig").where(
         F.col("match").isNotNull() | (place != F.col("first")))
     # The first line of a set has no equal one before it.
     match = F.when(place == F.col("first"), F.col("match")).otherwise(F.col("first"))
