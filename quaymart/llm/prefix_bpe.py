@@ -29,6 +29,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .recent import Recent
+
 KEPT_PARTS = 300_000  # of a generation
 KEPT_BYTES = 48  # longer parts are encoded each time
 KEPT_PAIRS = 400_000  # of a generation
@@ -38,24 +40,6 @@ LOOKAHEAD = 8  # characters beyond a part that the split pattern may look at
 _NEVER = 1 << 30
 
 
-class Recent:
-    """A bounded mapping: two generations, of which the older one is dropped when the newer is full."""
-
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
-
-    def get(self, key):
-        value = self.new.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.new) >= self.size:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
-
-
 class Vocabulary:
     """Ranks of byte strings, as BPE merges them: the pair whose joined string has the lowest rank first."""
 

@@ -5,8 +5,10 @@ logarithm of a Zipf share); a pre-token's segmentation is the one of the largest
 scores. Every task puts the distinct pre-tokens it meets into a trie. A node is a prefix: it
 keeps the best score of the prefix, the pieces in it, and which vocabulary pieces may still
 go on there, all from its parent's, so a prefix that many pre-tokens share is computed once.
-The count at a pre-token's last node is kept by pre-token. A trie that reaches its size is
-begun anew, which changes no count.
+The count at a pre-token's last node is kept by pre-token, in two generations: those met
+again survive when the older one goes. A trie that reaches its size is begun anew, which
+changes no count and forgets none. Prefixes beyond a depth are followed without being kept,
+so a pre-token of any length takes no more memory.
 """
 
 from __future__ import annotations
@@ -15,13 +17,17 @@ import base64
 import math
 from collections import Counter
 from collections.abc import Iterator
+from operator import mul
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .recent import Recent
 from .words import slices
 
-NODES = 250_000
+NODES = 400_000
+DEPTH = 48  # bytes of a pre-token that are kept in the trie
+COUNTS = 300_000  # of a generation
 OFFSET = 2.7  # of the Zipf law
 
 
@@ -54,17 +60,19 @@ class PrefixTrie:
                 at = self.onward[key]
             self.score[at] = score
         self.least = min(scores.values(), default=0.0) - 10  # of a byte that no piece has
+        self.counts = Recent(COUNTS)
         self.clear()
 
     def clear(self) -> None:
+        """Begin the trie anew; counts stay."""
         self.child: dict[int, int] = {}
         self.best, self.pieces, self.open = [0.0], [0], [()]
-        self.counts: dict[str, int] = {}
 
-    def _grow(self, parent: int, byte: int) -> int:
-        """The node after a byte: extend every piece that is open at the parent, and one begun there."""
+    def _step(self, state: tuple, byte: int) -> tuple:
+        """(best score, pieces, open pieces) after a byte: extend every piece that is open, and one begun here."""
+        reached, made, opened = state
         still, best, pieces = [], None, 0
-        for at, before, count in (*self.open[parent], (0, self.best[parent], self.pieces[parent])):
+        for at, before, count in (*opened, (0, reached, made)):
             found = self.onward.get(at << 8 | byte)
             if found is None:
                 continue
@@ -73,10 +81,14 @@ class PrefixTrie:
             if score is not None and (best is None or (before + score, -count - 1) > (best, -pieces)):
                 best, pieces = before + score, count + 1
         if best is None:
-            best, pieces = self.best[parent] + self.least, self.pieces[parent] + 1
+            best, pieces = reached + self.least, made + 1
+        return best, pieces, tuple(still)
+
+    def _grow(self, parent: int, byte: int) -> int:
+        best, pieces, still = self._step((self.best[parent], self.pieces[parent], self.open[parent]), byte)
         self.best.append(best)
         self.pieces.append(pieces)
-        self.open.append(tuple(still))
+        self.open.append(still)
         return len(self.best) - 1
 
     def count(self, word: str) -> int:
@@ -84,17 +96,31 @@ class PrefixTrie:
         known = self.counts.get(word)
         if known is not None:
             return known
-        if len(self.best) >= self.limit:
+        data = word.encode()
+        if len(self.best) + DEPTH > self.limit:
             self.clear()
         at = 0
-        for byte in word.encode():
+        for byte in data[:DEPTH]:
             key = at << 8 | byte
             child = self.child.get(key)
             if child is None:
                 child = self.child[key] = self._grow(at, byte)
             at = child
-        self.counts[word] = self.pieces[at]
-        return self.pieces[at]
+        pieces = self.pieces[at]
+        if len(data) > DEPTH:
+            state = (self.best[at], pieces, self.open[at])
+            for byte in data[DEPTH:]:
+                state = self._step(state, byte)
+            return state[1]  # too long to be worth keeping
+        self.counts.put(word, pieces)
+        return pieces
+
+    def total(self, words: dict[str, int]) -> int:
+        """Pieces of pre-tokens, each as often as it occurs."""
+        found = list(map(self.counts.new.get, words))
+        if None in found:
+            found = [self.count(word) if n is None else n for word, n in zip(words, found, strict=True)]
+        return sum(map(mul, found, words.values()))
 
 
 def _counted(path: str, pattern: str, nodes: int):
@@ -107,8 +133,7 @@ def _counted(path: str, pattern: str, nodes: int):
                 rows = []
                 for text in part.column("text").to_pylist():
                     words = Counter(split.findall(text or ""))
-                    rows.append((sum(trie.count(word) * times for word, times in words.items()),
-                                 sum(words.values()), len(words), len((text or "").encode())))
+                    rows.append((trie.total(words), sum(words.values()), len(words), len((text or "").encode())))
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *[pa.array(list(c), pa.int64()) for c in columns]],
