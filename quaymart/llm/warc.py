@@ -1,11 +1,14 @@
 """WARC archives written by sorted shards, and read back.
 
 Records are put in order of page id and dealt to shards by the payload bytes before them, so
-the same pages give the same shards however Spark split them. A shard is written by one
-task: one gzip member per record, without times or names that change, a new file whenever
-the compressed size reaches a limit. Files are written under temporary names, renamed when
-they are whole, and listed in a manifest; only listed files count, so a task that is run
-again, or two at once, leave the same archive.
+the same pages give the same shards however Spark split them. What becomes of a record is
+planned on ids and digests alone; the pages themselves cross the network once, to the task
+of their shards, which the borders between tasks tell, and meet their plan there in order. A
+shard is written by one task: one gzip member per record, without times or names that
+change, a new file whenever the compressed size reaches a limit. Files are written under
+temporary names and renamed when they are whole; the manifest that lists them is committed
+last, by renaming its folder. Only listed files count, so a task that is run again, or two at
+once, leave the same archive, and a stopped run leaves none.
 
 Of the records with equal payloads the one with the largest page id has the payload, the
 others are revisits that refer to it.
@@ -15,12 +18,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import shared_dir
@@ -33,6 +38,8 @@ RECORD_BYTES = 512  # what the headers of a record are counted as
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CHUNK = 1 << 20
+TASKS = 1 << 16  # most tasks that write, and so borders between them
+READ_BYTES = 64 << 20
 MANIFEST = "shard bigint, part bigint, path string, records bigint, bytes bigint, sha256 string"
 
 
@@ -106,29 +113,38 @@ class ShardWriter:
         path = f"{self.folder}/{self.name}"
         from pyarrow import fs
 
-        if self.files.get_file_info(path).type != fs.FileType.NotFound:
-            self.files.delete_file(path)  # of an attempt before this one, with the same content
-        self.files.move(self.temporary, path)
+        if self.files.get_file_info(path).type == fs.FileType.NotFound:
+            self.files.move(self.temporary, path)
+        else:  # of an attempt before this one, with the same content
+            self.files.delete_file(self.temporary)
         self.listed.append((self.shard, self.part, self.name, self.count, self.size, self.hash.hexdigest()))
         self.out = None
 
 
 def _written(folder: str, file_bytes: int):
-    """Write the shards of a task, one after the other, and list the files."""
+    """Write the shards of a task, one after the other, and list the files.
+
+    Rows come in order of page id and digest, of equal ones the plan (``shard`` not null) first.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         attempt = str(TaskContext.get().taskAttemptId())
-        writer, listed = None, []
+        writer, listed, plan = None, [], {}
         for batch in batches:
             for part in slices(batch, "html"):
                 for row in part.to_pylist():
-                    if writer is None or writer.shard != row["shard"]:
-                        if writer is not None:
-                            writer.close()
-                            listed += writer.listed
-                        writer = ShardWriter(folder, row["shard"], attempt, file_bytes)
-                    writer.add(row)
+                    if row["shard"] is not None:
+                        plan = row
+                        if writer is None or writer.shard != row["shard"]:
+                            if writer is not None:
+                                writer.close()
+                                listed += writer.listed
+                            writer = ShardWriter(folder, row["shard"], attempt, file_bytes)
+                        continue
+                    if (row["page_id"], row["digest"]) != (plan.get("page_id"), plan.get("digest")):
+                        raise ValueError(f"page {row['page_id']} is not in the plan")
+                    writer.add(row | {"bytes": plan["bytes"], "response": plan["response"]})
         if writer is not None:
             writer.close()
             listed += writer.listed
@@ -172,40 +188,94 @@ def plan(pages: DataFrame, *, least_bytes: int = 0, shard_bytes: int = SHARD_BYT
     return placed.select("page_id", "digest", "bytes", "response", F.floor(before / shard_bytes).alias("shard"))
 
 
+def _place(page_id: int | None, digest: str) -> tuple:
+    """The order of records, as Spark sorts them."""
+    return (page_id is not None, page_id or 0, digest)
+
+
+def _dealt(borders: list[tuple], numbers: list[int]):
+    """(page_id, url, html, digest, task): each page with the task that its place falls to."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "html"):
+                digests = [sha1_base32((x or "").encode()) for x in part.column("html").to_pylist()]
+                ids = part.column("page_id").to_pylist()
+                tasks = [numbers[max(0, bisect_right(borders, _place(*key)) - 1)] for key in zip(ids, digests, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("page_id", "url", "html")), pa.array(digests, pa.string()),
+                     pa.array(tasks, pa.int32())], ["page_id", "url", "html", "digest", "task"])
+    return run
+
+
+def qualified(pages: DataFrame, folder: str) -> str:
+    """The folder with its scheme, by Hadoop's default file system."""
+    spark = pages.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = files.makeQualified(path).toString()
+    if full.startswith("file:") and not full.startswith("file://"):
+        return f"file://{full.removeprefix('file:')}"
+    return re.sub("^s3[an]:", "s3:", full)  # pyarrow's name for it
+
+
 def write_archives(
     pages: DataFrame, folder: str | None = None, *, least_bytes: int = 0, shard_bytes: int = SHARD_BYTES,
     file_bytes: int = FILE_BYTES,
 ) -> tuple[str, DataFrame]:
-    """Write a record per row and return the folder and the manifest.
+    """Write a record per row and return the folder and the manifest, as it is committed there.
 
     A null html is an empty payload, a null url is left out of the headers, a null page id
     comes first and is only referred to by no one. Rows that repeat a page id and payload are
-    as many records. Other columns are not read.
+    as many records. Other columns are not read. The executors need the package and a
+    file system that pyarrow knows (``file``, ``hdfs``, ``s3``, ``gs``); what a store needs
+    besides, such as its region, is taken from the environment.
     """
     from pyarrow import fs
 
-    folder = folder or f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
-    uri = folder if ":" in folder.split("/")[0] else f"file://{folder}"
+    spark = pages.sparkSession
+    folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    uri = qualified(pages, folder)
     files, path = fs.FileSystem.from_uri(uri)
     files.create_dir(path, recursive=True)
     planned = cut(plan(pages, least_bytes=least_bytes, shard_bytes=shard_bytes).dropDuplicates(["page_id", "digest"]))
-    digested = pages.select("page_id", "url", "html").mapInArrow(
-        _with_digest, "page_id bigint, url string, html string, digest string")
-    same = digested["page_id"].eqNullSafe(planned["page_id"]) & (digested["digest"] == planned["digest"])
-    rows = digested.join(planned, same).select(
-        digested["page_id"], "url", F.when(F.col("response").isNull(), F.col("html")).alias("html"),
-        digested["digest"], "bytes", "response", "shard")
-    manifest = cut(
-        rows.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url")
-        .mapInArrow(_written(uri, file_bytes), MANIFEST))
-    return uri, manifest
-
-
-def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "html"):
-            digests = [sha1_base32((x or "").encode()) for x in part.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.string())], [*part.schema.names, "digest"])
+    shards = (planned.agg(F.max("shard")).first()[0] or 0) + 1
+    each = -(-shards // TASKS)  # shards a task writes
+    task = F.floor(F.col("shard") / each).cast("int").alias("task")
+    firsts = planned.groupBy(task).agg(F.min(F.struct(
+        F.col("page_id").isNotNull().alias("known"), "page_id", "digest")).alias("first")).orderBy("task").collect()
+    borders = [_place(r["first"]["page_id"], r["first"]["digest"]) for r in firsts]  # TASKS at most
+    numbers = [r["task"] for r in firsts]
+    rows = pages.select("page_id", "url", "html").mapInArrow(
+        _dealt(borders, numbers), "page_id bigint, url string, html string, digest string, task int").select(
+        "*", *[F.lit(None).cast("bigint").alias(c) for c in ("shard", "bytes", "response")])
+    steps = planned.select(
+        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest",
+        task, "shard", "bytes", "response")
+    dealt = rows.unionByName(steps).repartitionById(max(numbers, default=0) + 1, F.col("task")).sortWithinPartitions(
+        "page_id", "digest", F.col("shard").isNull(), "url")
+    listed = cut(dealt.drop("task").mapInArrow(_written(uri, file_bytes), MANIFEST))
+    return uri, _committed(listed, folder)
+
+
+def _committed(listed: DataFrame, folder: str) -> DataFrame:
+    """The manifest, written beside the files and made visible by one rename; then what dead attempts left goes."""
+    spark = listed.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    temporary, final = f"{folder}/_manifest-{uuid.uuid4().hex}", f"{folder}/manifest"
+    listed.write.parquet(temporary)
+    files = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(hadoop.Path(final)):  # of a run before this one into the same folder
+        files.delete(hadoop.Path(final), True)
+    if not files.rename(hadoop.Path(temporary), hadoop.Path(final)):
+        raise OSError(f"{final} could not be committed")
+    for left in files.globStatus(hadoop.Path(f"{folder}/_temporary-*")):
+        files.delete(left.getPath(), False)
+    return read_manifest(spark, folder)
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of an archive; a folder without a committed manifest is no archive and raises."""
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
 def _members(stream) -> Iterator[bytes]:
@@ -274,6 +344,11 @@ def _read(folder: str, with_payload: bool):
     return run
 
 
-def read_archives(folder: str, manifest: DataFrame, *, payloads: bool = False) -> DataFrame:
-    """Every record of the files in the manifest, their order in the file as ``position``."""
-    return manifest.select("path").repartition("path").mapInArrow(_read(folder, payloads), RECORDS)
+def read_archives(folder: str, manifest: DataFrame, *, payloads: bool = False, read_bytes: int = READ_BYTES) -> DataFrame:
+    """Every record of the files in the manifest, their order in the file as ``position``.
+
+    About ``read_bytes`` of files go to a task, one file at least.
+    """
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
+    tasks = max(1, min(size["files"], max(-(-(size["bytes"] or 0) // read_bytes), manifest.sparkSession.sparkContext.defaultParallelism)))
+    return manifest.select("path").repartition(tasks).mapInArrow(_read(folder, payloads), RECORDS)
