@@ -39,10 +39,9 @@ _powers: list[np.ndarray] = []
 
 def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < length:
-        size = max(length, CHUNK)
         tables = []
         for base in (_BASE, _BASE_INVERSE):
-            table = np.full(size, base, dtype=U64)
+            table = np.full(max(length, CHUNK), base, dtype=U64)
             table[0] = 1
             tables.append(np.cumprod(table, dtype=U64))
         _powers[:] = tables
@@ -62,31 +61,26 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets if len(offsets) else np.zeros(1, dtype=np.int64)
 
 
-def _cut(data: np.ndarray, offsets: np.ndarray, at: int, end: int) -> int:
-    """End of the chunk that starts at ``at``: a text's end or white space, never inside a word."""
-    stop = at + CHUNK
-    if stop >= end:
-        return end
-    bound = int(offsets[np.searchsorted(offsets, stop, side="right") - 1])
-    if bound > at:
-        return bound
-    while True:
-        spaces = np.flatnonzero(_space[data[at:stop]])
-        if len(spaces):
-            return at + int(spaces[-1]) + 1
-        following = int(offsets[np.searchsorted(offsets, stop, side="right")])
-        if stop + CHUNK >= following:
-            return following
-        stop += CHUNK
-
-
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word in order, index of the first word of every text and the total)."""
+    """(hash of every word in order, index of the first word of every text and the total).
+
+    The bytes are walked a chunk at a time. A word that a chunk cuts is carried over, its
+    polynomial going on where it stopped, so a text without white space needs no more memory.
+    """
     data, offsets = text_bytes(texts)
     at, end = int(offsets[0]), int(offsets[-1])
     found, places = [], []
+    held: tuple[int, int, int] | None = None  # polynomial, length and place of a word that goes on
+
+    def begins(position: int) -> bool:
+        return int(offsets[np.searchsorted(offsets, position)]) == position
+
+    def emit(raw: np.ndarray, lengths: np.ndarray, place: np.ndarray) -> None:
+        found.append(mix(raw + lengths.astype(U64)))
+        places.append(place)
+
     while at < end:
-        stop = _cut(data, offsets, at, end)
+        stop = min(at + CHUNK, end)
         part = data[at:stop]
         space = _space[part]
         breaks = np.zeros(len(part), dtype=bool)
@@ -105,10 +99,22 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         values *= powers[:len(part)]
         sums = np.zeros(len(part) + 1, dtype=U64)
         np.cumsum(values, out=sums[1:])
-        raw = (sums[ends] - sums[starts]) * inverses[starts]
-        found.append(mix(raw + (ends - starts).astype(U64)))
-        places.append(starts + at)
+        raw, lengths, place = (sums[ends] - sums[starts]) * inverses[starts], ends - starts, starts + at
+        if held is not None:
+            if space[0] or breaks[0]:
+                emit(np.array([held[0]], dtype=U64), np.array([held[1]]), np.array([held[2]]))
+            else:
+                raw[0] = (held[0] + int(raw[0]) * pow(_BASE, held[1], 1 << 64)) & ((1 << 64) - 1)
+                lengths[0] += held[1]
+                place[0] = held[2]
+            held = None
+        if stop < end and not space[-1] and not begins(stop):
+            held = int(raw[-1]), int(lengths[-1]), int(place[-1])
+            raw, lengths, place = raw[:-1], lengths[:-1], place[:-1]
+        emit(raw, lengths, place)
         at = stop
+    if held is not None:
+        emit(np.array([held[0]], dtype=U64), np.array([held[1]]), np.array([held[2]]))
     if not found:
         return np.zeros(0, dtype=U64), np.zeros(len(offsets), dtype=np.int64)
     place = np.concatenate(places)
