@@ -49,11 +49,16 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == order)).cast("bigint")
 
     every = F.array_sort(F.concat("base", "added"))
-    examples = F.size(F.filter(every, lambda s: s["example"])).cast("bigint")
+
+    def judged(as_: str):
+        return F.size(F.filter(every, lambda s: s["judged"] == as_)).cast("bigint").alias(f"n_{as_}")
+
+    def most(what: str):
+        return F.coalesce(F.array_max(F.transform(every, lambda s: s[what])), F.lit(0).cast("bigint")).alias(f"most_{what}")
     return found.select(
         "doc_id", *[count(i).alias(f"n_{kind}") for i, (kind, *_) in enumerate(secrets.BASE)],
         F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(every).alias("spans"),
-        examples.alias("n_example"), (F.size(every) - examples).alias("n_live"))
+        judged("example"), judged("reused"), judged("live"), most("owners"), most("repositories"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Secrets in texts, told apart by who else has them.
 
 Base spans come from three patterns. The method adds spans of any long mixed token and
-judges every candidate by its owners: candidates are hashed and counted over the corpus by
-distinct repositories and owners. One that many owners share is a widely copied example, one
-that few have is live-looking.
+judges every candidate by where it is found: candidates are hashed and counted over the
+corpus by distinct repositories and owners. One that many owners share is a widely copied
+example; one of few owners that is in more repositories than owners is a key that is reused;
+any other is live-looking.
 
 Everything is DataFrame code. Positions come from splitting a text at the matches, which
 gives the gaps between them: the lengths of gaps and matches, summed in order, are the offsets.
@@ -68,17 +69,18 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
 
 
 def ownership(found: DataFrame, widely: int = WIDELY_COPIED) -> DataFrame:
-    """(hash, owners, repositories, example) over the corpus; copies of one owner count once."""
+    """(hash, owners, repositories, judged) over the corpus; copies in one repository count once."""
     places = found.select("hash", "owner", "repository").distinct()  # combined before the shuffle
     return places.groupBy("hash").agg(
         F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories")
-    ).withColumn("example", F.col("owners") >= widely)
+    ).withColumn("judged", F.when(F.col("owners") >= widely, "example").when(
+        F.col("repositories") > F.col("owners"), "reused").otherwise("live"))
 
 
 def find_secrets(
     docs: DataFrame, *, owner: Column | None = None, repository: Column | None = None, widely: int = WIDELY_COPIED
 ) -> DataFrame:
-    """(doc_id, base, added) of every row: lists of (start, kind, end, owners, repositories, example).
+    """(doc_id, base, added) of every row: lists of (start, kind, end, owners, repositories, judged).
 
     ``base`` has the base spans, whatever their ownership; ``added`` the mixed tokens that
     are no copied example and overlap no base span. Both are in order of start and kind. A
@@ -90,10 +92,10 @@ def find_secrets(
     repository = F.concat_ws("/", F.col("source"), F.col("lang")) if repository is None else repository
     found = cut(candidates(docs, owner, repository))
     judged = found.join(ownership(found, widely), "hash")
-    span = F.struct("start", "kind", "end", "owners", "repositories", "example")
+    span = F.struct("start", "kind", "end", "owners", "repositories", "judged")
     lists = judged.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(span)).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < len(BASE))
-    added = F.filter("all", lambda s: (s["kind"] >= len(BASE)) & ~s["example"] & ~F.exists(
+    added = F.filter("all", lambda s: (s["kind"] >= len(BASE)) & (s["judged"] != "example") & ~F.exists(
         base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     lists = lists.select("doc_id", "text_hash", base.alias("base"), added.alias("added"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("_hash")).withColumnRenamed("doc_id", "_id")
