@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cut import cut
+from .cut import cut, release
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -30,4 +30,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        after = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        release(edges)
+        edges = after

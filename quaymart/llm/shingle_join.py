@@ -13,10 +13,11 @@ many are dropped as can be without losing a link.
 
 Keys give candidates in two rounds. First every set is paired with the smallest set of each
 key it has (a star, never all pairs of a key). What is then linked is contracted; for the
-rest, the pairs of one key in different groups are taken, unless the sizes, a parity
-sketch or the distances to the common star show that they cannot be linked. Every candidate
-is verified on whole sets. The groups are those of all links; pairs inside a group already
-found are not listed.
+rest, the sets of one key in different groups are joined, unless their sizes or a parity
+sketch of 1,024 bits, both conditions of the join, show that they cannot be linked. Keys that
+the very same sets have are joined once. Longer sketches are compared next, and every
+candidate is verified on whole sets. The groups are those of all links; pairs inside a group
+already found are not listed.
 
 Sets are compared by 64-bit shingle hashes and named by a 64-bit hash of the set.
 """
@@ -42,6 +43,7 @@ _BAND = U64(0xA0761D6478BD642F)
 _PREFIX = U64(0x8EBC6AF09C88C6E3)
 PAIRS_PER_SALT = 512
 BITS_PER_SHINGLE = 4
+FOLDED = 16  # numbers of 64 bits in the sketch that the join compares
 PREFIX_CODE = 7  # of key codes; a set is in fewer than so many bands
 CROWDED = 4  # sets of a key from which one may leave it out
 
@@ -119,7 +121,7 @@ def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     There are at least ``BITS_PER_SHINGLE`` times the shingles, and a power of two, so that a
     longer sketch folds to a shorter one by XOR of its halves.
     """
-    count = max(256, 1 << (BITS_PER_SHINGLE * max(1, len(shingles)) - 1).bit_length())
+    count = max(64 * FOLDED, 1 << (BITS_PER_SHINGLE * max(1, len(shingles)) - 1).bit_length())
     places = (mix(shingles ^ _BAND) & U64(count - 1)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=count) & 1).astype(np.uint8))
 
@@ -268,7 +270,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
 
 
 def _sketches(size: int, percent: int):
-    """Size, spare keys and parity sketch of every set; the sketch also folded to 256 bits, as four numbers."""
+    """Size, spare keys and parity sketch of every set; the sketch also folded to ``FOLDED`` numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = bands(1 << 10)
         for batch in batches:
@@ -278,17 +280,18 @@ def _sketches(size: int, percent: int):
                     ends = bands(2 * ends[-1])
                 spare = [spare_keys(s, ends, percent) for s in sets]
                 bits = [bit_sketch(s) for s in sets]
-                folded = np.array([np.bitwise_xor.reduce(b.reshape(-1, 32), axis=0) for b in bits], dtype=np.uint8)
-                folded = folded.reshape(-1, 32).view(np.int64)
+                folded = np.array([np.bitwise_xor.reduce(b.reshape(-1, 8 * FOLDED), axis=0) for b in bits], dtype=np.uint8)
+                folded = folded.reshape(-1, 8 * FOLDED).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(spare, pa.list_(pa.int32())), pa.array([b.tobytes() for b in bits], pa.binary()),
-                     *[pa.array(folded[:, i]) for i in range(4)]], SKETCH_COLUMNS)
+                     *[pa.array(np.ascontiguousarray(folded[:, i])) for i in range(FOLDED)]],
+                    ["node", "n", "spare", "bits", *FOLDS])
     return run
 
 
-SKETCH_COLUMNS = ["node", "n", "spare", "bits", "s0", "s1", "s2", "s3"]
-SKETCH = "node bigint, n bigint, spare array<int>, bits binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+FOLDS = [f"s{i}" for i in range(FOLDED)]
+SKETCH = "node bigint, n bigint, spare array<int>, bits binary, " + ", ".join(f"{name} bigint" for name in FOLDS)
 
 
 def _bits_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -340,36 +343,29 @@ def _uncrowded(shared: DataFrame, sketches: DataFrame) -> DataFrame:
     return out
 
 
-def _rest(
-    shared: DataFrame, first: DataFrame, links: DataFrame, sketches: DataFrame, percent: int
-) -> DataFrame:
-    """Pairs of one key in different groups that may still be linked; ``first`` are the stars compared."""
+def _rest(shared: DataFrame, links: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one key in different groups that may still be linked."""
     groups = connected_components(links)
-    grouped = shared.join(groups, "node", "left").select(
-        "key", "node", "pivot", F.coalesce("component", "node").alias("component"))
-    mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
-        "low <> high").select("key")
-    left = grouped.join(mixed, "key", "left_semi").where("node <> pivot")
-    # How far a set is from the star of its key, where they were compared.
-    star = first.select(F.col("a").alias("pivot"), F.col("b").alias("node"),
-                        (1 - F.col("shared") / F.col("total")).alias("far"))
-    main = grouped.where("node = pivot").select("pivot", F.col("component").alias("main")).distinct()
-    rows = cut(left.join(star, ["pivot", "node"], "left").join(main, "pivot")
-                   .join(sketches.drop("bits", "spare"), "node"))
-    x, y = rows.where("component <> main").alias("x"), rows.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(4)), F.lit(0))
+    placed = cut(shared.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+    hashes = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"h{i}") for i in (1, 2)]
+    mixed = placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("component").alias("low"), F.max("component").alias("high"), *hashes)
+    kept = mixed.where("low <> high").groupBy("sets", "h1", "h2").agg(F.min("key").alias("key")).select("key")
+    rows = cut(placed.join(kept, "key").join(sketches.select("node", "n", *FOLDS), "node"))
+    release(placed)
+    x, y = rows.alias("x"), rows.alias("y")
+    apart = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in FOLDS), F.lit(0))
     smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    detour = F.abs(F.col("x.far") - F.col("y.far"))  # distances obey the triangle inequality
     within = (
-        (F.col("x.component") != F.col("y.component"))
-        # A pair outside the main group is listed once.
-        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
+        (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
         & (smaller * 100 >= larger * percent)
-        & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
-        & (F.coalesce(detour, F.lit(0.0)) <= (100 - percent) / 100 + 1e-9))
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & within).select(
-        F.col("x.node").alias("b"), F.col("y.node").alias("a"))
-    return possible(pairs.distinct(), sketches, percent)
+        & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+    pairs = cut(x.join(y, (F.col("x.key") == F.col("y.key")) & within).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    release(rows)
+    out = possible(pairs, sketches, percent)
+    release(pairs)
+    return out
 
 
 def jaccard_groups(
@@ -398,7 +394,7 @@ def jaccard_groups(
     first = verify(possible(stars, sketches, percent), texts, size)
     linked = F.col("shared") * 100 >= F.col("total") * percent
     links = first.where(linked).select("a", "b")
-    rest = _rest(shared, first, links, sketches, percent)
+    rest = _rest(shared, links, sketches, percent)
     second = verify(rest, texts, size).where(linked).select("a", "b")
     release(texts, sketches, shared)
     groups = connected_components(links.union(second))
