@@ -8,12 +8,14 @@ each tier, fills the gaps of the longest window first. The last gap of a task go
 second level, where the remainders of many tasks are packed in the same way; a sequence that
 is still not full there is cut to powers of two, so that only its last few tokens are padded.
 
-A task deals its sequences of equal length to step groups of at most ``step_tokens`` tokens; the
-last group of each tier is partial, and nothing is balanced across tasks.
+Sequences of equal length make training steps: they are numbered across all tasks, from the
+counts of the tasks before, and every ``step_tokens`` tokens of them are a group. So all groups of
+a length are equally large but for its last one.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -21,19 +23,22 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as Spec
 from pyspark.sql import functions as F
 
 from .cut import cut
+from .recent import Recent
 from .words import slices
 
 TIERS = (2048, 1024, 512, 256, 128, 64)
 END_ID = 1
 STEP_TOKENS = 1 << 19
 TASKS_PER_GROUP = 64
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000  # of a generation
+KEPT_BYTES = 64  # longer parts are encoded each time
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-          "sequence_id bigint, offset bigint, padded bigint, step_group bigint")
+          "sequence_id bigint, offset bigint, padded bigint, turn bigint")
 FIELDS = [part.split()[0] for part in PIECES.split(", ")]
 LEFT = f"{PIECES}, rest binary, task bigint"
 
@@ -57,10 +62,10 @@ class Window:
 class Packer:
     """The windows of one task; memory is one open window per tier."""
 
-    def __init__(self, task: int, tiers: tuple[int, ...], step_tokens: int):
-        self.tiers, self.step_tokens = tiers, step_tokens
+    def __init__(self, task: int, tiers: tuple[int, ...]):
+        self.tiers = tiers
         self.open = {size: Window(size) for size in tiers}
-        self.task, self.made, self.per_tier = task, 0, dict.fromkeys(tiers, 0)
+        self.task, self.made, self.per_length = task, 0, Counter()
         self.rows: list[tuple] = []
 
     def document(self, doc_id, ids: np.ndarray) -> None:
@@ -80,14 +85,12 @@ class Packer:
         """Number a sequence and write its pieces."""
         number = (self.task << 32) + self.made
         self.made += 1
-        size = window.size
-        turn = self.per_tier.get(size, 0)
-        self.per_tier[size] = turn + 1
-        group = (self.task << 32) + turn * size // self.step_tokens
+        turn = self.per_length[padded]
+        self.per_length[padded] += 1
         offset = 0
         for doc_id, start, ids, total in window.pieces:
             code = crc32(ids.astype("<u4").tobytes())
-            self.rows.append((doc_id, start, len(ids), code, total, number, offset, padded, group))
+            self.rows.append((doc_id, start, len(ids), code, total, number, offset, padded, turn))
             offset += len(ids)
 
     def fill_gaps(self) -> list[tuple]:
@@ -143,29 +146,30 @@ class Encoder:
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.known, self.units = Recent(cached), Recent(cached)
+        self.marks = {"": b""} | dict(zip(sorted(self.MARKS), self._encode_each(sorted(self.MARKS)), strict=True))
 
-    def _encode_units(self, units: list[str]) -> None:
+    def _encode_units(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
         for at in range(0, len(units), 4096):
             some = units[at:at + 4096]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
                 data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-                self.units.update(zip(some, (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+                yield from zip(some, (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True)
             else:
-                self.units.update(zip(some, self._encode_each(some), strict=True))
+                yield from zip(some, self._encode_each(some), strict=True)
 
     def _encode_each(self, parts: list[str]) -> Iterator[bytes]:
         for encoded in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
             yield np.array(encoded.ids, dtype="<u4").tobytes()
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learned(self, new: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of parts that are not known, each remembered."""
         lettered, others = [], []
         for part in new:
             text = part.decode()
@@ -175,24 +179,26 @@ class Encoder:
                 lettered.append((part, unit, mark))
             else:
                 others.append((part, text))
-        self._encode_units(list({unit: None for _, unit, _ in lettered if unit not in self.units}))
-        marks = {mark: b"" for mark in ("",)} | dict(
-            zip(sorted(self.MARKS), self._encode_each(sorted(self.MARKS)), strict=True))
-        self.known.update((part, self.units[unit] + marks[mark]) for part, unit, mark in lettered)
-        self.known.update(zip((p for p, _ in others), self._encode_each([t for _, t in others]), strict=True))
+        units = {unit: self.units.get(unit) for _, unit, _ in lettered}
+        for unit, ids in self._encode_units([unit for unit, ids in units.items() if ids is None]):
+            units[unit] = ids
+            self.units.put(unit, ids)
+        yield from ((part, units[unit] + self.marks[mark]) for part, unit, mark in lettered)
+        yield from zip((p for p, _ in others), self._encode_each([t for _, t in others]), strict=True)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, followed by the end id."""
         end = np.array([END_ID], dtype="<u4").tobytes()
         split = [(text or "").encode().split() for text in texts]  # bytes: at ASCII white space only
-        every = list(dict.fromkeys(part for parts in split for part in parts))
-        new = [part for part in every if part not in self.known]
-        if len(self.known) + len(new) > self.cached:
-            self.known.clear()
-            self.units.clear()
-            new = every
-        self._learn(new)
-        find = self.known.__getitem__
+        every = list(set().union(*split))
+        here = dict(zip(every, map(self.known.new.get, every), strict=True))
+        old = {part: self.known.get(part) for part, ids in here.items() if ids is None}
+        here.update(old)
+        for part, ids in self._learned([part for part, ids in old.items() if ids is None]):
+            here[part] = ids
+            if len(part) <= KEPT_BYTES:
+                self.known.put(part, ids)
+        find = here.__getitem__
         for parts in split:
             yield np.frombuffer(b"".join([*map(find, parts), end]), dtype="<u4")
 
@@ -209,12 +215,12 @@ def _batch(rows: list[tuple], rest: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*out, tail], [*FIELDS, "rest"])
 
 
-def _packed(path: str, tiers: tuple[int, ...], step_tokens: int):
+def _packed(path: str, tiers: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        encoder, packer = Encoder(path), Packer(task, tiers, step_tokens)
+        encoder, packer = Encoder(path), Packer(task, tiers)
 
         def out(rest):
             made = _batch(packer.take(), rest)
@@ -232,7 +238,7 @@ def _packed(path: str, tiers: tuple[int, ...], step_tokens: int):
     return run
 
 
-def _repacked(tiers: tuple[int, ...], step_tokens: int):
+def _repacked(tiers: tuple[int, ...]):
     """Pack the remainders of a group of tasks, which come sorted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, packer = None, None
@@ -250,7 +256,7 @@ def _repacked(tiers: tuple[int, ...], step_tokens: int):
                         yield finish()
                     group, pending = row["task_group"], []
                     # Numbers that no task of the first level has.
-                    packer = Packer(-1 - group, tiers, step_tokens)
+                    packer = Packer(-1 - group, tiers)
                 pending.append((row["doc_id"], row["start"], np.frombuffer(row["rest"], dtype="<u4"), row["doc_tokens"]))
         if packer is not None:
             yield finish()
@@ -272,15 +278,29 @@ def pack(
     """One row per piece of a document, as placed in its sequence.
 
     ``padded`` is the sequence's length with padding, ``step_group`` the training step it
-    belongs to (sequences of one length, ``step_tokens`` in all). A null or empty text is one
+    belongs to, as ``length-number`` (sequences of one length, ``step_tokens`` in all). A null or empty text is one
     end id; rows that repeat a doc_id are packed as documents of their own, and a null
     doc_id stays null. Only ``doc_id`` and ``text`` are read. The result depends on how the
     input is split into tasks, which a reread of the same files does not change.
     """
-    first = cut(docs.select("doc_id", "text").mapInArrow(_packed(tokenizer_path, tiers, step_tokens), LEFT))
-    made = first.where("rest IS NULL").select(*FIELDS)
+    first = cut(docs.select("doc_id", "text").mapInArrow(_packed(tokenizer_path, tiers), LEFT))
     left = first.where("rest IS NOT NULL").select(
         "doc_id", "start", "doc_tokens", "rest", "task", F.floor(F.col("task") / tasks_per_group).alias("task_group"))
-    again = (left.repartition("task_group").sortWithinPartitions("task_group", "task", "doc_id", "start")
-             .mapInArrow(_repacked(tiers, step_tokens), PIECES))
-    return made.unionByName(again)
+    again = cut(left.repartition("task_group").sortWithinPartitions("task_group", "task", "doc_id", "start")
+                .mapInArrow(_repacked(tiers), PIECES))
+    made = first.where("rest IS NULL").select(*FIELDS).unionByName(again)
+    return with_step_groups(made, step_tokens)
+
+
+def with_step_groups(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """``step_group`` in place of ``turn``: the length of the sequence and its group of that length."""
+    task = F.shiftright("sequence_id", 32)  # as numbers are given out
+    # A row for each task and length.
+    sizes = pieces.groupBy(task.alias("_task"), F.col("padded").alias("_padded")).agg((F.max("turn") + 1).alias("n"))
+    before = Spec.partitionBy("_padded").orderBy("_task").rowsBetween(Spec.unboundedPreceding, -1)
+    starts = sizes.select("_task", "_padded", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    placed = pieces.withColumn("_own", task).join(
+        starts, (F.col("_own") == F.col("_task")) & (F.col("padded") == F.col("_padded")))
+    group = F.floor((F.col("_start") + F.col("turn")) * F.col("padded") / step_tokens).cast("string")
+    return placed.select(
+        *[c for c in FIELDS if c != "turn"], F.concat_ws("-", F.col("padded").cast("string"), group).alias("step_group"))
