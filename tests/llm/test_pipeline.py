@@ -69,6 +69,22 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, tmp_path):
     assert sorted(map(tuple, clean.collect()), key=str) == sorted((r for r in rows if item not in r[1]), key=str)
 
 
+def test_a_table_with_its_own_key_column_and_an_empty_one(spark, tmp_path):
+    a, item = " ".join(prose(70_000, 60)), " ".join(prose(70_001, 60))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(1, a, "mine", "other"), (2, a, "yours", None)], "doc_id bigint, text string, _key string, _KEY_ string")
+    for stage in (corpus_pipeline.one_of_each_group, corpus_pipeline.without_benchmark):
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "_key", "_KEY_"]
+    assert [tuple(r) for r in docs.collect()] == [(1, a, "mine", "other")]
+    docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        assert docs.count() == 0
+
+
 def test_every_operator_has_a_query():
     names = list(contract.queries())
     assert [sum(bool(re.match(rf"op{n}_", name)) for name in names) for n in range(1, 14)] == [1] * 13

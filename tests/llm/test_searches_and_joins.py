@@ -260,7 +260,7 @@ def test_search_reaches_brute_force_and_breaks_ties_by_id(spark):
            (9400, [None] * 16), (9500, [1.0, 2.0]), (None, vectors[5].tolist()), rows[200]]
     table = spark.createDataFrame([(*r, 3) for r in rows + odd], "vec_id bigint, embedding array<float>, point int")
     found = {}
-    for r in hilbert_search.search(table, block=256).collect():
+    for r in hilbert_search.search(table).collect():
         found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     ids, matrix = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
     assert set(found) == {int(i) for i in ids if i % 100 == 0}
@@ -277,6 +277,27 @@ def test_search_reaches_brute_force_and_breaks_ties_by_id(spark):
     assert [v for _, v, _ in found[100]] == list(range(5000, 5010))
 
 
+def test_windows_prune_where_vectors_have_neighbours(spark):
+    """At the settings as shipped, on tables of many blocks: recall, and the share of brute force's distances."""
+    draw = np.random.default_rng(77)
+    middles = draw.normal(size=(600, 64))
+    for size, spread, most in ((8_000, 0.15, 0.25), (16_000, 0.15, 0.15)):
+        matrix = (middles[draw.integers(0, len(middles), size)] + spread * draw.normal(size=(size, 64))).astype(np.float32)
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id bigint, embedding array<float>")
+        found, compared = {}, {}
+        for r in hilbert_search.search(table).collect():
+            found.setdefault(r["query_id"], set()).add(r["vec_id"])
+            compared[r["query_id"]] = r["compared"]
+        exact, hits = matrix.astype(np.float64), 0
+        for query, listed in found.items():
+            apart = ((exact - exact[query]) ** 2).sum(axis=1)
+            apart[query] = np.inf
+            hits += len(listed & set(np.argsort(apart, kind="stable")[:10].tolist()))
+        assert len(found) == size // 100 and hits >= 0.9 * 10 * len(found)
+        assert sum(compared.values()) <= most * len(found) * (size - 1)
+        assert max(compared.values()) < size  # nothing is measured twice
+
+
 def test_search_with_fewer_candidates_than_results(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0])], "vec_id bigint, embedding array<float>")
     assert [tuple(r)[:3] for r in hilbert_search.search(few).orderBy("rank").collect()] == [(0, 1, 1), (0, 2, 2)]

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
@@ -36,6 +37,17 @@ def test_word_hashes_follow_words_across_chunks(monkeypatch):
     assert np.array_equal(sliced[0], whole[0][whole[1][7]:whole[1][27]])
 
 
+def test_a_text_without_white_space_takes_little_memory():
+    long = pa.array(["x" * 50_000_000 + " y", "z"])
+    words.word_hashes(pa.array(["warm"]))
+    tracemalloc.start()
+    hashes, first = words.word_hashes(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and first.tolist() == [0, 2, 3]
+    assert hashes[0] == words.word_hashes(pa.array(["X" * 50_000_000]))[0][0] != words.word_hashes(pa.array(["x" * 49_999_999]))[0][0]
+
+
 # --- toxicity ------------------------------------------------------------------------------------
 
 
@@ -136,12 +148,25 @@ def test_base_spans_are_those_of_the_patterns_and_ownership_counts_owners(spark)
         assert [(s["start"], s["kind"], s["end"]) for s in row["base"]] == base_spans(text[row["doc_id"]])
         for s in row["base"]:
             if s["kind"] == 2:
-                assert s["example"] and s["owners"] >= 4
+                assert s["judged"] == "example" and s["owners"] >= 4
     added = {row["doc_id"]: [text[row["doc_id"]][s["start"]:s["end"]] for s in row["added"]] for row in found}
     assert added[3] == [mixed] and added[4] == [mixed] and added[9] == []
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_candidates_are_judged_by_owners_and_repositories(spark):
+    value = {name: hashlib.sha256(name.encode()).hexdigest()[:32] for name in "abcd"}
+    rows = [(1, "s1", "en", "a"), (2, "s2", "en", "a"), (3, "s3", "en", "a"),  # many owners
+            (4, "s1", "en", "b"), (5, "s1", "de", "b"),  # one owner's two repositories
+            (6, "s2", "en", "c"), (7, "s2", "en", "c"),  # copies in one repository
+            (8, "s1", "en", "d"), (9, "s2", "en", "d")]  # two owners, one repository each
+    docs = spark.createDataFrame([(i, s, lang, f"key {value[v]} end") for i, s, lang, v in rows], "doc_id bigint, source string, lang string, text string")
+    found = {r["doc_id"]: r["base"][0] for r in secrets.find_secrets(docs).collect()}
+    want = {"a": ("example", 3, 3), "b": ("reused", 1, 2), "c": ("live", 1, 1), "d": ("live", 2, 2)}
+    for i, _, _, v in rows:
+        assert (found[i]["judged"], found[i]["owners"], found[i]["repositories"]) == want[v]
+
+
 # --- token counts --------------------------------------------------------------------------------
 
 
@@ -211,6 +236,26 @@ def test_pieces_hold_every_id_once_and_sequences_are_gapless(spark):
     assert max(steps.values()) <= packing.STEP_TOKENS
 
 
+def test_step_groups_are_numbered_across_tasks(spark):
+    draw = np.random.default_rng(16)
+    docs = spark.createDataFrame([(i, text_of(draw, int(draw.integers(1, 400)))) for i in range(300)], "doc_id bigint, text string")
+    rows = packing.pack(docs.repartition(9), queries.tokenizer_path(), tiers=(256, 128, 64), step_tokens=1024, tasks_per_group=3).collect()
+    groups = {}
+    for sequence, padded, group in {(r["sequence_id"], r["padded"], r["step_group"]) for r in rows}:
+        assert group.split("-")[0] == str(padded)
+        groups.setdefault(padded, Counter())[int(group.split("-")[1])] += padded
+    assert sorted(groups)[-1] == 256 and len(groups[256]) > 9
+    for padded, sizes in groups.items():
+        assert sorted(sizes) == list(range(len(sizes)))
+        assert all(n == 1024 for number, n in sizes.items() if number < len(sizes) - 1)
+
+
+def test_a_pre_token_of_any_length_takes_no_more_memory():
+    trie = token_counts.PrefixTrie({b"a": -1.0, b"ab": -1.5, b"b": -2.0})
+    assert trie.count("ab" * 100_000) == 100_000 and len(trie.best) <= token_counts.DEPTH + 1
+    assert trie.count("ab" * 30) == 30 and trie.count("ab" * 30 + "a") == 31
+
+
 def test_packing_of_repeats_and_nothing(spark):
     docs = spark.createDataFrame([(1, "stone river"), (1, "stone river"), (None, "cloud")], "doc_id bigint, text string")
     rows = packing.pack(docs, queries.tokenizer_path()).collect()
@@ -255,7 +300,7 @@ def test_verdicts(spark):
     assert url_rules.judge(pages.limit(0)).count() == 0
 
 
-def test_archives_round_trip_and_do_not_depend_on_the_split(spark, tmp_path):
+def test_archives_round_trip_and_do_not_depend_on_the_split(spark, tmp_path, monkeypatch):
     draw = np.random.default_rng(3)
     html = [text_of(draw, int(n)) for n in draw.integers(0, 400, 80)] + [None, "", "é\r\n\r\nWARC/1.1\r\n", "x" * 3_000_000]
     rows = [(7 * i % 1000, f"http://a.example/{i}", h) for i, h in enumerate(html)]
@@ -267,7 +312,7 @@ def test_archives_round_trip_and_do_not_depend_on_the_split(spark, tmp_path):
     again, other = warc.write_archives(pages.repartition(7), str(tmp_path / "b"), **options)
     assert listed == {r["path"]: r["sha256"] for r in other.collect()} and len(listed) > 5
     names = {p.name for p in (tmp_path / "a").iterdir() if not p.name.endswith(".crc")}
-    assert names == set(listed)
+    assert names == {*listed, "manifest"}
     assert all(hashlib.sha256((tmp_path / "a" / n).read_bytes()).hexdigest() == d for n, d in listed.items())
     largest = {}
     for page, _, text in rows:
@@ -285,3 +330,26 @@ def test_archives_round_trip_and_do_not_depend_on_the_split(spark, tmp_path):
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
     nothing, empty = warc.write_archives(pages.limit(0), str(tmp_path / "c"))
     assert warc.read_archives(nothing, empty).count() == 0
+    assert warc.read_archives(folder, manifest, read_bytes=1).rdd.getNumPartitions() == len(listed)
+    # Written by few tasks, several shards each: the same archive.
+    monkeypatch.setattr(warc, "TASKS", 2)
+    _, few = warc.write_archives(pages, str(tmp_path / "d"), **options)
+    assert listed == {r["path"]: r["sha256"] for r in few.collect()}
+
+
+def test_a_stopped_run_leaves_no_archive_and_its_rest_is_cleared(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, "http://a.example/", f"page {i}") for i in range(20)], "page_id bigint, url string, html string")
+
+    def stop(*_args):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as patch:
+        patch.setattr(warc, "_committed", stop)
+        with pytest.raises(RuntimeError):
+            warc.write_archives(pages, str(tmp_path), file_bytes=300)
+    assert list(tmp_path.glob("*.warc.gz"))
+    with pytest.raises(Exception, match="(?i)path"):
+        warc.read_manifest(spark, str(tmp_path)).count()
+    (tmp_path / "_temporary-shard-000000-00000.warc.gz-1").write_bytes(b"half")
+    folder, manifest = warc.write_archives(pages, str(tmp_path), file_bytes=300)
+    assert not list(tmp_path.glob("_temporary-*")) and not list(tmp_path.glob("_manifest-*"))
+    assert warc.read_archives(folder, warc.read_manifest(spark, str(tmp_path))).count() == 20 == sum(r["records"] for r in manifest.collect())
