@@ -22,9 +22,12 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return line_dedup.without_repeated_lines(docs, line_dedup.repeated_lines(docs))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, which tells rows apart that share an id but not the text, or have none."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key that tells rows apart that share an id but not the text, or have none, and its name."""
+    name = "_key"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return docs.withColumn(name, F.xxhash64("doc_id", "text")), name
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,26 +35,26 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Texts without words stay; of rows that repeat both id and text one stays.
     """
-    keyed = _keyed(docs)
-    groups = durable(shingle_join.jaccard_groups(keyed.select(F.col("_key").alias("doc_id"), "text"))).select(
-        F.col("doc_id").alias("_key"), "component_id")
-    members = groups.distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
-    kept = members.groupBy("component_id").agg(F.min_by("_key", first).alias("_key"))
-    copies = groups.select("_key").distinct().join(kept, "_key", "left_anti")
-    repeated = groups.groupBy("_key").count().where("count > 1").select("_key")
-    left = keyed.join(copies, "_key", "left_anti")
-    once = left.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
-    return left.join(repeated, "_key", "left_anti").unionByName(once).select(*docs.columns)
+    keyed, key = _keyed(docs)
+    groups = durable(shingle_join.jaccard_groups(keyed.select(F.col(key).alias("doc_id"), "text"))).select(
+        F.col("doc_id").alias(key), "component_id")
+    members = groups.distinct().join(keyed.select(key, "doc_id").distinct(), key)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    kept = members.groupBy("component_id").agg(F.min_by(key, first).alias(key))
+    copies = groups.select(key).distinct().join(kept, key, "left_anti")
+    repeated = groups.groupBy(key).count().where("count > 1").select(key)
+    left = keyed.join(copies, key, "left_anti")
+    once = left.join(repeated, key, "left_semi").dropDuplicates([key])
+    return left.join(repeated, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    keyed = _keyed(docs)
+    keyed, key = _keyed(docs)
     found = decontaminate.overlaps(
-        keyed.select(F.col("_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    dirty = found.select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(dirty, "_key", "left_anti").select(*docs.columns)
+        keyed.select(F.col(key).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    dirty = found.select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(dirty, key, "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
