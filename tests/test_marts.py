@@ -177,14 +177,14 @@ def test_monthly_marts_can_be_built_from_a_month_on(stored, build):
     assert "p_month" in plan and ">= 200003" in plan
 
 
-def test_abc_prunes_months_and_columns_and_ranks_with_one_exchange(stored):
-    result = marts.abc_classification(stored, PARAMS)
-    plan = result._jdf.queryExecution().executedPlan().toString()
+def test_abc_prunes_months_and_columns_and_ranks_inside_ranges(stored):
+    plan = marts.moved_quantities(stored, PARAMS)._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "quantity_done" in line)
     assert "p_month" in scan.split("PartitionFilters: [")[1].split("]")[0]
     assert "origin" not in scan and "product_uom_qty" not in scan
-    # The rows are dealt by company and slice, so no task ranks a whole company.
-    assert "hashpartitioning(company_id" in plan and "_slice" in plan[plan.index("Window ["):].splitlines()[0]
+    # The running sum is taken inside ranges, so no task ranks a whole company.
+    plan = marts.abc_classification(stored, PARAMS)._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan[plan.index("Window ["):].splitlines()[0]
 
 
 def test_facts_keep_their_number_through_every_lookup(spark):
