@@ -35,7 +35,7 @@ from .cut import cut, release
 PERCENT = 85
 LEAST_WORDS = 1  # lines without words are left alone
 RARITY_BUCKETS = 1 << 16  # a power of two
-SLICES = 4  # of the words' hashes, joined one after the other, so that only a part of the prefix rows is on disk at once
+SLICES = 2  # of the words' hashes, joined one after the other, so that only a part of the prefix rows is on disk at once
 PLACE = ["doc_id", "line_no", "text_hash"]
 
 
@@ -152,9 +152,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     texts = docs.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = cut(_lines(texts).join(places, PLACE).select("id", _words(F.col("line")).alias("words")).dropDuplicates(["id"]))
     both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("other"), F.col("words").alias("others")), "other")
+    # 100 shared >= percent (both - shared), with the intersection taken once.
     shared = F.size(F.array_intersect("words", "others"))
-    total = F.size("words") + F.size("others") - shared
-    similar = cut(both.where(shared * 100 >= total * percent).select("id", "other"))
+    similar = cut(both.where(
+        shared * (100 + percent) >= (F.size("words") + F.size("others")) * percent).select("id", "other"))
     release(places, sets)
     return similar
 
@@ -169,13 +170,15 @@ def repeated_lines(
     no lines, rows without doc_id take no part, and rows with equal id and text are one.
     """
     docs = docs.select("doc_id", "text")
-    parsed = cut(_lines(docs).select(*PLACE, _words(F.col("line")).alias("words")).where(F.size("words") >= least_words))
+    taken = cut(_lines(docs).select(*PLACE, _words(F.col("line")).alias("words")))
+    # Asked of the table: before it is written, the condition would have every line's words taken twice.
+    parsed = taken.where(F.size("words") >= least_words)
     table = rarity_table(parsed, buckets)
     size = F.size("words")
     lines = cut(parsed.withColumn("words", ordered_set(F.col("words"), table)).select(
         *PLACE, F.xxhash64("words").alias("sig"), size.alias("n"), parities(F.col("words")).alias("bits"),
         F.slice("words", F.lit(1), prefix_length(size, percent).cast("int")).alias("prefix")))
-    release(parsed)
+    release(taken)
     first = lines.groupBy("sig").agg(F.min(F.struct(*PLACE, "n", "bits", "prefix")).alias("first")).select("sig", "first.*")
     # Numbers in the order of first lines, as ranges are numbered one after the other.
     classes = cut(first.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE).withColumn(
