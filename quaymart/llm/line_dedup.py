@@ -217,10 +217,13 @@ def _marked(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
 def _left_text() -> Column:
     """The text without the removed lines; one that loses none is passed on as it is."""
-    lines = F.split("d.text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "l.removed")
-    rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    return F.when(F.col("l.removed").isNull(), F.col("d.text")).otherwise(rest)
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "l.removed")
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    # Bound by a lambda of its own: named inside the inner one, the text would be split again for every line.
+    bound = F.transform(F.array(F.split("d.text", "\n")), rest)
+    return F.when(F.col("l.removed").isNull(), F.col("d.text")).otherwise(F.get(bound, F.lit(0)))
 
 
 def without_repeated_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:

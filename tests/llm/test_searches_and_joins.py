@@ -186,6 +186,17 @@ def test_short_lines_are_removed_if_an_equal_one_is_before_them(spark):
     assert gone == {(2, 1), (2, 3), (2, 4), (3, 0), (3, 4)}
 
 
+def test_a_text_of_many_lines_is_put_together_in_one_pass(spark):
+    lines = [f"own{i} word" if i % 2 else "said before" for i in range(30_000)]
+    docs = spark.createDataFrame([(1, "said before"), (2, "\n".join(lines))], "doc_id bigint, text string")
+    again = [(2, f"{i}") for i in range(0, 30_000, 2)]
+    removed = spark.createDataFrame(again, "doc_id bigint, line_no string").selectExpr("doc_id", "int(line_no) AS line_no")
+    removed = removed.join(docs.selectExpr("doc_id", "xxhash64(text) AS text_hash"), "doc_id")
+    report = {r["doc_id"]: r for r in line_dedup.line_report(docs, removed).collect()}
+    assert report[2]["text"] == "\n".join(lines[1::2]) and len(report[2]["removed"]) == 15_000
+    assert report[1]["text"] == "said before" and report[1]["removed"] == []
+
+
 def test_no_lines(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.repeated_lines(docs).count() == 0
