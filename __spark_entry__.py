@@ -429,6 +429,7 @@ def queries() -> dict[str, Query]:
         "touch_ratio_by_route": lambda t: marts.touch_ratio(t, PARAMS, broadcast_bytes=0),
         "forecast_ma": lambda t: forecast.demand_forecast(t, PARAMS),
         "forecast_holt": lambda t: forecast.demand_forecast(t, PARAMS, method="holt"),
+        "forecast_holt_fit": lambda t: forecast.demand_forecast(t, PARAMS, method="holt_fit"),
         "otif_alert": lambda t: outbound.otif_alert(marts.vendor_rating(t, PARAMS), PARAMS),
         "tickets": _tickets,
         "abc_writeback": lambda t: outbound.abc_writeback(

@@ -243,6 +243,50 @@ CASE WHEN {d} < 0 THEN 0.0 WHEN {d} <= c.ramp THEN CAST({d} AS DOUBLE) / c.ramp
 
 _NAMED = "LEFT JOIN res_company rc ON rc.id = x.company_id"
 
+_TREND = f"""
+SELECT CAST(x.last_month + INTERVAL 1 MONTH AS DATE) AS forecast_month, x.company_id,
+       coalesce(rc.name, '') AS company_name, x.product_id, c.code AS product_default_code,
+       round(coalesce(b.q, x.q), 6) AS forecast_qty, round(coalesce(b.q, x.q) * 0.85, 6) AS lower_ci,
+       round(coalesce(b.q, x.q) * 1.15, 6) AS upper_ci
+FROM (SELECT company_id, product_id, max(month) AS last_month, avg(qty) FILTER (WHERE i > n - 3) AS q
+      FROM series GROUP BY ALL) x
+LEFT JOIN best b ON b.company_id = x.company_id AND b.product_id = x.product_id
+JOIN cost c ON c.company_id = x.company_id AND c.product_id = x.product_id {_NAMED}"""
+
+
+def _fitted_factors() -> str:
+    """Least squared errors over a grid of factors, then around the best pair in halved steps; the start state is solved for."""
+    key = "company_id, product_id"
+    text = f"""
+points AS MATERIALIZED (SELECT *, coalesce(qty / nullif(top, 0), 0) AS y FROM (
+  SELECT *, max(abs(qty)) OVER (PARTITION BY {key}) AS top FROM series WHERE n >= 4))"""
+    for level, step in enumerate((16, 8, 4, 2, 1)):
+        pairs = (f"best{level - 1}, generate_series(-1, 1) g(i), generate_series(-1, 1) h(i)" if level else
+                 f"(SELECT DISTINCT {key}, n, 0 AS a, 0 AS b, top FROM points), generate_series(1, 9) g(i), generate_series(1, 9) h(i)")
+        zero = "CAST(0 AS DOUBLE)"
+        text += f""",
+run{level} AS (
+  SELECT {key}, n, top, a + {step} * g.i AS a, b + {step} * h.i AS b, CAST(0 AS BIGINT) AS i, {zero} AS l, {zero} AS t,
+         CAST(1 AS DOUBLE) AS ul, {zero} AS ut, {zero} AS vl, CAST(1 AS DOUBLE) AS vt,
+         {zero} AS yy, {zero} AS yu, {zero} AS yv, {zero} AS uu, {zero} AS uv, {zero} AS vv
+  FROM {pairs}
+  UNION ALL SELECT f.company_id, f.product_id, f.n, f.top, f.a, f.b, p.i,
+         f.l + f.t + f.a / 160 * (p.y - (f.l + f.t)), f.t + f.a / 160 * (f.b / 160) * (p.y - (f.l + f.t)),
+         f.ul + f.ut - f.a / 160 * (f.ul + f.ut), f.ut - f.a / 160 * (f.b / 160) * (f.ul + f.ut),
+         f.vl + f.vt - f.a / 160 * (f.vl + f.vt), f.vt - f.a / 160 * (f.b / 160) * (f.vl + f.vt),
+         f.yy + (p.y - (f.l + f.t)) * (p.y - (f.l + f.t)), f.yu - (p.y - (f.l + f.t)) * (f.ul + f.ut),
+         f.yv - (p.y - (f.l + f.t)) * (f.vl + f.vt), f.uu + (f.ul + f.ut) * (f.ul + f.ut),
+         f.uv + (f.ul + f.ut) * (f.vl + f.vt), f.vv + (f.vl + f.vt) * (f.vl + f.vt)
+  FROM run{level} f JOIN points p ON p.company_id = f.company_id AND p.product_id = f.product_id AND p.i = f.i + 1),
+best{level} AS (
+  SELECT * FROM (
+    SELECT {key}, n, top, a, b, (l + t + l0 * (ul + ut) + t0 * (vl + vt)) * top AS q, row_number() OVER (
+      PARTITION BY {key} ORDER BY round(greatest(yy + l0 * yu + t0 * yv, 0), 9), a, b) AS rn
+    FROM (SELECT *, (uv * yv - vv * yu) / (uu * vv - uv * uv) AS l0, (uv * yu - uu * yv) / (uu * vv - uv * uv) AS t0
+          FROM run{level} WHERE i = n)) WHERE rn = 1)"""
+    return text + ",\nbest AS (SELECT company_id, product_id, q FROM best4)"
+
+
 ORACLE: dict[str, str] = {
     "latest_moves": _query(
         "SELECT company_id, product_id, id, write_date, product_uom_qty, quantity_done, state, origin FROM stock_move"),
@@ -321,15 +365,7 @@ SELECT CAST(x.last_month + INTERVAL 1 MONTH AS DATE) AS forecast_month, x.compan
        round(x.q, 6) AS forecast_qty, round(x.q * 0.85, 6) AS lower_ci, round(x.q * 1.15, 6) AS upper_ci
 FROM (SELECT company_id, product_id, max(month) AS last_month, avg(qty) FILTER (WHERE i > n - 3) AS q
       FROM series GROUP BY ALL) x JOIN cost c USING (company_id, product_id) {_NAMED}"""),
-    "forecast_holt": _query(f"""
-SELECT CAST(x.last_month + INTERVAL 1 MONTH AS DATE) AS forecast_month, x.company_id,
-       coalesce(rc.name, '') AS company_name, x.product_id, c.code AS product_default_code,
-       round(coalesce(b.q, x.q), 6) AS forecast_qty, round(coalesce(b.q, x.q) * 0.85, 6) AS lower_ci,
-       round(coalesce(b.q, x.q) * 1.15, 6) AS upper_ci
-FROM (SELECT company_id, product_id, max(month) AS last_month, avg(qty) FILTER (WHERE i > n - 3) AS q
-      FROM series GROUP BY ALL) x
-LEFT JOIN best b ON b.company_id = x.company_id AND b.product_id = x.product_id
-JOIN cost c ON c.company_id = x.company_id AND c.product_id = x.product_id {_NAMED}""", extra="""
+    "forecast_holt": _query(_TREND, extra="""
 grid AS (SELECT i / 10 AS factor FROM generate_series(1, 9) g(i)),
 points AS MATERIALIZED (SELECT * FROM series WHERE n >= 4),
 fit AS (
@@ -348,6 +384,7 @@ best AS (
     SELECT *, row_number() OVER (PARTITION BY company_id, product_id ORDER BY round(coalesce(sse / nullif(top * top, 0), 0), 9), alpha, beta) AS rn
     FROM fit JOIN (SELECT company_id, product_id, max(abs(qty)) AS top FROM points GROUP BY ALL)
       USING (company_id, product_id) WHERE i = n) WHERE rn = 1)"""),
+    "forecast_holt_fit": _query(_TREND, extra=_fitted_factors()),
     "otif_alert": _query("""
 SELECT DATE '1998-06-01' AS month, round(min(overall_score), 6) AS min_score,
        coalesce(min(overall_score) < 0.8, false) AS alert

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import LOWER_CI, UPPER_CI
-from ..operators.forecasting import average_forecast, holt_forecast
+from ..operators.forecasting import average_forecast, fitted_trend_forecast, holt_forecast
 from ..operators.lookups import with_company_name, with_product
 from ..operators.predicates import within
 from ..operators.scopes import forecast_scope, scope_filter
@@ -33,7 +33,8 @@ def demand_forecast(
     """Forecast per (company, product) in scope, with a ±15 % interval.
 
     ``abc`` is the ABC mart, of which the snapshot of the day counts. Without it the classes
-    come from the sums of the series themselves. ``holt`` falls back to the average where a series is too short.
+    come from the sums of the series themselves. ``holt`` takes its factors from a fixed grid, ``holt_fit``
+    fits factors and start state; both fall back to the average where a series is too short.
     """
     series = monthly_series(t, params)
     if abc is None:
@@ -46,6 +47,8 @@ def demand_forecast(
     quantity = average_forecast(qtys)
     if method == "holt":
         quantity = F.coalesce(holt_forecast(qtys), quantity)
+    elif method == "holt_fit":
+        quantity = F.coalesce(fitted_trend_forecast(qtys), quantity)
     forecast = series.select(
         "company_id", "product_id",
         F.add_months(F.element_at("points", -1)["month"], 1).alias("forecast_month"),

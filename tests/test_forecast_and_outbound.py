@@ -1,9 +1,10 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quaymart.operators.forecasting import average_forecast, holt_forecast
+from quaymart.operators.forecasting import average_forecast, fitted_trend, fitted_trend_forecast, holt_forecast
 from quaymart.operators.scopes import forecast_scope, new_tickets, scope_filter, tag_windows, vendors_by_category
 from quaymart.params import MartParams
 from quaymart.plans import forecast, outbound
@@ -39,6 +40,45 @@ def test_forecast_kernels(frame):
         assert holt == (pytest.approx(holt_by_hand(qtys)) if len(qtys) >= 4 else None)
 
 
+def errors_by_hand(qtys, a, b, level, trend):
+    errors = []
+    for qty in qtys:
+        expected = level + trend
+        errors.append(qty - expected)
+        new = a * qty + (1 - a) * expected
+        level, trend = new, b * (new - level) + (1 - b) * trend
+    return np.array(errors), level + trend
+
+
+def trend_by_hand(qtys, a, b):
+    """(squared error, forecast) with the best start state, from a general solver."""
+    base = errors_by_hand(qtys, a, b, 0.0, 0.0)[0]
+    slopes = np.stack([errors_by_hand([0.0] * len(qtys), a, b, *s)[0] for s in ((1.0, 0.0), (0.0, 1.0))], axis=1)
+    errors, forecast = errors_by_hand(qtys, a, b, *np.linalg.lstsq(slopes, -base, rcond=None)[0])
+    return float(errors @ errors), forecast
+
+
+def test_fitted_trend_is_the_least_squares_of_its_factors_and_no_worse_than_the_grid(frame):
+    draw = np.random.default_rng(4)
+    series = [[1.0, 2.0], [5.0] * 6, [2.0, 4.0, 6.0, 8.0], [0.0] * 5, [-3.0, 1e6, 2.0, 5.0, 7.0]]
+    series += [[float(x) for x in draw.integers(0, 90, int(draw.integers(4, 14)))] for _ in range(25)]
+    df = frame("i int, qtys array<double>", enumerate(series))
+    got = df.select("i", fitted_trend_forecast(F.col("qtys")).alias("f"), fitted_trend(F.col("qtys")).alias("fit"))
+    for i, forecast, fit in rows_of(got):
+        qtys = series[i]
+        if len(qtys) < 4:
+            assert forecast is None
+            continue
+        top, tenths = max(map(abs, qtys)) or 1.0, [k / 10 for k in range(1, 10)]
+        share, by_hand = trend_by_hand([q / top for q in qtys], fit["alpha"] / 160, fit["beta"] / 160)
+        assert fit["sse"] == pytest.approx(share, abs=1e-8) and forecast == pytest.approx(by_hand * top, rel=1e-6, abs=1e-6)
+        assert fit["sse"] <= min(trend_by_hand([q / top for q in qtys], a, b)[0] for a in tenths for b in tenths) + 1e-8
+        first = [errors_by_hand(qtys, a, b, 2 * qtys[0] - qtys[1], qtys[1] - qtys[0])[0] for a in tenths for b in tenths]
+        assert fit["sse"] <= min(float(e @ e) for e in first) / top**2 + 1e-8  # the grid's start state
+    straight = {i: f for i, f, _ in rows_of(got)}
+    assert straight[1] == pytest.approx(5.0) and straight[2] == pytest.approx(10.0) and straight[3] == 0.0
+
+
 def test_forecast_uses_the_points_there_are_and_the_month_after_the_last(tables):  # noqa: F811
     def on(i, month, qty, product=1):
         return move(i, product=product, qty=qty, when=dt.datetime(2024 if month < 7 else 2023, month, 20 if month < 6 else 1))
