@@ -114,3 +114,11 @@ def test_company_names_default_to_blank(frame):
     facts = frame("company_id bigint", [(1,), (2,)])
     companies = frame("id bigint, name string", [(1, "One")])
     assert rows_of(lookups.with_company_name(facts, companies)) == [(1, "One"), (2, "")]
+
+
+def test_salted_lookups_match_keys_of_different_types(spark):
+    facts = spark.range(3000).select("id", F.lit(1).cast("smallint").alias("k"), F.lit("1").alias("t"))
+    dim = spark.range(3).select(F.col("id").alias("k"), F.col("id").alias("t"), (F.col("id") * 10).alias("v"))
+    for key in ("k", "t"):
+        joined = lookup_join(facts.select("id", key), dim.select(key, "v"), [key], salt_by="id", broadcast_bytes=0)
+        assert rows_of(joined.groupBy("v").count()) == [(10, 3000)]
