@@ -22,7 +22,7 @@ from ..operators.lookups import (
 )
 from ..operators.predicates import exclude_companies, since, until, within
 from ..operators.ranking import running_totals
-from ..operators.sizing import BROADCAST_BYTES, lookup_join, scan_bytes
+from ..operators.sizing import BROADCAST_BYTES, durable, lookup_join, scan_bytes
 from ..params import MartParams
 
 Frames = Mapping[str, DataFrame]
@@ -112,14 +112,22 @@ def by_route(
     """(month, company, product) with the ``measures`` and both usages, ready to be summed.
 
     With a location table that can be broadcast the rows are still single moves. With a
-    larger one the measures are summed by source and destination first, so that the lookup
-    shuffles those sums and not the moves.
+    larger one the measures are summed by source and destination first and written down once;
+    the usages are looked up for the distinct routes, so that one join shuffles the sums.
     """
     keys = ["month", "company_id", "product_id", "location_id", "location_dest_id"]
     rows = add_month(moves).select(*keys, *[column.alias(name) for name, column in measures.items()])
-    if scan_bytes(locations) > broadcast_bytes:
-        rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
-    return with_usages(rows, locations, salt_by="product_id", broadcast_bytes=broadcast_bytes)
+    if scan_bytes(locations) <= broadcast_bytes:
+        return with_usages(rows, locations, salt_by="product_id", broadcast_bytes=broadcast_bytes)
+    rows = durable(rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures]))
+    places = keys[1:2] + keys[3:]
+    # A struct is equal to one with the same nulls, so a route without one of its places is found as well.
+    route = F.struct(*places).alias("_route")
+    routes = with_usages(
+        durable(rows.select(*places).distinct()), locations, salt_by="company_id", broadcast_bytes=broadcast_bytes)
+    found = routes.select(route, "src_usage", "dst_usage")
+    options = {"salt_by": "product_id", "broadcast_bytes": broadcast_bytes}
+    return lookup_join(rows.withColumn("_route", route), found, ["_route"], **options).drop("_route")
 
 
 def touch_ratio(t: Frames, params: MartParams, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -194,3 +194,15 @@ def test_facts_keep_their_number_through_every_lookup(spark):
     assert lookups.with_usages(moves, given["stock_location"]).count() == count
     assert lookups.with_template_price(
         lookups.with_product(moves, given["product_product"]), given["product_template"]).count() == count
+
+
+def test_routes_are_looked_up_once_each_from_sums_written_once(spark, tables, tmp_path):
+    some = [move(1), move(2, src=30), move(3, src=None), move(4, dst=None), move(5, company=None), move(6, company=3, src=30, dst=30)]
+    t = tables(stock_move=[{**row, "id": 10 * i + row["id"]} for i in range(4) for row in some], **COMMON)
+    t["stock_move"].write.parquet(str(tmp_path / "moves"))
+    t["stock_location"].write.parquet(str(tmp_path / "places"))
+    moves, places = (spark.read.parquet(str(tmp_path / name)) for name in ("moves", "places"))
+    small = marts.by_route(moves, places, {"n": F.lit(1)}).groupBy("company_id", "location_id", "location_dest_id", "src_usage", "dst_usage").agg(F.sum("n"))
+    large = marts.by_route(moves, places, {"n": F.lit(1)}, broadcast_bytes=0)
+    assert not [f for f in large.inputFiles() if "/moves/" in f]
+    assert rows_of(large.groupBy("company_id", "location_id", "location_dest_id", "src_usage", "dst_usage").agg(F.sum("n"))) == rows_of(small)
