@@ -54,12 +54,12 @@ def load_twice(t: Frames, landing_rows: Callable[[Frames], DataFrame]) -> str:
 
     def load():
         loading.load_landed(spark, landing, LINES, root, company_ids=COMPANIES, copy_shared=True)
-    records.where(early).repartition(3, "id").write.json(target)
+    records.where(early).repartition("id").write.json(target)
     load()
-    records.where(~early).repartition(2, "id").write.mode("append").json(target)
-    corrected(records).coalesce(1).write.mode("append").json(target)
+    records.where(~early).repartition("id").write.mode("append").json(target)
+    corrected(records).write.mode("append").json(target)
     broken = t["orders"].where("o_orderkey % 50 = 0").select(F.format_string('{"id": %d, ', "o_orderkey").alias("value"))
-    broken.coalesce(1).write.mode("append").text(target)
+    broken.write.mode("append").text(target)
     load()
     load()  # nothing is new
     return root

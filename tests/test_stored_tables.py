@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from checks import stored
 from quaymart.operators import ranking, scopes, sizing
 from quaymart.operators.versions import latest
 from quaymart.params import MartParams
@@ -251,3 +252,16 @@ def test_reports_of_all_countries_are_replaced_one_by_one(spark, tmp_path):
         ("ke", "d/1", "1.0"), ("ke", "d/1", "2.0"), ("rw", "d=2", "3.0"), ("rw", "x y", "9.0")]
     assert Counter(r["lines"] for r in read(pickings).collect()) == {"2": 1, "1": 2}
     assert json.dumps(sorted(os.listdir(lines))[-2:]) == '["country=ke", "country=rw"]'
+
+
+def test_corrections_are_landed_by_as_many_tasks_as_read_them(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "folder", lambda spark, name: str(tmp_path / name))
+    lines = spark.range(0, 4000, 1, 8).select(
+        "id", F.array(F.lit("2"), F.lit("C")).alias("company_id"), F.array(F.lit("5"), F.lit("P")).alias("product_id"),
+        F.lit(1.0).alias("quantity"), F.array(F.lit("8"), F.lit("S")).alias("location_id"), F.lit("done").alias("state"),
+        F.lit("1995-03-01 00:00:00").alias("date"), F.lit("1995-03-01 00:00:00").alias("write_date"))
+    t = {"region": spark.range(1), "orders": spark.range(200).select(F.col("id").alias("o_orderkey"))}
+    root = stored.load_twice(t, lambda _: lines)
+    landed = spark.read.text(str(tmp_path / "landing" / stored.LINES)).select("value", F.col("_metadata.file_path").alias("file"))
+    assert landed.where(F.col("value").contains(stored.CORRECTED_AT)).select("file").distinct().count() == 8
+    assert landing.read_table(spark, root, "stock_move_line").where("qty_done = 2").count() == 399  # an id of 0 is none
