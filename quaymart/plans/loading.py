@@ -12,7 +12,7 @@ from ..functions.fixed_values import EPOCH
 from ..operators.cleaning import attribute_companies, normalize, rename, required_ok
 from ..operators.predicates import domain_filter
 from ..operators.pricing import repair_standard_price, with_property_cost
-from ..operators.sizing import durable, lookup_join
+from ..operators.sizing import durable
 from ..sources.control import read_watermarks, save_watermarks
 from ..sources.landed_files import landed_files, not_taken, note_taken
 from ..sources.landing import exists, merge_table
@@ -21,10 +21,14 @@ from . import movement_days
 
 
 def incremental(df: DataFrame, state: DataFrame, model: str, version: str = "write_date") -> DataFrame:
-    """Rows newer than the mark of their model and company; a company without a mark starts at the epoch."""
+    """Rows newer than the mark of their model and company; a company without a mark starts at the epoch.
+
+    Marks are a row per model and company and are broadcast: a shuffle by company would leave
+    one task for each.
+    """
     marks = state.where(F.col("model") == model).select("company_id", F.col("watermark").alias("_mark"))
     mark = F.coalesce("_mark", F.lit(EPOCH).cast("timestamp_ntz"))
-    joined = lookup_join(df, marks, ["company_id"])
+    joined = df.join(F.broadcast(marks), ["company_id"], "left")
     return joined.where(F.col(version) > mark).select(*df.columns)
 
 

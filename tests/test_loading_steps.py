@@ -1,10 +1,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from quaymart.operators import cleaning, pricing
 from quaymart.operators.predicates import active_companies, domain_filter, exclude_companies, within
 from quaymart.params import MartParams, parse_id_list, parse_model_list
+from quaymart.plans import loading
+from quaymart.sources.control import read_watermarks
 from tests.conftest import rows_of
 
 DOMAIN_DDL = "id bigint, company_id bigint, state string, active boolean, owner array<string>"
@@ -130,3 +133,10 @@ def test_parameters():
     assert given.full_refresh_models == {"product.template"} and given.helpdesk_team_id == 4
     assert parse_id_list("[1, x]") == () and parse_id_list("nothing") == () and parse_id_list("5") == ()
     assert parse_model_list("a.b, c.d") == {"a.b", "c.d"}
+
+
+def test_no_company_is_one_tasks_work_when_marks_are_looked_up(spark, tmp_path):
+    rows = spark.range(50).select((F.col("id") % 2 + 1).alias("company_id"), F.lit(dt.datetime(2024, 1, 5)).cast("timestamp_ntz").alias("write_date"))
+    fresh = loading.incremental(rows, read_watermarks(spark, str(tmp_path / "none")), "stock.move")
+    assert "hashpartitioning" not in fresh._jdf.queryExecution().executedPlan().toString()
+    assert fresh.count() == 50
