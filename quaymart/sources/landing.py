@@ -123,7 +123,7 @@ def append_table(df: DataFrame, root: str, name: str) -> int:
     run = next_run(before)
     rows, staged = _stage(enforce_schema(df, spec), path, spec, run)
     parts = {**before.parts, **{part: (*before.parts.get(part, ()), run) for part in staged}}
-    keys = _index(spark, root, name, before, run, staged, None)
+    keys = _index(spark, root, name, before, run, staged, None, repeated=True)
     _commit(spark, root, name, before, parts, keys)
     return rows
 
@@ -234,12 +234,14 @@ def _places(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _index(
-    spark: SparkSession, root: str, name: str, before: Pointer, run: str, staged: Sequence[str], changed: DataFrame | None
+    spark: SparkSession, root: str, name: str, before: Pointer, run: str, staged: Sequence[str], changed: DataFrame | None,
+    *, repeated: bool = False,
 ) -> dict[str, tuple[str, ...]]:
     """Write the index entries of a staged run; the runs of every bucket afterwards.
 
-    Without ``changed`` the run's rows were appended, else they hold all there is of the
-    changed keys (``sole``). Entries are added; a bucket with many runs is written anew. An
+    Without ``changed`` the run's rows were appended or are the first, else they hold all there
+    is of the changed keys (``sole``), which are distinct. Only appended rows may have a key
+    repeatedly (``repeated``), merged ones are one for each. Entries are added; a bucket with many runs is written anew. An
     entry may outlive its row, which only costs a merge the look into one more month.
     """
     if not _indexed(name):
@@ -247,15 +249,15 @@ def _index(
     spec, path = RAW_TABLES[name], table_path(root, name)
     rows = read_months(spark, root, name, Pointer(0, {part: (run,) for part in staged})).select(*spec.keys, "p_month")
     if changed is not None:
-        rows = rows.join(broadcast_if_small(changed.distinct()), changed.columns, "left_semi").select(*spec.keys, "p_month")
-    rows = rows.distinct().withColumn("sole", F.lit(changed is not None))
+        rows = rows.join(broadcast_if_small(changed), changed.columns, "left_semi").select(*spec.keys, "p_month")
+    rows = (rows.distinct() if repeated else rows).withColumn("sole", F.lit(changed is not None))
     crowded = [bucket for bucket, runs in before.keys.items() if len(runs) >= KEY_RUNS]
     old = _entries(spark, path, spec, before, crowded)
     if old is not None:
         # What they stood for becomes one entry each, as if appended now, which a merge's own entries replace.
         places = _places(old, spec.keys).withColumn("sole", F.lit(False))
         if changed is not None:
-            places = places.join(broadcast_if_small(changed.distinct()), changed.columns, "left_anti").select(*rows.columns)
+            places = places.join(broadcast_if_small(changed), changed.columns, "left_anti").select(*rows.columns)
         rows = rows.unionByName(places)
     folder = f"{path}/_keys/run={run}"
     (rows.withColumn("bucket", _bucket(spec)).hint("rebalance", "bucket").sortWithinPartitions("bucket", *spec.keys)
@@ -294,6 +296,8 @@ def merge_table(
     if spec.month_of is None:
         existing = read_months(spark, root, name, before)
         return _replace(merge_batch(existing, fresh, keys, spec.version), root, name, before)
+    if not before.parts:  # nothing to merge with: the newest version of every key is the table
+        return _replace(latest(fresh, keys, spec.version), root, name, before)
     rows = durable(with_month(latest(fresh, keys, spec.version), spec))
     touched = {r[0] for r in rows.select("p_month").distinct().collect()}
     touched |= set(_months_of(spark, path, spec, before, rows, keys))

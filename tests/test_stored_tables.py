@@ -265,3 +265,17 @@ def test_corrections_are_landed_by_as_many_tasks_as_read_them(spark, frame, tmp_
     landed = spark.read.text(str(tmp_path / "landing" / stored.LINES)).select("value", F.col("_metadata.file_path").alias("file"))
     assert landed.where(F.col("value").contains(stored.CORRECTED_AT)).select("file").distinct().count() == 8
     assert landing.read_table(spark, root, "stock_move_line").where("qty_done = 2").count() == 399  # an id of 0 is none
+
+
+def test_a_first_merge_writes_no_copy_of_its_batch(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(landing, "durable", lambda df: written.append(df) or sizing.durable(df))
+    rows = spark.createDataFrame([(1, 2, 3, 1.0, at(1), at(1)), (1, 2, 3, 2.0, at(2), at(2)), (2, 2, 3, 1.0, None, at(1))], MOVE)
+    root = str(tmp_path / "raw")
+    landing.merge_table(spark, root, "stock_move", rows)
+    assert not written
+    later = rows.where("id = 1").withColumns({"quantity_done": F.lit(3.0), "date_done": F.lit(at(5)), "write_date": F.lit(at(5))})
+    landing.merge_table(spark, root, "stock_move", later)
+    assert len(written) == 1
+    assert rows_of(landing.read_table(spark, root, "stock_move"), "id", "quantity_done", "p_month") == [
+        (1, 3.0, "202405"), (2, 1.0, None)]
