@@ -163,10 +163,10 @@ def _events(t):
         F.floor(F.col("value") / 50).alias("amount"), F.col("ts").alias("write_date"))
 
 
-def _landed_files(t) -> str:
-    """Write the landed move lines as JSON files and return their folder."""
+def _landed_files(t, *files: int) -> str:
+    """Write the landed move lines as JSON files, as many as their size asks for or as are given; their folder."""
     landing = f"{shared_dir(t['lineitem'].sparkSession)}/landing-{uuid.uuid4().hex}"
-    _landing(t).repartition(4, "id").write.json(f"{landing}/stock.move.line")
+    _landing(t).repartition(*files, "id").write.json(f"{landing}/stock.move.line")
     return landing
 
 
@@ -180,8 +180,8 @@ def _load_model(t):
 
 
 def _stream_load(t):
-    """The same through the file stream."""
-    landing = _landed_files(t)
+    """The same through the file stream, in four batches."""
+    landing = _landed_files(t, 4)
     spark, root = t["lineitem"].sparkSession, f"{landing}/raw"
     stream_load(spark, landing, "stock.move.line", root, f"{landing}/checkpoint", company_ids=[2, 3], copy_shared=True,
                 files_per_batch=1).awaitTermination()
