@@ -86,10 +86,14 @@ def landed_lines(spark: SparkSession, files: Sequence[str], model: str) -> DataF
     One pass over the files; a caller that needs records and broken lines writes it down once.
     """
     if not files:
-        lines = spark.createDataFrame([], "value string, file string")
-    else:
-        lines = with_file(spark.read.text(list(files)))
-    parsed = lines.withColumn("v", F.try_parse_json("value")).where("v IS NOT NULL OR trim(value) <> ''")
+        return parse_lines(spark.createDataFrame([], "value string, file string"), model)
+    return parse_lines(with_file(spark.read.text(list(files))), model)
+
+
+def parse_lines(lines: DataFrame, model: str) -> DataFrame:
+    """The same of (value, file). Blank lines are left out, which the text alone tells: a filter on the
+    parsed value would parse every line once more."""
+    parsed = lines.where("trim(value) <> ''").withColumn("v", F.try_parse_json("value"))
     return parsed.select(
         *[_landed("v", name).alias(name) for name in MODELS[model].fields],
         F.when(F.col("v").isNull(), F.col("value")).alias("broken"), "file")

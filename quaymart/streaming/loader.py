@@ -6,11 +6,13 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.predicates import domain_filter
+from ..operators.sizing import durable
 from ..plans.loading import load_model
-from ..sources.models import MODELS, malformed_lines, parse_records, with_file
+from ..sources.models import MODELS, parse_lines, with_file
 
 
 def stream_load(
@@ -38,11 +40,12 @@ def stream_load(
                       .load(f"{landing.rstrip('/')}/{model}"))
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        records = domain_filter(parse_records(batch, model), spec.domain)
+        lines = durable(parse_lines(batch, model))  # opened and parsed once, for records and broken lines
+        records = domain_filter(lines.where("broken IS NULL").drop("broken", "file"), spec.domain)
         load_model(
             batch.sparkSession, records, model, root, company_ids=company_ids, copy_shared=copy_shared,
             refresh_at=refresh_at, products=products, properties=properties, use_marks=False,
-            malformed=malformed_lines(batch))
+            malformed=lines.where("broken IS NOT NULL").select(F.col("broken").alias("value"), "file"))
 
     return (lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

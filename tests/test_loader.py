@@ -11,7 +11,7 @@ from quaymart.plans.tables import run_sql
 from quaymart.schemas import MART_TABLES, RAW_TABLES, enforce_schema
 from quaymart.sources.control import read_watermarks, reset_watermarks, save_watermarks
 from quaymart.sources.landing import append_table, ensure_tables, merge_table, read_table, refresh_table, write_mart
-from quaymart.sources.models import MODELS, read_model
+from quaymart.sources.models import MODELS, landed_lines, read_model
 from quaymart.sources.pointer import abandoned
 from quaymart.streaming.loader import stream_load
 from tests.conftest import rows_of
@@ -254,3 +254,12 @@ def test_the_lowest_mark_reaches_the_source(spark, frame, tmp_path):
         (1, day(9)), (2, day(5)), (3, day(4)), (4, day(9))]
     load_all(spark, landing, root, company_ids=[2, 3], refresh=frozenset({"stock.location"}), run_at=day(20), fmt="parquet")
     assert {r[0] for r in read_table(spark, root, "stock_location").select("write_date").collect()} == {day(20)}
+
+
+def test_a_landed_line_is_parsed_once(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text('{"id": 1}\n\n   \n{"id": \n')
+    lines = landed_lines(spark, [str(path)], "stock.move")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
+    assert plan.count("parsejson") == 1
+    assert rows_of(lines, "id", "broken") == [(None, '{"id": '), (1, None)]
