@@ -15,13 +15,16 @@ a length are equally large but for its last one.
 
 from __future__ import annotations
 
+import re
+import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as Spec
 from pyspark.sql import functions as F
@@ -35,7 +38,8 @@ END_ID = 1
 STEP_TOKENS = 1 << 19
 TASKS_PER_GROUP = 64
 CACHED_WORDS = 300_000  # of a generation
-KEPT_BYTES = 64  # longer parts are encoded each time
+KEPT_CHARS = 64  # longer parts are encoded each time
+ENCODED_BYTES = 4 << 20  # of texts whose parts are looked up together
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, padded bigint, turn bigint")
@@ -135,13 +139,17 @@ class Encoder:
     """Token ids of texts by a public tokenizer, a white-space separated part at a time.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are those of
-    its parts; a part seen before is not encoded again. Parts of letters, with or without a
-    mark behind, go to the tokenizer in lower case and many at once: letters are one unit
-    to it, whose last token is known by its ending, which gives the parts' ids apart again.
-    Where that does not come out even, and for all other parts, each is encoded alone.
+    its parts. The distinct parts of many texts are found in their Arrow column and looked up
+    once; the ids of the texts are gathered from theirs without an object per word. Parts of
+    letters, with or without marks behind, go to the tokenizer in lower case and many at
+    once: letters are one unit to it, whose last token is known by its ending, which gives the
+    parts' ids apart again. Where that does not come out even, and for all other parts, each
+    is encoded alone. Ids seen before are kept.
     """
 
-    MARKS = frozenset(".,;:!?")
+    MARKS = "".join(c for c in string.punctuation if c != "'")  # that may begin an ending as in "it's"
+    LETTERED = rf"\A\p{{L}}+[{re.escape(MARKS)}]*\z"
+    PLACED = "[Σİ]"  # the lower case depends on the place, or ends in a combining mark, which would join a mark behind
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
@@ -150,57 +158,67 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known, self.units = Recent(cached), Recent(cached)
-        self.marks = {"": b""} | dict(zip(sorted(self.MARKS), self._encode_each(sorted(self.MARKS)), strict=True))
+        self.units, self.others = Recent(cached), Recent(cached)
 
-    def _encode_units(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _encode_units(self, units: list[str]) -> Iterator[bytes]:
         for at in range(0, len(units), 4096):
             some = units[at:at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            encoded, = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
                 data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-                yield from zip(some, (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True)
+                yield from (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
             else:
-                yield from zip(some, self._encode_each(some), strict=True)
+                yield from self._encode_each(some)
 
     def _encode_each(self, parts: list[str]) -> Iterator[bytes]:
         for encoded in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
             yield np.array(encoded.ids, dtype="<u4").tobytes()
 
-    def _learned(self, new: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids of parts that are not known, each remembered."""
-        lettered, others = [], []
-        for part in new:
-            text = part.decode()
-            body, mark = (text[:-1], text[-1]) if text[-1] in self.MARKS else (text, "")
-            unit = body.lower()  # may end in a combining mark, which would join a mark behind
-            if unit.isalpha() and "Σ" not in body:  # the one letter whose lower case depends on its place
-                lettered.append((part, unit, mark))
-            else:
-                others.append((part, text))
-        units = {unit: self.units.get(unit) for _, unit, _ in lettered}
-        for unit, ids in self._encode_units([unit for unit, ids in units.items() if ids is None]):
-            units[unit] = ids
-            self.units.put(unit, ids)
-        yield from ((part, units[unit] + self.marks[mark]) for part, unit, mark in lettered)
-        yield from zip((p for p, _ in others), self._encode_each([t for _, t in others]), strict=True)
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    @staticmethod
+    def _looked_up(known: Recent, parts: list[str], encode: Callable[[list[str]], Iterator[bytes]]) -> list[bytes]:
+        """Ids of distinct parts; those that are not known are encoded and remembered."""
+        found = list(map(known.new.get, parts))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = known.get(parts[i])
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(missing, encode([parts[i] for i in missing]), strict=True):
+            found[i] = ids
+            if len(parts[i]) <= KEPT_CHARS:
+                known.put(parts[i], ids)
+        return found
+
+    def _learned(self, parts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids, and for each distinct part the places among them of its own ids and of those of the marks behind."""
+        lettered = pc.and_not(pc.match_substring_regex(parts, self.LETTERED), pc.match_substring_regex(parts, self.PLACED))
+        which = lettered.to_numpy(zero_copy_only=False)
+        own, others = parts.filter(lettered), parts.filter(pc.invert(lettered)).to_pylist()
+        units = pc.utf8_lower(pc.ascii_rtrim(own, self.MARKS)).dictionary_encode()
+        marks = pc.replace_substring_regex(own, r"\A\p{L}+", "").dictionary_encode()
+        ids = [b"", *self._looked_up(self.units, units.dictionary.to_pylist(), self._encode_units)]
+        places = np.zeros((len(parts), 2), dtype=np.int64)
+        places[which, 0] = 1 + units.indices.to_numpy()
+        places[which, 1] = len(ids) + marks.indices.to_numpy()
+        ids += self._looked_up(self.others, marks.dictionary.to_pylist(), self._encode_each)
+        places[~which, 0] = len(ids) + np.arange(len(others))
+        return ids + self._looked_up(self.others, others, self._encode_each), places
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text, followed by the end id."""
-        end = np.array([END_ID], dtype="<u4").tobytes()
-        split = [(text or "").encode().split() for text in texts]  # bytes: at ASCII white space only
-        every = list(set().union(*split))
-        here = dict(zip(every, map(self.known.new.get, every), strict=True))
-        old = {part: self.known.get(part) for part, ids in here.items() if ids is None}
-        here.update(old)
-        for part, ids in self._learned([part for part, ids in old.items() if ids is None]):
-            here[part] = ids
-            if len(part) <= KEPT_BYTES:
-                self.known.put(part, ids)
-        find = here.__getitem__
-        for parts in split:
-            yield np.frombuffer(b"".join([*map(find, parts), end]), dtype="<u4")
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        parts = split.flatten().dictionary_encode()
+        ids, places = self._learned(parts.dictionary)
+        every = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        used = places[parts.indices.to_numpy()].ravel()
+        ends = np.cumsum(sizes[used])
+        first = np.r_[0, ends][2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        shift = starts[used] - (ends - sizes[used])
+        flat = every[np.repeat(shift, sizes[used]) + np.arange(first[-1])]
+        for at, stop in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            yield np.append(flat[at:stop], np.uint32(END_ID))
 
 
 def _batch(rows: list[tuple], rest: list[tuple]) -> pa.RecordBatch:
@@ -228,9 +246,8 @@ def _packed(path: str, tiers: tuple[int, ...]):
                 [*made.columns, pa.array([task] * made.num_rows, pa.int64())], [*FIELDS, "rest", "task"])
 
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                texts = part.column("text").to_pylist()
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            for part in slices(batch, "text", ENCODED_BYTES):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text")), strict=True):
                     packer.document(doc_id, ids)
                 yield out([])
         rest = packer.fill_gaps()

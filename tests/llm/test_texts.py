@@ -256,6 +256,21 @@ def test_a_pre_token_of_any_length_takes_no_more_memory():
     assert trie.count("ab" * 30) == 30 and trie.count("ab" * 30 + "a") == 31
 
 
+def test_words_with_marks_behind_are_encoded_many_at_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    plain, encoder, alone = Tokenizer.from_file(path), packing.Encoder(path), []
+    each = packing.Encoder._encode_each
+    monkeypatch.setattr(packing.Encoder, "_encode_each", lambda self, parts: alone.extend(parts) or each(self, parts))
+    texts = ["stone$$$ Stone. für, STONE.### naïve--  river", None, "", "it's <|endoftext|> a<|endoftext|> ΑΣ. İx a\"'s 4.5", "río%%% " * 50]
+    column = pa.array(["left out", *texts], pa.string()).slice(1)
+    assert [ids.tolist() for ids in encoder.encode(column)] == [
+        [*plain.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert not {"stone$$$", "für,", "STONE.###", "naïve--", "río%%%"} & set(alone)
+    assert [len(x) for x in encoder.encode(column)] and len(alone) == len(set(alone))
+
+
 def test_packing_of_repeats_and_nothing(spark):
     docs = spark.createDataFrame([(1, "stone river"), (1, "stone river"), (None, "cloud")], "doc_id bigint, text string")
     rows = packing.pack(docs, queries.tokenizer_path()).collect()
