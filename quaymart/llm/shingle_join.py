@@ -15,7 +15,8 @@ Keys give candidates in two rounds. First every set is paired with the smallest
 key it has (a star, never all pairs of a key). What is then linked is contracted; for the
 rest, the sets of one key in different groups are joined, unless their sizes or a parity
 sketch of 1,024 bits, both conditions of the join, show that they cannot be linked. Keys that
-the very same sets have are joined once. Longer sketches are compared next, and every
+the very same sets have are joined once, and a part of the keys is joined before the others,
+which leave out the pairs already met. Longer sketches are compared next, and every
 candidate is verified on whole sets. The groups are those of all links; pairs inside a group
 already found are not listed.
 
@@ -46,6 +47,8 @@ BITS_PER_SHINGLE = 4
 FOLDED = 16  # numbers of 64 bits in the sketch that the join compares
 PREFIX_CODE = 7  # of key codes; a set is in fewer than so many bands
 CROWDED = 4  # sets of a key from which one may leave it out
+KEYS_PER_EARLY = 16  # of so many keys one is joined before the others
+MOST_KNOWN = 64  # partners of a set, met in those keys, that are not made again
 
 
 def bands(limit: int) -> list[int]:
@@ -343,26 +346,49 @@ def _uncrowded(shared: DataFrame, sketches: DataFrame) -> DataFrame:
     return out
 
 
+def _meetings(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """(a, b) for each key of ``rows`` and ``others`` that two sets of different groups have which may be linked.
+
+    Pairs that ``rows`` has as ``known`` are left out.
+    """
+    x, y = rows.alias("x"), others.alias("y")
+    apart = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in FOLDS), F.lit(0))
+    smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    within = (
+        (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+        & (smaller * 100 >= larger * percent)
+        & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+    if "known" in rows.columns:
+        within &= ~F.coalesce(F.array_contains("x.known", F.col("y.node")), F.lit(False))
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & within).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def _rest(shared: DataFrame, links: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one key in different groups that may still be linked."""
+    """Pairs of one key in different groups that may still be linked.
+
+    Two large sets may meet in hundreds of keys. So a few of all keys are joined first, and the
+    pairs met there are known when the others are: what meets often comes out of the joins a few times.
+    """
     groups = connected_components(links)
     placed = cut(shared.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
     hashes = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"h{i}") for i in (1, 2)]
     mixed = placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("sets"), F.min("component").alias("low"), F.max("component").alias("high"), *hashes)
     kept = mixed.where("low <> high").groupBy("sets", "h1", "h2").agg(F.min("key").alias("key")).select("key")
-    rows = cut(placed.join(kept, "key").join(sketches.select("node", "n", *FOLDS), "node"))
+    rows = cut(placed.join(kept, "key"))
     release(placed)
-    x, y = rows.alias("x"), rows.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in FOLDS), F.lit(0))
-    smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    within = (
-        (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-        & (smaller * 100 >= larger * percent)
-        & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
-    pairs = cut(x.join(y, (F.col("x.key") == F.col("y.key")) & within).select(
-        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    early, sizes = F.pmod(F.xxhash64("key"), F.lit(KEYS_PER_EARLY)) == 0, sketches.select("node", "n", *FOLDS)
+    some = cut(rows.where(early).join(sizes, "node"))
+    first = cut(_meetings(some, some, percent).distinct())
+    release(some)
+    turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+    known = (first.withColumn("turn", turn).where(F.col("turn") <= MOST_KNOWN)  # only spares work: the others meet again
+             .groupBy("a").agg(F.collect_list("b").alias("known")).withColumnRenamed("a", "node"))
+    others = cut(rows.where(~early).join(sizes.join(known, "node", "left"), "node"))
     release(rows)
+    pairs = cut(first.union(_meetings(others, others.drop("known"), percent)).distinct())
+    release(others, first)
     out = possible(pairs, sketches, percent)
     release(pairs)
     return out

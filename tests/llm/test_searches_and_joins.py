@@ -114,6 +114,26 @@ def test_linked_sets_share_a_key_whatever_their_sizes():
     assert linked > 200
 
 
+def test_sets_that_meet_in_many_keys_are_joined_a_few_times(spark, monkeypatch):
+    draw, made = np.random.default_rng(12), []
+    held = [(key, int(node)) for key in range(400) for node in np.flatnonzero(draw.random(12) < 0.5)]
+    lone = [(1000 + node, x) for node in range(11) for x in (node, 100 + node)]  # met in one key only
+    shared = spark.createDataFrame(held + lone, "key bigint, node bigint")
+    nodes = sorted({node for _, node in held + lone})
+    sketches = spark.createDataFrame(
+        [(node, 10_000, [0] * 8, bytes(128), *[0] * shingle_join.FOLDED) for node in nodes], shingle_join.SKETCH)
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    plain = shingle_join._meetings
+    monkeypatch.setattr(shingle_join, "_meetings", lambda *x: made.append(plain(*x).count()) or plain(*x))
+    expected = set(combinations(range(12), 2)) | {(node, 100 + node) for node in range(11)}
+    meetings = sum(len(x) * (len(x) - 1) // 2 for x in ([n for k, n in held if k == key] for key in range(400)))
+    for most in (64, 2):  # partners beyond the bound meet again
+        monkeypatch.setattr(shingle_join, "MOST_KNOWN", most)
+        found = shingle_join._rest(shared, links, sketches, 75).collect()
+        assert sorted((r["a"], r["b"]) for r in found) == sorted(expected)
+    assert meetings > 5000 and sum(made[:2]) < meetings / 8 and len(made) == 4
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(1000, i) for i in range(1001, 1100)] + [(7, 7)]
     found = dict(map(tuple, connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
