@@ -89,16 +89,15 @@ def forward_backward(emissions: np.ndarray, lengths: np.ndarray, t: np.ndarray)
 
 
 def _blocks(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Indices of rows of similar length, so many to a block that padding stays small."""
+    """Indices of rows of similar length, of at most ``CELLS`` padded cells together; a longer row stands alone."""
     order = np.argsort(lengths, kind="stable")
     order = order[lengths[order] > 0]
     at = 0
     while at < len(order):
-        stop = at + 1
-        while stop < len(order) and (stop - at + 1) * lengths[order[stop]] <= CELLS:
-            stop = min(len(order), stop + max(1, (stop - at) // 2))
-            if (stop - at) * lengths[order[stop - 1]] > 2 * CELLS:
-                break
+        # So many rows as the shortest would let in at most; their cells grow with every row taken.
+        most = lengths[order[at:at + max(1, CELLS // int(lengths[order[at]]))]]
+        fits = int(np.searchsorted(np.arange(1, len(most) + 1) * most, CELLS, side="right"))
+        stop = at + max(1, fits)
         yield order[at:stop]
         at = stop
 

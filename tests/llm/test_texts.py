@@ -74,6 +74,13 @@ def test_marginals_are_those_of_all_labellings():
             assert np.allclose(found[start:start + length], brute_marginals(emissions[start:start + length], t))
 
 
+def test_blocks_of_lines_are_bounded_however_lengths_jump():
+    lengths = np.array([0, 3, 900, 3, 5, 0, 4000, 200_000] + [12] * 9000 + [300] * 40)
+    blocks = list(toxicity._blocks(lengths))
+    assert sorted(np.concatenate(blocks).tolist()) == np.flatnonzero(lengths).tolist()
+    assert all(len(b) == 1 or len(b) * lengths[b].max() <= toxicity.CELLS for b in blocks)
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     draw, rows, labels = np.random.default_rng(2), [], []
