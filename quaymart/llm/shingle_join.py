@@ -15,8 +15,8 @@ Keys give candidates in two rounds. First every set is paired with the smallest
 key it has (a star, never all pairs of a key). What is then linked is contracted; for the
 rest, the sets of one key in different groups are joined, unless their sizes or a parity
 sketch of 1,024 bits, both conditions of the join, show that they cannot be linked. Keys that
-the very same sets have are joined once, and a part of the keys is joined before the others,
-which leave out the pairs already met. Longer sketches are compared next, and every
+the very same sets have are joined once, and a part of the keys is joined before the others:
+the links met there are contracted as well, and the other keys leave out the pairs already met. Longer sketches are compared next, and every
 candidate is verified on whole sets. The groups are those of all links; pairs inside a group
 already found are not listed.
 
@@ -25,7 +25,7 @@ Sets are compared by 64-bit shingle hashes and named by a 64-bit hash of the set
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,32 +137,20 @@ def set_name(shingles: np.ndarray) -> int:
 
 
 def _named(text: str, size: int):
-    """(doc_id, node, n_shingles) of every row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                sets = shingle_sets(part.column(text), size)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([set_name(s) for s in sets], pa.int64()),
-                     pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "node", "n_shingles"])
-    return run
-
-
-def _first_texts(text: str, size: int):
-    """(node, text) of the first row of each set that this task sees; copies go no further."""
+    """(doc_id, node, n_shingles, text) of every row; the text of a set that this task has seen is left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = {0}
         for batch in batches:
             for part in slices(batch, text):
-                names = [set_name(s) for s in shingle_sets(part.column(text), size)]
-                keep = []
+                sets = shingle_sets(part.column(text), size)
+                names, places = [set_name(s) for s in sets], []
                 for row, name in enumerate(names):
-                    if name not in seen:
-                        seen.add(name)
-                        keep.append(row)
-                taken = part.column(text).take(pa.array(keep, pa.int64()))
+                    places.append(None if name in seen else row)
+                    seen.add(name)
+                texts = part.column(text).take(pa.array(places, pa.int64())).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[row] for row in keep], pa.int64()), taken.cast(pa.string())], ["node", "text"])
+                    [part.column("doc_id"), pa.array(names, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), texts],
+                    ["doc_id", "node", "n_shingles", "text"])
     return run
 
 
@@ -196,40 +184,28 @@ def _keyed(size: int, percent: int):
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in (key, node) order, those whose key more than one node has, with the key's first node.
+    """Of rows in the order of their keys, those whose key another row has too.
 
     One row is held back from batch to batch, however long the run of a key is.
     """
     held: tuple[int, int] | None = None
-    pivot, emitted = 0, False  # of the held row's key; whether a row of that key went out
+    emitted = False  # whether a row of the held row's key went out
     for batch in batches:
         key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
         if held is not None:
             key, node = np.r_[held[0], key], np.r_[held[1], node]
         if not len(key):
             continue
-        fresh = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
-        key, node = key[fresh], node[fresh]
-        start = np.r_[True, key[1:] != key[:-1]]
-        first = np.flatnonzero(start)
-        pivots = node[first]
-        if held is not None:
-            pivots = pivots.copy()
-            pivots[0] = pivot
-        pivots = pivots[np.cumsum(start) - 1]
-        many = np.r_[~start[1:], False] | ~start
-        if held is not None and emitted:
-            many[0] = True
-        out = many[:-1]
-        yield _shared(key[:-1][out], node[:-1][out], pivots[:-1][out])
-        held, pivot, emitted = (int(key[-1]), int(node[-1])), int(pivots[-1]), bool(many[-1])
+        same = key[1:] == key[:-1]
+        many = np.r_[emitted, same] | np.r_[same, False]
+        yield _shared(key[:-1][many[:-1]], node[:-1][many[:-1]])
+        held, emitted = (int(key[-1]), int(node[-1])), bool(many[-1])
     if held is not None and emitted:
-        yield _shared(np.array([held[0]]), np.array([held[1]]), np.array([pivot]))
+        yield _shared(np.array([held[0]]), np.array([held[1]]))
 
 
-def _shared(key: np.ndarray, node: np.ndarray, pivot: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x.astype(np.int64)) for x in (key, node, pivot)], ["key", "node", "pivot"])
+def _shared(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (key, node)], ["key", "node"])
 
 
 def _compared(size: int):
@@ -256,16 +232,15 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
     """(a, b, shared, total): sizes of intersection and union of the sets of distinct pairs.
 
     Pairs travel grouped by ``a``, whose text comes once per group; a large group is split
-    by a hash of ``b``.
+    by a hash of ``b``. The texts of both sides are looked up by one join.
     """
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("pairs") / PAIRS_PER_SALT))
     salted = cut(pairs.join(counts, "a").select("a", "b", salt.alias("salt")))
-    named = texts.select(F.col("node").alias("b"), "text")
-    others = salted.join(named, "b").select("a", "salt", F.lit(1).alias("turn"), "b", "text")
-    centers = (salted.select("a", "salt").distinct().withColumn("b", F.col("a"))
-               .join(named, "b").select("a", "salt", F.lit(0).alias("turn"), "b", "text"))
-    grouped = centers.union(others).repartition("a", "salt").sortWithinPartitions("a", "salt", "turn")
+    members = salted.select("a", "salt", F.lit(1).alias("turn"), "b").union(
+        salted.select("a", "salt").distinct().select("a", "salt", F.lit(0), "a"))
+    grouped = (members.join(texts.select(F.col("node").alias("b"), "text"), "b")
+               .repartition("a", "salt").sortWithinPartitions("a", "salt", "turn"))
     out = cut(grouped.select("a", "salt", "b", "text").mapInArrow(
         _compared(size), "a bigint, b bigint, shared bigint, total bigint"))
     release(salted)
@@ -333,13 +308,13 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def _uncrowded(shared: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The (key, node, pivot) rows without the crowded keys that sets can do without."""
+    """(key, node, pivot) rows without the crowded keys that sets can do without; the pivot is the key's smallest node."""
     sizes = shared.groupBy("key").count().where(F.col("count") > CROWDED)
     code = F.col("key").bitwiseAND(F.lit(7)).cast("int")
     hot = shared.join(sizes, "key").join(sketches.select("node", "spare"), "node")
     fullest = Window.partitionBy("node", code).orderBy(F.desc("count"), "key")
     dropped = hot.withColumn("turn", F.row_number().over(fullest)).where(F.col("turn") <= F.get("spare", code))
-    left = cut(shared.select("key", "node").join(dropped.select("key", "node"), ["key", "node"], "left_anti"))
+    left = cut(shared.join(dropped.select("key", "node"), ["key", "node"], "left_anti"))
     first = left.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
     out = cut(left.join(first.drop("last"), "key"))
     release(left)
@@ -364,13 +339,19 @@ def _meetings(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
         F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _rest(shared: DataFrame, links: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _rest(
+    shared: DataFrame, links: DataFrame, sketches: DataFrame, percent: int,
+    linked: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Pairs of one key in different groups that may still be linked.
 
     Two large sets may meet in hundreds of keys. So a few of all keys are joined first, and the
     pairs met there are known when the others are: what meets often comes out of the joins a few times.
+
+    ``linked`` tells which of such pairs are linked. Given it, the links met first are contracted too, so that
+    sets of a large group of near copies do not meet again, and (a, b) are ties that give the groups of all links.
     """
-    groups = connected_components(links)
+    groups = cut(connected_components(links))
     placed = cut(shared.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
     hashes = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"h{i}") for i in (1, 2)]
     mixed = placed.groupBy("key").agg(
@@ -385,13 +366,26 @@ def _rest(shared: DataFrame, links: DataFrame, sketches: DataFrame, percent: int
     turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
     known = (first.withColumn("turn", turn).where(F.col("turn") <= MOST_KNOWN)  # only spares work: the others meet again
              .groupBy("a").agg(F.collect_list("b").alias("known")).withColumnRenamed("a", "node"))
-    others = cut(rows.where(~early).join(sizes.join(known, "node", "left"), "node"))
+    left = rows.where(~early)
+    if linked is not None:
+        near = possible(first, sketches, percent)
+        ties = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(linked(near))
+        groups = cut(connected_components(ties))
+        release(near)
+        left = left.select("key", "node").join(groups, "node", "left").select(
+            "key", "node", F.coalesce("component", "node").alias("component"))
+    others = cut(left.join(sizes.join(known, "node", "left"), "node"))
     release(rows)
-    pairs = cut(first.union(_meetings(others, others.drop("known"), percent)).distinct())
+    met = _meetings(others, others.drop("known"), percent)
+    if linked is None:
+        met = first.union(met)
+    pairs = cut(met.distinct())
     release(others, first)
     out = possible(pairs, sketches, percent)
     release(pairs)
-    return out
+    if linked is None:
+        return out
+    return groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(linked(out))
 
 
 def jaccard_groups(
@@ -405,25 +399,24 @@ def jaccard_groups(
     Only ``doc_id`` and ``text`` are read.
     """
     source = docs.select("doc_id", F.col(text).alias("text"))
-    rows = cut(source.mapInArrow(_named("text", size), "doc_id bigint, node bigint, n_shingles bigint"))
-    texts = cut(
-        source.mapInArrow(_first_texts("text", size), "node bigint, text string")
-        .repartition("node").mapInArrow(_distinct_nodes, "node bigint, text string"))
+    named = cut(source.mapInArrow(_named("text", size), "doc_id bigint, node bigint, n_shingles bigint, text string"))
+    texts = cut(named.where("text IS NOT NULL AND node <> 0").select("node", "text").repartition("node").mapInArrow(
+        _distinct_nodes, "node bigint, text string"))
+    rows = cut(named.drop("text"))
+    release(named)
     keys = texts.mapInArrow(_keyed(size, percent), "key bigint, node bigint")
-    shared = cut(
-        keys.repartition("key").sortWithinPartitions("key", "node")
-        .mapInArrow(_shared_keys, "key bigint, node bigint, pivot bigint"))
+    every = cut(keys.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key bigint, node bigint"))
     sketches = cut(texts.mapInArrow(_sketches(size, percent), SKETCH))
-    every, shared = shared, _uncrowded(shared, sketches)
+    shared = _uncrowded(every, sketches)
     release(every)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return verify(pairs, texts, size).where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
+
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    first = verify(possible(stars, sketches, percent), texts, size)
-    linked = F.col("shared") * 100 >= F.col("total") * percent
-    links = first.where(linked).select("a", "b")
-    rest = _rest(shared, links, sketches, percent)
-    second = verify(rest, texts, size).where(linked).select("a", "b")
+    ties = _rest(shared, linked(possible(stars, sketches, percent)), sketches, percent, linked)
     release(texts, sketches, shared)
-    groups = connected_components(links.union(second))
+    groups = connected_components(ties)
     placed = rows.join(groups, "node", "left").select(
         "doc_id", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
     smallest = placed.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))

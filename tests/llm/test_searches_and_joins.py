@@ -134,6 +134,23 @@ def test_sets_that_meet_in_many_keys_are_joined_a_few_times(spark, monkeypatch):
     assert meetings > 5000 and sum(made[:2]) < meetings / 8 and len(made) == 4
 
 
+def test_near_copies_linked_in_a_few_keys_do_not_meet_again(spark, monkeypatch):
+    draw, made = np.random.default_rng(13), []
+    held = [(key, int(node)) for key in range(300) for node in np.flatnonzero(draw.random(30) < 0.5)]
+    shared = spark.createDataFrame([*held, (1000, 5), (1000, 200), (1001, 300), (1001, 301)], "key bigint, node bigint")
+    sketches = spark.createDataFrame(
+        [(node, 10_000, [0] * 8, bytes(128), *[0] * shingle_join.FOLDED) for node in (*range(30), 200, 300, 301)],
+        shingle_join.SKETCH)
+    links = spark.createDataFrame([(1, 2), (200, 1000)], "a bigint, b bigint")
+    plain = shingle_join._meetings
+    monkeypatch.setattr(shingle_join, "_meetings", lambda *x: made.append(plain(*x).count()) or plain(*x))
+    monkeypatch.setattr(shingle_join, "MOST_KNOWN", 1)
+    ties = shingle_join._rest(shared, links, sketches, 75, lambda pairs: pairs.where("b < 300"))
+    groups = {r["node"]: r["component"] for r in connected_components(ties).collect()}
+    assert groups == dict.fromkeys([*range(30), 200, 1000], 0)
+    assert made[0] > 300 and made[1] <= 2
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(1000, i) for i in range(1001, 1100)] + [(7, 7)]
     found = dict(map(tuple, connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
