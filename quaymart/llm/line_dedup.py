@@ -5,8 +5,8 @@ are counted over the whole corpus in a table of fixed size, by which every word
 the rarer ones. Two sets of at least ``percent`` Jaccard similarity share a word among the
 first of each (prefix filter), are of similar length, and the place of the shared word
 leaves room for the overlap (length and positional filters). Each set also has the parities
-of its words in 64 bits, which differ in no more bits than the sets differ in words. What
-passes is verified on the whole sets.
+of its words in 64 bits, a larger one in 256 too, which differ in no more bits than the sets
+differ in words. What passes is verified on the whole sets.
 
 A line goes if an earlier line, by (doc_id, line number), has the same set or a similar one,
 whether or not that line stays. So it is enough to find one earlier match. Every set is
@@ -36,6 +36,8 @@ PERCENT = 85
 LEAST_WORDS = 1  # lines without words are left alone
 RARITY_BUCKETS = 1 << 16  # a power of two
 SLICES = 2  # of the words' hashes, joined one after the other, so that only a part of the prefix rows is on disk at once
+WIDE_WORDS = 96  # sets of more words also have their parities in WIDE numbers: 64 bits say little of them
+WIDE = 4
 PLACE = ["doc_id", "line_no", "text_hash"]
 
 
@@ -95,6 +97,13 @@ def parities(words: Column) -> Column:
     return F.aggregate(words, F.lit(0).cast("bigint"), flip)
 
 
+def wide_parities(words: Column) -> Column:
+    """The parities in ``WIDE`` numbers, whose XOR is that of ``parities``."""
+    def own(i: int) -> Column:
+        return F.filter(words, lambda word: F.shiftrightunsigned(word, 6).bitwiseAND(F.lit(WIDE - 1)) == i)
+    return F.array(*[parities(own(i)) for i in range(WIDE)])
+
+
 def _has_others(size: Column, percent: int) -> Column:
     """Whether a set may be similar to a different one: at best that is itself and one word more."""
     return size * 100 >= (size + 1) * percent
@@ -105,8 +114,10 @@ def _may_match(a: str, b: str, percent: int) -> Column:
     na, nb, pa, pb = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}pos"), F.col(f"{b}pos")
     room = F.least(pa, pb) + 1 + F.least(na - pa - 1, nb - pb - 1)
     apart = F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits")))
+    wide = sum((F.bit_count(F.get(f"{a}wide", F.lit(i)).bitwiseXOR(F.get(f"{b}wide", F.lit(i)))) for i in range(WIDE)), F.lit(0))
     return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (room * 100 >= (na + nb - room) * percent)
-            & (apart * (100 + percent) <= (na + nb) * (100 - percent)))
+            & (apart * (100 + percent) <= (na + nb) * (100 - percent))
+            & F.coalesce(wide * (100 + percent) <= (na + nb) * (100 - percent), F.lit(True)))
 
 
 def _named(rows: DataFrame, name: str) -> DataFrame:
@@ -115,9 +126,9 @@ def _named(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame, percent: int, part: int) -> DataFrame:
-    """(word, id, n, pos, bits): a row for each prefix word of one slice of the sets that may have similar ones."""
+    """(word, id, n, pos, bits, wide): a row for each prefix word of one slice of the sets that may have similar ones."""
     rows = classes.where(_has_others(F.col("n"), percent)).select(
-        "id", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+        "id", "n", "bits", "wide", F.posexplode("prefix").alias("pos", "word"))
     return rows.where(F.col("word").bitwiseAND(F.lit(SLICES - 1)) == part)
 
 
@@ -125,7 +136,7 @@ def _stars(rows: DataFrame, percent: int) -> DataFrame:
     """(id, other): each set with the earliest set of each of its words, where the filters let them."""
     first = rows.groupBy("word").agg(
         F.count(F.lit(1)).alias("sets"), F.min("id").alias("b_id"),
-        *[F.min_by(c, "id").alias(f"b_{c}") for c in ("n", "pos", "bits")]).where("sets > 1").drop("sets")
+        *[F.min_by(c, "id").alias(f"b_{c}") for c in ("n", "pos", "bits", "wide")]).where("sets > 1").drop("sets")
     joined = _named(rows, "a_").join(first, "word").where((F.col("a_id") != F.col("b_id")) & _may_match("a_", "b_", percent))
     return joined.select(F.col("a_id").alias("id"), F.col("b_id").alias("other"))
 
@@ -177,9 +188,10 @@ def repeated_lines(
     size = F.size("words")
     lines = cut(parsed.withColumn("words", ordered_set(F.col("words"), table)).select(
         *PLACE, F.xxhash64("words").alias("sig"), size.alias("n"), parities(F.col("words")).alias("bits"),
+        F.when(size > WIDE_WORDS, wide_parities(F.col("words"))).alias("wide"),
         F.slice("words", F.lit(1), prefix_length(size, percent).cast("int")).alias("prefix")))
     release(taken)
-    first = lines.groupBy("sig").agg(F.min(F.struct(*PLACE, "n", "bits", "prefix")).alias("first")).select("sig", "first.*")
+    first = lines.groupBy("sig").agg(F.min(F.struct(*PLACE, "n", "bits", "wide", "prefix")).alias("first")).select("sig", "first.*")
     # Numbers in the order of first lines, as ranges are numbered one after the other.
     classes = cut(first.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE).withColumn(
         "id", F.monotonically_increasing_id()))

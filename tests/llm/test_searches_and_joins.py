@@ -234,6 +234,18 @@ def test_a_text_of_many_lines_is_put_together_in_one_pass(spark):
     assert report[1]["text"] == "said before" and report[1]["removed"] == []
 
 
+def test_long_lines_that_share_rare_words_only_are_no_pairs(spark, monkeypatch):
+    pairs, plain = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda made, *rest: pairs.append(made.count()) or plain(made, *rest))
+    rare = " ".join(f"rare{i}" for i in range(40))
+    own = [" ".join(f"w{n}" for n in np.random.default_rng(i).choice(3000, 240, replace=False)) for i in range(40)]
+    rows = [(i, f"{rare} {own[i]}") for i in range(40)]
+    rows.append((40, " ".join(w if at % 40 else f"new{at}" for at, w in enumerate(rows[7][1].split()))))
+    docs = spark.createDataFrame([*rows, *[(100 + i, text) for i, text in enumerate(own * 2)]], "doc_id bigint, text string")
+    removed = {(r["doc_id"], r["match_doc_id"]) for r in line_dedup.repeated_lines(docs).collect() if r["doc_id"] < 100}
+    assert removed == {(40, 7)} and sum(pairs) < 100
+
+
 def test_no_lines(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.repeated_lines(docs).count() == 0
