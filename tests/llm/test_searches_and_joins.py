@@ -8,6 +8,7 @@ import pytest
 
 from quaymart.llm import decontaminate, hilbert_search, line_dedup, shingle_join
 from quaymart.llm.components import connected_components
+from quaymart.llm.thinned import thinned
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -246,6 +247,29 @@ def test_long_lines_that_share_rare_words_only_are_no_pairs(spark, monkeypatch):
     assert removed == {(40, 7)} and sum(pairs) < 100
 
 
+def test_lines_of_a_group_that_are_not_similar_are_hardly_ever_pairs(spark, monkeypatch):
+    pairs, plain = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda made, *rest: pairs.append(made.count()) or plain(made, *rest))
+    rows = []
+    for i in range(150):  # four of 60 words replaced: two lines share 52 of 68
+        own = set(np.random.default_rng(i).choice(60, 4, replace=False).tolist())
+        rows.append((i, " ".join(f"own{i}_{at}" if at in own else f"w{at}" for at in range(60))))
+    rows.append((200, " ".join(w if at else "new" for at, w in enumerate(rows[60][1].split()))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    removed = {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()}
+    assert removed == {doc for doc, _ in expected_removed(rows, line_dedup.PERCENT, line_dedup.LEAST_WORDS)} and 200 in removed
+    assert sum(pairs) < 700
+
+
+def test_rows_that_are_wanted_stay_and_hardly_any_others(spark):
+    rows = spark.range(20_000).selectExpr("id AS a", "CAST(id % 7 AS int) AS b", "'t' AS text")
+    wanted = rows.where("a % 50 = 0 OR a < 2").select("a", "b").union(spark.createDataFrame([(None, 1)], "a bigint, b int"))
+    kept = {r["a"] for r in thinned(rows, ["a", "b"], wanted).collect()}
+    assert {0, 1, *range(0, 20_000, 50)} <= kept and len(kept) < 500
+    assert thinned(rows, ["a", "b"], wanted).columns == rows.columns
+    assert thinned(rows, ["a", "b"], wanted.limit(0)).count() == 0
+
+
 def test_no_lines(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.repeated_lines(docs).count() == 0
