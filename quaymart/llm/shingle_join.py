@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .cut import cut, release
+from .thinned import thinned
 from .words import U64, mix, shingle_sets, slices
 
 SHINGLE = 5
@@ -232,14 +233,15 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame
     """(a, b, shared, total): sizes of intersection and union of the sets of distinct pairs.
 
     Pairs travel grouped by ``a``, whose text comes once per group; a large group is split
-    by a hash of ``b``. The texts of both sides are looked up by one join.
+    by a hash of ``b``. The texts of both sides are looked up by one join, to which hardly any others go.
     """
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("pairs") / PAIRS_PER_SALT))
     salted = cut(pairs.join(counts, "a").select("a", "b", salt.alias("salt")))
     members = salted.select("a", "salt", F.lit(1).alias("turn"), "b").union(
         salted.select("a", "salt").distinct().select("a", "salt", F.lit(0), "a"))
-    grouped = (members.join(texts.select(F.col("node").alias("b"), "text"), "b")
+    asked = thinned(texts.select(F.col("node").alias("b"), "text"), ["b"], members)
+    grouped = (members.join(asked, "b")
                .repartition("a", "salt").sortWithinPartitions("a", "salt", "turn"))
     out = cut(grouped.select("a", "salt", "b", "text").mapInArrow(
         _compared(size), "a bigint, b bigint, shared bigint, total bigint"))
@@ -300,6 +302,7 @@ def _near_enough(percent: int):
 
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The (a, b) pairs that sizes and sketches leave possible."""
+    sketches = thinned(sketches.select("node", "n", "bits"), ["node"], pairs.select(F.explode(F.array("a", "b")).alias("node")))
     a = sketches.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     b = sketches.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
     sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent

@@ -8,6 +8,7 @@ import pytest
 
 from quaymart.llm import decontaminate, hilbert_search, line_dedup, shingle_join
 from quaymart.llm.components import connected_components
+from quaymart.llm.shingle_join import possible, verify
 from quaymart.llm.thinned import thinned
 
 SPACE = r"[^\x20\x09-\x0D]+"
@@ -270,6 +271,23 @@ def test_rows_that_are_wanted_stay_and_hardly_any_others(spark):
     assert thinned(rows, ["a", "b"], wanted.limit(0)).count() == 0
 
 
+def test_texts_and_sketches_of_other_sets_do_not_go_to_the_joins(spark, monkeypatch):
+    pairs = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    sets = spark.range(1, 3000).selectExpr(
+        "id AS node", "CONCAT('one two three four five six ', id) AS text", "9L AS n", "UNHEX(REPEAT('00', 128)) AS bits")
+    kept, plain = [], shingle_join.thinned
+
+    def counted(*args):
+        left = plain(*args)
+        kept.append(left.count())
+        return left
+
+    monkeypatch.setattr(shingle_join, "thinned", counted)
+    assert [tuple(r) for r in verify(pairs, sets).collect()] == [(1, 2, 2, 4)]
+    assert [tuple(r) for r in possible(pairs, sets, 75).collect()] == [(1, 2)]
+    assert len(kept) == 2 and all(2 <= n < 100 for n in kept)
+
+
 def test_no_lines(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_dedup.repeated_lines(docs).count() == 0
