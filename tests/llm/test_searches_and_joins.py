@@ -259,7 +259,7 @@ def test_lines_of_a_group_that_are_not_similar_are_hardly_ever_pairs(spark, monk
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     removed = {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()}
     assert removed == {doc for doc, _ in expected_removed(rows, line_dedup.PERCENT, line_dedup.LEAST_WORDS)} and 200 in removed
-    assert sum(pairs) < 700
+    assert sum(pairs) < 300
 
 
 def test_rows_that_are_wanted_stay_and_hardly_any_others(spark):
