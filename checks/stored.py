@@ -91,10 +91,11 @@ def merged_moves(t: Frames, root: str) -> None:
     """All moves, then newer versions of some in another month, then older versions of others."""
     spark, moves = _spark(t), t["stock_move"]
     merge_table(spark, root, "stock_move", moves)
-    later = moves.where("id % 20 = 1").withColumns({
+    some = durable(moves.where("id % 20 IN (1, 2)"))
+    later = some.where("id % 20 = 1").withColumns({
         "quantity_done": F.col("quantity_done") + 1, "date_done": F.col("date_done") + F.expr("INTERVAL 60 DAYS"),
         "write_date": F.col("write_date") + F.expr("INTERVAL 400 DAYS")})
-    older = moves.where("id % 20 = 2").withColumns({
+    older = some.where("id % 20 = 2").withColumns({
         "quantity_done": F.lit(-1.0), "date_done": F.col("date_done") - F.expr("INTERVAL 60 DAYS"),
         "write_date": F.col("write_date") - F.expr("INTERVAL 1 DAY")})
     merge_table(spark, root, "stock_move", later)

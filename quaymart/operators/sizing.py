@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +101,25 @@ def lookup_join(
     return salted_fact.join(salted_dim, [*on, "_salt"], "left").drop("_salt")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession, split_bytes: int | None = None) -> Iterator[None]:
+    """Let a write delete its shuffle files when it ends, not when the driver collects its garbage.
+
+    ``split_bytes`` bounds the bytes of files that one of its tasks reads.
+    """
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if split_bytes is not None:
+        wanted["spark.sql.files.maxPartitionBytes"] = str(split_bytes)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write to a table in the cluster's shared folder and read that back.
 
@@ -106,7 +127,8 @@ def durable(df: DataFrame) -> DataFrame:
     columnar input of known size. A lost executor costs the tasks it held, nothing more.
     """
     path = f"{shared_dir(df.sparkSession)}/quaymart-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

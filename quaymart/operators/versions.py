@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizing import durable
+
 
 def latest(
     df: DataFrame,
@@ -40,3 +42,16 @@ def merge_batch(
     Merging the same batch again changes nothing, and batches may come in any order.
     """
     return latest(existing.unionByName(batch), keys, version, ties)
+
+
+def merge_distinct(existing: DataFrame, batch: DataFrame, keys: Sequence[str], version: str | None, part: str) -> DataFrame:
+    """:func:`merge_batch` of two tables that have every key once, telling what the batch changes; written to a table.
+
+    ``_held`` rows were there already; of equal rows it is that one. The others have in ``_old`` the
+    ``part`` of the row that they replace, in a struct, or null where there is none.
+    """
+    both = existing.withColumns({"_held": F.lit(True), "_old": F.struct(part)}).unionByName(
+        batch.withColumns({"_held": F.lit(False), "_old": F.lit(None)}))
+    both = both.withColumn("_old", F.max("_old").over(Window.partitionBy(*reversed(keys))))
+    rest = [c for c in batch.columns if c not in keys and c not in (version, part)]
+    return durable(latest(both, keys, version, [*rest, "_held"]))

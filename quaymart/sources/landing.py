@@ -14,16 +14,21 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import broadcast_if_small, durable
-from ..operators.versions import latest, merge_batch
+from ..operators.sizing import durable, shuffles_freed
+from ..operators.thinning import told, with_keys
+from ..operators.versions import latest, merge_batch, merge_distinct
 from ..schemas import MART_TABLES, RAW_TABLES, TableSpec, enforce_schema, with_month
-from .pointer import Pointer, children, commit, current, exists, next_run
+from .pointer import Pointer, children, commit, current, exists, next_run, size
 
 __all__ = ["append_table", "ensure_tables", "exists", "merge_forecast", "merge_table", "read_months", "read_table",
            "refresh_table", "table_path", "write_mart"]
 
 KEY_BUCKETS = 32
 KEY_RUNS = 8  # runs of a bucket from which they are made one
+SMALL_FILES = 8  # files of a month, beyond one for each FILE_BYTES, from which they are made few
+FILE_BYTES = 16 * 1024 * 1024
+COPY_BYTES = 32 * 1024 * 1024  # a task that copies rows sorts those of so many bytes of files in memory
+COMPRESSION = "zstd"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -123,7 +128,7 @@ def append_table(df: DataFrame, root: str, name: str) -> int:
     run = next_run(before)
     rows, staged = _stage(enforce_schema(df, spec), path, spec, run)
     parts = {**before.parts, **{part: (*before.parts.get(part, ()), run) for part in staged}}
-    keys = _index(spark, root, name, before, run, staged, None, repeated=True)
+    keys = _index(spark, root, name, before, run, _staged_keys(spark, root, name, run, staged).distinct(), None)
     _commit(spark, root, name, before, parts, keys)
     return rows
 
@@ -162,46 +167,57 @@ def merge_forecast(df: DataFrame, root: str, name: str = "demand_forecast") -> i
 
 def _replace(
     df: DataFrame, root: str, name: str, before: Pointer, gone: Callable[[str], bool] = lambda part: False,
-    changed: DataFrame | None = None,
+    changed: DataFrame | None = None, *, distinct: bool = False,
 ) -> int:
     """Stage rows and let them replace the partitions they have and those that are ``gone``.
 
-    ``changed`` has the keys that a merge was about.
+    ``changed`` has the keys that a merge was about; ``distinct`` says that the table has every key once then.
     """
     spark, path, spec = df.sparkSession, table_path(root, name), _spec(name)
     run = next_run(before)
     rows, staged = _stage(df, path, spec, run)
     parts = {part: runs for part, runs in before.parts.items() if not gone(part)} | {part: (run,) for part in staged}
-    keys = _index(spark, root, name, before, run, staged, changed)
-    _commit(spark, root, name, before, parts, keys)
+    keys = {}
+    if _indexed(name):
+        entries = _staged_keys(spark, root, name, run, staged)
+        if changed is not None:
+            entries = with_keys(entries, changed.columns, changed)
+        keys = _index(spark, root, name, before, run, entries, changed)
+    _commit(spark, root, name, before, parts, keys, distinct=distinct)
     return rows
 
 
-def _stage(df: DataFrame, path: str, spec: TableSpec, run: str) -> tuple[int, list[str]]:
+def _stage(
+    df: DataFrame, path: str, spec: TableSpec, run: str, copied: DataFrame | None = None
+) -> tuple[int, list[str]]:
     """Write the rows of a run; the number of rows and the partitions they make.
 
     Rebalancing by month lets adaptive execution cut a large month into several files and
-    keep a small one in one; inside a file the rows are in key order.
+    keep a small one in one; inside a file the rows are in key order. Rows to be ``copied``
+    come from files of their months and are written by the tasks that read them.
     """
-    written, by = Observation(), _partitions(spec)
+    written, by, spark = Observation(), _partitions(spec), df.sparkSession
     out = with_month(df, spec).hint("rebalance", *by)
+    if copied is not None:
+        out = out.unionByName(copied)
     out = out.sortWithinPartitions(*by, *[k for k in spec.keys if k not in by])
     # Observed last: an empty result is planned away below this point, count and all.
     out = out.observe(written, F.count(F.lit(1)).alias("rows"))
     folder = f"{path}/run={run}"
-    (out.write.partitionBy(*by) if by else out.write).parquet(folder)
+    with shuffles_freed(spark, COPY_BYTES if copied is not None else None):
+        (out.write.partitionBy(*by) if by else out.write).option("compression", COMPRESSION).parquet(folder)
     staged = [""]
     for level in by:
         staged = [f"{part}/{name}".lstrip("/") for part in staged
-                  for name in children(df.sparkSession, f"{folder}/{part}".rstrip("/")) if name.startswith(f"{level}=")]
+                  for name in children(spark, f"{folder}/{part}".rstrip("/")) if name.startswith(f"{level}=")]
     return int(written.get["rows"]), staged
 
 
 def _commit(
     spark: SparkSession, root: str, name: str, before: Pointer, parts: dict[str, tuple[str, ...]],
-    keys: dict[str, tuple[str, ...]],
+    keys: dict[str, tuple[str, ...]], *, distinct: bool = False,
 ) -> None:
-    _renew_name(spark, root, name, commit(spark, table_path(root, name), before, parts, keys))
+    _renew_name(spark, root, name, commit(spark, table_path(root, name), before, parts, keys, None, distinct))
 
 
 # --- the key index ----------------------------------------------------------------------------------
@@ -233,35 +249,37 @@ def _places(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
     return listed.select(*keys, F.explode(F.array_distinct(F.transform(valid, lambda e: e["p_month"]))).alias("p_month"))
 
 
+def _staged_keys(spark: SparkSession, root: str, name: str, run: str, staged: Sequence[str]) -> DataFrame:
+    """(keys, p_month) of the rows of a staged run."""
+    rows = read_months(spark, root, name, Pointer(0, {part: (run,) for part in staged}))
+    return rows.select(*_spec(name).keys, *(["p_month"] if _spec(name).month_of else []))
+
+
 def _index(
-    spark: SparkSession, root: str, name: str, before: Pointer, run: str, staged: Sequence[str], changed: DataFrame | None,
-    *, repeated: bool = False,
+    spark: SparkSession, root: str, name: str, before: Pointer, run: str, rows: DataFrame, changed: DataFrame | None,
 ) -> dict[str, tuple[str, ...]]:
-    """Write the index entries of a staged run; the runs of every bucket afterwards.
+    """Write the index entries of a staged run, ``rows`` of (keys, p_month); the runs of every bucket afterwards.
 
-    Without ``changed`` the run's rows were appended or are the first, else they hold all there
-    is of the changed keys (``sole``), which are distinct. Only appended rows may have a key
-    repeatedly (``repeated``), merged ones are one for each. Entries are added; a bucket with many runs is written anew. An
+    Without ``changed`` the run's rows were appended or are the first, else ``rows`` are all there
+    is of the changed keys (``sole``). Entries are added; a bucket with many runs is written anew. An
     entry may outlive its row, which only costs a merge the look into one more month.
     """
     if not _indexed(name):
         return {}
     spec, path = RAW_TABLES[name], table_path(root, name)
-    rows = read_months(spark, root, name, Pointer(0, {part: (run,) for part in staged})).select(*spec.keys, "p_month")
-    if changed is not None:
-        rows = rows.join(broadcast_if_small(changed), changed.columns, "left_semi").select(*spec.keys, "p_month")
-    rows = (rows.distinct() if repeated else rows).withColumn("sole", F.lit(changed is not None))
+    rows = rows.withColumn("sole", F.lit(changed is not None))
     crowded = [bucket for bucket, runs in before.keys.items() if len(runs) >= KEY_RUNS]
     old = _entries(spark, path, spec, before, crowded)
     if old is not None:
         # What they stood for becomes one entry each, as if appended now, which a merge's own entries replace.
-        places = _places(old, spec.keys).withColumn("sole", F.lit(False))
+        places = _places(old, spec.keys).withColumn("sole", F.lit(False)).select(*rows.columns)
         if changed is not None:
-            places = places.join(broadcast_if_small(changed), changed.columns, "left_anti").select(*rows.columns)
+            places = with_keys(places, changed.columns, changed, "left_anti")
         rows = rows.unionByName(places)
     folder = f"{path}/_keys/run={run}"
-    (rows.withColumn("bucket", _bucket(spec)).hint("rebalance", "bucket").sortWithinPartitions("bucket", *spec.keys)
-     .write.partitionBy("bucket").parquet(folder))
+    with shuffles_freed(spark):
+        (rows.withColumn("bucket", _bucket(spec)).hint("rebalance", "bucket").sortWithinPartitions("bucket", *spec.keys)
+         .write.partitionBy("bucket").option("compression", COMPRESSION).parquet(folder))
     fresh = [bucket for bucket in children(spark, folder) if bucket.startswith("bucket=")]
     return {**{b: runs for b, runs in before.keys.items() if b not in crowded},
             **{b: ((*before.keys.get(b, ()), run) if b not in crowded else (run,)) for b in fresh}}
@@ -275,7 +293,7 @@ def _months_of(spark: SparkSession, path: str, spec: TableSpec, before: Pointer,
     entries = _entries(spark, path, spec, before, buckets)
     if entries is None:
         return []
-    found = entries.join(broadcast_if_small(rows.select(*keys)), keys, "left_semi")
+    found = with_keys(entries, keys, rows.select(*keys))
     return [r[0] for r in _places(found, spec.keys).select("p_month").distinct().collect()]
 
 
@@ -288,19 +306,67 @@ def merge_table(
     their keys, since a row may have moved from one month to another; the key index tells
     them, so other months are not read. A run that stops half way changes nothing. ``keys``
     replaces the declared key, as ``["id"]`` where a record may change its company or product
-    and should not survive under the old one.
+    and should not survive under the old one. Where the table is known to have every key
+    once, only rows that the batch really changes are merged, and only their months rewritten.
     """
     spec, path = RAW_TABLES[name], table_path(root, name)
     keys = list(keys or spec.keys)
     before, fresh = current(spark, path), enforce_schema(batch, spec)
+    narrow = set(keys) <= set(spec.keys)  # rows that differ in these differ in the declared key
     if spec.month_of is None:
         existing = read_months(spark, root, name, before)
         return _replace(merge_batch(existing, fresh, keys, spec.version), root, name, before)
     if not before.parts:  # nothing to merge with: the newest version of every key is the table
-        return _replace(latest(fresh, keys, spec.version), root, name, before)
+        return _replace(latest(fresh, keys, spec.version), root, name, before, distinct=narrow)
     rows = durable(with_month(latest(fresh, keys, spec.version), spec))
     touched = {r[0] for r in rows.select("p_month").distinct().collect()}
     touched |= set(_months_of(spark, path, spec, before, rows, keys))
+    if before.distinct and set(keys) == set(spec.keys):
+        return _merge_changes(spark, root, name, before, rows, touched)
     existing = read_months(spark, root, name, before, touched).select(*spec.columns)
     merged = merge_batch(existing, rows.select(*spec.columns), keys, spec.version)
-    return _replace(merged, root, name, before, lambda part: _month_of(part) in touched, rows.select(*keys))
+    return _replace(
+        merged, root, name, before, lambda part: _month_of(part) in touched, rows.select(*keys),
+        distinct=narrow and (before.distinct or all(_month_of(part) in touched for part in before.parts)))
+
+
+def _merge_changes(
+    spark: SparkSession, root: str, name: str, before: Pointer, rows: DataFrame, touched: set[str | None]
+) -> int:
+    """Merge a batch, one row for each key, into a table with one row for each key.
+
+    Only the rows of the table that may have a key of the batch are merged with it. Nothing is
+    written if nothing of the batch wins; else the months that gain or lose a row are, their
+    other rows copied by the tasks that read them, so that a merge shuffles rows by the size of
+    the batch. Months that fell into many small files are rebalanced.
+    """
+    spec, path = RAW_TABLES[name], table_path(root, name)
+    columns, keys = list(spec.columns), list(spec.keys)
+
+    def existing(months: Iterable[str | None], perhaps: bool) -> DataFrame:
+        marked = told(read_months(spark, root, name, before, months), keys, rows)
+        return marked.where("_perhaps" if perhaps else "NOT _perhaps").drop("_perhaps")
+
+    merged = merge_distinct(existing(touched, True), rows, keys, spec.version, "p_month")
+    changed = merged.where("NOT _held")
+    months = {r[0] for r in changed.select("p_month").unionAll(changed.where("_old IS NOT NULL").select("_old.p_month")).distinct().collect()}
+    if not months:
+        return 0
+    old = {part: runs for part, runs in before.parts.items() if _month_of(part) in months}
+    small = {_month_of(part) for part, runs in old.items() if _in_small_files(spark, path, part, runs)}
+    here = F.coalesce(F.col("p_month"), F.lit(NO_MONTH)).isin(*[m or NO_MONTH for m in months])
+    moved = merged.where(here).select(*columns)
+    if small:
+        moved = moved.unionByName(existing(small, False).select(*columns))
+    run = next_run(before)
+    count, staged = _stage(moved, path, spec, run, existing(months - small, False))
+    parts = {part: runs for part, runs in before.parts.items() if part not in old} | {part: (run,) for part in staged}
+    index = _index(spark, root, name, before, run, changed.select(*keys, "p_month"), changed.select(*keys))
+    _commit(spark, root, name, before, parts, index, distinct=True)
+    return count
+
+
+def _in_small_files(spark: SparkSession, path: str, part: str, runs: Sequence[str]) -> bool:
+    """Whether merges have left a partition in many more files than its bytes ask for."""
+    files, length = map(sum, zip(*[size(spark, f"{path}/run={run}/{part}") for run in runs], strict=True))
+    return files >= SMALL_FILES + length // FILE_BYTES

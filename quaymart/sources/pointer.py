@@ -32,13 +32,15 @@ class Pointer:
     """``parts``: partition (a path such as ``p_month=202401``, empty for a table without) → its runs.
 
     ``keys``: the same for the buckets of the table's key index. ``sources``: for a table that
-    is derived from another, the partitions and runs of that one it was made from.
+    is derived from another, the partitions and runs of that one it was made from. ``distinct``:
+    whether no two rows have the declared key in common.
     """
 
     number: int = 0
     parts: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     keys: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     sources: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    distinct: bool = False
 
     def folders(self) -> set[str]:
         """Every folder it names, below the table's."""
@@ -62,6 +64,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
 
 
+def size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the files below a folder."""
+    files, folder = file_system(spark, path)
+    found = files.getContentSummary(folder)
+    return found.getFileCount(), found.getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, folder = file_system(spark, path)
     files.delete(folder, True)
@@ -82,7 +91,8 @@ def _load(spark: SparkSession, table: str, number: int) -> Pointer:
         found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Pointer(number, *({k: tuple(v) for k, v in found[name].items()} for name in ("parts", "keys", "sources")))
+    named = ({k: tuple(v) for k, v in found[name].items()} for name in ("parts", "keys", "sources"))
+    return Pointer(number, *named, found.get("distinct", False))
 
 
 def current(spark: SparkSession, table: str) -> Pointer:
@@ -98,17 +108,18 @@ def next_run(before: Pointer) -> str:
 
 def commit(
     spark: SparkSession, table: str, before: Pointer, parts: Mapping[str, tuple[str, ...]],
-    keys: Mapping[str, tuple[str, ...]], sources: Mapping[str, tuple[str, ...]] | None = None,
+    keys: Mapping[str, tuple[str, ...]], sources: Mapping[str, tuple[str, ...]] | None = None, distinct: bool = False,
 ) -> Pointer:
     """Make the pointer after ``before``, or raise :class:`ConcurrentWrite` if there is one already."""
-    after = Pointer(before.number + 1, parts, keys, sources or {})
+    after = Pointer(before.number + 1, parts, keys, sources or {}, distinct)
     jvm = spark._jvm
     target = _file(table, after.number)
     files, temporary = file_system(spark, f"{table}/{FOLDER}/.v{after.number}-{uuid.uuid4().hex}")
     files.mkdirs(temporary.getParent())
     stream = files.create(temporary, True)
     try:
-        stream.write(bytearray(json.dumps({"parts": parts, "keys": keys, "sources": after.sources}, sort_keys=True).encode()))
+        stream.write(bytearray(json.dumps(
+            {"parts": parts, "keys": keys, "sources": after.sources, "distinct": distinct}, sort_keys=True).encode()))
     finally:
         stream.close()
     # A rename that never replaces a file, unlike that of the file system's own interface.

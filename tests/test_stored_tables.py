@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import stored
-from quaymart.operators import ranking, scopes, sizing
+from quaymart.operators import ranking, scopes, sizing, thinning
 from quaymart.operators.versions import latest
 from quaymart.params import MartParams
 from quaymart.plans import loading, marts, movement_days
@@ -279,3 +279,65 @@ def test_a_first_merge_writes_no_copy_of_its_batch(spark, tmp_path, monkeypatch)
     assert len(written) == 1
     assert rows_of(landing.read_table(spark, root, "stock_move"), "id", "quantity_done", "p_month") == [
         (1, 3.0, "202405"), (2, 1.0, None)]
+
+
+def test_a_merge_shuffles_what_it_changes_and_writes_nothing_for_nothing(spark, tmp_path, monkeypatch):
+    root, path, staged, stage = str(tmp_path), str(tmp_path / "stock_move"), [], landing._stage
+
+    def noted(df, *args, **more):
+        staged.append(df.count())
+        return stage(df, *args, **more)
+    rows = [(i, 2, 7, 1.0, at(1 + i % 4, 5), at(1)) for i in range(800)]
+    landing.merge_table(spark, root, "stock_move", moves(spark, rows))
+    monkeypatch.setattr(landing, "_stage", noted)
+    newer = moves(spark, [(i, 2, 7, 2.0, at(5), at(2)) for i in range(0, 800, 200)] + [(900, 2, 7, 2.0, at(2), at(2))])
+    landing.merge_table(spark, root, "stock_move", newer)
+    after = pointer.current(spark, path)
+    assert sum(staged) < 20 and sorted(after.parts) == [f"p_month=20240{m}" for m in range(1, 6)]
+    assert after.parts["p_month=202403"] == after.parts["p_month=202404"] != after.parts["p_month=202401"]  # those lost no row
+    older = moves(spark, [(i, 2, 7, -1.0, at(6), dt.datetime(2023, 1, 1)) for i in range(50)])
+    assert [landing.merge_table(spark, root, "stock_move", b) for b in (newer, older, newer)] == [0, 0, 0]
+    assert len(staged) == 1 and pointer.current(spark, path) == after
+    want = {r[0]: (r[3], r[4]) for r in rows} | {i: (2.0, at(5)) for i in range(0, 800, 200)} | {900: (2.0, at(2))}
+    assert rows_of(landing.read_table(spark, root, "stock_move"), "id", "quantity_done", "date_done") == sorted(
+        ((i, *v) for i, v in want.items()), key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("broadcast", [sizing.BROADCAST_BYTES, -1])
+def test_merges_of_distinct_rows_with_null_keys(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(thinning, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(landing, "KEY_RUNS", 2)
+    monkeypatch.setattr(landing, "SMALL_FILES", 2)
+    draw, root, every, spec = random.Random(5), str(tmp_path), [], RAW_TABLES["stock_move"]
+    for step in range(4):
+        rows = [(draw.randint(1, 40), draw.choice([2, 3, None]), draw.choice([7, None]), float(draw.randint(0, 3)),
+                 draw.choice([at(draw.randint(1, 5), 3), None]), draw.choice([at(draw.randint(1, 12)), None])) for _ in range(60 - 12 * step)]
+        landing.merge_table(spark, root, "stock_move", moves(spark, rows + rows[:3]))
+        every += rows
+        assert pointer.current(spark, f"{root}/stock_move").distinct
+        want = with_month(latest(landing.enforce_schema(moves(spark, every), spec), spec.keys, spec.version), spec)
+        assert rows_of(landing.read_table(spark, root, "stock_move")) == rows_of(want.select(*spec.columns, "p_month"))
+    landing.append_table(moves(spark, every[:9]), root, "stock_move")
+    assert not pointer.current(spark, f"{root}/stock_move").distinct
+    landing.merge_table(spark, root, "stock_move", moves(spark, every))
+    assert rows_of(landing.read_table(spark, root, "stock_move")) == rows_of(want.select(*spec.columns, "p_month"))
+
+
+def test_no_wanted_row_is_thinned_out(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("a"), (F.col("id") % 3).alias("b"))
+    wanted = rows.where("a % 100 = 7 OR a IS NULL AND b = 1")
+    found = thinning.told(rows, ["a", "b"], wanted).select("*", F.expr("a % 100 = 7 OR a IS NULL AND b = 1").alias("want"))
+    assert found.where("want AND NOT _perhaps").count() == 0 and found.where("_perhaps AND NOT coalesce(want, false)").count() < 20
+    assert found.count() == 20_000
+
+
+def test_a_write_frees_its_shuffles_and_leaves_the_settings(spark, frame, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with sizing.shuffles_freed(spark, 1 << 20):
+        assert spark.conf.get(name) == "true" and int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 1 << 20
+    assert (spark.conf.get(name), spark.conf.get("spark.sql.files.maxPartitionBytes")) == before
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    held = tracker.shuffleStatuses().size()
+    assert sizing.durable(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    assert tracker.shuffleStatuses().size() <= held + 1  # that of the count
