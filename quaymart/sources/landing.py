@@ -3,7 +3,8 @@
 Every write stages its rows under a run of its own and commits them with one pointer
 (:mod:`.pointer`): months that are replaced, added or dropped change together. A raw table
 with months keeps an index of its keys, (key, month) in hash buckets, that a merge asks where
-older versions lie; it is committed by the same pointer.
+older versions lie; it is committed by the same pointer. The pointer also tells whether every
+key is there once, as after merges alone; then a merge shuffles no rows but those it may change.
 """
 
 from __future__ import annotations
@@ -128,7 +129,9 @@ def append_table(df: DataFrame, root: str, name: str) -> int:
     run = next_run(before)
     rows, staged = _stage(enforce_schema(df, spec), path, spec, run)
     parts = {**before.parts, **{part: (*before.parts.get(part, ()), run) for part in staged}}
-    keys = _index(spark, root, name, before, run, _staged_keys(spark, root, name, run, staged).distinct(), None)
+    keys = {}
+    if _indexed(name):  # only appended rows may have a key repeatedly
+        keys = _index(spark, root, name, before, run, _staged_keys(spark, root, name, run, staged).distinct(), None)
     _commit(spark, root, name, before, parts, keys)
     return rows
 
@@ -252,7 +255,7 @@ def _places(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _staged_keys(spark: SparkSession, root: str, name: str, run: str, staged: Sequence[str]) -> DataFrame:
     """(keys, p_month) of the rows of a staged run."""
     rows = read_months(spark, root, name, Pointer(0, {part: (run,) for part in staged}))
-    return rows.select(*_spec(name).keys, *(["p_month"] if _spec(name).month_of else []))
+    return rows.select(*_spec(name).keys, "p_month")
 
 
 def _index(
@@ -264,8 +267,6 @@ def _index(
     is of the changed keys (``sole``). Entries are added; a bucket with many runs is written anew. An
     entry may outlive its row, which only costs a merge the look into one more month.
     """
-    if not _indexed(name):
-        return {}
     spec, path = RAW_TABLES[name], table_path(root, name)
     rows = rows.withColumn("sole", F.lit(changed is not None))
     crowded = [bucket for bucket, runs in before.keys.items() if len(runs) >= KEY_RUNS]
